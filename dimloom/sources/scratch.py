@@ -1,0 +1,25 @@
+"""Shared folder for tables that cut a plan in two."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below ``spark.checkpoint.dir``.
+
+    That folder has to be one all executors share. Only a local-mode session may do without
+    the setting; it then gets a temporary folder, set once as its checkpoint directory.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        context = spark.sparkContext
+        if not context.getCheckpointDir():
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="dimloom-"))
+        folder = context.getCheckpointDir()
+    return f"{folder.rstrip('/')}/dimloom/{uuid.uuid4().hex}/{label}"

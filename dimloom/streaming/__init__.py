@@ -1,0 +1 @@
+"""Empty on purpose: the modelled system is batch only and defines no streaming operators."""
