@@ -2,5 +2,6 @@
 
 from dimloom.operators.dedup import distinct_rows, one_per_key
 from dimloom.operators.keys import dense_ids, lookup_id
+from dimloom.operators.spread import spread_if_few
 
-__all__ = ["dense_ids", "distinct_rows", "lookup_id", "one_per_key"]
+__all__ = ["dense_ids", "distinct_rows", "lookup_id", "one_per_key", "spread_if_few"]

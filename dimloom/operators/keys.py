@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.sources.scratch import scratch_path
+from dimloom.scratch import scratch_path
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 

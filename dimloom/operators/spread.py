@@ -1,0 +1,19 @@
+"""Parallelism of inputs that arrive in too few pieces."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+FEW_SPLITS = 8
+
+
+def spread_if_few(df: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores if the input has only a handful of splits.
+
+    That is either little data, cheap to shuffle, or a few files that cannot be split (packed
+    text, one Parquet row group), which would otherwise keep all later work in a few tasks.
+    Meant for plain scans: counting the splits of a plan with joins would start to run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < min(FEW_SPLITS, cores) else df

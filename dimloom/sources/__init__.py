@@ -1,7 +1,6 @@
 """Where tables come from and where they go."""
 
 from dimloom.sources.flat import FLAT_COLUMNS, cell_rejects, land_flat, read_flat
-from dimloom.sources.scratch import scratch_path
 from dimloom.sources.tables import read_csv_table, read_model, write_csv, write_parquet
 
 __all__ = [
@@ -11,7 +10,6 @@ __all__ = [
     "read_csv_table",
     "read_flat",
     "read_model",
-    "scratch_path",
     "write_csv",
     "write_parquet",
 ]
