@@ -87,46 +87,66 @@ def null_links(fact: DataFrame, row_id: str, columns: Sequence[str]) -> DataFram
     return fact.select(row_id, F.explode(empty).alias("fk_column"))
 
 
-def key_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: rows, rows with a null key, keys held twice or more."""
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    return per_key.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.when(_any_null(keys), F.col("_rows"))), F.lit(0)).alias("null_rows"),
-        F.count_if(F.col("_rows") > 1).alias("duplicate_keys"),
+def key_usage(
+    tables: Mapping[str, tuple[DataFrame, Sequence[str]]],
+    fact: DataFrame,
+    links: Mapping[str, Sequence[str]],
+) -> DataFrame:
+    """How often each key is held by its table and used by the fact.
+
+    ``tables`` gives a table and its key columns per label, ``links`` the fact's columns that
+    refer to that label. Keys are compared as text. One row per (label, key): the key's parts,
+    whether any part is missing, and the rows that hold and that use it. The fact is scanned
+    once for all its links, every table once, and one shuffle of counts covers them all.
+    """
+
+    def key(columns: Sequence[str]) -> list[Column]:
+        parts = F.array(*(F.col(c).cast("string") for c in columns))
+        return [parts.alias("key"), _any_null(columns).alias("is_empty")]
+
+    held = [
+        df.select(F.lit(label).alias("label"), *key(columns), F.lit(1).alias("held"))
+        for label, (df, columns) in tables.items()
+    ]
+    references = F.array(
+        *(F.struct(F.lit(label).alias("label"), *key(cols)) for label, cols in links.items())
+    )
+    used = fact.select(F.inline(references)).withColumn("used", F.lit(1))
+    everything = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*held, used])
+    return everything.groupBy("label", "key", "is_empty").agg(
+        F.count("held").alias("held"), F.count("used").alias("used")
     )
 
 
-def link_profile(
-    fact: DataFrame, columns: Sequence[str], dimension: DataFrame, keys: Sequence[str]
-) -> DataFrame:
-    """One row on the link between a fact's columns and a dimension's key.
-
-    null_rows     fact rows whose link is empty (any part null)
-    orphan_keys   distinct values set in the fact but absent from the dimension
-    orphan_rows   fact rows that carry them
-    unused_keys   dimension keys no fact row refers to
-    rows_before   fact rows
-    rows_after    rows a left join of fact and dimension would give
+def usage_profile(usage: DataFrame) -> DataFrame:
+    """Numbers on each label's key and on the fact's link to it.
+
+    row_count       rows of the table
+    null_rows       its rows with any key part null
+    duplicate_keys  keys held by two rows or more
+    empty_links     fact rows whose link has a null part
+    orphan_keys     distinct values set in the fact but absent from the table
+    orphan_rows     fact rows that carry them
+    unused_keys     keys of the table no fact row refers to
+    rows_before     fact rows
+    rows_after      rows a left join of the fact and the table would give
     """
-    used = fact.groupBy(*columns).agg(F.count("*").alias("_used"))
-    held = dimension.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(
-        F.count("*").alias("_held")
-    )
-    both = used.join(held, _same(columns, keys), "full")
-    is_null = _any_null(columns)
-    is_orphan = ~is_null & F.col("_held").isNull()
+    held, used, is_empty = F.col("held"), F.col("used"), F.col("is_empty")
+    is_orphan = ~is_empty & (held == 0)
 
     def total(rows: Column, name: str) -> Column:
         return F.coalesce(F.sum(rows), F.lit(0)).alias(name)
 
-    return both.agg(
-        total(F.when(is_null, F.col("_used")), "null_rows"),
-        F.count_if(is_orphan & F.col("_used").isNotNull()).alias("orphan_keys"),
-        total(F.when(is_orphan, F.col("_used")), "orphan_rows"),
-        F.count_if(F.col("_used").isNull()).alias("unused_keys"),
-        total(F.col("_used"), "rows_before"),
-        total(F.col("_used") * F.coalesce(F.col("_held"), F.lit(1)), "rows_after"),
+    return usage.groupBy("label").agg(
+        total(held, "row_count"),
+        total(F.when(is_empty, held), "null_rows"),
+        F.count_if(held > 1).alias("duplicate_keys"),
+        total(F.when(is_empty, used), "empty_links"),
+        F.count_if(is_orphan).alias("orphan_keys"),
+        total(F.when(is_orphan, used), "orphan_rows"),
+        F.count_if((held > 0) & (is_empty | (used == 0))).alias("unused_keys"),
+        total(used, "rows_before"),
+        total(used * F.when(is_empty | (held == 0), 1).otherwise(held), "rows_after"),
     )
 
 

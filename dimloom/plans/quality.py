@@ -10,54 +10,61 @@ from pyspark.sql import functions as F
 from dimloom.operators import checks
 from dimloom.plans.tables import FACT, LINKS, PRIMARY_KEYS
 
+TABLE_CHECKS = ("row_count", "null_rows", "duplicate_keys")
+LINK_CHECKS = (
+    "empty_links",
+    "orphan_keys",
+    "orphan_rows",
+    "unused_keys",
+    "rows_before",
+    "rows_after",
+)
+
 
 def status_counts(patients: DataFrame) -> DataFrame:
     return patients.groupBy("patient_status").agg(F.count("*").alias("patients"))
 
 
+def model_usage(model: Mapping[str, DataFrame]) -> DataFrame:
+    """How often each primary key is held and used, for all tables and links at once."""
+    return checks.key_usage(
+        {name: (model[name], keys) for name, keys in PRIMARY_KEYS.items()},
+        model[FACT],
+        {link.dimension: link.columns for link in LINKS},
+    )
+
+
 def links_summary(model: Mapping[str, DataFrame]) -> DataFrame:
     """One row of counts per link between the fact and a dimension."""
-    fact = model[FACT]
-    return checks.union_all(
-        [
-            checks.link_profile(
-                fact, link.columns, model[link.dimension], link.columns
-            ).select(F.lit(link.dimension).alias("dimension"), "*")
-            for link in LINKS
-        ]
-    )
+    profile = checks.usage_profile(model_usage(model).filter(F.col("label") != FACT))
+    return profile.select(F.col("label").alias("dimension"), *LINK_CHECKS)
 
 
 def missing_link_keys(model: Mapping[str, DataFrame]) -> DataFrame:
     """(fk_column, missing_key) for every single fact column and value its dimension lacks.
 
-    Insurance is listed by its id alone here; ``links_summary`` tests it with the patient.
+    A null counts as a value. Insurance is listed by its id alone here; ``links_summary``
+    tests it together with the patient.
     """
-    fact = model[FACT]
-    return checks.union_all(
-        [
-            checks.missing_keys(
-                fact, link.columns[:1], model[link.dimension], link.columns[:1]
-            ).select(
-                F.lit(link.columns[0]).alias("fk_column"),
-                F.col(link.columns[0]).cast("string").alias("missing_key"),
-            )
-            for link in LINKS
-        ]
+    column = {link.dimension: link.columns[:1] for link in LINKS}
+    usage = checks.key_usage(
+        {name: (model[name], columns) for name, columns in column.items()}, model[FACT], column
+    )
+    fk_of = F.create_map(*(F.lit(v) for name, cols in column.items() for v in (name, *cols)))
+    return usage.filter((F.col("held") == 0) & (F.col("used") > 0)).select(
+        fk_of[F.col("label")].alias("fk_column"), F.col("key")[0].alias("missing_key")
     )
 
 
 def unused_dimension_keys(model: Mapping[str, DataFrame]) -> DataFrame:
-    """(dimension, unused_key) of every dimension row no visit refers to."""
-    fact = model[FACT]
-    return checks.union_all(
-        [
-            checks.unused_keys(model[link.dimension], link.columns, fact, link.columns).select(
-                F.lit(link.dimension).alias("dimension"),
-                F.concat_ws(",", *link.columns).alias("unused_key"),
-            )
-            for link in LINKS
-        ]
+    """(dimension, unused_key) of every dimension key no visit refers to."""
+    is_unused = (F.col("held") > 0) & (F.col("is_empty") | (F.col("used") == 0))
+    return (
+        model_usage(model)
+        .filter(is_unused & (F.col("label") != FACT))
+        .select(
+            F.col("label").alias("dimension"), F.array_join("key", ",").alias("unused_key")
+        )
     )
 
 
@@ -68,46 +75,23 @@ def empty_links(model: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def report(model: Mapping[str, DataFrame]) -> DataFrame:
-    """Every check as (check_name, table_name, column_name, value).
-
-    One pass per table for its key and one per link, all in a single plan.
-    """
-
-    def lines(profile: DataFrame, table: str, columns: tuple[str, ...]) -> DataFrame:
-        values = F.array(
-            *(
-                F.struct(F.lit(c).alias("check_name"), F.col(c).cast("long").alias("value"))
-                for c in profile.columns
-            )
-        )
-        return profile.select(F.inline(values)).select(
-            "check_name",
-            F.lit(table).alias("table_name"),
-            F.lit(",".join(columns)).alias("column_name"),
-            "value",
-        )
-
-    per_table = [
-        lines(checks.key_profile(model[name], keys), name, keys)
-        for name, keys in PRIMARY_KEYS.items()
-    ]
-    per_link = [
-        lines(
-            checks.link_profile(
-                model[FACT], link.columns, model[link.dimension], link.columns
-            ).withColumnsRenamed(
-                {"null_rows": "empty_links", "rows_before": "rows_unjoined"}
-                | {"rows_after": "rows_joined"}
-            ),
-            link.dimension,
-            link.columns,
-        )
-        for link in LINKS
-    ]
+    """Every check as (check_name, table_name, column_name, value), from one pass per table."""
+    profile = checks.usage_profile(model_usage(model))
+    key_of = F.create_map(
+        *(F.lit(v) for name, keys in PRIMARY_KEYS.items() for v in (name, ",".join(keys)))
+    )
+    long = profile.unpivot("label", [*TABLE_CHECKS, *LINK_CHECKS], "check_name", "value")
+    is_line = (F.col("label") != FACT) | F.col("check_name").isin(*TABLE_CHECKS)
+    keys = long.filter(is_line).select(
+        "check_name",
+        F.col("label").alias("table_name"),
+        key_of[F.col("label")].alias("column_name"),
+        "value",
+    )
     statuses = status_counts(model["DimPatient"]).select(
         F.concat(F.lit("status_"), F.lower("patient_status")).alias("check_name"),
         F.lit("DimPatient").alias("table_name"),
         F.lit("patient_status").alias("column_name"),
         F.col("patients").alias("value"),
     )
-    return checks.union_all([*per_table, *per_link, statuses])
+    return keys.unionByName(statuses)

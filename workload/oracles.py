@@ -318,7 +318,7 @@ def held(link: t.Link) -> str:
 
 def unused_keys() -> str:
     return " union all ".join(
-        f"select '{link.dimension}' as dimension, "
+        f"select distinct '{link.dimension}' as dimension, "
         f"concat_ws(',', {commas(link.columns)}) as unused_key from {link.dimension} d "
         f"where not exists (select 1 from FactVisit f where {held(link)})"
         for link in t.LINKS
@@ -336,7 +336,7 @@ def link_numbers(link: t.Link) -> dict[str, str]:
     keys = commas(tuple(f"f.{c}" for c in link.columns))
     own = commas(link.columns)
     return {
-        "null_rows": f"select count(*) from FactVisit f where {some_null}",
+        "empty_links": f"select count(*) from FactVisit f where {some_null}",
         "orphan_keys": f"select count(*) from (select distinct {keys} {orphans})",
         "orphan_rows": f"select count(*) {orphans}",
         "unused_keys": f"select count(*) from (select distinct {own} from {dimension}) d "
@@ -367,14 +367,9 @@ def report() -> str:
             f"group by {own} having count(*) > 1)",
         }
         lines += [(check, name, ",".join(keys), sql) for check, sql in numbers.items()]
-    renamed = {
-        "null_rows": "empty_links",
-        "rows_before": "rows_unjoined",
-        "rows_after": "rows_joined",
-    }
     for link in t.LINKS:
         lines += [
-            (renamed.get(check, check), link.dimension, ",".join(link.columns), sql)
+            (check, link.dimension, ",".join(link.columns), sql)
             for check, sql in link_numbers(link).items()
         ]
     scalar = [
@@ -489,12 +484,18 @@ ORACLES: dict[str, str] = {
     "pk_duplicates": """select l_orderkey, l_linenumber, count(*) as copies from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1""",
     "fk_missing_keys": on_model(missing_keys()),
+    "lab_missing_keys": on_model(
+        "select lab_order_id from FactVisit except select lab_order_id from DimLabOrder"
+    ),
     "fk_orphan_rows": on_model("""select visit_id, lab_order_id from FactVisit f
         where lab_order_id is not null and not exists
             (select 1 from DimLabOrder d where d.lab_order_id = f.lab_order_id)"""),
     "fk_null_rows": on_model(null_links()),
     "fk_summary": on_model(links_summary()),
     "dim_unused_keys": on_model(unused_keys()),
+    "billing_unused_rows": on_model("""select billing_id, billing_payment_status
+        from DimBilling d where not exists
+            (select 1 from FactVisit f where f.billing_id = d.billing_id)"""),
     "fanout_check": on_model(links_summary(("rows_before", "rows_after"))),
     "insurance_fan_out": on_model("""select 'insurance_id' as join_columns,
             (select count(*) from FactVisit) as rows_before,

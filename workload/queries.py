@@ -65,7 +65,7 @@ def patient_from_flat(tables: roles.Tables) -> DataFrame:
 
 
 def numbered(spec: t.Numbered, tables: roles.Tables) -> DataFrame:
-    return m.dim_numbered(roles.sources(tables)[spec.name], spec)
+    return m.dim_numbered(roles.SOURCES[spec.name](tables), spec)
 
 
 def fact_visit(tables: roles.Tables) -> DataFrame:
@@ -149,13 +149,24 @@ def lab_orphans(model: dict[str, DataFrame]) -> DataFrame:
 def insurance_fan_out(model: dict[str, DataFrame]) -> DataFrame:
     """What a join on the insurance id alone would do, against the id with the patient."""
 
-    def with_key(columns: tuple[str, ...]) -> DataFrame:
-        profile = checks.link_profile(model[t.FACT], columns, model["DimInsurance"], columns)
-        return profile.select(
-            F.lit(",".join(columns)).alias("join_columns"), "rows_before", "rows_after"
-        )
+    insurance, fact = model["DimInsurance"], model[t.FACT]
+    keys = {",".join(k): k for k in (("insurance_id",), ("insurance_id", "patient_id"))}
+    usage = checks.key_usage({name: (insurance, k) for name, k in keys.items()}, fact, keys)
+    return checks.usage_profile(usage).select(
+        F.col("label").alias("join_columns"), "rows_before", "rows_after"
+    )
+
+
+def missing_lab_orders(model: dict[str, DataFrame]) -> DataFrame:
+    key = ["lab_order_id"]
+    return checks.missing_keys(model[t.FACT], key, model["DimLabOrder"], key)
+
 
-    return checks.union_all([with_key(("insurance_id",)), with_key(("insurance_id", "patient_id"))])
+def unused_billings(model: dict[str, DataFrame]) -> DataFrame:
+    key = ["billing_id"]
+    return checks.unused_keys(model["DimBilling"], key, model[t.FACT], key).select(
+        "billing_id", "billing_payment_status"
+    )
 
 
 def fan_out(model: dict[str, DataFrame]) -> DataFrame:
@@ -209,10 +220,12 @@ QUERIES: dict[str, Query] = {
     "pk_null_counts": on_model(lambda x: checks.null_keys(x, t.PRIMARY_KEYS)),
     "pk_duplicates": on_tables(repeated_lines),
     "fk_missing_keys": on_model(quality.missing_link_keys),
+    "lab_missing_keys": on_model(missing_lab_orders),
     "fk_orphan_rows": on_model(lab_orphans),
     "fk_null_rows": on_model(quality.empty_links),
     "fk_summary": on_model(quality.links_summary),
     "dim_unused_keys": on_model(quality.unused_dimension_keys),
+    "billing_unused_rows": on_model(unused_billings),
     "fanout_check": on_model(fan_out),
     "insurance_fan_out": on_model(insurance_fan_out),
     "quality_report": on_model(quality.report),

@@ -170,7 +170,7 @@ def lines(tables: Tables) -> DataFrame:
 
 def line_billing(tables: Tables) -> DataFrame:
     """Lines as billing records: several, in different states, under one billing id."""
-    return tables["lineitem"].select(
+    return spread_if_few(tables["lineitem"]).select(
         _text("l_orderkey").alias("billing_id"),
         F.col("l_returnflag").alias("insurance_id"),
         _money("l_extendedprice").alias("billing_total_charge"),
@@ -249,18 +249,21 @@ def flat(tables: Tables) -> DataFrame:
     return with_events.select(*_visit_cells(), *_event_cells())
 
 
+# The frame each table of the model is built from.
+SOURCES = {
+    "DimPatient": customers,
+    "DimInsurance": orders,
+    "DimBilling": orders,
+    "DimProvider": parts,
+    "DimLocation": suppliers,
+    "DimPrimaryDiagnosis": lines,
+    "DimSecondaryDiagnosis": lines,
+    "DimTreatment": customers,
+    "DimPrescription": parts,
+    "DimLabOrder": events,
+    "FactVisit": visits,
+}
+
+
 def sources(tables: Tables) -> dict[str, DataFrame]:
-    """The frame each table of the model is built from."""
-    return {
-        "DimPatient": customers(tables),
-        "DimInsurance": orders(tables),
-        "DimBilling": orders(tables),
-        "DimProvider": parts(tables),
-        "DimLocation": suppliers(tables),
-        "DimPrimaryDiagnosis": lines(tables),
-        "DimSecondaryDiagnosis": lines(tables),
-        "DimTreatment": customers(tables),
-        "DimPrescription": parts(tables),
-        "DimLabOrder": events(tables),
-        "FactVisit": visits(tables),
-    }
+    return {name: source(tables) for name, source in SOURCES.items()}
