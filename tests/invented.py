@@ -1,0 +1,68 @@
+"""Invented flat rows: give only the cells a test is about."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from dimloom.sources.flat import FLAT_COLUMNS
+
+BASE = {
+    "patient_id": "p1",
+    "patient_first_name": "Ada",
+    "visit_id": "v1",
+    "visit_datetime": "2023-05-06 07:08:09.123456",
+    "visit_type": "Check-up",
+    "insurance_id": "i1",
+    "billing_id": "b1",
+    "billing_total_charge": "10.00",
+    "billing_date": "2023-05-06 07:08:09.5",
+    "billing_payment_status": "Paid",
+    "doctor_name": "Dr A",
+    "doctor_title": "MD",
+    "doctor_department": "Eyes, ears",
+    "clinic_name": "North",
+    "room_number": "101",
+    "primary_diagnosis_code": "D1",
+    "primary_diagnosis_desc": "one",
+    "treatment_code": "T1",
+    "treatment_desc": "rest",
+}
+
+
+def text_frame(spark: SparkSession, columns, rows) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return spark.createDataFrame(rows, schema)
+
+
+def flat_rows(spark: SparkSession, *rows: dict) -> DataFrame:
+    values = [{**BASE, **row} for row in rows]
+    return text_frame(spark, FLAT_COLUMNS, [tuple(v.get(c) for c in FLAT_COLUMNS) for v in values])
+
+
+def plan(df: DataFrame) -> str:
+    printed = io.StringIO()
+    with contextlib.redirect_stdout(printed):
+        df.explain("formatted")
+    return printed.getvalue()
+
+
+def rows(df: DataFrame, *columns: str) -> set[tuple]:
+    return {tuple(r) for r in df.select(*(columns or df.columns)).collect()}
+
+
+@contextlib.contextmanager
+def configured(spark: SparkSession, **settings: str):
+    """Session settings for a while; underscores stand for dots after ``spark.sql``."""
+    names = {"spark.sql." + k.replace("_", "."): v for k, v in settings.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

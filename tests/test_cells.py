@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from invented import text_frame
+from pyspark.sql import functions as F
+
+from dimloom.functions import cells
+
+
+def values(spark, expression, *texts):
+    frame = text_frame(spark, ["c"], [(t,) for t in texts]).coalesce(1)
+    return [r[0] for r in frame.select(expression(F.col("c"))).collect()]
+
+
+def test_microsecond_text_takes_one_to_six_digits_and_nothing_else(spark):
+    parse = lambda c: cells.parse_timestamp(c, cells.MICROSECOND_PATTERN)
+    good = values(spark, parse, "2021-02-03 04:05:06.7", "2021-02-03 04:05:06.123456")
+    assert good == [
+        dt.datetime(2021, 2, 3, 4, 5, 6, 700000),
+        dt.datetime(2021, 2, 3, 4, 5, 6, 123456),
+    ]
+    bad = (
+        "2021-02-03 04:05:06",
+        "2021-02-03 04:05:06.1234567",
+        "2021-02-03",
+        "2021-02-30 04:05:06.1",
+        "",
+        "  ",
+        "soon",
+        None,
+    )
+    assert values(spark, parse, *bad) == [None] * len(bad)
+
+
+def test_default_rules_also_take_seconds_and_days(spark):
+    assert values(
+        spark, cells.parse_timestamp, "2021-02-03", "2021-02-03 04:05:06", "soon", ""
+    ) == [dt.datetime(2021, 2, 3), dt.datetime(2021, 2, 3, 4, 5, 6), None, None]
+
+
+def test_patterns_are_tried_in_turn(spark):
+    either = lambda c: cells.parse_timestamp(
+        c, cells.MICROSECOND_PATTERN, cells.SECOND_PATTERN
+    )
+    assert values(spark, either, "2021-02-03 04:05:06", "2021-02-03 04:05:06.5") == [
+        dt.datetime(2021, 2, 3, 4, 5, 6),
+        dt.datetime(2021, 2, 3, 4, 5, 6, 500000),
+    ]
+
+
+def test_amounts_round_half_up_and_overflow_to_null(spark):
+    assert values(
+        spark, cells.parse_amount, "12.345", "10.005", "1e2", "12345678901", "abc", "", None
+    ) == [Decimal("12.35"), Decimal("10.01"), Decimal("100.00"), None, None, None, None]
+
+
+def test_days_are_whole_numbers(spark):
+    assert values(spark, cells.parse_days, "7", " 9 ", "12.5", "1e2", "99999999999", "") == [
+        7, 9, None, None, None, None,
+    ]
+
+
+def test_blank_is_null_empty_or_spaces(spark):
+    assert values(spark, cells.is_blank, None, "", "   ", " a ") == [True, True, True, False]
+
+
+def test_export_text_cuts_to_seconds(spark):
+    shown = lambda c: cells.seconds_text(cells.parse_timestamp(c))
+    assert values(spark, shown, "2021-02-03 04:05:06.999999") == ["2021-02-03 04:05:06"]
+
+
+def test_status_needs_a_visit_strictly_after_the_cut_off(spark):
+    status = lambda c: cells.activity_status(c.cast("date"))
+    assert values(spark, status, "2021-12-31", "2022-01-01", None) == [
+        "Inactive", "Active", "Inactive",
+    ]
+
+
+def test_unreadable_means_text_that_gave_nothing(spark):
+    bad = lambda c: cells.unreadable(c, cells.parse_days(c))
+    assert values(spark, bad, "7", "x", "", "  ", None) == [False, True, False, False, False]

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import pytest
+from invented import plan, rows
+
+from dimloom.operators import checks
+
+FACT = "visit string, k string, p string"
+DIMENSION = "k string, p string, note string"
+
+
+@pytest.fixture(scope="module")
+def fact(spark):
+    return spark.createDataFrame(
+        [
+            ("v1", "a", "p1"),
+            ("v2", "a", "p2"),
+            ("v3", None, "p1"),
+            ("v4", "x", "p1"),
+            ("v5", "x", "p1"),
+            ("v6", "y", None),
+        ],
+        FACT,
+    )
+
+
+@pytest.fixture(scope="module")
+def dimension(spark):
+    return spark.createDataFrame(
+        [("a", "p1", "1"), ("a", "p2", "2"), ("b", "p1", "3"), (None, "p9", "4")], DIMENSION
+    )
+
+
+def test_missing_keys_are_distinct_and_count_null_as_a_value(fact, dimension):
+    named = dimension.filter("k is not null")
+    assert rows(checks.missing_keys(fact, ["k"], named, ["k"])) == {(None,), ("x",), ("y",)}
+    assert checks.missing_keys(fact, ["k"], named, ["k"]).count() == 3
+    assert rows(checks.missing_keys(fact, ["k"], dimension, ["k"])) == {("x",), ("y",)}
+
+
+def test_orphan_rows_are_rows_and_leave_nulls_out(fact, dimension):
+    assert rows(checks.orphan_rows(fact, ["k"], dimension, ["k"]), "visit") == {
+        ("v4",),
+        ("v5",),
+        ("v6",),
+    }
+
+
+def test_unused_keys_include_the_null_key(fact, dimension):
+    assert rows(checks.unused_keys(dimension, ["k"], fact, ["k"]), "note") == {("3",), ("4",)}
+
+
+def test_null_links_lists_each_empty_column(fact):
+    assert rows(checks.null_links(fact, "visit", ["k", "p"])) == {("v3", "k"), ("v6", "p")}
+    assert "Exchange" not in plan(checks.null_links(fact, "visit", ["k", "p"]))
+
+
+def test_duplicate_keys(dimension):
+    assert rows(checks.duplicate_keys(dimension, ["k"])) == {("a", 2)}
+    assert rows(checks.duplicate_keys(dimension, ["k", "p"])) == set()
+
+
+def test_null_key_counts_per_column(fact, dimension):
+    counted = checks.null_keys({"F": fact, "D": dimension}, {"F": ["visit"], "D": ["k", "p"]})
+    assert rows(counted) == {("F", "visit", 0), ("D", "k", 1), ("D", "p", 0)}
+
+
+def test_profile_equals_the_joins_it_stands_for(fact, dimension):
+    keys = {"by_k": ["k"], "by_both": ["k", "p"]}
+    usage = checks.key_usage({n: (dimension, k) for n, k in keys.items()}, fact, keys)
+    profile = {r["label"]: r.asDict() for r in checks.usage_profile(usage).collect()}
+    for name, key in keys.items():
+        got = profile[name]
+        filled = fact.dropna(subset=key)
+        assert got["row_count"] == 4 and got["rows_before"] == 6
+        assert got["empty_links"] == 6 - filled.count()
+        assert got["rows_after"] == fact.join(dimension, key, "left").count()
+        orphans = filled.join(dimension, key, "left_anti")
+        assert got["orphan_rows"] == orphans.count()
+        assert got["orphan_keys"] == orphans.select(*key).distinct().count()
+        unused = dimension.select(*key).distinct().join(fact, key, "left_anti")
+        assert got["unused_keys"] == unused.count()
+    assert profile["by_k"]["duplicate_keys"] == 1 and profile["by_both"]["duplicate_keys"] == 0
+    assert profile["by_k"]["null_rows"] == 1
+
+
+def test_profile_never_builds_pairs(fact, dimension):
+    """A key with n fact rows and m table rows is counted as n*m without a join."""
+    usage = checks.key_usage({"k": (dimension, ["k"])}, fact, {"k": ["k"]})
+    assert "Join" not in plan(checks.usage_profile(usage))
