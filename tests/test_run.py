@@ -1,0 +1,115 @@
+"""From text to checked tables and back from the exported text."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from invented import configured, flat_rows, rows
+from pyspark.sql import functions as F
+
+from dimloom.operators import checks
+from dimloom.plans import model as m
+from dimloom.plans import quality, run
+from dimloom.plans import tables as t
+from dimloom.sources.tables import read_csv_table, read_model, write_csv, write_parquet
+
+
+@pytest.fixture(scope="module")
+def finished(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("run")
+    flat = flat_rows(
+        spark,
+        {"visit_id": "v1", "secondary_diagnosis_code": "D9", "secondary_diagnosis_desc": "nine"},
+        {"visit_id": "v2", "patient_id": "p2", "visit_datetime": "2020-02-03 04:05:06.5"},
+        {"visit_id": "v2", "patient_id": "p2", "visit_datetime": "2020-02-03 04:05:06.4"},
+        {"visit_id": "v3", "patient_id": "p2", "visit_datetime": "whenever"},
+    )
+    write_csv(flat, f"{folder}/input")
+    (folder / "input" / "torn.csv").write_text(
+        ",".join(flat.columns) + "\nnot enough fields\n"
+    )
+    return folder, run.normalize(spark, f"{folder}/input", f"{folder}/out")
+
+
+def test_all_tables_are_written(spark, finished):
+    folder, model = finished
+    assert list(model) == list(t.PRIMARY_KEYS)
+    assert rows(checks.row_counts(model)) == {
+        ("DimPatient", 2),
+        ("DimInsurance", 2),
+        ("DimBilling", 1),
+        ("DimProvider", 1),
+        ("DimLocation", 1),
+        ("DimPrimaryDiagnosis", 1),
+        ("DimSecondaryDiagnosis", 1),
+        ("DimTreatment", 1),
+        ("DimPrescription", 0),
+        ("DimLabOrder", 0),
+        ("FactVisit", 3),
+    }
+    again = read_model(spark, f"{folder}/out/model")
+    assert all(rows(again[name]) == rows(model[name]) for name in model)
+
+
+def test_what_could_not_be_read_is_reported(spark, finished):
+    folder, _ = finished
+    assert rows(spark.read.parquet(f"{folder}/out/broken_rows")) == {("not enough fields",)}
+    assert rows(spark.read.parquet(f"{folder}/out/cell_rejects")) == {
+        ("v3", "visit_datetime", "whenever", "not a timestamp")
+    }
+
+
+def test_quality_report_is_written(spark, finished):
+    folder, model = finished
+    report = spark.read.parquet(f"{folder}/out/quality")
+    assert rows(report) == rows(quality.report(model))
+    value = {(r["check_name"], r["table_name"]): r["value"] for r in report.collect()}
+    assert value["empty_links", "DimSecondaryDiagnosis"] == 2
+    assert value["orphan_rows", "DimInsurance"] == 0
+    assert value["status_active", "DimPatient"] == 1
+
+
+def test_exported_text_passes_the_same_checks(spark, finished):
+    folder, model = finished
+    assert rows(run.validate_export(spark, f"{folder}/out/csv")) == rows(quality.report(model))
+
+
+def test_exported_text_has_the_published_layout(spark, finished):
+    folder, model = finished
+    for name, columns in t.COLUMNS.items():
+        written = read_csv_table(spark, f"{folder}/out/csv/{name}", columns)
+        expected = m.published(name, model[name])
+        assert rows(written) == rows(expected.select(*(c.cast("string") for c in map(expected.__getitem__, columns))))
+
+
+def test_fact_can_be_laid_out_by_month(spark, finished, tmp_path):
+    _, model = finished
+    run.export_model(model, str(tmp_path), fact_by_month=True)
+    months = {p.name for p in Path(tmp_path, "FactVisit").glob("visit_month=*")}
+    assert months == {
+        "visit_month=2023-05",
+        "visit_month=2020-02",
+        "visit_month=__HIVE_DEFAULT_PARTITION__",
+    }
+    assert read_csv_table(spark, f"{tmp_path}/FactVisit", t.FACT_VISIT).count() == 3
+
+
+def test_large_partition_values_keep_several_writers(spark, tmp_path):
+    """Rebalancing splits a month that holds most rows instead of writing it in one task."""
+    frame = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 10 == 0, "2023-01").otherwise("2023-02").alias("month"),
+        F.uuid().alias("payload"),
+    )
+    with configured(spark, adaptive_advisoryPartitionSizeInBytes="1MB"):
+        write_parquet(frame, str(tmp_path / "t"), ["month"])
+    small, large = (
+        len(list((tmp_path / "t" / f"month=2023-0{m}").glob("*.parquet"))) for m in (1, 2)
+    )
+    assert large > 4 > small
+
+
+def test_empty_input_gives_empty_tables(spark, tmp_path):
+    write_csv(flat_rows(spark, {}).limit(0), str(tmp_path / "input"))
+    model = run.normalize(spark, str(tmp_path / "input"), str(tmp_path / "out"))
+    assert {r["row_count"] for r in checks.row_counts(model).collect()} == {0}
