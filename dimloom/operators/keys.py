@@ -41,12 +41,14 @@ def dense_ids(
     positioned.write.mode("errorifexists").parquet(path)
 
     written = spark.read.schema(positioned.schema).parquet(path)
+    row = F.col("_position").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    if len(written.inputFiles()) == 1:  # one task wrote it, so there is one range
+        return written.select((row + 1).alias(id_name), *keys)
     range_number = F.shiftright("_position", _ROW_BITS)
     sizes = dict(written.groupBy(range_number.alias("range")).count().collect())
     in_order = [sizes.get(r, 0) for r in range(max(sizes, default=0) + 1)]
     offsets = [0, *accumulate(in_order)]
     offset = F.expr(f"array({','.join(f'{o}L' for o in offsets)})")[range_number.cast("int")]
-    row = F.col("_position").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return written.select((offset + row + 1).alias(id_name), *keys)
 
 

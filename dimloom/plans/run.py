@@ -50,6 +50,7 @@ def normalize(
     folder: str,
     separator: str = ",",
     multiline: bool = False,
+    keep_broken: bool = False,
     active_after: dt.date = ACTIVE_AFTER,
 ) -> dict[str, DataFrame]:
     """Text to model: landed once, built, written as Parquet and CSV, checked.
@@ -58,7 +59,7 @@ def normalize(
     ``broken_rows``, ``cell_rejects`` and ``quality``. Returns the written tables.
     """
     flat, broken = land_flat(
-        read_flat(spark, flat_path, separator, multiline), f"{folder}/landed"
+        read_flat(spark, flat_path, separator, multiline), f"{folder}/landed", keep_broken
     )
     model = write_model(build_model(flat, active_after), f"{folder}/model")
     export_model(model, f"{folder}/csv")

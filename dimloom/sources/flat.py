@@ -60,17 +60,22 @@ def read_flat(
     )
 
 
-def land_flat(flat: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+def land_flat(
+    flat: DataFrame, path: str | None = None, keep_broken: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Write the text once as Parquet; return its good rows and the raw lines of broken ones.
 
     Every table is then built from a column-pruned scan instead of parsing the text again.
+    Rows with too few or too many fields are only reported, as their cells may be shifted;
+    ``keep_broken`` also leaves them among the rows, with the cells that were read.
     """
     spark = flat.sparkSession
     path = path or scratch_path(spark, "flat")
     spread_if_few(flat).write.mode("overwrite").parquet(path)
     landed = spark.read.schema(flat.schema).parquet(path)
     is_broken = F.col(BROKEN).isNotNull()
-    return landed.filter(~is_broken).drop(BROKEN), landed.filter(is_broken).select(BROKEN)
+    rows = landed if keep_broken else landed.filter(~is_broken)
+    return rows.drop(BROKEN), landed.filter(is_broken).select(BROKEN)
 
 
 def cell_rejects(flat: DataFrame) -> DataFrame:

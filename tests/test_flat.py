@@ -78,6 +78,10 @@ def test_rows_with_too_few_or_many_fields_are_set_aside_whole(spark, tmp_path):
     good, broken = land_flat(read_flat(spark, write_text(tmp_path / "in", text)), str(tmp_path / "l"))
     assert good.count() == 1
     assert rows(broken) == {(line() + ",more",), ("only,three,fields",)}
+    flat = read_flat(spark, str(tmp_path / "in"))
+    kept, broken = land_flat(flat, str(tmp_path / "kept"), keep_broken=True)
+    assert (kept.count(), broken.count()) == (3, 2)
+    assert ("only", "three", "fields", None) in rows(kept, *FLAT_COLUMNS[:4])
 
 
 def test_header_alone_gives_no_rows(spark, tmp_path):

@@ -13,6 +13,7 @@ from dimloom.functions import cells
 from dimloom.operators import checks
 from dimloom.operators.dedup import distinct_rows, one_per_key
 from dimloom.operators.keys import dense_ids
+from dimloom.operators.spread import spread_if_few
 from dimloom.plans import model as m
 from dimloom.plans import quality, reports, run
 from dimloom.plans import tables as t
@@ -73,7 +74,8 @@ def fact_visit(tables: roles.Tables) -> DataFrame:
 
 
 def visit_survivor(tables: roles.Tables) -> DataFrame:
-    return one_per_key(tables["lineitem"], ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    lines = spread_if_few(tables["lineitem"])
+    return one_per_key(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
 def part_supplier_ids(tables: roles.Tables) -> DataFrame:

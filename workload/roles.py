@@ -9,20 +9,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dimloom.functions.cells import MICROSECOND_PATTERN
 from dimloom.operators.spread import spread_if_few
 
 
+_schemas: dict[str, StructType] = {}
+
+
 class Tables(dict):
-    """The test tables of one folder, each opened on first use."""
+    """The test tables of one folder, each opened on first use.
+
+    Finding a file's schema takes a job, so it is kept for the next query on that file.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        self[name] = self.spark.read.schema(_schemas[path]).parquet(path)
         return self[name]
 
 
@@ -143,7 +153,7 @@ def _with_clinic_nation(suppliers: DataFrame, tables: Tables) -> DataFrame:
 def orders(tables: Tables) -> DataFrame:
     """Insurance and billing records, dated by their order."""
     dated = _moment("o_orderdate").alias("visit_datetime")
-    return tables["orders"].select(dated, *_order_cells())
+    return spread_if_few(tables["orders"]).select(dated, *_order_cells())
 
 
 def customers(tables: Tables) -> DataFrame:
@@ -161,7 +171,7 @@ def suppliers(tables: Tables) -> DataFrame:
 
 
 def events(tables: Tables) -> DataFrame:
-    return tables["events"].select(*_event_cells())
+    return spread_if_few(tables["events"]).select(*_event_cells())
 
 
 def lines(tables: Tables) -> DataFrame:
@@ -266,4 +276,5 @@ SOURCES = {
 
 
 def sources(tables: Tables) -> dict[str, DataFrame]:
-    return {name: source(tables) for name, source in SOURCES.items()}
+    frames = {source: source(tables) for source in set(SOURCES.values())}
+    return {name: frames[source] for name, source in SOURCES.items()}
