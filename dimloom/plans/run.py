@@ -69,11 +69,16 @@ def normalize(
     return model
 
 
-def validate_export(spark: SparkSession, folder: str) -> DataFrame:
-    """The quality report of exported text tables, their keys compared as text."""
+def validate_export(
+    spark: SparkSession, folder: str, suffix: str = "", multiline: bool = False
+) -> DataFrame:
+    """The quality report of exported text tables, their keys compared as text.
+
+    A table is the directory or file ``<folder>/<table><suffix>``.
+    """
     return quality.report(
         {
-            name: read_csv_table(spark, f"{folder}/{name}", columns)
+            name: read_csv_table(spark, f"{folder}/{name}{suffix}", columns, multiline)
             for name, columns in COLUMNS.items()
         }
     )

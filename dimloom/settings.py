@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-PARTITION_BYTES = 128 << 20
+MB, TB = 1 << 20, 1 << 40
+
+# A shuffle here carries keys, ids and counts, at most about a quarter of the text it came from.
+INPUT_PER_SHUFFLE_PARTITION = 512 * MB
+# Every map task reports on every shuffle partition, so their number has to end somewhere.
+# Beyond it partitions grow, and sorts and aggregations spill.
+MOST_SHUFFLE_PARTITIONS = 50_000
 
 
 def session_settings(cores: int, input_bytes: int = 0) -> dict[str, str]:
     """Settings for a cluster of so many cores reading so many bytes.
 
-    Shuffles start with a partition per 128 MB of input, at least two per core, and adaptive
-    execution merges them by their real sizes; it also splits skewed joins and rebalanced
-    writes. Text times have no zone, so the session must not have one with clock changes.
-    Building a model compiles more stages than the default code cache keeps.
+    Shuffles start with at least two partitions per core, and adaptive execution merges them by
+    their real sizes; it also splits skewed joins and rebalanced writes. Very large inputs are
+    read in larger splits to keep the number of tasks in the low hundred thousands. Text times
+    have no zone, so the session must not have one with clock changes. Building a model compiles
+    more stages than the default code cache keeps.
     """
-    partitions = max(2 * cores, -(-input_bytes // PARTITION_BYTES))
+    by_size = -(-input_bytes // INPUT_PER_SHUFFLE_PARTITION)
+    partitions = min(max(2 * cores, by_size), MOST_SHUFFLE_PARTITIONS)
+    split = 128 * MB if input_bytes < 10 * TB else 512 * MB
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.codegen.cache.maxEntries": "1000",
     }

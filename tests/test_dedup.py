@@ -17,11 +17,16 @@ def test_newest_row_wins_and_other_columns_break_ties(spark):
         (None, 4, "n"),
     ]
     frame = spark.createDataFrame(data, "k string, seen int, v string")
-    assert rows(one_per_key(frame, ["k"], ["seen"])) == {("a", 2, "y"), ("b", 0, None), (None, 5, "n")}
+    assert rows(one_per_key(frame, ["k"], ["seen"])) == {
+        ("a", 2, "y"),
+        ("b", 0, None),
+        (None, 5, "n"),
+    }
 
 
 def test_composite_key(spark):
-    frame = spark.createDataFrame([("i", "p", 1), ("i", "p", 2), ("i", "q", 0)], "a string, b string, c int")
+    data = [("i", "p", 1), ("i", "p", 2), ("i", "q", 0)]
+    frame = spark.createDataFrame(data, "a string, b string, c int")
     assert rows(one_per_key(frame, ["a", "b"])) == {("i", "p", 2), ("i", "q", 0)}
 
 

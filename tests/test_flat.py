@@ -14,7 +14,8 @@ def write_text(path, lines):
 
 
 def line(**cells):
-    return ",".join(str({**BASE, "doctor_department": "Eyes", **cells}.get(c, "")) for c in FLAT_COLUMNS)
+    values = {**BASE, "doctor_department": "Eyes", **cells}
+    return ",".join(values.get(c, "") for c in FLAT_COLUMNS)
 
 
 def test_forty_seven_text_columns_under_their_names_in_any_order(spark, tmp_path):
@@ -56,7 +57,8 @@ def test_quotes_separators_and_outer_blanks_survive_a_round_trip(spark, tmp_path
 
 def test_blank_text_comes_back_as_null_and_spaces_stay(spark, tmp_path):
     write_csv(flat_rows(spark, {"lab_order_id": "", "lab_name": "  "}), str(tmp_path / "csv"))
-    assert rows(read_flat(spark, str(tmp_path / "csv")), "lab_order_id", "lab_name") == {(None, "  ")}
+    read = read_flat(spark, str(tmp_path / "csv"))
+    assert rows(read, "lab_order_id", "lab_name") == {(None, "  ")}
 
 
 def test_line_breaks_in_fields_need_multiline(spark, tmp_path):
@@ -75,10 +77,10 @@ def test_line_breaks_in_fields_need_multiline(spark, tmp_path):
 
 def test_rows_with_too_few_or_many_fields_are_set_aside_whole(spark, tmp_path):
     text = [",".join(FLAT_COLUMNS), line(), line() + ",more", "only,three,fields"]
-    good, broken = land_flat(read_flat(spark, write_text(tmp_path / "in", text)), str(tmp_path / "l"))
+    flat = read_flat(spark, write_text(tmp_path / "in", text))
+    good, broken = land_flat(flat, str(tmp_path / "landed"))
     assert good.count() == 1
     assert rows(broken) == {(line() + ",more",), ("only,three,fields",)}
-    flat = read_flat(spark, str(tmp_path / "in"))
     kept, broken = land_flat(flat, str(tmp_path / "kept"), keep_broken=True)
     assert (kept.count(), broken.count()) == (3, 2)
     assert ("only", "three", "fields", None) in rows(kept, *FLAT_COLUMNS[:4])

@@ -17,10 +17,11 @@ def tuples(spark, seed, size=3000):
     """Key tuples with a hot leading value, repeats and nulls in every place."""
     pick = random.Random(seed)
     words = [None, "", " ", "A", "a", "b", "é", "zz"]
-    data = [
-        (pick.choice(words) if pick.random() > 0.4 else "hot", pick.choice(words), pick.randrange(40))
-        for _ in range(size)
-    ]
+
+    def leading():
+        return pick.choice(words) if pick.random() > 0.4 else "hot"
+
+    data = [(leading(), pick.choice(words), pick.randrange(40)) for _ in range(size)]
     return spark.createDataFrame(data, "a string, b string, c int")
 
 
@@ -74,13 +75,13 @@ def test_empty_input(spark):
 
 
 def test_lookup_matches_nulls_only_when_asked(spark):
-    frame = spark.createDataFrame([("x", "y"), ("x", None), (None, None), ("q", "q")], "a string, b string")
+    data = [("x", "y"), ("x", None), (None, None), ("q", "q")]
+    frame = spark.createDataFrame(data, "a string, b string")
     dimension = dense_ids(frame.filter("a is null or a = 'x'"), ["a", "b"], "id")
-    found = lookup_id(frame.withColumn("row", F.concat_ws("|", "a", "b")), dimension, ["a", "b"], "id")
+    named = frame.withColumn("row", F.concat_ws("|", "a", "b"))
+    found = lookup_id(named, dimension, ["a", "b"], "id")
     assert rows(found, "row", "id") == {("", 1), ("x", 2), ("x|y", 3), ("q|q", None)}
-    strict = lookup_id(
-        frame.withColumn("row", F.concat_ws("|", "a", "b")), dimension, ["a", "b"], "id", match_nulls=False
-    )
+    strict = lookup_id(named, dimension, ["a", "b"], "id", match_nulls=False)
     assert rows(strict, "row", "id") == {("", None), ("x", None), ("x|y", 3), ("q|q", None)}
 
 

@@ -85,7 +85,10 @@ def test_status_from_separate_visits_equals_status_from_the_flat_table(spark):
     flat = flat_rows(
         spark,
         *(
-            {"patient_id": f"p{i % 5}", "visit_datetime": f"20{18 + i % 6}-03-0{1 + i % 9} 00:00:00.0"}
+            {
+                "patient_id": f"p{i % 5}",
+                "visit_datetime": f"20{18 + i % 6}-03-0{1 + i % 9} 00:00:00.0",
+            }
             for i in range(40)
         ),
     )
@@ -170,7 +173,10 @@ def test_secondary_ids_of_the_fact_are_those_of_the_dimension(spark):
     ]
     model = build(
         spark,
-        *({"visit_id": f"v{i}", **dict(zip(SECONDARY, p, strict=True))} for i, p in enumerate(pairs)),
+        *(
+            {"visit_id": f"v{i}", **dict(zip(SECONDARY, pair, strict=True))}
+            for i, pair in enumerate(pairs)
+        ),
     )
     assert rows(model["DimSecondaryDiagnosis"]) == {
         (1, "D1", "one"),

@@ -80,7 +80,7 @@ def test_exported_text_has_the_published_layout(spark, finished):
     for name, columns in t.COLUMNS.items():
         written = read_csv_table(spark, f"{folder}/out/csv/{name}", columns)
         expected = m.published(name, model[name])
-        assert rows(written) == rows(expected.select(*(c.cast("string") for c in map(expected.__getitem__, columns))))
+        assert rows(written) == rows(expected.select(*(F.col(c).cast("string") for c in columns)))
 
 
 def test_fact_can_be_laid_out_by_month(spark, finished, tmp_path):

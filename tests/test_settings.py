@@ -1,0 +1,20 @@
+from __future__ import annotations
+
+from dimloom.scratch import scratch_path
+from dimloom.settings import session_settings
+
+
+def test_shuffle_partitions_follow_cores_and_input_up_to_a_limit():
+    def partitions(cores, size):
+        return int(session_settings(cores, size)["spark.sql.shuffle.partitions"])
+
+    assert partitions(8, 0) == 16
+    assert partitions(8, 1 << 40) == 2048
+    assert partitions(4000, 1 << 40) == 8000
+    assert partitions(4000, 100 << 40) == 50_000
+
+
+def test_scratch_tables_go_below_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert first.startswith(shared) and first != second
