@@ -318,3 +318,4 @@ def test_each_dimension_reads_only_its_columns(spark, many, tmp_path):
     text = plan(m.dim_prescription(flat))
     schema = text[text.index("ReadSchema:") :].splitlines()[0]
     assert "patient" not in schema and schema.count(":") - 1 == 6
+    assert "PushedFilters: [IsNotNull(prescription_id)" in text

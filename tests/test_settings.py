@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pytest
+
+from dimloom.operators import spread_if_few
 from dimloom.scratch import scratch_path
 from dimloom.settings import session_settings
 
@@ -18,3 +23,18 @@ def test_scratch_tables_go_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
     assert first.startswith(shared) and first != second
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session, "a")
+
+
+def test_only_inputs_in_few_pieces_are_spread(spark):
+    assert spread_if_few(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 8
+    many = spark.range(0, 100, 1, 9)
+    assert spread_if_few(many) is many

@@ -424,11 +424,25 @@ FLAT_TEXT = ", ".join(
     for c in columns
 )
 
+# Query name -> table, for the tables built from the flat frame.
+FROM_FLAT = {
+    "dim_patient_from_flat": "DimPatient",
+    "dim_insurance_from_flat": "DimInsurance",
+    "dim_billing_from_flat": "DimBilling",
+    "dim_provider_from_flat": "DimProvider",
+    "dim_location_from_flat": "DimLocation",
+    "dim_primary_diagnosis_from_flat": "DimPrimaryDiagnosis",
+    "dim_secondary_diagnosis_from_flat": "DimSecondaryDiagnosis",
+    "dim_treatment_from_flat": "DimTreatment",
+    "dim_prescription_from_flat": "DimPrescription",
+    "dim_lab_order_from_flat": "DimLabOrder",
+    "fact_visit_from_flat": t.FACT,
+}
+
 ORACLES: dict[str, str] = {
+    **{query: on_model(published(name, name), flat=True) for query, name in FROM_FLAT.items()},
     "dim_patient_status": on_model("select * from DimPatient"),
-    "dim_patient_from_flat": on_model("select * from DimPatient", flat=True),
     "dim_insurance": on_model("select * from DimInsurance"),
-    "dim_insurance_from_flat": on_model("select * from DimInsurance", flat=True),
     "dim_billing": on_model(published("DimBilling", "DimBilling")),
     "dim_billing_lines": on_cells(published("DimBilling", f"({billing('line_billing')})")),
     "billing_one_per_id": on_cells(

@@ -61,8 +61,13 @@ def dim_patient_status(tables: roles.Tables) -> DataFrame:
     return m.dim_patient(roles.customers(tables), roles.orders(tables), ACTIVE_AFTER)
 
 
-def patient_from_flat(tables: roles.Tables) -> DataFrame:
-    return m.dim_patient(roles.flat(tables), active_after=ACTIVE_AFTER)
+def from_flat(builder: Callable[[DataFrame], DataFrame], name: str, tables: roles.Tables):
+    """A table built from the one flat frame, in its published layout."""
+    return m.published(name, builder(roles.flat(tables)))
+
+
+def fact_from_flat(flat: DataFrame) -> DataFrame:
+    return m.build_model(flat, ACTIVE_AFTER)[t.FACT]
 
 
 def numbered(spec: t.Numbered, tables: roles.Tables) -> DataFrame:
@@ -181,12 +186,24 @@ def gender_table(model: dict[str, DataFrame]) -> DataFrame:
     return reports.gender_columns(reports.visits_by_provider_and_gender(model), segments)
 
 
+NUMBERED_QUERIES = dict(
+    zip(
+        (
+            "dim_provider",
+            "dim_location",
+            "dim_primary_diagnosis",
+            "dim_secondary_diagnosis",
+            "dim_treatment",
+        ),
+        t.NUMBERED,
+        strict=True,
+    )
+)
+
 QUERIES: dict[str, Query] = {
     # dimensions and the fact
     "dim_patient_status": on_tables(dim_patient_status),
-    "dim_patient_from_flat": on_tables(patient_from_flat),
     "dim_insurance": on_tables(lambda x: m.dim_insurance(roles.orders(x))),
-    "dim_insurance_from_flat": on_tables(lambda x: m.dim_insurance(roles.flat(x))),
     "dim_billing": on_tables(
         lambda x: m.published("DimBilling", m.dim_billing(roles.orders(x)))
     ),
@@ -196,16 +213,30 @@ QUERIES: dict[str, Query] = {
     "billing_one_per_id": on_tables(
         lambda x: m.published("DimBilling", m.billing_one_per_id(roles.line_billing(x)))
     ),
-    "dim_provider": on_tables(partial(numbered, t.NUMBERED[0])),
-    "dim_location": on_tables(partial(numbered, t.NUMBERED[1])),
-    "dim_primary_diagnosis": on_tables(partial(numbered, t.NUMBERED[2])),
-    "dim_secondary_diagnosis": on_tables(partial(numbered, t.NUMBERED[3])),
-    "dim_treatment": on_tables(partial(numbered, t.NUMBERED[4])),
+    **{
+        query: on_tables(partial(numbered, spec)) for query, spec in NUMBERED_QUERIES.items()
+    },
     "dim_prescription": on_tables(lambda x: m.dim_prescription(roles.parts(x))),
     "dim_lab_order": on_tables(
         lambda x: m.published("DimLabOrder", m.dim_lab_order(roles.events(x)))
     ),
     "fact_visit": on_tables(fact_visit),
+    # the same tables from the flat frame
+    **{
+        f"{query}_from_flat": on_tables(partial(from_flat, builder, name))
+        for query, name, builder in (
+            ("dim_patient", "DimPatient", partial(m.dim_patient, active_after=ACTIVE_AFTER)),
+            ("dim_insurance", "DimInsurance", m.dim_insurance),
+            ("dim_billing", "DimBilling", m.dim_billing),
+            *(
+                (query, spec.name, partial(m.dim_numbered, spec=spec))
+                for query, spec in NUMBERED_QUERIES.items()
+            ),
+            ("dim_prescription", "DimPrescription", m.dim_prescription),
+            ("dim_lab_order", "DimLabOrder", m.dim_lab_order),
+            ("fact_visit", t.FACT, fact_from_flat),
+        )
+    },
     # single operators
     "visit_survivor": on_tables(visit_survivor),
     "distinct_pairs": on_tables(distinct_pairs),
