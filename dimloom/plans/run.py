@@ -23,8 +23,9 @@ SIDE_BY_SIDE = 4
 
 def write_model(model: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Write every table as Parquet below ``folder`` and read it back, sizes now known."""
+    fact_first = sorted(model, key=lambda name: name != FACT)  # it takes longest
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        list(pool.map(lambda name: write_parquet(model[name], f"{folder}/{name}"), model))
+        list(pool.map(lambda name: write_parquet(model[name], f"{folder}/{name}"), fact_first))
     return dict(read_model(model[FACT].sparkSession, folder))
 
 

@@ -9,6 +9,8 @@ INPUT_PER_SHUFFLE_PARTITION = 512 * MB
 # Every map task reports on every shuffle partition, so their number has to end somewhere.
 # Beyond it partitions grow, and sorts and aggregations spill.
 MOST_SHUFFLE_PARTITIONS = 50_000
+# Dimensions are broadcast up to this size of their files, a few times that in memory.
+BROADCAST_FILES = 64 * MB
 
 
 def session_settings(cores: int, input_bytes: int = 0) -> dict[str, str]:
@@ -26,6 +28,7 @@ def session_settings(cores: int, input_bytes: int = 0) -> dict[str, str]:
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_FILES),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.session.timeZone": "UTC",

@@ -50,10 +50,10 @@ def read_flat(
     if missing:
         raise ValueError(f"flat input lacks columns {missing}")
     text = [T.StructField(c, T.StringType()) for c in (*header, BROKEN)]
+    # Fields of a row are only counted if all columns are parsed, wanted or not.
+    counting = {"columnNameOfCorruptRecord": BROKEN, "columnPruning": False}
     return (
-        spark.read.options(
-            **options, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN, enforceSchema=False
-        )
+        spark.read.options(**options, **counting, mode="PERMISSIVE", enforceSchema=False)
         .schema(T.StructType(text))
         .csv(path)
         .select(*FLAT_COLUMNS, BROKEN)

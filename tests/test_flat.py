@@ -75,6 +75,14 @@ def test_line_breaks_in_fields_need_multiline(spark, tmp_path):
     assert rejected.count() == 2  # both halves of the torn row, as raw text
 
 
+def test_broken_rows_are_found_beside_columns_that_are_not_read(spark, tmp_path):
+    text = [",".join(["extra", *FLAT_COLUMNS, "other"]), "e," + line() + ",o", line(), "e,f"]
+    flat = read_flat(spark, write_text(tmp_path / "in", text))
+    good, broken = land_flat(flat, str(tmp_path / "landed"))
+    assert rows(good, "visit_id", "room_number") == {("v1", "101")}
+    assert rows(broken) == {(line(),), ("e,f",)}
+
+
 def test_rows_with_too_few_or_many_fields_are_set_aside_whole(spark, tmp_path):
     text = [",".join(FLAT_COLUMNS), line(), line() + ",more", "only,three,fields"]
     flat = read_flat(spark, write_text(tmp_path / "in", text))
