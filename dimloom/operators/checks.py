@@ -87,6 +87,20 @@ def null_links(fact: DataFrame, row_id: str, columns: Sequence[str]) -> DataFram
     return fact.select(row_id, F.explode(empty).alias("fk_column"))
 
 
+def _key(columns: Sequence[str]) -> list[Column]:
+    """A key's parts as text, and whether any of them is missing."""
+    parts = F.array(*(F.col(c).cast("string") for c in columns))
+    return [parts.alias("key"), _any_null(columns).alias("is_empty")]
+
+
+def key_references(df: DataFrame, links: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(label, key, is_empty) per row and link, from one scan."""
+    references = F.array(
+        *(F.struct(F.lit(label).alias("label"), *_key(cols)) for label, cols in links.items())
+    )
+    return df.select(F.inline(references))
+
+
 def key_usage(
     tables: Mapping[str, tuple[DataFrame, Sequence[str]]],
     fact: DataFrame,
@@ -100,18 +114,11 @@ def key_usage(
     once for all its links, every table once, and one shuffle of counts covers them all.
     """
 
-    def key(columns: Sequence[str]) -> list[Column]:
-        parts = F.array(*(F.col(c).cast("string") for c in columns))
-        return [parts.alias("key"), _any_null(columns).alias("is_empty")]
-
     held = [
-        df.select(F.lit(label).alias("label"), *key(columns), F.lit(1).alias("held"))
+        df.select(F.lit(label).alias("label"), *_key(columns), F.lit(1).alias("held"))
         for label, (df, columns) in tables.items()
     ]
-    references = F.array(
-        *(F.struct(F.lit(label).alias("label"), *key(cols)) for label, cols in links.items())
-    )
-    used = fact.select(F.inline(references)).withColumn("used", F.lit(1))
+    used = key_references(fact, links).withColumn("used", F.lit(1))
     everything = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*held, used])
     return everything.groupBy("label", "key", "is_empty").agg(
         F.count("held").alias("held"), F.count("used").alias("used")

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimloom.functions.cells import is_blank
 from dimloom.operators import checks
-from dimloom.plans.tables import FACT, LINKS, PRIMARY_KEYS
+from dimloom.plans.tables import FACT, LINKS, NATURAL_KEYS, PRIMARY_KEYS
 
 TABLE_CHECKS = ("row_count", "null_rows", "duplicate_keys")
 LINK_CHECKS = (
@@ -25,6 +26,27 @@ def status_counts(patients: DataFrame) -> DataFrame:
     return patients.groupBy("patient_status").agg(F.count("*").alias("patients"))
 
 
+def input_profile(source: DataFrame) -> DataFrame:
+    """Each table's natural key in its source, before anything is removed or numbered.
+
+    row_count, rows with a blank key part, distinct keys, and keys held by several rows.
+    """
+    columns = dict.fromkeys(c for keys in NATURAL_KEYS.values() for c in keys)
+    filled = source.select(*(F.when(~is_blank(F.col(c)), F.col(c)).alias(c) for c in columns))
+    per_key = (
+        checks.key_references(filled, NATURAL_KEYS)
+        .groupBy("label", "key", "is_empty")
+        .agg(F.count("*").alias("rows"))
+    )
+    rows, is_empty = F.col("rows"), F.col("is_empty")
+    return per_key.groupBy(F.col("label").alias("table_name")).agg(
+        F.sum("rows").alias("row_count"),
+        F.coalesce(F.sum(F.when(is_empty, rows)), F.lit(0)).alias("blank_rows"),
+        F.count_if(~is_empty).alias("distinct_keys"),
+        F.count_if(~is_empty & (rows > 1)).alias("repeated_keys"),
+    )
+
+
 def model_usage(model: Mapping[str, DataFrame]) -> DataFrame:
     """How often each primary key is held and used, for all tables and links at once."""
     return checks.key_usage(

@@ -56,8 +56,9 @@ def normalize(
 ) -> dict[str, DataFrame]:
     """Text to model: landed once, built, written as Parquet and CSV, checked.
 
-    Below ``folder``: ``landed``, ``model/<table>``, ``csv/<table>``, and the three reports
-    ``broken_rows``, ``cell_rejects`` and ``quality``. Returns the written tables.
+    Below ``folder``: ``landed``, ``model/<table>``, ``csv/<table>``, and the four reports
+    ``broken_rows``, ``cell_rejects``, ``input_keys`` and ``quality``. Returns the written
+    tables.
     """
     flat, broken = land_flat(
         read_flat(spark, flat_path, separator, multiline), f"{folder}/landed", keep_broken
@@ -66,6 +67,7 @@ def normalize(
     export_model(model, f"{folder}/csv")
     write_parquet(broken, f"{folder}/broken_rows")
     write_parquet(cell_rejects(flat), f"{folder}/cell_rejects")
+    write_parquet(quality.input_profile(flat), f"{folder}/input_keys")
     write_parquet(quality.report(model), f"{folder}/quality")
     return model
 

@@ -113,6 +113,9 @@ PRIMARY_KEYS = {
     FACT: ("visit_id",),
 }
 
+# Table name -> the key columns its rows have in the flat input.
+NATURAL_KEYS = PRIMARY_KEYS | {n.name: n.keys for n in NUMBERED}
+
 LINKS = tuple(Link(name, key) for name, key in PRIMARY_KEYS.items() if name != FACT)
 
 # Table name -> published columns, in order.

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import pytest
-from invented import plan, rows
+from invented import flat_rows, plan, rows
 
 from dimloom.operators import checks
+from dimloom.plans import quality
 
 FACT = "visit string, k string, p string"
 DIMENSION = "k string, p string, note string"
@@ -60,6 +61,21 @@ def test_duplicate_keys(dimension):
     assert rows(checks.duplicate_keys(dimension, ["k", "p"])) == set()
 
 
+def test_input_keys_are_profiled_before_anything_is_removed(spark):
+    flat = flat_rows(
+        spark,
+        {"visit_id": "v1", "secondary_diagnosis_code": "D", "secondary_diagnosis_desc": "d"},
+        {"visit_id": "v1", "secondary_diagnosis_code": "D", "secondary_diagnosis_desc": " "},
+        {"visit_id": "v2", "room_number": "7", "lab_order_id": ""},
+    )
+    profile = {r["table_name"]: tuple(r)[1:] for r in quality.input_profile(flat).collect()}
+    assert profile["FactVisit"] == (3, 0, 2, 1)
+    assert profile["DimLocation"] == (3, 0, 2, 1)
+    assert profile["DimSecondaryDiagnosis"] == (3, 2, 1, 0)
+    assert profile["DimLabOrder"] == (3, 3, 0, 0)
+    assert len(profile) == 11
+
+
 def test_null_key_counts_per_column(fact, dimension):
     counted = checks.null_keys({"F": fact, "D": dimension}, {"F": ["visit"], "D": ["k", "p"]})
     assert rows(counted) == {("F", "visit", 0), ("D", "k", 1), ("D", "p", 0)}

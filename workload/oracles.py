@@ -294,6 +294,18 @@ def null_counts() -> str:
     )
 
 
+def input_profile() -> str:
+    def of_table(name: str, keys: tuple[str, ...]) -> str:
+        filled = " and ".join(not_blank(k) for k in keys)
+        per_key = f"select count(*) as copies from flat where {filled} group by {commas(keys)}"
+        return f"""select '{name}' as table_name, (select count(*) from flat) as row_count,
+            (select count(*) from flat where not ({filled})) as blank_rows,
+            (select count(*) from ({per_key})) as distinct_keys,
+            (select count(*) from ({per_key}) where copies > 1) as repeated_keys"""
+
+    return " union all ".join(of_table(n, k) for n, k in t.NATURAL_KEYS.items())
+
+
 def missing_keys() -> str:
     return " union all ".join(
         f"select '{key}' as fk_column, {text(key)} as missing_key from "
@@ -494,6 +506,7 @@ ORACLES: dict[str, str] = {
     "patient_status_counts": on_model(
         "select patient_status, count(*) as patients from DimPatient group by patient_status"
     ),
+    "input_key_profile": on_cells(input_profile()),
     "pk_null_counts": on_model(null_counts()),
     "pk_duplicates": """select l_orderkey, l_linenumber, count(*) as copies from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1""",

@@ -248,6 +248,7 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": on_tables(csv_round_trip),
     "normalized_counts": on_tables(normalized_counts),
     # quality checks
+    "input_key_profile": on_tables(lambda x: quality.input_profile(roles.flat(x))),
     "model_row_counts": on_model(checks.row_counts),
     "patient_status_counts": on_model(lambda x: quality.status_counts(x["DimPatient"])),
     "pk_null_counts": on_model(lambda x: checks.null_keys(x, t.PRIMARY_KEYS)),
