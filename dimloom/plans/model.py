@@ -57,11 +57,12 @@ def dim_patient(
     """One row per patient with a status from the last visit.
 
     From the flat table the surviving row is the patient's latest, so its own time is the last
-    visit and one pass is enough. With ``visits`` kept apart, the two are joined.
+    visit and one pass is enough. With ``visits`` kept apart, the two are joined. Either way
+    the row of records without a patient id has no last visit.
     """
     if visits is None:
         patients = _newest(source, t.PATIENT, ("patient_id",))
-        last_visit = F.col(_SEEN)
+        last_visit = F.when(F.col("patient_id").isNotNull(), F.col(_SEEN))
     else:
         patients = one_per_key(source.select(*t.PATIENT), ["patient_id"]).join(
             last_visits(visits), "patient_id", "left"

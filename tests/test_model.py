@@ -71,12 +71,14 @@ def test_patient_is_the_latest_record_with_a_status(spark):
         {"patient_id": "p3", "visit_datetime": "soon"},
         {"patient_id": "p4", "visit_datetime": None},
         {"patient_id": "p4", "visit_datetime": "2021-12-30 00:00:00.0"},
+        {"patient_id": None, "visit_datetime": "2023-01-01 00:00:00.0"},
     )["DimPatient"]
     assert rows(patients, "patient_id", "patient_status") == {
         ("p1", "Active"),
         ("p2", "Inactive"),
         ("p3", "Inactive"),
         ("p4", "Inactive"),
+        (None, "Inactive"),
     }
     assert patients.filter("patient_id = 'p1'").first()["patient_city"] == "New"
 
@@ -86,7 +88,7 @@ def test_status_from_separate_visits_equals_status_from_the_flat_table(spark):
         spark,
         *(
             {
-                "patient_id": f"p{i % 5}",
+                "patient_id": f"p{i % 5}" if i % 7 else None,
                 "visit_datetime": f"20{18 + i % 6}-03-0{1 + i % 9} 00:00:00.0",
             }
             for i in range(40)

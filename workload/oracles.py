@@ -244,8 +244,7 @@ def model_tables(flat: bool) -> str:
         "DimPatient": f"""select {commas(tuple("p." + c for c in t.PATIENT))},
             case when last_visit_date > date '{ACTIVE_AFTER}' then 'Active' else 'Inactive' end
                 as patient_status
-            from patient_rows p left join last_visits l
-                on p.patient_id is not distinct from l.patient_id""",
+            from patient_rows p left join last_visits l on p.patient_id = l.patient_id""",
         "DimInsurance": newest(
             source("order_cells"), t.COLUMNS["DimInsurance"], ("insurance_id", "patient_id"), True
         ),

@@ -195,7 +195,7 @@ def messy(tables: Tables) -> DataFrame:
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     when = _moment("o_orderdate")
     charge, days = _money("o_totalprice"), _text("o_custkey")
-    return tables["orders"].select(
+    return spread_if_few(tables["orders"]).select(
         _text("o_orderkey").alias("visit_id"),
         F.when(priority == "1-URGENT", when)
         .when(priority == "2-HIGH", F.substring(when, 1, 19))
