@@ -507,6 +507,10 @@ ORACLES: dict[str, str] = {
     ),
     "input_key_profile": on_cells(input_profile()),
     "pk_null_counts": on_model(null_counts()),
+    "billing_conflicts": on_cells(
+        f"""select billing_id, count(*) as copies from ({billing("line_billing")})
+        group by billing_id having count(*) > 1"""
+    ),
     "pk_duplicates": """select l_orderkey, l_linenumber, count(*) as copies from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1""",
     "fk_missing_keys": on_model(missing_keys()),

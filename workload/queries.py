@@ -61,7 +61,9 @@ def dim_patient_status(tables: roles.Tables) -> DataFrame:
     return m.dim_patient(roles.customers(tables), roles.orders(tables), ACTIVE_AFTER)
 
 
-def from_flat(builder: Callable[[DataFrame], DataFrame], name: str, tables: roles.Tables):
+def from_flat(
+    builder: Callable[[DataFrame], DataFrame], name: str, tables: roles.Tables
+) -> DataFrame:
     """A table built from the one flat frame, in its published layout."""
     return m.published(name, builder(roles.flat(tables)))
 
@@ -142,6 +144,11 @@ def reject_counts(tables: roles.Tables) -> DataFrame:
     )
 
 
+def billing_conflicts(tables: roles.Tables) -> DataFrame:
+    """Billing ids recorded in more than one state, with their number of states."""
+    return checks.duplicate_keys(m.dim_billing(roles.line_billing(tables)), ["billing_id"])
+
+
 def repeated_lines(tables: roles.Tables) -> DataFrame:
     return checks.duplicate_keys(tables["lineitem"], ["l_orderkey", "l_linenumber"])
 
@@ -252,6 +259,7 @@ QUERIES: dict[str, Query] = {
     "model_row_counts": on_model(checks.row_counts),
     "patient_status_counts": on_model(lambda x: quality.status_counts(x["DimPatient"])),
     "pk_null_counts": on_model(lambda x: checks.null_keys(x, t.PRIMARY_KEYS)),
+    "billing_conflicts": on_tables(billing_conflicts),
     "pk_duplicates": on_tables(repeated_lines),
     "fk_missing_keys": on_model(quality.missing_link_keys),
     "lab_missing_keys": on_model(missing_lab_orders),
