@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import duckdb
 import pytest
 from compare import assert_equal
+from invented import configured, plan
 from pyspark.sql import functions as F
 
 from dimloom.plans import model as m
@@ -56,3 +59,21 @@ def test_table_equals_sql(hot, tables, name):
         shown = oracles.published(name, name)
         sql = f"with {oracles.model_tables(flat=True)} {shown}"
         assert assert_equal(m.published(name, tables[name]), connection, sql) > 0
+
+
+def test_fact_splits_hot_tuples_when_no_dimension_can_be_broadcast(spark, hot, tables):
+    """All five lookups as sort-merge joins; the partitions of hot tuples get several tasks."""
+    with configured(
+        spark,
+        autoBroadcastJoinThreshold="-1",
+        adaptive_autoBroadcastJoinThreshold="-1",
+        adaptive_skewJoin_skewedPartitionThresholdInBytes="100KB",
+        adaptive_skewJoin_skewedPartitionFactor="1.5",
+        adaptive_advisoryPartitionSizeInBytes="100KB",
+    ):
+        fact = m.build_model(spark.read.parquet(hot), ACTIVE_AFTER)[t.FACT]
+        merged = Counter(fact.collect())
+        tree = plan(fact).partition("\n\n")[0].partition("== Initial Plan ==")[0]
+    assert merged == Counter(tables[t.FACT].collect())
+    assert tree.count("SortMergeJoin") == 5
+    assert tree.count("SortMergeJoin(skew=true)") >= 3
