@@ -83,6 +83,16 @@ def test_broken_rows_are_found_beside_columns_that_are_not_read(spark, tmp_path)
     assert rows(broken) == {(line(),), ("e,f",)}
 
 
+def test_unusual_text_survives_a_round_trip(spark, tmp_path):
+    text = ["a\rb", "a\r\nb", '"', '""', 'a"b', "a\\", '\\"', "#x", "\ta\t", "é\u2028", "'", "null"]
+    written = flat_rows(
+        spark, *({"visit_id": str(i), "patient_city": cell} for i, cell in enumerate(text))
+    )
+    write_csv(written, str(tmp_path / "csv"))
+    read = read_flat(spark, str(tmp_path / "csv"), multiline=True)
+    assert rows(read, "visit_id", "patient_city") == {(str(i), c) for i, c in enumerate(text)}
+
+
 def test_rows_with_too_few_or_many_fields_are_set_aside_whole(spark, tmp_path):
     text = [",".join(FLAT_COLUMNS), line(), line() + ",more", "only,three,fields"]
     flat = read_flat(spark, write_text(tmp_path / "in", text))
