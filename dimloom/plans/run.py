@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +17,22 @@ from dimloom.plans.tables import COLUMNS, FACT
 from dimloom.sources.flat import cell_rejects, land_flat, read_flat
 from dimloom.sources.tables import read_csv_table, read_model, write_csv, write_parquet
 
-# Tables that start writing together; each job already spreads over the cluster, this only
-# keeps it busy through their last tasks.
+# Writes that start together; each already spreads over the cluster, this only keeps it busy
+# through their last tasks.
 SIDE_BY_SIDE = 4
 
 
+def _side_by_side(*writes: Callable[[], None]) -> None:
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        list(pool.map(lambda write: write(), writes))
+
+
 def write_model(model: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Write every table as Parquet below ``folder`` and read it back, sizes now known."""
     fact_first = sorted(model, key=lambda name: name != FACT)  # it takes longest
-    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        list(pool.map(lambda name: write_parquet(model[name], f"{folder}/{name}"), fact_first))
+    _side_by_side(
+        *(partial(write_parquet, model[name], f"{folder}/{name}") for name in fact_first)
+    )
     return dict(read_model(model[FACT].sparkSession, folder))
 
 
@@ -41,8 +48,7 @@ def export_model(
             table, partition_by = table.withColumn("visit_month", month), ("visit_month",)
         write_csv(published(name, table), f"{folder}/{name}", partition_by)
 
-    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        list(pool.map(export, model))
+    _side_by_side(*(partial(export, name) for name in model))
 
 
 def normalize(
@@ -64,11 +70,16 @@ def normalize(
         read_flat(spark, flat_path, separator, multiline), f"{folder}/landed", keep_broken
     )
     model = write_model(build_model(flat, active_after), f"{folder}/model")
-    export_model(model, f"{folder}/csv")
-    write_parquet(broken, f"{folder}/broken_rows")
-    write_parquet(cell_rejects(flat), f"{folder}/cell_rejects")
-    write_parquet(quality.input_profile(flat), f"{folder}/input_keys")
-    write_parquet(quality.report(model), f"{folder}/quality")
+    reports = {
+        "broken_rows": broken,
+        "cell_rejects": cell_rejects(flat),
+        "input_keys": quality.input_profile(flat),
+        "quality": quality.report(model),
+    }
+    _side_by_side(
+        lambda: export_model(model, f"{folder}/csv"),
+        *(partial(write_parquet, report, f"{folder}/{name}") for name, report in reports.items()),
+    )
     return model
 
 
