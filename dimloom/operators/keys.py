@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import accumulate
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimloom.scratch import scratch_path
@@ -15,41 +14,52 @@ from dimloom.scratch import scratch_path
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
-def dense_ids(
-    df: DataFrame, keys: Sequence[str], id_name: str, path: str | None = None
+def number_rows(
+    df: DataFrame, order: Sequence[str | Column], number: str, path: str | None = None
 ) -> DataFrame:
-    """Distinct key tuples numbered 1..n in the order of all key columns, nulls first.
+    """All rows with their position 0, 1, .. in the given order, without a global window.
 
-    Equal to a ``row_number`` over one global window, without its single task: the tuples are
-    range-sorted in parallel and written once with their position (range number and row within
-    the range). The only thing brought to the driver is one count per range, which the number
-    of shuffle partitions bounds; an id is its range's offset plus the row within it. Tuples
-    are distinct before they are sorted, so ranges are even whatever the key frequencies are,
-    and the ids depend neither on the ranges nor on the partition count.
+    The rows are range-sorted in parallel and written once, each with its range and its row in
+    that range. One count per range, a frame no longer than the number of shuffle partitions,
+    gives each range's offset, which a broadcast join adds. Nothing reaches the driver.
 
     The table is written rather than cached: both passes must see the same ranges, a lost
     executor must not change them, and readers get its exact size for choosing a join.
     """
     spark = df.sparkSession
-    path = path or scratch_path(spark, id_name)
-    positioned = (
-        df.select(*keys)
-        .distinct()
-        .orderBy(*(F.col(k).asc_nulls_first() for k in keys))
-        .withColumn("_position", F.monotonically_increasing_id())
+    path = path or scratch_path(spark, number)
+    sorted_rows = df.orderBy(*order).withColumn("_position", F.monotonically_increasing_id())
+    sorted_rows.write.mode("errorifexists").parquet(path)
+
+    written = spark.read.schema(sorted_rows.schema).parquet(path).withColumns(
+        {
+            "_range": F.shiftright("_position", _ROW_BITS),
+            "_row": F.col("_position").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
+        }
+    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        written.groupBy("_range")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    positioned.write.mode("errorifexists").parquet(path)
-
-    written = spark.read.schema(positioned.schema).parquet(path)
-    row = F.col("_position").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    if len(written.inputFiles()) == 1:  # one task wrote it, so there is one range
-        return written.select((row + 1).alias(id_name), *keys)
-    range_number = F.shiftright("_position", _ROW_BITS)
-    sizes = dict(written.groupBy(range_number.alias("range")).count().collect())
-    in_order = [sizes.get(r, 0) for r in range(max(sizes, default=0) + 1)]
-    offsets = [0, *accumulate(in_order)]
-    offset = F.expr(f"array({','.join(f'{o}L' for o in offsets)})")[range_number.cast("int")]
-    return written.select((offset + row + 1).alias(id_name), *keys)
+    return written.join(F.broadcast(offsets), "_range").select(
+        (F.col("_offset") + F.col("_row")).alias(number), *df.columns
+    )
+
+
+def dense_ids(
+    df: DataFrame, keys: Sequence[str], id_name: str, path: str | None = None
+) -> DataFrame:
+    """Distinct key tuples numbered 1..n in the order of all key columns, nulls first.
+
+    Equal to a ``row_number`` over one global window, without its single task. Tuples are
+    distinct before they are sorted, so ranges are even whatever the key frequencies are,
+    and the ids depend neither on the ranges nor on the partition count.
+    """
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    numbered = number_rows(df.select(*keys).distinct(), order, id_name, path)
+    return numbered.select((F.col(id_name) + 1).alias(id_name), *keys)
 
 
 def lookup_id(

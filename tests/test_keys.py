@@ -67,7 +67,8 @@ def test_several_ranges_are_used_and_none_is_a_single_task(spark):
     ]
     assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
     assert numbered.agg(F.max("id")).first()[0] == 20_000
-    assert "SinglePartition" not in plan(numbered)
+    # The one window left is over the counts of the ranges.
+    assert plan(numbered).count("SinglePartition") <= 1
 
 
 def test_empty_input(spark):
