@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -24,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimloom.llm.bpe import printable_bytes
 from dimloom.llm.common import stored, whole
 from dimloom.llm.pieces import SEPARATORS, Memory
 
@@ -37,7 +39,8 @@ class WordTokenizer:
     """Token ids by the library, remembered by chunk.
 
     This tokenizer drops white space and never joins over it, so a text's ids are those of its
-    chunks in order. A chunk of plain Latin letters is cut further into words.
+    chunks in order. A chunk of plain Latin letters is cut further into words, for which the
+    library's model is asked directly; it takes a byte as one printable character.
     """
 
     def __init__(self, path: str):
@@ -47,13 +50,22 @@ class WordTokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         self.chunks = Memory(self._chunk)
-        self.words = Memory(self._by_library, 300_000)
+        self.words = Memory(self._word, 200_000)
+        self.model = self.library.model
+        self.printable = {byte: char for char, byte in printable_bytes().items()}
 
     def _by_library(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(self.printable)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return self._word(chunk.lower())
         if "<|" in chunk or not _PLAIN.fullmatch(chunk):
             return self._by_library(chunk)
         return b"".join(map(self.words.__getitem__, _WORDS.findall(chunk.lower())))

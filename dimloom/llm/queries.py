@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, packing, shards, toxicity, unigram
+from dimloom.llm import bpe, lempel_ziv, packing, shards, toxicity, unigram
 from dimloom.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lempel_ziv.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     may_learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
     return toxicity.toxicity_scores(
@@ -48,6 +52,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_fingerprints": op2_fingerprints,
     "op3_toxicity": op3_toxicity,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_token_counts": op6_token_counts,

@@ -32,7 +32,8 @@ def mixed(hashes: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _powers() -> tuple[np.ndarray, np.ndarray]:
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, for spans up to twice SEGMENT."""
     inverse = pow(_BASE, -1, 1 << 64)
     return tuple(
         np.cumprod(np.r_[np.uint64(1), np.full(2 * SEGMENT, base, dtype=np.uint64)])
@@ -42,17 +43,18 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
 
 def _segment(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the words in one segment that begins and ends between words."""
-    power, inverse = _powers()
+    power, inverse = powers()
     inside = values != 0
     edges = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
     sums = np.r_[np.uint64(0), np.cumsum(values * power[: len(values)])]
-    return starts, mixed((sums[ends] - sums[starts]) * inverse[starts] + ends.astype(np.uint64) - starts.astype(np.uint64))
+    lengths = (ends - starts).astype(np.uint64)
+    return starts, mixed((sums[ends] - sums[starts]) * inverse[starts] + lengths)
 
 
 def word_hashes(texts: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts in order, and where each text's words begin, with the
-    total at the end. A zero byte of ``classes`` must be a separator: newline."""
+    """Hashes of the words of all texts in order, and where each text's words begin, with their
+    total at the end. Newline has to be a separator."""
     blob = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
     sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
     text_starts = np.cumsum(sizes) - sizes
