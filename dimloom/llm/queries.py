@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, lempel_ziv, packing, shards, toxicity, unigram
+from dimloom.llm import bpe, lempel_ziv, packing, secrets, shards, toxicity, unigram
 from dimloom.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign_shards(table(spark, sf_dir, "documents"), 8)
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_token_counts": op6_token_counts,
     "op8_sharding": op8_sharding,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}
