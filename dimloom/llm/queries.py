@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, lempel_ziv, packing, secrets, shards, toxicity, unigram
+from dimloom.llm import bpe, lempel_ziv, packing, personal, secrets, shards, toxicity, unigram
 from dimloom.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_token_counts": op6_token_counts,
     "op8_sharding": op8_sharding,
+    "op9_personal_data": op9_personal_data,
     "op10_secrets": op10_secrets,
 }
 
