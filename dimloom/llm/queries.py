@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, lempel_ziv, packing, personal, secrets, shards, toxicity, unigram
+from dimloom.llm import bpe, lempel_ziv, neighbours, packing, personal, secrets, shards, toxicity, unigram
 from dimloom.llm.common import table
 
 
@@ -39,6 +39,12 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.token_counts(
         table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken")
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_toxicity": op3_toxicity,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_neighbours": op5_neighbours,
     "op6_token_counts": op6_token_counts,
     "op8_sharding": op8_sharding,
     "op9_personal_data": op9_personal_data,
