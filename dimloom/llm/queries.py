@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, lempel_ziv, neighbours, packing, personal, secrets, shards, toxicity, unigram
+from dimloom.llm import bpe, jaccard, lempel_ziv, neighbours, packing, personal, secrets, shards, toxicity, unigram
 from dimloom.llm.common import table
 
 
@@ -59,6 +59,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign_shards(table(spark, sf_dir, "documents"), 8)
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_neighbours": op5_neighbours,
     "op6_token_counts": op6_token_counts,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_sharding": op8_sharding,
     "op9_personal_data": op9_personal_data,
     "op10_secrets": op10_secrets,
