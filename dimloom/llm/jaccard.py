@@ -400,8 +400,11 @@ def linked_sets(sets: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFram
     return components(edges), joined.groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links of every row."""
+def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text_hash, n, component, component_id and n_links of every row.
+
+    ``component`` is null for texts without words. ``text_hash`` is Spark's xxhash64 of the text.
+    """
     hashed = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(whole(text)).alias("text_hash"),
@@ -449,11 +452,68 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
         "known",
     )
     ids = known.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    result = known.join(ids, "component").select("node", "component_id", "n_links")
-    full = documents.where("n > 0").select("doc_id", "n", "node").join(result, "node").drop("node")
-    empty = documents.where("n = 0").select(
-        "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
+    result = known.join(ids, "component").select("node", "component", "component_id", "n_links")
+    rows = documents.select("doc_id", "text_hash", "n", "node")
+    without = rows.where("n = 0").select(
+        "doc_id",
+        "text_hash",
+        "n",
+        F.lit(None).cast("long").alias("component"),
+        F.col("doc_id").alias("component_id"),
+        F.lit(0).cast("long").alias("n_links"),
     )
-    return full.unionByName(empty).select(
+    return rows.where("n > 0").join(result, "node").drop("node").unionByName(without)
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links of every row."""
+    return jaccard_groups(docs, id_col, text).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links"
     )
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, with all columns: one of each component, and all without words.
+
+    The row with the smallest id stays. Rows are found again by id and text; of rows equal in
+    both one stays, whatever their other columns.
+    """
+    groups = stored(jaccard_groups(docs, id_col, text), "groups")
+    key = ["doc_id", "text_hash"]
+    kept = (
+        groups.where("component is not null")
+        .groupBy("component")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), *key)).alias("row"))
+        .select("row.doc_id", "row.text_hash")
+    )
+    times = groups.groupBy(key).agg(F.count("*").alias("times"))
+    named = F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    kept = stored(
+        kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+        .join(times, named & (F.col("kept_hash") == F.col("text_hash")))
+        .select("kept_id", "kept_hash", "times")
+        .unionByName(
+            groups.where("component is null")
+            .select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+            .distinct()
+            .withColumn("times", F.lit(1).cast("long"))
+        ),
+        "kept",
+    )
+    whole_rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(whole(text)).alias("text_hash"),
+    )
+
+    def found(some: DataFrame) -> DataFrame:
+        some = F.broadcast(some) if small_enough(some, 32) else some
+        return whole_rows.join(
+            some, named & (F.col("text_hash") == F.col("kept_hash")), "left_semi"
+        )
+
+    result = found(kept.where("times = 1"))
+    repeated = kept.where("times > 1")
+    if not repeated.isEmpty():
+        result = result.unionByName(found(repeated).dropDuplicates(key))
+    return result.select("row.*")

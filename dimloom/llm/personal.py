@@ -272,31 +272,106 @@ def told(spans: Column) -> Column:
     return F.array_join(one, ",")
 
 
+def identifiers(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The scanned rows, and one row for each identifier and candidate with a context."""
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
+    scanned = stored(picked.mapInArrow(scan, SCANNED), "identifiers")
+    tokens = scanned.where(F.size("tokens") > 0).select("row", F.explode("tokens").alias("t"))
+    return scanned, tokens.select("row", "t.*")
+
+
+def kind_by_context(trusted: DataFrame) -> DataFrame:
+    """One kind for each context that is a trusted pattern."""
+    best = F.max_by("kind", F.struct("confidence", "kind"))
+    return trusted.groupBy("context").agg(best.alias("found_kind"))
+
+
 def found_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """row, doc_id, base and spans of every row of docs: arrays of (start, kind, end), in order.
+    """doc_id, base and spans of every row of docs: arrays of (start, kind, end), in order.
 
     ``spans`` has the base ones and those of the contextual patterns.
     """
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
-    scanned = stored(picked.mapInArrow(scan, SCANNED), "identifiers")
-    tokens = scanned.where(F.size("tokens") > 0).select("row", F.explode("tokens").alias("t"))
-    tokens = tokens.select("row", "t.*")
+    scanned, tokens = identifiers(docs, id_col, text)
     trusted = trusted_patterns(docs, text, tokens)
     if trusted is None:
-        return scanned.select("row", "doc_id", F.col("spans").alias("base"), "spans")
-    best = trusted.groupBy("context").agg(F.max_by("kind", "confidence").alias("found_kind"))
+        return scanned.select("doc_id", F.col("spans").alias("base"), "spans")
     extra = (
         tokens.where("kind < 0")
-        .join(best, "context")
+        .join(kind_by_context(trusted), "context")
         .groupBy("row")
-        .agg(F.collect_list(F.struct("start", F.col("found_kind").alias("kind"), "end")).alias("extra"))
+        .agg(
+            F.collect_list(F.struct("start", F.col("found_kind").alias("kind"), "end")).alias(
+                "extra"
+            )
+        )
+    )
+    both = F.when(F.col("extra").isNull(), F.col("spans")).otherwise(
+        F.sort_array(F.concat("spans", "extra"))
     )
-    both = F.sort_array(F.concat("spans", F.coalesce("extra", F.array().cast(scanned.schema["spans"].dataType))))
     return scanned.join(extra, "row", "left").select(
-        "row", "doc_id", F.col("spans").alias("base"), both.alias("spans")
+        "doc_id", F.col("spans").alias("base"), both.alias("spans")
     )
 
 
+def masked_text(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text with a mark of the kind in place of each span; spans that overlap become one."""
+    parts, reached = [], 0
+    for start, kind, end in sorted(spans):
+        if start >= reached:
+            parts += [text[reached:start], f"<{KINDS[kind].upper()}>"]
+        reached = max(reached, end)
+    return "".join([*parts, text[reached:]])
+
+
+def masked(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """All rows and columns of docs with the personal data in ``text`` replaced by marks.
+
+    A column n_chars follows the new text. Patterns are learnt in a first scan and broadcast for
+    the second; beyond ``BLOCK`` patterns, further scans mask what those of the next block find.
+    """
+    _, tokens = identifiers(docs, id_col, text)
+    trusted = trusted_patterns(docs, text, tokens)
+    kinds: list[dict[int, int]] = [{}]
+    if trusted is not None:
+        for row in kind_by_context(trusted).orderBy("context").toLocalIterator():
+            if len(kinds[-1]) >= BLOCK:
+                kinds.append({})
+            kinds[-1][row["context"]] = row["found_kind"]
+    place = docs.columns.index(text)
+    counted = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    rows = docs.select(F.struct("*").alias("row"))
+    for block in kinds:
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def mask(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            known = shared.value
+            for batch in batches:
+                struct = batch.column(0)
+                fields = [struct.field(i) for i in range(struct.type.num_fields)]
+                texts = fields[place].to_pylist()
+                changed = [False] * len(texts)
+                for i, value in enumerate(texts):
+                    spans = base_spans(value) if value else []
+                    if known and value:
+                        found = candidate_tokens(value, spans)
+                        before = contexts([value], [(0, start) for start, _ in found])
+                        for (start, end), context in zip(found, before, strict=True):
+                            if context in known:
+                                spans.append((start, known[context], end))
+                    if spans:
+                        texts[i], changed[i] = masked_text(value, spans), True
+                fields[place] = pa.array(texts, fields[place].type)
+                if counted is not None:
+                    old, kind = fields[counted].to_pylist(), fields[counted].type
+                    new = (len(t) if c else n for t, c, n in zip(texts, changed, old, strict=True))
+                    fields[counted] = pa.array(new, kind)
+                whole_rows = pa.StructArray.from_arrays(fields, fields=list(struct.type))
+                yield pa.RecordBatch.from_arrays([whole_rows], names=["row"])
+
+        rows = rows.mapInArrow(mask, rows.schema)
+    return rows.select("row.*")
+
+
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every row.
 

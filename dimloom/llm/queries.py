@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, jaccard, lempel_ziv, neighbours, packing, personal, secrets, shards, toxicity, unigram
+from dimloom.llm import (
+    bpe,
+    jaccard,
+    lempel_ziv,
+    neighbours,
+    packing,
+    personal,
+    secrets,
+    shards,
+    toxicity,
+    unigram,
+)
 from dimloom.llm.common import table
 
 
@@ -26,10 +37,14 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lempel_ziv.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def may_learn() -> Column:
+    """Labels of the other ids are held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    may_learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
     return toxicity.toxicity_scores(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), may_learn
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), may_learn()
     )
 
 

@@ -113,13 +113,9 @@ class Model:
         return sigmoid(np.bincount(owners, parts, minlength=len(texts)) + self.bias)
 
 
-def as_bytes(batch: pa.RecordBatch, column: str) -> list[bytes]:
-    return batch.column(column).cast(pa.binary()).to_pylist()
-
-
 def sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = as_bytes(batch, "text")
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
         owners, features, counts = counted(*all_features(texts))
         cuts = np.searchsorted(owners, np.arange(len(texts) + 1))
         features, counts = features.astype("<i4"), np.minimum(counts, 65535).astype("<u2")
@@ -196,23 +192,22 @@ def learned_toxicity(
     )
 
 
-def scored(docs: DataFrame, model: Model, columns: list[str], text: str = "text") -> DataFrame:
-    """The named columns and ``_score``, from 0 to 1, of every row."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    picked = docs.select(*columns, whole(text).alias("_text"))
-    schema = picked.select(*columns, F.lit(0.0).alias("_score")).schema
+def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``row``, a struct of all columns of docs, and ``score``, from 0 to 1, of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+    rows = docs.select(F.struct("*").alias("row"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = shared.value.dense()
         for batch in batches:
-            scores = shared.value.scores(as_bytes(batch, "_text"), dense)
+            texts = batch.column(0).field(place).cast(pa.binary()).to_pylist()
+            scores = shared.value.scores([t or b"" for t in texts], dense)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[:-1], "_score"],
+                [batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"]
             )
 
-    return picked.mapInArrow(score, schema)
+    return rows.mapInArrow(score, rows.withColumn("score", F.lit(0.0)).schema)
 
 
 def toxicity_scores(
@@ -222,9 +217,9 @@ def toxicity_scores(
     does not hold are held out."""
     model = learned_toxicity(docs, labels, may_learn, id_col=id_col, text=text)
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return scored(ids, model, ["doc_id"]).select(
+    return scored(ids, model).select("row.doc_id", "score").select(
         "doc_id",
         F.coalesce(~may_learn, F.lit(False)).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
