@@ -12,7 +12,7 @@ most ``2 ** BITS``, are broadcast, and every text is scored whole in one scan.
 Labels, language, source and id are never inputs of a score. Defined results: null and empty texts
 get the score of the bias alone; label rows without id or mark are not used, and several labels of
 one id count as one, toxic if any is; without labels of both kinds nothing is learnt and every
-text scores alike. Repeated rows of documents are scored each; if they are in the sample, the id
+score is 0. Repeated rows of documents are scored each; if they are in the sample, the id
 is learnt once, from its smallest text.
 """
 
@@ -56,7 +56,7 @@ def counted(owners: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
+    return np.exp(-np.logaddexp(0, -x))
 
 
 @dataclass
@@ -169,6 +169,8 @@ def learned_toxicity(
             for _, toxic, features, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 rows.append((np.frombuffer(features, "<i4"), np.frombuffer(counts, "<u2"), toxic))
         learner = Ftrl()
+        if len({toxic for _, _, toxic in rows}) < 2:
+            return
         for _ in range(epochs):
             for features, counts, toxic in rows:
                 learner.learn(features, 1 + np.log(counts), toxic)
@@ -185,6 +187,8 @@ def learned_toxicity(
 
     one_task = sample.repartition(1).sortWithinPartitions("turn")
     row = one_task.mapInArrow(fit, "features binary, weights binary, bias double").first()
+    if row is None:
+        return Model(np.zeros(0, "<i4"), np.zeros(0), -np.inf)
     return Model(
         np.frombuffer(bytes(row["features"]), "<i4"),
         np.frombuffer(bytes(row["weights"]), "<f8"),

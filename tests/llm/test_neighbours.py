@@ -1,0 +1,85 @@
+"""Inverted multi-index against brute force."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from dimloom.llm import neighbours
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+def is_query():
+    return F.col("vec_id") % 20 == 0
+
+
+def frame(spark, vectors):
+    rows = [(i, v if v is None else [float(x) for x in v], 0) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+
+def truth(vectors: np.ndarray, query: int, count: int) -> list[tuple[int, float]]:
+    scores = (vectors * vectors[query]).sum(axis=1)
+    order = np.lexsort((np.arange(len(vectors)), -scores))
+    return [(int(i), float(scores[i])) for i in order if i != query][:count]
+
+
+@pytest.mark.parametrize("scale", [False, True])
+def test_recall_order_and_scores(spark, scale):
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(3000, 24)).astype("f4")
+    if scale:
+        vectors *= rng.uniform(0.3, 3, size=(3000, 1)).astype("f4")
+    rows = neighbours.nearest_neighbours(frame(spark, vectors), is_query()).collect()
+    exact = vectors.astype("f8")
+    found: dict[int, list] = {}
+    for r in sorted(rows, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert sorted(found) == list(range(0, 3000, 20))
+    hits = 0
+    for query, got in found.items():
+        assert len(got) == 20 and got == sorted(got, key=lambda x: (-x[1], x[0]))
+        assert all(s == pytest.approx(exact[i] @ exact[query], abs=1e-12) for i, s in got)
+        hits += len({i for i, _ in got} & {i for i, _ in truth(exact, query, 20)})
+    assert hits >= 0.9 * 20 * len(found)
+
+
+def test_one_vector_that_most_rows_share(spark):
+    """A cell of many blocks, and ties that go to the smaller id."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(9000, 8)).astype("f4")
+    vectors[::2] = 1.0
+    vectors /= np.sqrt((vectors**2).sum(axis=1, keepdims=True))
+    rows = neighbours.nearest_neighbours(frame(spark, vectors), F.col("vec_id") == 40).collect()
+    got = [(r["vec_id"], r["score"]) for r in sorted(rows, key=lambda r: r["rank"])]
+    assert got == [(i, pytest.approx(s)) for i, s in truth(vectors.astype("f8"), 40, 20)]
+
+
+def test_cells_come_by_rising_distance():
+    rng = np.random.default_rng(5)
+    index = neighbours.MultiIndex(rng.normal(size=(7, 3)), rng.normal(size=(5, 2)), norms=1.0)
+    query = rng.normal(size=5)
+    one, other = index.half_distances(query)
+    cells = list(index.traverse(query))
+    sums = (one[:, None] + other).ravel()
+    assert sorted(cells) == list(range(35)) and (np.diff(sums[cells]) >= 0).all()
+
+
+def test_blocks_cover_all_cells():
+    sizes = np.array([10, 0, neighbours.BLOCK_ROWS * 3 + 1, 5, neighbours.BLOCK_ROWS, 7])
+    first, parts = neighbours.block_table(sizes)
+    assert parts.tolist() == [1, 1, 4, 1, 1, 1]
+    assert first[3] == first[2] + 4 and first[4] != first[3]
+
+
+def test_unusable_rows_few_rows_and_empty_tables(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [[1, 0, 0], None, [0, 0, 0], [nan, 1, 1], [inf, 1, 1], [1, 1], [0, 1, 0], [1, 1, 0]]
+    extra = [(None, [1.0, 1.0, 1.0], 0), (8, [1.0, None, 2.0], 0), (0, [1.0, 0.0, 0.0], 0)]
+    docs = frame(spark, vectors).unionByName(spark.createDataFrame(extra, SCHEMA))
+    docs = docs.withColumns({"vector": F.lit(1), "cell": F.lit(2), "score": F.lit("x")})
+    rows = neighbours.nearest_neighbours(docs, is_query()).orderBy("rank").collect()
+    assert [tuple(r) for r in rows] == [(0, 1, 7, 1.0), (0, 2, 6, 0.0)]
+    assert neighbours.nearest_neighbours(docs.limit(0), is_query()).collect() == []
+    assert neighbours.nearest_neighbours(docs.where("vec_id = 7"), is_query()).collect() == []
+    assert neighbours.nearest_neighbours(docs.where("vec_id = 0").limit(1), is_query()).collect() == []

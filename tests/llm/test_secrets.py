@@ -1,0 +1,105 @@
+"""Secret scan against the patterns as they are given."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+
+from dimloom.llm import secrets
+from tests.invented import plan
+from tests.llm.helpers import documents, odd_documents
+
+def either(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" for c in word)
+
+
+ASSIGN = re.compile(
+    "(" + "|".join(map(either, ("password", "passwd", "secret", "token"))) + "|"
+    + either("api") + "_?" + either("key") + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def base(text: str) -> list[tuple[int, int, int, str]]:
+    found = [
+        (m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8
+    ]
+    for order, kind, pattern, least in (
+        (1, "access", "AKIA[A-Z0-9]+", 16),
+        (2, "hex", "[0-9a-f]+", 32),
+    ):
+        found += [
+            (m.start(), order, m.end(), kind)
+            for m in re.finditer(pattern, text)
+            if len(m.group()) >= least
+        ]
+    return sorted(found)
+
+
+def test_base_spans_equal_the_patterns(spark):
+    rng = random.Random(5)
+    parts = ["token", "=", ": ", "Password ", '"', "'", "a", "1f", "AKIA", "AKIAX9", "0f3b" * 4, " ", "é", "\U0001f600"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    texts += ['token: "secret": "abcdefgh1"', "token=token=tokentoken", None, "x" * 50_000]
+    for row in secrets.secret_spans(documents(spark, texts)).collect():
+        expected = base(texts[row["doc_id"]] or "")
+        told = ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in expected)
+        assert row["base_sha256"] == hashlib.sha256(told.encode()).hexdigest()
+        counts = [sum(e[3] == k for e in expected) for k in secrets.KINDS[:3]]
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == counts
+        kept = [s for s in row["spans"].split(",") if s and not s.startswith("entropy")]
+        assert kept == [s for s in told.split(",") if s]
+
+
+def most_entropy(value: str) -> float:
+    def entropy(window: str) -> float:
+        shares = [window.count(c) / len(window) for c in set(window)]
+        return -sum(p * math.log2(p) for p in shares)
+
+    size = secrets.WINDOW
+    return max(entropy(value[i : i + size]) for i in range(len(value) - size + 1))
+
+
+def test_windows_of_high_entropy(spark):
+    rng = random.Random(9)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    values = ["".join(rng.choice(alphabet[: rng.randint(2, 64)]) for _ in range(rng.randint(20, 70))) for _ in range(200)]
+    frame = spark.createDataFrame(
+        [(i, 0, len(v), v) for i, v in enumerate(values)],
+        "row long, start int, end int, value string",
+    )
+    found = {r["row"] for r in secrets.high_entropy(frame).collect()}
+    for i, value in enumerate(values):
+        varied = re.search("[0-9]", value) and re.search("[A-Za-z]", value)
+        allowed = any(re.search(p.replace("(?i)", ""), value, re.I if "(?i)" in p else 0) for p in secrets.ALLOWED)
+        kind = "hex" if re.fullmatch("[0-9a-fA-F]+", value) else "mixed"
+        entropy = most_entropy(value)
+        if abs(entropy - secrets.THRESHOLDS[kind]) > 1e-9:
+            assert (i in found) == bool(
+                varied and not allowed and entropy >= secrets.THRESHOLDS[kind]
+            ), value
+
+
+def test_allow_list_and_overlaps(spark):
+    key = "Zx81kQp0Rt7vLm2Bn4Ys"
+    texts = [
+        f"bare {key} here",
+        f"token = {key}",
+        "id 123e4567-e89b-12d3-a456-426614174000",
+        "see a-long-page-name-of-many-words-12",
+        "aaaaaaaaaaaaaaaaaaaaaaaaa1",
+        "plain prose without anything",
+    ]
+    rows = {r["doc_id"]: r["spans"] for r in secrets.secret_spans(documents(spark, texts)).collect()}
+    assert rows[0] == "entropy:5:25"
+    assert rows[1] == f"assign:0:{len(texts[1])}"
+    assert [rows[i] for i in range(2, 6)] == [""] * 4
+
+
+def test_odd_rows_empty_tables_and_no_python_worker(spark):
+    odd = odd_documents(spark)
+    found = secrets.secret_spans(odd)
+    assert found.count() == odd.count() and found.where("n_assign = 1").count() == 1
+    assert secrets.secret_spans(odd.limit(0)).collect() == []
+    assert "Python" not in plan(found) and "Arrow" not in plan(found)
