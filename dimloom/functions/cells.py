@@ -14,14 +14,24 @@ from pyspark.sql import functions as F
 # The text formats, amount type, cut-off day and labels of the published tables.
 MICROSECOND_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 SECOND_PATTERN = "yyyy-MM-dd HH:mm:ss"
+DAY_PATTERN = "yyyy-MM-dd"
 AMOUNT_TYPE = "decimal(10,2)"
 ACTIVE_AFTER = dt.date(2021, 12, 31)
 ACTIVE, INACTIVE = "Active", "Inactive"
 
+# Tried in turn on every time of a visit or billing.
+MOMENT_PATTERNS = (MICROSECOND_PATTERN, SECOND_PATTERN, DAY_PATTERN)
+WHITE_SPACE = " \t\n\r\f\v"
+
 
 def is_blank(cell: Column) -> Column:
-    """True for null, empty and blanks-only text; never null itself."""
-    return cell.isNull() | (F.trim(cell) == "")
+    """True for null, empty and white-space-only text; never null itself."""
+    return cell.isNull() | (F.btrim(cell, F.lit(WHITE_SPACE)) == "")
+
+
+def filled(cell: Column) -> Column:
+    """The cell, or null if it is blank: the one rule for every key."""
+    return F.when(~is_blank(cell), cell)
 
 
 def parse_timestamp(cell: Column, *patterns: str) -> Column:

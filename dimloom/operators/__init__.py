@@ -1,7 +1,6 @@
 """DataFrame-to-DataFrame operators."""
 
 from dimloom.operators.dedup import distinct_rows, one_per_key
-from dimloom.operators.keys import dense_ids, lookup_id
-from dimloom.operators.spread import spread_if_few
+from dimloom.operators.keys import dense_ids, lookup_id, number_rows
 
-__all__ = ["dense_ids", "distinct_rows", "lookup_id", "one_per_key", "spread_if_few"]
+__all__ = ["dense_ids", "distinct_rows", "lookup_id", "number_rows", "one_per_key"]

@@ -12,10 +12,19 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from dimloom.functions.cells import filled
 
-def _any_null(columns: Sequence[str]) -> Column:
-    return reduce(or_, (F.col(c).isNull() for c in columns))
+
+def key_part(df: DataFrame, column: str) -> Column:
+    """The column, null where it is blank text."""
+    is_text = isinstance(df.schema[column].dataType, T.StringType)
+    return filled(F.col(column)) if is_text else F.col(column)
+
+
+def _any_missing(df: DataFrame, columns: Sequence[str]) -> Column:
+    return reduce(or_, (key_part(df, c).isNull() for c in columns))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -35,10 +44,13 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def null_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
-    """(table_name, key_column, null_rows) per key column, one pass per table."""
+    """(table_name, key_column, null_rows) per key column, blank text counted as null."""
 
     def of_table(name: str) -> DataFrame:
-        counted = tables[name].agg(*(F.count_if(F.col(k).isNull()).alias(k) for k in keys[name]))
+        table = tables[name]
+        counted = table.agg(
+            *(F.count_if(key_part(table, k).isNull()).alias(k) for k in keys[name])
+        )
         per_column = F.array(
             *(
                 F.struct(F.lit(k).alias("key_column"), F.col(k).alias("null_rows"))
@@ -70,7 +82,7 @@ def orphan_rows(
 ) -> DataFrame:
     """Fact rows with a key set but not found in the dimension."""
     held = distinct_keys(dimension, keys)
-    return fact.filter(~_any_null(columns)).join(held, _same(columns, keys), "left_anti")
+    return fact.filter(~_any_missing(fact, columns)).join(held, _same(columns, keys), "left_anti")
 
 
 def unused_keys(
@@ -83,55 +95,61 @@ def unused_keys(
 
 def null_links(fact: DataFrame, row_id: str, columns: Sequence[str]) -> DataFrame:
     """(row id, fk_column) for every empty foreign key, from one scan of the fact."""
-    empty = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in columns)))
+    empty = F.array_compact(F.array(*(F.when(key_part(fact, c).isNull(), F.lit(c)) for c in columns)))
     return fact.select(row_id, F.explode(empty).alias("fk_column"))
 
 
-def _key(columns: Sequence[str]) -> list[Column]:
-    """A key's parts as text, and whether any of them is missing."""
-    parts = F.array(*(F.col(c).cast("string") for c in columns))
-    return [parts.alias("key"), _any_null(columns).alias("is_empty")]
+def key_counts(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """Rows per key: columns key_1, key_2, .. of the key's own types, and the count.
 
+    Blank parts are null; keys with such a part are rows of their own.
+    """
+    parts = [key_part(df, c).alias(f"key_{i}") for i, c in enumerate(columns, 1)]
+    return df.select(*parts).groupBy(*key_names(columns)).agg(F.count("*").alias(name))
 
-def key_references(df: DataFrame, links: Mapping[str, Sequence[str]]) -> DataFrame:
-    """(label, key, is_empty) per row and link, from one scan."""
-    references = F.array(
-        *(F.struct(F.lit(label).alias("label"), *_key(cols)) for label, cols in links.items())
-    )
-    return df.select(F.inline(references))
+
+def key_names(columns: Sequence[str]) -> list[str]:
+    return [f"key_{i}" for i, _ in enumerate(columns, 1)]
 
 
 def key_usage(
-    tables: Mapping[str, tuple[DataFrame, Sequence[str]]],
-    fact: DataFrame,
-    links: Mapping[str, Sequence[str]],
+    table: DataFrame,
+    keys: Sequence[str],
+    fact: DataFrame | None = None,
+    columns: Sequence[str] = (),
 ) -> DataFrame:
-    """How often each key is held by its table and used by the fact.
+    """How often each key is held by a table and, by the given columns, used by the fact.
 
-    ``tables`` gives a table and its key columns per label, ``links`` the fact's columns that
-    refer to that label. Keys are compared as text. One row per (label, key): the key's parts,
-    whether any part is missing, and the rows that hold and that use it. The fact is scanned
-    once for all its links, every table once, and one shuffle of counts covers them all.
+    One row per key: its parts key_1, key_2, .., whether any part is missing, and the rows
+    that hold and that use it. Types are kept, so a shuffled row is a short key and two counts.
     """
-
-    held = [
-        df.select(F.lit(label).alias("label"), *_key(columns), F.lit(1).alias("held"))
-        for label, (df, columns) in tables.items()
-    ]
-    used = key_references(fact, links).withColumn("used", F.lit(1))
-    everything = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*held, used])
-    return everything.groupBy("label", "key", "is_empty").agg(
-        F.count("held").alias("held"), F.count("used").alias("used")
+    names = key_names(keys)
+    sides = [(table, keys, 1, 0)] + ([(fact, columns, 0, 1)] if fact is not None else [])
+    rows = union_all(
+        [
+            df.select(
+                *(key_part(df, c).alias(n) for c, n in zip(own, names, strict=True)),
+                F.lit(held).alias("held"),
+                F.lit(used).alias("used"),
+            )
+            for df, own, held, used in sides
+        ]
+    )
+    is_empty = reduce(or_, (F.col(n).isNull() for n in names))
+    return (
+        rows.groupBy(*names)
+        .agg(F.sum("held").alias("held"), F.sum("used").alias("used"))
+        .select(*names, is_empty.alias("is_empty"), "held", "used")
     )
 
 
-def usage_profile(usage: DataFrame) -> DataFrame:
+def usage_profile(usage: Mapping[str, DataFrame]) -> DataFrame:
     """Numbers on each label's key and on the fact's link to it.
 
     row_count       rows of the table
-    null_rows       its rows with any key part null
+    null_rows       its rows with any key part missing
     duplicate_keys  keys held by two rows or more
-    empty_links     fact rows whose link has a null part
+    empty_links     fact rows whose link has a missing part
     orphan_keys     distinct values set in the fact but absent from the table
     orphan_rows     fact rows that carry them
     unused_keys     keys of the table no fact row refers to
@@ -144,16 +162,21 @@ def usage_profile(usage: DataFrame) -> DataFrame:
     def total(rows: Column, name: str) -> Column:
         return F.coalesce(F.sum(rows), F.lit(0)).alias(name)
 
-    return usage.groupBy("label").agg(
-        total(held, "row_count"),
-        total(F.when(is_empty, held), "null_rows"),
-        F.count_if(held > 1).alias("duplicate_keys"),
-        total(F.when(is_empty, used), "empty_links"),
-        F.count_if(is_orphan).alias("orphan_keys"),
-        total(F.when(is_orphan, used), "orphan_rows"),
-        F.count_if((held > 0) & (is_empty | (used == 0))).alias("unused_keys"),
-        total(used, "rows_before"),
-        total(used * F.when(is_empty | (held == 0), 1).otherwise(held), "rows_after"),
+    return union_all(
+        [
+            keys.agg(
+                total(held, "row_count"),
+                total(F.when(is_empty, held), "null_rows"),
+                F.count_if(held > 1).alias("duplicate_keys"),
+                total(F.when(is_empty, used), "empty_links"),
+                F.count_if(is_orphan).alias("orphan_keys"),
+                total(F.when(is_orphan, used), "orphan_rows"),
+                F.count_if((held > 0) & (is_empty | (used == 0))).alias("unused_keys"),
+                total(used, "rows_before"),
+                total(used * F.when(is_empty | (held == 0), 1).otherwise(held), "rows_after"),
+            ).select(F.lit(label).alias("label"), "*")
+            for label, keys in usage.items()
+        ]
     )
 
 

@@ -8,9 +8,12 @@ model; ``published`` gives the text layout of the written tables.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import and_
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,17 +25,24 @@ from dimloom.plans.tables import (
     FACT,
     FACT_VISIT,
     MOMENTS,
+    NATURAL_KEYS,
     NUMBERED,
-    OPTIONAL_KEYS,
     PRIMARY_KEYS,
     Numbered,
 )
 
 _SEEN = "_seen"  # helper column: when a row was recorded
+_OWN = "_own"  # helper column: tells records without an id apart
 
 
 def _visit_time() -> Column:
-    return cells.parse_timestamp(F.col("visit_datetime"), cells.MICROSECOND_PATTERN)
+    return cells.parse_timestamp(F.col("visit_datetime"), *cells.MOMENT_PATTERNS)
+
+
+def _with_keys(source: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Blank keys as null, before anything is grouped, joined or counted by them."""
+    present = [k for k in keys if k in source.columns]
+    return source.withColumns({k: cells.filled(F.col(k)) for k in present})
 
 
 def _newest(source: DataFrame, columns: tuple[str, ...], keys: tuple[str, ...]) -> DataFrame:
@@ -46,6 +56,7 @@ def _newest(source: DataFrame, columns: tuple[str, ...], keys: tuple[str, ...])
 def last_visits(visits: DataFrame) -> DataFrame:
     """The day of each patient's last visit."""
     day = _visit_time().cast("date")
+    visits = _with_keys(visits, ["patient_id"])
     return visits.groupBy("patient_id").agg(F.max(day).alias("last_visit_date"))
 
 
@@ -60,6 +71,7 @@ def dim_patient(
     visit and one pass is enough. With ``visits`` kept apart, the two are joined. Either way
     the row of records without a patient id has no last visit.
     """
+    source = _with_keys(source, ["patient_id"])
     if visits is None:
         patients = _newest(source, t.PATIENT, ("patient_id",))
         last_visit = F.when(F.col("patient_id").isNotNull(), F.col(_SEEN))
@@ -73,13 +85,13 @@ def dim_patient(
 
 
 def dim_insurance(source: DataFrame) -> DataFrame:
-    columns = t.COLUMNS["DimInsurance"]
-    return _newest(source, columns, PRIMARY_KEYS["DimInsurance"]).select(*columns)
+    columns, keys = t.COLUMNS["DimInsurance"], PRIMARY_KEYS["DimInsurance"]
+    return _newest(_with_keys(source, keys), columns, keys).select(*columns)
 
 
 def _billing(source: DataFrame) -> DataFrame:
-    moment = cells.parse_timestamp(F.col("billing_date"), cells.MICROSECOND_PATTERN)
-    return source.select(
+    moment = cells.parse_timestamp(F.col("billing_date"), *cells.MOMENT_PATTERNS)
+    return _with_keys(source, ["billing_id", "insurance_id"]).select(
         "billing_id",
         "insurance_id",
         cells.parse_amount(F.col("billing_total_charge")).alias("billing_total_charge"),
@@ -100,14 +112,15 @@ def billing_one_per_id(source: DataFrame) -> DataFrame:
 
 
 def dim_numbered(source: DataFrame, spec: Numbered, path: str | None = None) -> DataFrame:
+    source = _with_keys(source, spec.keys)
     if spec.drop_blank:
-        for key in spec.keys:
-            source = source.filter(~cells.is_blank(F.col(key)))
+        source = source.dropna(subset=list(spec.keys))
     return dense_ids(source, spec.keys, spec.id_name, path)
 
 
 def dim_prescription(source: DataFrame) -> DataFrame:
-    issued = source.filter(~cells.is_blank(F.col("prescription_id"))).withColumn(
+    keyed = _with_keys(source, ["prescription_id"]).filter("prescription_id is not null")
+    issued = keyed.withColumn(
         "prescription_duration_days", cells.parse_days(F.col("prescription_duration_days"))
     )
     return _newest(issued, t.PRESCRIPTION, ("prescription_id",)).select(*t.PRESCRIPTION)
@@ -116,26 +129,40 @@ def dim_prescription(source: DataFrame) -> DataFrame:
 def dim_lab_order(source: DataFrame) -> DataFrame:
     """One row per order, the latest result if it was recorded more than once."""
     ordered = (
-        source.select(*t.LAB_ORDER)
-        .filter(~cells.is_blank(F.col("lab_order_id")))
+        _with_keys(source.select(*t.LAB_ORDER), ["lab_order_id"])
+        .filter("lab_order_id is not null")
         .withColumn("lab_result_date", cells.parse_timestamp(F.col("lab_result_date")))
     )
     return one_per_key(ordered, ["lab_order_id"], newest_by=["lab_result_date"])
 
 
 def visit_survivors(visits: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """The latest record of each visit, its time parsed."""
+    """The latest record of each visit, its time parsed.
+
+    Records without a visit id cannot be told apart, so each of them is a visit of its own.
+    """
     timed = visits.withColumn("visit_datetime", _visit_time()).select(*columns)
-    return one_per_key(timed, ["visit_id"], newest_by=["visit_datetime"])
+    own = F.when(F.col("visit_id").isNull(), F.monotonically_increasing_id())
+    return one_per_key(
+        timed.withColumn(_OWN, own), ["visit_id", _OWN], newest_by=["visit_datetime"]
+    ).drop(_OWN)
 
 
 def fact_visit(visits: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """One row per visit with the ids of the very dimensions given.
 
-    Ids are looked up before the duplicates are removed, so that the one shuffle by visit
-    carries short rows of ids instead of names and descriptions. Ids follow the order of the
-    tuples they stand for, hence ties fall the same way as on the text.
+    Duplicates go first, so that ids are looked up for one record per visit. Ties between
+    records of a visit fall by the texts, which dense ids are ordered by as well.
     """
+    text_of = {spec.id_name: spec.keys for spec in NUMBERED}
+    columns = tuple(c for name in FACT_VISIT for c in text_of.get(name, (name,)))
+    keys = [*NATURAL_KEYS[FACT], *(c for link in t.LINKS for c in NATURAL_KEYS[link.dimension])]
+    visits = _with_keys(visits, dict.fromkeys(keys))
+    for spec in NUMBERED:
+        if spec.drop_blank:  # half a tuple is none
+            complete = reduce(and_, (F.col(k).isNotNull() for k in spec.keys))
+            visits = visits.withColumns({k: F.when(complete, F.col(k)) for k in spec.keys})
+    visits = visit_survivors(visits, columns)
     for spec in NUMBERED:
         visits = lookup_id(
             visits,
@@ -144,9 +171,7 @@ def fact_visit(visits: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFr
             spec.id_name,
             match_nulls=not spec.drop_blank,
         )
-    for key in OPTIONAL_KEYS:
-        visits = visits.withColumn(key, F.when(~cells.is_blank(F.col(key)), F.col(key)))
-    return visit_survivors(visits, FACT_VISIT).select(*FACT_VISIT)
+    return visits.select(*FACT_VISIT)
 
 
 def build_model(
@@ -162,14 +187,14 @@ def build_model(
     per_table = (
         source if isinstance(source, Mapping) else dict.fromkeys(PRIMARY_KEYS, source)
     )
+
+    def write(spec: Numbered) -> DataFrame:
+        return dim_numbered(per_table[spec.name], spec)
+
+    names = (spec.name for spec in NUMBERED)
+    in_thread = inheritable_thread_target(per_table[FACT].sparkSession)  # keeps job group, tags
     with ThreadPoolExecutor(len(NUMBERED)) as pool:
-        numbered = dict(
-            zip(
-                (spec.name for spec in NUMBERED),
-                pool.map(lambda spec: dim_numbered(per_table[spec.name], spec), NUMBERED),
-                strict=True,
-            )
-        )
+        numbered = dict(zip(names, pool.map(in_thread(write), NUMBERED), strict=True))
     built = {
         "DimPatient": dim_patient(per_table["DimPatient"], visits, active_after),
         "DimInsurance": dim_insurance(per_table["DimInsurance"]),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.functions.cells import is_blank
 from dimloom.operators import checks
 from dimloom.plans.tables import FACT, LINKS, NATURAL_KEYS, PRIMARY_KEYS
 
@@ -29,64 +30,101 @@ def status_counts(patients: DataFrame) -> DataFrame:
 def input_profile(source: DataFrame) -> DataFrame:
     """Each table's natural key in its source, before anything is removed or numbered.
 
-    row_count, rows with a blank key part, distinct keys, and keys held by several rows.
+    row_count, rows with a blank key part, distinct keys, and keys held by several rows. The
+    source is scanned once per table for that table's key alone, so it should be landed.
     """
-    columns = dict.fromkeys(c for keys in NATURAL_KEYS.values() for c in keys)
-    filled = source.select(*(F.when(~is_blank(F.col(c)), F.col(c)).alias(c) for c in columns))
-    per_key = (
-        checks.key_references(filled, NATURAL_KEYS)
-        .groupBy("label", "key", "is_empty")
-        .agg(F.count("*").alias("rows"))
-    )
-    rows, is_empty = F.col("rows"), F.col("is_empty")
-    return per_key.groupBy(F.col("label").alias("table_name")).agg(
-        F.sum("rows").alias("row_count"),
-        F.coalesce(F.sum(F.when(is_empty, rows)), F.lit(0)).alias("blank_rows"),
-        F.count_if(~is_empty).alias("distinct_keys"),
-        F.count_if(~is_empty & (rows > 1)).alias("repeated_keys"),
-    )
 
+    def of_table(name: str, keys: Sequence[str]) -> DataFrame:
+        rows = F.col("rows")
+        is_empty = reduce(or_, (F.col(n).isNull() for n in checks.key_names(keys)))
+        return (
+            checks.key_counts(source, keys, "rows")
+            .agg(
+                F.coalesce(F.sum(rows), F.lit(0)).alias("row_count"),
+                F.coalesce(F.sum(F.when(is_empty, rows)), F.lit(0)).alias("blank_rows"),
+                F.count_if(~is_empty).alias("distinct_keys"),
+                F.count_if(~is_empty & (rows > 1)).alias("repeated_keys"),
+            )
+            .select(F.lit(name).alias("table_name"), "*")
+        )
+
+    return checks.union_all([of_table(name, keys) for name, keys in NATURAL_KEYS.items()])
 
-def model_usage(model: Mapping[str, DataFrame]) -> DataFrame:
-    """How often each primary key is held and used, for all tables and links at once."""
-    return checks.key_usage(
-        {name: (model[name], keys) for name, keys in PRIMARY_KEYS.items()},
-        model[FACT],
-        {link.dimension: link.columns for link in LINKS},
-    )
+
+Usage = Mapping[str, DataFrame]
+
+
+def model_usage(model: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """How often each primary key is held by its table and used by the fact, per table."""
+    columns = {link.dimension: link.columns for link in LINKS}
+    return {
+        name: checks.key_usage(
+            model[name], keys, model[FACT] if name in columns else None, columns.get(name, ())
+        )
+        for name, keys in PRIMARY_KEYS.items()
+    }
+
+
+def write_usage(model: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """The usage counted once and stored, for all the checks that read it."""
+    usage = model_usage(model)
+    for name, keys in usage.items():
+        keys.write.parquet(f"{folder}/{name}")
+    spark = model[FACT].sparkSession
+    return {n: spark.read.schema(k.schema).parquet(f"{folder}/{n}") for n, k in usage.items()}
 
 
-def links_summary(model: Mapping[str, DataFrame]) -> DataFrame:
+def _links_of(usage: Usage) -> dict[str, DataFrame]:
+    return {name: keys for name, keys in usage.items() if name != FACT}
+
+
+def links_summary(usage: Usage) -> DataFrame:
     """One row of counts per link between the fact and a dimension."""
-    profile = checks.usage_profile(model_usage(model).filter(F.col("label") != FACT))
+    profile = checks.usage_profile(_links_of(usage))
     return profile.select(F.col("label").alias("dimension"), *LINK_CHECKS)
 
 
-def missing_link_keys(model: Mapping[str, DataFrame]) -> DataFrame:
+def missing_link_keys(model: Mapping[str, DataFrame], usage: Usage) -> DataFrame:
     """(fk_column, missing_key) for every single fact column and value its dimension lacks.
 
     A null counts as a value. Insurance is listed by its id alone here; ``links_summary``
     tests it together with the patient.
     """
     column = {link.dimension: link.columns[:1] for link in LINKS}
-    usage = checks.key_usage(
-        {name: (model[name], columns) for name, columns in column.items()}, model[FACT], column
-    )
-    fk_of = F.create_map(*(F.lit(v) for name, cols in column.items() for v in (name, *cols)))
-    return usage.filter((F.col("held") == 0) & (F.col("used") > 0)).select(
-        fk_of[F.col("label")].alias("fk_column"), F.col("key")[0].alias("missing_key")
+    by_one = {
+        name: usage[name]
+        if len(PRIMARY_KEYS[name]) == 1
+        else checks.key_usage(model[name], columns, model[FACT], columns)
+        for name, columns in column.items()
+    }
+    return checks.union_all(
+        [
+            keys.filter((F.col("held") == 0) & (F.col("used") > 0)).select(
+                F.lit(column[name][0]).alias("fk_column"),
+                F.col("key_1").cast("string").alias("missing_key"),
+            )
+            for name, keys in by_one.items()
+        ]
     )
 
 
-def unused_dimension_keys(model: Mapping[str, DataFrame]) -> DataFrame:
-    """(dimension, unused_key) of every dimension key no visit refers to."""
+def unused_dimension_keys(usage: Usage) -> DataFrame:
+    """(dimension, unused_key, second_part) of every dimension key no visit refers to.
+
+    ``second_part`` is null for keys of one part.
+    """
     is_unused = (F.col("held") > 0) & (F.col("is_empty") | (F.col("used") == 0))
-    return (
-        model_usage(model)
-        .filter(is_unused & (F.col("label") != FACT))
-        .select(
-            F.col("label").alias("dimension"), F.array_join("key", ",").alias("unused_key")
-        )
+    return checks.union_all(
+        [
+            keys.filter(is_unused).select(
+                F.lit(name).alias("dimension"),
+                F.col("key_1").cast("string").alias("unused_key"),
+                (F.col("key_2") if "key_2" in keys.columns else F.lit(None))
+                .cast("string")
+                .alias("second_part"),
+            )
+            for name, keys in _links_of(usage).items()
+        ]
     )
 
 
@@ -96,9 +134,12 @@ def empty_links(model: Mapping[str, DataFrame]) -> DataFrame:
     return checks.null_links(model[FACT], "visit_id", columns)
 
 
-def report(model: Mapping[str, DataFrame]) -> DataFrame:
-    """Every check as (check_name, table_name, column_name, value), from one pass per table."""
-    profile = checks.usage_profile(model_usage(model))
+def report(model: Mapping[str, DataFrame], usage: Usage | None = None) -> DataFrame:
+    """Every check as (check_name, table_name, column_name, value).
+
+    ``usage`` is that of the model, if it has been counted already.
+    """
+    profile = checks.usage_profile(model_usage(model) if usage is None else usage)
     key_of = F.create_map(
         *(F.lit(v) for name, keys in PRIMARY_KEYS.items() for v in (name, ",".join(keys)))
     )
@@ -117,3 +158,29 @@ def report(model: Mapping[str, DataFrame]) -> DataFrame:
         F.col("patients").alias("value"),
     )
     return keys.unionByName(statuses)
+
+
+def torn_rows(torn: Mapping[str, DataFrame], left_out: bool = False) -> DataFrame:
+    """Report lines with the number of rows of a wrong number of fields, by table or source,
+    and with how many of them were left out."""
+    lines = [("torn_rows", True), ("rows_left_out", left_out)]
+    return checks.union_all(
+        [
+            broken.agg(F.count("*").alias("rows")).select(
+                F.inline(
+                    F.array(
+                        *(
+                            F.struct(
+                                F.lit(check).alias("check_name"),
+                                F.lit(name).alias("table_name"),
+                                F.lit("*").alias("column_name"),
+                                (F.col("rows") * int(counts)).alias("value"),
+                            )
+                            for check, counts in lines
+                        )
+                    )
+                )
+            )
+            for name, broken in torn.items()
+        ]
+    )

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimloom.operators.dedup import one_per_key
 from dimloom.plans.tables import FACT
 
 
@@ -42,29 +43,36 @@ def visits_by_clinic_and_type(model: Mapping[str, DataFrame]) -> DataFrame:
 def visits_by_provider_and_gender(
     model: Mapping[str, DataFrame], attribute: str = "doctor_department"
 ) -> DataFrame:
-    """The provider's attribute goes in first: it leaves few groups per patient to shuffle."""
-    providers = model["DimProvider"].select("provider_id", attribute)
-    per_patient = (
-        model[FACT]
-        .join(providers, "provider_id", "left")
-        .groupBy(attribute, "patient_id")
-        .agg(F.count("*").alias("visits"))
-    )
+    """Visits are counted by both ids first, then each id is swapped in turn."""
+    counted = model[FACT].groupBy("provider_id", "patient_id").agg(F.count("*").alias("visits"))
+    per_patient = visits_by(counted, model["DimProvider"], "provider_id", [attribute])
     return visits_by(per_patient, model["DimPatient"], "patient_id", ["patient_gender"])
 
 
 def gender_columns(visits: DataFrame, genders: Sequence[str]) -> DataFrame:
-    """The same counts with one column per given gender value."""
+    """The same counts with one column per given gender value, ``other`` for the visits of all
+    other values and of none, and ``visits`` for their sum."""
     rows = [c for c in visits.columns if c not in ("patient_gender", "visits")]
-    return visits.groupBy(*rows).pivot("patient_gender", list(genders)).sum("visits")
+    gender, count = F.col("patient_gender"), F.col("visits")
+    listed = F.coalesce(gender.isin(list(genders)), F.lit(False))
+    return visits.groupBy(*rows).agg(
+        *(F.sum(F.when(gender == value, count)).alias(value) for value in genders),
+        F.sum(F.when(~listed, count)).alias("other"),
+        F.sum(count).alias("visits"),
+    )
 
 
 def billing_by_month(billing: DataFrame) -> DataFrame:
     """Charges per month and their running total; billings without a date come first.
 
-    The window is global but holds one row per calendar month.
+    A billing recorded in several states counts once, by its latest record; records without a
+    billing id count each. The window is global but holds one row per calendar month.
     """
-    monthly = billing.groupBy(_month("billing_date").alias("billing_month")).agg(
+    own = F.when(F.col("billing_id").isNull(), F.monotonically_increasing_id())
+    latest = one_per_key(
+        billing.withColumn("_own", own), ["billing_id", "_own"], newest_by=["billing_date"]
+    )
+    monthly = latest.groupBy(_month("billing_date").alias("billing_month")).agg(
         F.sum("billing_total_charge").cast("decimal(28,2)").alias("month_total")
     )
     so_far = Window.orderBy(F.col("billing_month").asc_nulls_first()).rowsBetween(

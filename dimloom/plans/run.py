@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,8 @@ from dimloom.functions.cells import ACTIVE_AFTER
 from dimloom.plans import quality
 from dimloom.plans.model import build_model, published
 from dimloom.plans.tables import COLUMNS, FACT
-from dimloom.sources.flat import cell_rejects, land_flat, read_flat
+from dimloom.scratch import scratch_path
+from dimloom.sources.flat import BROKEN, cell_rejects, land_flat, read_flat
 from dimloom.sources.tables import read_csv_table, read_model, write_csv, write_parquet
 
 # Writes that start together; each already spreads over the cluster, this only keeps it busy
@@ -22,18 +24,21 @@ from dimloom.sources.tables import read_csv_table, read_model, write_csv, write_
 SIDE_BY_SIDE = 4
 
 
-def _side_by_side(*writes: Callable[[], None]) -> None:
+def _side_by_side(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """The jobs keep the caller's job group, scheduler pool and tags."""
+    in_thread = inheritable_thread_target(spark)
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        list(pool.map(lambda write: write(), writes))
+        list(pool.map(in_thread(lambda write: write()), writes))
 
 
 def write_model(model: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Write every table as Parquet below ``folder`` and read it back, sizes now known."""
     fact_first = sorted(model, key=lambda name: name != FACT)  # it takes longest
+    spark = model[FACT].sparkSession
     _side_by_side(
-        *(partial(write_parquet, model[name], f"{folder}/{name}") for name in fact_first)
+        spark, *(partial(write_parquet, model[name], f"{folder}/{name}") for name in fact_first)
     )
-    return dict(read_model(model[FACT].sparkSession, folder))
+    return dict(read_model(spark, folder))
 
 
 def export_model(
@@ -48,7 +53,7 @@ def export_model(
             table, partition_by = table.withColumn("visit_month", month), ("visit_month",)
         write_csv(published(name, table), f"{folder}/{name}", partition_by)
 
-    _side_by_side(*(partial(export, name) for name in model))
+    _side_by_side(model[FACT].sparkSession, *(partial(export, name) for name in model))
 
 
 def normalize(
@@ -57,26 +62,29 @@ def normalize(
     folder: str,
     separator: str = ",",
     multiline: bool = False,
-    keep_broken: bool = False,
+    keep_broken: bool = True,
     active_after: dt.date = ACTIVE_AFTER,
+    partitions: int | None = None,
 ) -> dict[str, DataFrame]:
     """Text to model: landed once, built, written as Parquet and CSV, checked.
 
     Below ``folder``: ``landed``, ``model/<table>``, ``csv/<table>``, and the four reports
-    ``broken_rows``, ``cell_rejects``, ``input_keys`` and ``quality``. Returns the written
-    tables.
+    ``broken_rows``, ``cell_rejects``, ``input_keys`` and ``quality``. The last also has the
+    number of torn rows and of those left out. Returns the written tables.
     """
-    flat, broken = land_flat(
-        read_flat(spark, flat_path, separator, multiline), f"{folder}/landed", keep_broken
-    )
+    text = read_flat(spark, flat_path, separator, multiline)
+    flat, broken = land_flat(text, f"{folder}/landed", keep_broken, partitions)
     model = write_model(build_model(flat, active_after), f"{folder}/model")
     reports = {
         "broken_rows": broken,
         "cell_rejects": cell_rejects(flat),
         "input_keys": quality.input_profile(flat),
-        "quality": quality.report(model),
+        "quality": quality.report(model).unionByName(
+            quality.torn_rows({"landed": broken}, left_out=not keep_broken)
+        ),
     }
     _side_by_side(
+        spark,
         lambda: export_model(model, f"{folder}/csv"),
         *(partial(write_parquet, report, f"{folder}/{name}") for name, report in reports.items()),
     )
@@ -88,11 +96,19 @@ def validate_export(
 ) -> DataFrame:
     """The quality report of exported text tables, their keys compared as text.
 
-    A table is the directory or file ``<folder>/<table><suffix>``.
+    A table is the directory or file ``<folder>/<table><suffix>``. Rows with a wrong number of
+    fields are counted per table; the cells that were read of them are checked as well. Each
+    text is parsed once, into Parquet that all checks read.
     """
-    return quality.report(
-        {
-            name: read_csv_table(spark, f"{folder}/{name}{suffix}", columns, multiline)
-            for name, columns in COLUMNS.items()
-        }
-    )
+    landed = scratch_path(spark, "validated")
+    tables = {}
+    for name, columns in COLUMNS.items():
+        text = read_csv_table(spark, f"{folder}/{name}{suffix}", columns, multiline)
+        text.write.parquet(f"{landed}/{name}")
+        tables[name] = spark.read.schema(text.schema).parquet(f"{landed}/{name}")
+    torn = {
+        name: table.where(F.col(BROKEN).isNotNull()).select(BROKEN)
+        for name, table in tables.items()
+    }
+    whole = {name: table.drop(BROKEN) for name, table in tables.items()}
+    return quality.report(whole).unionByName(quality.torn_rows(torn))

@@ -90,6 +90,7 @@ class Link:
     columns: tuple[str, ...]
 
 
+# The published tables' ids, keys and moments.
 NUMBERED = (
     Numbered("DimProvider", "provider_id", PROVIDER),
     Numbered("DimLocation", "location_id", LOCATION),
@@ -129,9 +130,6 @@ COLUMNS = {
     FACT: FACT_VISIT,
 }
 
-# Keys a visit may lack: blank text means there is none, in the dimension and in the fact.
-OPTIONAL_KEYS = ("prescription_id", "lab_order_id")
-
 # Columns that are timestamps inside and text cut to seconds when published.
 MOMENTS = {
     "DimBilling": "billing_date",

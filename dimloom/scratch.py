@@ -18,7 +18,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not folder:
         context = spark.sparkContext
         if not context.getCheckpointDir():
-            if not context.master.startswith("local"):
+            if not (context.master == "local" or context.master.startswith("local[")):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="dimloom-"))
         folder = context.getCheckpointDir()

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimloom.functions import cells
-from dimloom.operators.spread import spread_if_few
 from dimloom.plans import tables as t
 from dimloom.scratch import scratch_path
 
@@ -40,13 +39,15 @@ def read_flat(
 ) -> DataFrame:
     """All columns as text under their header names, plus the raw line of rows that do not fit.
 
-    Columns may come in any order; files whose headers disagree fail instead of being read
-    shifted. A line break inside a field needs ``multiline``, which reads each file in one
-    task, so the default keeps files splittable and shows such rows as broken.
+    Columns may come in any order and any case; files whose headers disagree fail instead of
+    being read shifted. A line break inside a field needs ``multiline``, which reads each file
+    in one task, so the default keeps files splittable and shows such rows as broken.
     """
     options = {**CSV_OPTIONS, "sep": separator, "multiLine": multiline}
     header = spark.read.options(**options).csv(path).columns
-    missing = [c for c in FLAT_COLUMNS if c not in header]
+    # Names that differ in case only are numbered by Spark, and so count as missing.
+    by_name = {column.lower(): column for column in header}
+    missing = [c for c in FLAT_COLUMNS if c not in by_name]
     if missing:
         raise ValueError(f"flat input lacks columns {missing}")
     text = [T.StructField(c, T.StringType()) for c in (*header, BROKEN)]
@@ -56,22 +57,29 @@ def read_flat(
         spark.read.options(**options, **counting, mode="PERMISSIVE", enforceSchema=False)
         .schema(T.StructType(text))
         .csv(path)
-        .select(*FLAT_COLUMNS, BROKEN)
+        .select(*(F.col(f"`{by_name[c]}`").alias(c) for c in FLAT_COLUMNS), BROKEN)
     )
 
 
 def land_flat(
-    flat: DataFrame, path: str | None = None, keep_broken: bool = False
+    flat: DataFrame,
+    path: str | None = None,
+    keep_broken: bool = True,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Write the text once as Parquet; return its good rows and the raw lines of broken ones.
+    """Write the text once as Parquet; return its rows and the raw lines of broken ones.
 
     Every table is then built from a column-pruned scan instead of parsing the text again.
-    Rows with too few or too many fields are only reported, as their cells may be shifted;
-    ``keep_broken`` also leaves them among the rows, with the cells that were read.
+    Rows with too few or too many fields stay among the rows with the cells that were read,
+    and are reported. As such cells may be shifted, a caller may choose to leave these rows
+    out with ``keep_broken=False``. ``partitions`` deals text out that arrives in too few
+    splits for the cluster, such as a few packed files.
     """
     spark = flat.sparkSession
     path = path or scratch_path(spark, "flat")
-    spread_if_few(flat).write.mode("overwrite").parquet(path)
+    if partitions:
+        flat = flat.repartition(partitions)
+    flat.write.mode("overwrite").parquet(path)
     landed = spark.read.schema(flat.schema).parquet(path)
     is_broken = F.col(BROKEN).isNotNull()
     rows = landed if keep_broken else landed.filter(~is_broken)
@@ -86,11 +94,11 @@ def cell_rejects(flat: DataFrame) -> DataFrame:
     parsers = {
         "visit_datetime": (
             "not a timestamp",
-            lambda c: cells.parse_timestamp(c, cells.MICROSECOND_PATTERN),
+            lambda c: cells.parse_timestamp(c, *cells.MOMENT_PATTERNS),
         ),
         "billing_date": (
             "not a timestamp",
-            lambda c: cells.parse_timestamp(c, cells.MICROSECOND_PATTERN),
+            lambda c: cells.parse_timestamp(c, *cells.MOMENT_PATTERNS),
         ),
         "lab_result_date": ("not a timestamp", cells.parse_timestamp),
         "billing_total_charge": ("not an amount", cells.parse_amount),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from dimloom.plans.tables import PRIMARY_KEYS
-from dimloom.sources.flat import CSV_OPTIONS
+from dimloom.sources.flat import BROKEN, CSV_OPTIONS
 
 
 def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -34,10 +34,14 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 def read_csv_table(
     spark: SparkSession, path: str, columns: Sequence[str], multiline: bool = False
 ) -> DataFrame:
-    """A written table as text; its header must carry exactly these columns."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    """A written table as text, and the raw line of rows with too few or too many fields.
+
+    Its header must carry exactly these columns.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, BROKEN)])
     options = {**CSV_OPTIONS, "multiLine": multiline, "enforceSchema": False}
-    return spark.read.options(**options).schema(schema).csv(path)
+    counting = {"columnNameOfCorruptRecord": BROKEN, "columnPruning": False}
+    return spark.read.options(**options, **counting, mode="PERMISSIVE").schema(schema).csv(path)
 
 
 def read_model(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:

@@ -14,6 +14,7 @@ DUCK_TYPES = {
     "INTEGER": T.IntegerType(),
     "VARCHAR": T.StringType(),
     "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampNTZType(),
     "DECIMAL(10,2)": T.DecimalType(10, 2),

@@ -83,7 +83,7 @@ def test_null_key_counts_per_column(fact, dimension):
 
 def test_profile_equals_the_joins_it_stands_for(fact, dimension):
     keys = {"by_k": ["k"], "by_both": ["k", "p"]}
-    usage = checks.key_usage({n: (dimension, k) for n, k in keys.items()}, fact, keys)
+    usage = {n: checks.key_usage(dimension, k, fact, k) for n, k in keys.items()}
     profile = {r["label"]: r.asDict() for r in checks.usage_profile(usage).collect()}
     for name, key in keys.items():
         got = profile[name]
@@ -102,5 +102,19 @@ def test_profile_equals_the_joins_it_stands_for(fact, dimension):
 
 def test_profile_never_builds_pairs(fact, dimension):
     """A key with n fact rows and m table rows is counted as n*m without a join."""
-    usage = checks.key_usage({"k": (dimension, ["k"])}, fact, {"k": ["k"]})
+    usage = {"k": checks.key_usage(dimension, ["k"], fact, ["k"])}
     assert "Join" not in plan(checks.usage_profile(usage))
+
+
+def test_blank_keys_are_missing_in_every_check(spark):
+    """Null, empty, blanks, a tab and a line break are all no key."""
+    blanks = [None, "", "  ", "\t", " \n"]
+    fact = spark.createDataFrame([(b,) for b in [*blanks, "a", "x"]], "k string")
+    table = spark.createDataFrame([(b,) for b in [*blanks, "a"]], "k string")
+    assert rows(checks.null_keys({"D": table}, {"D": ["k"]})) == {("D", "k", 5)}
+    assert checks.null_links(fact, "k", ["k"]).count() == 5
+    assert rows(checks.orphan_rows(fact, ["k"], table, ["k"])) == {("x",)}
+    usage = {"k": checks.key_usage(table, ["k"], fact, ["k"])}
+    profile = checks.usage_profile(usage).first().asDict()
+    assert profile["null_rows"] == profile["empty_links"] == 5
+    assert profile["orphan_rows"] == profile["orphan_keys"] == 1

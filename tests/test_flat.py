@@ -27,6 +27,16 @@ def test_forty_seven_text_columns_under_their_names_in_any_order(spark, tmp_path
     assert flat.select(*FLAT_COLUMNS).collect() == [tuple(f"<{c}>" for c in FLAT_COLUMNS)]
 
 
+def test_header_names_match_without_regard_to_case(spark, tmp_path):
+    text = [",".join(c.upper() for c in FLAT_COLUMNS), line()]
+    flat = read_flat(spark, write_text(tmp_path / "in", text))
+    assert flat.columns[:-1] == list(FLAT_COLUMNS) and flat.first()["visit_id"] == "v1"
+    # Spark itself numbers names it sees twice, so none of the two is there any more.
+    twice = [",".join([*FLAT_COLUMNS, "VISIT_ID"]), line() + ",v2"]
+    with pytest.raises(ValueError, match="visit_id"):
+        read_flat(spark, write_text(tmp_path / "twice", twice))
+
+
 def test_missing_column_is_named(spark, tmp_path):
     path = write_text(tmp_path / "in", [",".join(c for c in FLAT_COLUMNS if c != "room_number")])
     with pytest.raises(ValueError, match="room_number"):
@@ -70,7 +80,9 @@ def test_line_breaks_in_fields_need_multiline(spark, tmp_path):
     write_csv(broken.coalesce(1), str(tmp_path / "csv"))
     whole = read_flat(spark, str(tmp_path / "csv"), multiline=True)
     assert rows(whole, "visit_id", "patient_address_line1") == {("v1", "one\ntwo"), ("v2", None)}
-    good, rejected = land_flat(read_flat(spark, str(tmp_path / "csv")), str(tmp_path / "landed"))
+    good, rejected = land_flat(
+        read_flat(spark, str(tmp_path / "csv")), str(tmp_path / "landed"), keep_broken=False
+    )
     assert rows(good, "visit_id") == {("v2",)}
     assert rejected.count() == 2  # both halves of the torn row, as raw text
 
@@ -78,7 +90,7 @@ def test_line_breaks_in_fields_need_multiline(spark, tmp_path):
 def test_broken_rows_are_found_beside_columns_that_are_not_read(spark, tmp_path):
     text = [",".join(["extra", *FLAT_COLUMNS, "other"]), "e," + line() + ",o", line(), "e,f"]
     flat = read_flat(spark, write_text(tmp_path / "in", text))
-    good, broken = land_flat(flat, str(tmp_path / "landed"))
+    good, broken = land_flat(flat, str(tmp_path / "landed"), keep_broken=False)
     assert rows(good, "visit_id", "room_number") == {("v1", "101")}
     assert rows(broken) == {(line(),), ("e,f",)}
 
@@ -93,13 +105,13 @@ def test_unusual_text_survives_a_round_trip(spark, tmp_path):
     assert rows(read, "visit_id", "patient_city") == {(str(i), c) for i, c in enumerate(text)}
 
 
-def test_rows_with_too_few_or_many_fields_are_set_aside_whole(spark, tmp_path):
+def test_rows_with_too_few_or_many_fields_are_kept_unless_told_otherwise(spark, tmp_path):
     text = [",".join(FLAT_COLUMNS), line(), line() + ",more", "only,three,fields"]
     flat = read_flat(spark, write_text(tmp_path / "in", text))
-    good, broken = land_flat(flat, str(tmp_path / "landed"))
+    good, broken = land_flat(flat, str(tmp_path / "landed"), keep_broken=False)
     assert good.count() == 1
     assert rows(broken) == {(line() + ",more",), ("only,three,fields",)}
-    kept, broken = land_flat(flat, str(tmp_path / "kept"), keep_broken=True)
+    kept, broken = land_flat(flat, str(tmp_path / "kept"), partitions=3)
     assert (kept.count(), broken.count()) == (3, 2)
     assert ("only", "three", "fields", None) in rows(kept, *FLAT_COLUMNS[:4])
 
@@ -125,13 +137,14 @@ def test_table_reader_rejects_another_header(spark, tmp_path):
 def test_unreadable_cells_are_listed_and_missing_ones_are_not(spark):
     flat = flat_rows(
         spark,
-        {"visit_id": "v1", "visit_datetime": "2023-05-06", "billing_total_charge": "abc"},
+        {"visit_id": "v1", "visit_datetime": "06.05.2023", "billing_total_charge": "abc"},
         {"visit_id": "v2", "visit_datetime": "  ", "billing_total_charge": None},
         {"visit_id": "v3", "lab_result_date": "2023-05-06", "prescription_duration_days": "1.5"},
         {"visit_id": "v4", "billing_total_charge": "12345678901", "billing_date": "soon"},
+        {"visit_id": "v5", "visit_datetime": "2023-05-06", "billing_date": "2023-05-06 07:08:09"},
     )
     assert rows(cell_rejects(flat)) == {
-        ("v1", "visit_datetime", "2023-05-06", "not a timestamp"),
+        ("v1", "visit_datetime", "06.05.2023", "not a timestamp"),
         ("v1", "billing_total_charge", "abc", "not an amount"),
         ("v3", "prescription_duration_days", "1.5", "not a whole number"),
         ("v4", "billing_total_charge", "12345678901", "not an amount"),

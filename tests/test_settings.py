@@ -3,20 +3,42 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import pytest
+from invented import configured, plan
+from pyspark.sql import functions as F
 
-from dimloom.operators import spread_if_few
 from dimloom.scratch import scratch_path
 from dimloom.settings import session_settings
 
 
-def test_shuffle_partitions_follow_cores_and_input_up_to_a_limit():
-    def partitions(cores, size):
-        return int(session_settings(cores, size)["spark.sql.shuffle.partitions"])
+def test_shuffle_partitions_follow_cores_and_input_without_a_limit():
+    def partitions(cores, size, **choice):
+        return int(session_settings(cores, size, **choice)["spark.sql.shuffle.partitions"])
 
     assert partitions(8, 0) == 16
     assert partitions(8, 1 << 40) == 2048
     assert partitions(4000, 1 << 40) == 8000
-    assert partitions(4000, 100 << 40) == 50_000
+    assert partitions(4000, 100 << 40) == 204_800
+    assert partitions(4000, 100 << 40, input_per_shuffle_partition=2 << 30) == 51_200
+
+
+def test_a_small_file_that_is_large_in_memory_is_not_broadcast(spark, tmp_path):
+    """Repetitive text of some hundred megabytes packs into a few, and is joined by sorting."""
+    text = F.repeat(F.lit("abcdefghij"), F.lit(100))
+    wide = spark.range(0, 300_000, 1, 4).select("id", text.alias("text"), F.xxhash64("id").alias("x"))
+    wide.write.parquet(str(tmp_path / "wide"))
+    size = sum(f.stat().st_size for f in (tmp_path / "wide").glob("*.parquet"))
+    settings = session_settings(8)
+    threshold = int(settings["spark.sql.autoBroadcastJoinThreshold"])
+    factor = float(settings["spark.sql.sources.fileCompressionFactor"])
+    assert size < threshold < 300_000 * 1000
+    narrow = spark.range(0, 1000, 1, 2)
+    with configured(
+        spark,
+        autoBroadcastJoinThreshold=str(min(threshold, int(size * factor) - 1)),
+        sources_fileCompressionFactor=str(factor),
+    ):
+        joined = narrow.join(spark.read.parquet(str(tmp_path / "wide")), "id", "left")
+        assert "BroadcastExchange" not in plan(joined)
 
 
 def test_scratch_tables_go_below_the_shared_folder(spark):
@@ -32,9 +54,3 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     )
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(session, "a")
-
-
-def test_only_inputs_in_few_pieces_are_spread(spark):
-    assert spread_if_few(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 8
-    many = spark.range(0, 100, 1, 9)
-    assert spread_if_few(many) is many

@@ -11,6 +11,9 @@ from dimloom.plans import tables as t
 ACTIVE_AFTER = "2001-06-30"
 MICROSECONDS = "%Y-%m-%d %H:%M:%S.%f"
 SECONDS = "%Y-%m-%d %H:%M:%S"
+DAYS_ONLY = "%Y-%m-%d"
+WHITE_SPACE = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+OPTIONAL_KEYS = ("prescription_id", "lab_order_id")
 
 
 def text(column: str) -> str:
@@ -25,10 +28,14 @@ def moment(column: str) -> str:
     return f"strftime({column}, '{MICROSECONDS}')"
 
 
-def parsed(cell: str) -> str:
+def to_microsecond(cell: str) -> str:
     return f"try_strptime({cell}, '{MICROSECONDS}')"
 
 
+def parsed(cell: str) -> str:
+    return f"try_strptime({cell}, ['{MICROSECONDS}', '{SECONDS}', '{DAYS_ONLY}'])"
+
+
 def amount(cell: str) -> str:
     return f"try_cast({cell} as decimal(10,2))"
 
@@ -38,7 +45,12 @@ def seconds(value: str) -> str:
 
 
 def not_blank(cell: str) -> str:
-    return f"({cell} is not null and trim({cell}) <> '')"
+    return f"({cell} is not null and trim({cell}, {WHITE_SPACE}) <> '')"
+
+
+def filled(cells: tuple[str, ...]) -> str:
+    """Replacements that make blank cells null."""
+    return ", ".join(f"case when {not_blank(c)} then {c} end as {c}" for c in cells)
 
 
 def survivor(keys: tuple[str, ...], newest: tuple[str, ...], rest: tuple[str, ...]) -> str:
@@ -126,6 +138,27 @@ VISIT_COLUMNS = ",".join(
     [LINE_COLUMNS, ORDER_COLUMNS, CUSTOMER_COLUMNS, PART_COLUMNS, SUPPLIER_COLUMNS]
 )
 
+# Keys of which some are blanked, each by another remainder of the visit id's length and end.
+BLANKED = ("patient_id", "insurance_id", "billing_id", "visit_id")
+
+
+def cut(cell: str, by: str) -> str:
+    """Times of three precisions, by the last digit of another cell."""
+    last = f"cast(right({by}, 1) as integer) % 3"
+    return (
+        f"case {last} when 1 then substr({cell}, 1, 19) "
+        f"when 2 then substr({cell}, 1, 10) else {cell} end"
+    )
+
+
+def blanked(key: str) -> str:
+    order = f"cast(split_part(visit_id, '-', 1) as bigint) % 50 - {10 * BLANKED.index(key)}"
+    return (
+        f"case {order} when 0 then null when 1 then '' when 2 then '  ' "
+        f"when 3 then chr(9) when 4 then concat(' ', chr(10)) else {key} end"
+    )
+
+
 CELLS = f"""
 order_cells as (select {moment("o_orderdate")} as visit_datetime, {ORDER_COLUMNS} from orders),
 customer_cells as (
@@ -144,6 +177,15 @@ visits as (select {VISIT_COLUMNS}, {text("l_orderkey")} as lab_order_id from {ST
 flat as (
     select {VISIT_COLUMNS}, {EVENT_COLUMNS}
     from {STAR} left join events on l_orderkey = event_id),
+mixed_times as (
+    select * replace (
+        {cut("visit_datetime", "visit_id")} as visit_datetime,
+        {cut("billing_date", "billing_id")} as billing_date)
+    from flat),
+blank_keys as (
+    select * replace (
+        {", ".join(f"{blanked(key)} as {key}" for key in BLANKED)})
+    from flat),
 messy as (
     select {text("o_orderkey")} as visit_id,
         case o_orderpriority when '1-URGENT' then {moment("o_orderdate")}
@@ -221,11 +263,12 @@ def prescriptions(source: str, timed: bool) -> str:
     {survivor(("prescription_id",), seen, rest)}"""
 
 
-def model_tables(flat: bool) -> str:
-    """All eleven tables, from the flat table or from each subject's own cells."""
+def model_tables(flat: str | None, torn: str = "") -> str:
+    """All eleven tables, from a flat table or from each subject's own cells. ``torn`` is what
+    torn rows of its file add to DimLocation."""
 
     def source(own: str) -> str:
-        return "flat" if flat else own
+        return "keyed" if flat else own
 
     sources = {
         "DimProvider": "part_cells",
@@ -236,7 +279,7 @@ def model_tables(flat: bool) -> str:
     }
     rest = tuple(c for c in t.FACT_VISIT if c not in ("visit_id", "visit_datetime"))
     plain = tuple(c for c in rest if c not in {s.id_name for s in t.NUMBERED})
-    plain = tuple(c for c in plain if c not in t.OPTIONAL_KEYS)
+    plain = tuple(c for c in plain if c not in OPTIONAL_KEYS)
     ctes = {
         "last_visits": f"""select patient_id, max(cast({parsed("visit_datetime")} as date))
             as last_visit_date from {source("order_cells")} group by patient_id""",
@@ -256,11 +299,15 @@ def model_tables(flat: bool) -> str:
             {commas(tuple("v." + c for c in plain))},
             {commas(tuple(s.id_name for s in t.NUMBERED))},
             {", ".join(f"case when {not_blank('v.' + c)} then v.{c} end as {c}"
-                       for c in t.OPTIONAL_KEYS)}
+                       for c in OPTIONAL_KEYS)}
             from {source("visits")} v {lookups(t.NUMBERED)}""",
         "FactVisit": f"""select {commas(t.FACT_VISIT)} from visit_rows
-            {survivor(("visit_id",), ("visit_datetime",), rest)}""",
+            {survivor(("visit_id",), ("visit_datetime",), rest)} or visit_id is null""",
     }
+    if flat:
+        keys = tuple(dict.fromkeys(c for own in t.NATURAL_KEYS.values() for c in own))
+        ctes = {"keyed": f"select * replace ({filled(keys)}) from {flat}", **ctes}
+    ctes["DimLocation"] += torn
     return ",\n".join(f"{name} as ({body})" for name, body in ctes.items())
 
 
@@ -268,8 +315,8 @@ def on_cells(body: str) -> str:
     return f"with {CELLS}\n{body}"
 
 
-def on_model(body: str, flat: bool = False) -> str:
-    return f"with {CELLS},\n{model_tables(flat)}\n{body}"
+def on_model(body: str, flat: str | None = None, torn: str = "") -> str:
+    return f"with {CELLS},\n{model_tables(flat, torn)}\n{body}"
 
 
 def published(name: str, table: str) -> str:
@@ -293,12 +340,12 @@ def null_counts() -> str:
     )
 
 
-def input_profile() -> str:
+def input_profile(flat: str = "flat") -> str:
     def of_table(name: str, keys: tuple[str, ...]) -> str:
         filled = " and ".join(not_blank(k) for k in keys)
-        per_key = f"select count(*) as copies from flat where {filled} group by {commas(keys)}"
-        return f"""select '{name}' as table_name, (select count(*) from flat) as row_count,
-            (select count(*) from flat where not ({filled})) as blank_rows,
+        per_key = f"select count(*) as copies from {flat} where {filled} group by {commas(keys)}"
+        return f"""select '{name}' as table_name, (select count(*) from {flat}) as row_count,
+            (select count(*) from {flat} where not ({filled})) as blank_rows,
             (select count(*) from ({per_key})) as distinct_keys,
             (select count(*) from ({per_key}) where copies > 1) as repeated_keys"""
 
@@ -330,7 +377,9 @@ def held(link: t.Link) -> str:
 def unused_keys() -> str:
     return " union all ".join(
         f"select distinct '{link.dimension}' as dimension, "
-        f"concat_ws(',', {commas(link.columns)}) as unused_key from {link.dimension} d "
+        f"{text(link.columns[0])} as unused_key, "
+        f"{text(link.columns[1]) if link.columns[1:] else 'cast(null as varchar)'} as second_part "
+        f"from {link.dimension} d "
         f"where not exists (select 1 from FactVisit f where {held(link)})"
         for link in t.LINKS
     )
@@ -395,6 +444,48 @@ def report() -> str:
     return " union all ".join([*scalar, status])
 
 
+def torn_lines(torn: dict[str, int]) -> str:
+    """The report's lines on torn rows, none of them left out."""
+    return " union all ".join(
+        f"select '{check}', '{name}', '*', {count}"
+        for name in t.COLUMNS
+        for check, count in (("torn_rows", torn.get(name, 0)), ("rows_left_out", 0))
+    )
+
+
+def running_total(latest: str) -> str:
+    return f"""select billing_month, month_total,
+        cast(sum(month_total) over (order by billing_month nulls first
+            rows between unbounded preceding and current row) as decimal(28,2)) as running_total
+        from (select date_trunc('month', billing_date) as billing_month,
+            cast(sum(billing_total_charge) as decimal(28,2)) as month_total
+            from ({latest}) group by 1)"""
+
+
+ONE_PER_ID = f"""select {BILLING_VALUES} from line_billing
+    {survivor(
+        ("billing_id",),
+        (parsed("line_billing.billing_date"),),
+        (
+            "line_billing.insurance_id",
+            amount("line_billing.billing_total_charge"),
+            amount("line_billing.billing_amount_paid"),
+            "line_billing.billing_payment_status",
+        ),
+    )}"""
+
+# Lines with fields left out, a field too many, and a line break, from the orders.
+TORN_TEXT = f"""
+    select {text("o_custkey")} as patient_id, 'n' || {text("o_orderkey")} as patient_first_name,
+        case when o_orderkey % 4 = 1 then null else o_orderstatus end as patient_last_name,
+        case when o_orderkey % 4 in (1, 3) then null else {text("o_orderkey")} end as visit_id,
+        o_orderkey % 4 <> 0 as is_torn
+    from orders
+    union all
+    select 'rest-' || {text("o_orderkey")}, null, null, null, true from orders
+        where o_orderkey % 4 = 3"""
+
+
 def gender_counts(attribute: str) -> str:
     return f"""select {attribute}, patient_gender, count(*) as visits
         from FactVisit f left join DimProvider p on f.provider_id = p.provider_id
@@ -414,6 +505,9 @@ REJECTS = " union all ".join(
     )
 )
 
+# Two of the five customer segments, in the place of genders; the rest are "other".
+SEGMENTS = ("AUTOMOBILE", "BUILDING")
+
 LINE_REST = (
     "l_partkey",
     "l_suppkey",
@@ -451,7 +545,21 @@ FROM_FLAT = {
 }
 
 ORACLES: dict[str, str] = {
-    **{query: on_model(published(name, name), flat=True) for query, name in FROM_FLAT.items()},
+    **{query: on_model(published(name, name), flat="flat") for query, name in FROM_FLAT.items()},
+    **{
+        f"{query}_mixed_times": on_model(published(name, name), flat="mixed_times")
+        for query, name in (
+            ("dim_patient", "DimPatient"), ("dim_billing", "DimBilling"), ("fact_visit", t.FACT),
+        )
+    },
+    "parse_rejects_mixed_times": on_cells("select 0 as rejects"),
+    "torn_rows": on_cells(TORN_TEXT),
+    "blank_keys_profile": on_cells(input_profile("blank_keys")),
+    "blank_keys_pk_nulls": on_model(null_counts(), flat="blank_keys"),
+    "blank_keys_fk_nulls": on_model(null_links(), flat="blank_keys"),
+    "blank_keys_report": on_model(report(), flat="blank_keys"),
+    "blank_keys_fact": on_model(published(t.FACT, t.FACT), flat="blank_keys"),
+    "billing_running_total_conflicts": on_cells(running_total(ONE_PER_ID)),
     "dim_patient_status": on_model("select * from DimPatient"),
     "dim_insurance": on_model("select * from DimInsurance"),
     "dim_billing": on_model(published("DimBilling", "DimBilling")),
@@ -459,17 +567,7 @@ ORACLES: dict[str, str] = {
     "billing_one_per_id": on_cells(
         published(
             "DimBilling",
-            f"""(select {BILLING_VALUES} from line_billing
-            {survivor(
-                ("billing_id",),
-                (parsed("line_billing.billing_date"),),
-                (
-                    "line_billing.insurance_id",
-                    amount("line_billing.billing_total_charge"),
-                    amount("line_billing.billing_amount_paid"),
-                    "line_billing.billing_payment_status",
-                ),
-            )})""",
+            f"({ONE_PER_ID})",
         )
     ),
     "dim_provider": on_model("select * from DimProvider"),
@@ -486,9 +584,9 @@ ORACLES: dict[str, str] = {
     "part_supplier_ids": """select row_number() over (order by l_partkey, l_suppkey) as pair_id,
         l_partkey, l_suppkey from (select distinct l_partkey, l_suppkey from lineitem)""",
     "last_visits": on_model("select * from last_visits"),
-    "parsed_cells": on_cells(f"""select visit_id, {parsed("visit_datetime")} as visit_ts,
-        cast({parsed("visit_datetime")} as date) as visit_date,
-        coalesce({parsed("visit_datetime")}, try_strptime(visit_datetime, '{SECONDS}'))
+    "parsed_cells": on_cells(f"""select visit_id, {to_microsecond("visit_datetime")} as visit_ts,
+        cast({to_microsecond("visit_datetime")} as date) as visit_date,
+        coalesce({to_microsecond("visit_datetime")}, try_strptime(visit_datetime, '{SECONDS}'))
             as lenient_ts,
         try_cast(lab_result_date as timestamp) as lab_ts,
         {seconds("try_cast(lab_result_date as timestamp)")} as lab_text,
@@ -500,7 +598,7 @@ ORACLES: dict[str, str] = {
     ),
     "cell_rejects": on_cells(REJECTS),
     "csv_round_trip": on_cells(f"select {FLAT_TEXT} from flat"),
-    "normalized_counts": on_model(row_counts(), flat=True),
+    "normalized_counts": on_model(row_counts(), flat="flat"),
     "model_row_counts": on_model(row_counts()),
     "patient_status_counts": on_model(
         "select patient_status, count(*) as patients from DimPatient group by patient_status"
@@ -535,7 +633,11 @@ ORACLES: dict[str, str] = {
             (select count(*) from FactVisit f left join DimInsurance d
                 on f.insurance_id = d.insurance_id and f.patient_id = d.patient_id)"""),
     "quality_report": on_model(report()),
-    "exported_quality": on_model(report()),
+    "exported_quality": on_model(report() + " union all " + torn_lines({})),
+    "exported_quality_torn": on_model(
+        report() + " union all " + torn_lines({"DimLocation": 2}),
+        torn=" union all values (7777777, 'Torn', null), (7777778, 'Torn', 'Room')",
+    ),
     "monthly_visits": on_model("""select date_trunc('month', visit_datetime) as visit_month,
         count(*) as visits from FactVisit group by 1"""),
     "visits_by_location_type": on_model("""select clinic_name, visit_type, count(*) as visits
@@ -547,16 +649,13 @@ ORACLES: dict[str, str] = {
         "select doctor_department, "
         + ", ".join(
             f"cast(sum(visits) filter (patient_gender = '{g}') as bigint) as {g}"
-            for g in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+            for g in SEGMENTS
         )
+        + f""", cast(sum(visits) filter (coalesce(patient_gender not in {SEGMENTS}, true))
+            as bigint) as other, cast(sum(visits) as bigint) as visits"""
         + f" from ({gender_counts('doctor_department')}) group by doctor_department"
     ),
-    "billing_running_total": on_model("""select billing_month, month_total,
-        cast(sum(month_total) over (order by billing_month nulls first
-            rows between unbounded preceding and current row) as decimal(28,2)) as running_total
-        from (select date_trunc('month', billing_date) as billing_month,
-            cast(sum(billing_total_charge) as decimal(28,2)) as month_total
-            from DimBilling group by 1)"""),
+    "billing_running_total": on_model(running_total("select * from DimBilling")),
     "provider_activity": on_model("""select doctor_name, doctor_department, count(*) as visits
         from FactVisit f left join DimProvider p on f.provider_id = p.provider_id
         group by doctor_name, doctor_department"""),

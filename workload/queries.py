@@ -6,19 +6,18 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimloom.functions import cells
 from dimloom.operators import checks
 from dimloom.operators.dedup import distinct_rows, one_per_key
 from dimloom.operators.keys import dense_ids
-from dimloom.operators.spread import spread_if_few
 from dimloom.plans import model as m
 from dimloom.plans import quality, reports, run
 from dimloom.plans import tables as t
 from dimloom.scratch import scratch_path
-from dimloom.sources.flat import cell_rejects, read_flat
+from dimloom.sources.flat import BROKEN, cell_rejects, land_flat, read_flat
 from dimloom.sources.tables import write_csv
 from workload import roles
 
@@ -27,32 +26,55 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The test orders end in August 2001.
 ACTIVE_AFTER = dt.date(2001, 6, 30)
 
-_written: dict[tuple[str, str], dict[str, DataFrame]] = {}
+# Set by a caller whose tables come in fewer pieces than its cores can use.
+PARTITIONS_SETTING = "spark.dimloom.input.partitions"
+
+_written: dict[tuple, tuple[dict[str, DataFrame], dict[str, DataFrame]]] = {}
 
 
 def open_tables(spark: SparkSession, sf_dir: str) -> roles.Tables:
     # The tables hold zone-free times, which pass through text here. No zone shift is wanted.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return roles.Tables(spark, sf_dir)
+    return roles.Tables(spark, sf_dir, int(spark.conf.get(PARTITIONS_SETTING, "0")))
 
 
 def build(tables: roles.Tables) -> dict[str, DataFrame]:
     return m.build_model(roles.sources(tables), ACTIVE_AFTER, visits=roles.orders(tables))
 
 
-def written_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The model as stored tables, built and written once per session and input folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def newest_file(spark: SparkSession, sf_dir: str) -> int:
+    """When the folder's files last changed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return max(file.getModificationTime() for file in files)
+
+
+def written(
+    spark: SparkSession, sf_dir: str
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The model and the usage of its keys as stored tables, written once per session and
+    state of the input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, newest_file(spark, sf_dir))
     if key not in _written:
-        model = build(open_tables(spark, sf_dir))
-        _written[key] = run.write_model(model, scratch_path(spark, "model"))
+        tables = build(open_tables(spark, sf_dir))
+        model = run.write_model(tables, scratch_path(spark, "model"))
+        _written[key] = model, quality.write_usage(model, scratch_path(spark, "usage"))
     return _written[key]
 
 
+def written_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return written(spark, sf_dir)[0]
+
+
 def on_model(query: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, sf_dir: query(written_model(spark, sf_dir))
 
 
+def on_usage(query: Callable[..., DataFrame]) -> Query:
+    """A query on the model and the usage of its keys."""
+    return lambda spark, sf_dir: query(*written(spark, sf_dir))
+
+
 def on_tables(query: Callable[[roles.Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: query(open_tables(spark, sf_dir))
 
@@ -68,6 +90,12 @@ def from_flat(
     return m.published(name, builder(roles.flat(tables)))
 
 
+def from_mixed_times(
+    builder: Callable[[DataFrame], DataFrame], name: str, tables: roles.Tables
+) -> DataFrame:
+    return m.published(name, builder(roles.mixed_times(tables)))
+
+
 def fact_from_flat(flat: DataFrame) -> DataFrame:
     return m.build_model(flat, ACTIVE_AFTER)[t.FACT]
 
@@ -81,7 +109,7 @@ def fact_visit(tables: roles.Tables) -> DataFrame:
 
 
 def visit_survivor(tables: roles.Tables) -> DataFrame:
-    lines = spread_if_few(tables["lineitem"])
+    lines = tables.dealt("lineitem")
     return one_per_key(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
@@ -94,6 +122,45 @@ def distinct_pairs(tables: roles.Tables) -> DataFrame:
     return distinct_rows(tables["lineitem"], ["l_partkey", "l_suppkey"])
 
 
+def landed(frame: DataFrame) -> DataFrame:
+    path = scratch_path(frame.sparkSession, "landed")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def blank_keys_model(tables: roles.Tables) -> dict[str, DataFrame]:
+    return m.build_model(landed(roles.blank_keys(tables)), ACTIVE_AFTER)
+
+
+def torn_rows(tables: roles.Tables) -> DataFrame:
+    """What is read of text with torn rows; all of them stay among the rows."""
+    path = scratch_path(tables.spark, "torn-text")
+    (
+        roles.torn_lines(tables)
+        .repartition("file")
+        .sortWithinPartitions("file", F.desc("is_header"))
+        .select("file", "value")
+        .write.partitionBy("file")
+        .text(path)
+    )
+    rows, broken = land_flat(read_flat(tables.spark, f"{path}/file=*").withColumn("torn", torn_flag()))
+    return rows.select(
+        "patient_id", "patient_first_name", "patient_last_name", "visit_id",
+        F.col("torn").alias("is_torn"),
+    )
+
+
+def torn_flag() -> Column:
+    return F.col(BROKEN).isNotNull()
+
+
+def mixed_rejects(tables: roles.Tables) -> DataFrame:
+    """Times of every precision can be read."""
+    rejected = cell_rejects(roles.mixed_times(tables))
+    dates = rejected.where("column_name in ('visit_datetime', 'billing_date')")
+    return dates.agg(F.count("*").cast("int").alias("rejects"))
+
+
 def csv_round_trip(tables: roles.Tables) -> DataFrame:
     path = scratch_path(tables.spark, "flat-csv")
     write_csv(roles.flat(tables), path)
@@ -117,6 +184,16 @@ def exported_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.validate_export(spark, folder)
 
 
+def exported_quality_torn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a file of torn rows beside a dimension's own."""
+    folder = scratch_path(spark, "csv")
+    run.export_model(written_model(spark, sf_dir), folder)
+    lines = [",".join(t.COLUMNS["DimLocation"]), "7777777,Torn", "7777778,Torn,Room,one more"]
+    text = spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1)
+    text.write.mode("append").text(f"{folder}/DimLocation")
+    return run.validate_export(spark, folder)
+
+
 def parsed_cells(tables: roles.Tables) -> DataFrame:
     visit = cells.parse_timestamp(F.col("visit_datetime"), cells.MICROSECOND_PATTERN)
     either = cells.parse_timestamp(
@@ -165,7 +242,7 @@ def insurance_fan_out(model: dict[str, DataFrame]) -> DataFrame:
 
     insurance, fact = model["DimInsurance"], model[t.FACT]
     keys = {",".join(k): k for k in (("insurance_id",), ("insurance_id", "patient_id"))}
-    usage = checks.key_usage({name: (insurance, k) for name, k in keys.items()}, fact, keys)
+    usage = {name: checks.key_usage(insurance, k, fact, k) for name, k in keys.items()}
     return checks.usage_profile(usage).select(
         F.col("label").alias("join_columns"), "rows_before", "rows_after"
     )
@@ -183,13 +260,13 @@ def unused_billings(model: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def fan_out(model: dict[str, DataFrame]) -> DataFrame:
-    return quality.links_summary(model).select("dimension", "rows_before", "rows_after")
+def fan_out(_: dict[str, DataFrame], usage: dict[str, DataFrame]) -> DataFrame:
+    return quality.links_summary(usage).select("dimension", "rows_before", "rows_after")
 
 
 def gender_table(model: dict[str, DataFrame]) -> DataFrame:
-    # The customer segments of the test tables, in the place of genders.
-    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    # Two customer segments of the test tables, in the place of genders.
+    segments = ["AUTOMOBILE", "BUILDING"]
     return reports.gender_columns(reports.visits_by_provider_and_gender(model), segments)
 
 
@@ -244,6 +321,17 @@ QUERIES: dict[str, Query] = {
             ("fact_visit", t.FACT, fact_from_flat),
         )
     },
+    # the same from times of several precisions and from blank keys
+    **{
+        f"{query}_mixed_times": on_tables(partial(from_mixed_times, builder, name))
+        for query, name, builder in (
+            ("dim_patient", "DimPatient", partial(m.dim_patient, active_after=ACTIVE_AFTER)),
+            ("dim_billing", "DimBilling", m.dim_billing),
+            ("fact_visit", t.FACT, fact_from_flat),
+        )
+    },
+    "blank_keys_fact": on_tables(lambda x: m.published(t.FACT, blank_keys_model(x)[t.FACT])),
+    "parse_rejects_mixed_times": on_tables(mixed_rejects),
     # single operators
     "visit_survivor": on_tables(visit_survivor),
     "distinct_pairs": on_tables(distinct_pairs),
@@ -253,25 +341,35 @@ QUERIES: dict[str, Query] = {
     "parse_rejects": on_tables(reject_counts),
     "cell_rejects": on_tables(lambda x: cell_rejects(roles.messy(x))),
     "csv_round_trip": on_tables(csv_round_trip),
+    "torn_rows": on_tables(torn_rows),
     "normalized_counts": on_tables(normalized_counts),
     # quality checks
-    "input_key_profile": on_tables(lambda x: quality.input_profile(roles.flat(x))),
+    "input_key_profile": on_tables(lambda x: quality.input_profile(landed(roles.flat(x)))),
     "model_row_counts": on_model(checks.row_counts),
     "patient_status_counts": on_model(lambda x: quality.status_counts(x["DimPatient"])),
     "pk_null_counts": on_model(lambda x: checks.null_keys(x, t.PRIMARY_KEYS)),
     "billing_conflicts": on_tables(billing_conflicts),
     "pk_duplicates": on_tables(repeated_lines),
-    "fk_missing_keys": on_model(quality.missing_link_keys),
+    "fk_missing_keys": on_usage(quality.missing_link_keys),
     "lab_missing_keys": on_model(missing_lab_orders),
     "fk_orphan_rows": on_model(lab_orphans),
     "fk_null_rows": on_model(quality.empty_links),
-    "fk_summary": on_model(quality.links_summary),
-    "dim_unused_keys": on_model(quality.unused_dimension_keys),
+    "fk_summary": on_usage(lambda _, usage: quality.links_summary(usage)),
+    "dim_unused_keys": on_usage(lambda _, usage: quality.unused_dimension_keys(usage)),
     "billing_unused_rows": on_model(unused_billings),
-    "fanout_check": on_model(fan_out),
+    "fanout_check": on_usage(fan_out),
     "insurance_fan_out": on_model(insurance_fan_out),
-    "quality_report": on_model(quality.report),
+    "quality_report": on_usage(quality.report),
     "exported_quality": exported_quality,
+    "exported_quality_torn": exported_quality_torn,
+    "blank_keys_profile": on_tables(
+        lambda x: quality.input_profile(landed(roles.blank_keys(x)))
+    ),
+    "blank_keys_pk_nulls": on_tables(
+        lambda x: checks.null_keys(blank_keys_model(x), t.PRIMARY_KEYS)
+    ),
+    "blank_keys_fk_nulls": on_tables(lambda x: quality.empty_links(blank_keys_model(x))),
+    "blank_keys_report": on_tables(lambda x: quality.report(blank_keys_model(x))),
     # reports
     "monthly_visits": on_model(lambda x: reports.monthly_visits(x[t.FACT])),
     "visits_by_location_type": on_model(reports.visits_by_clinic_and_type),
@@ -281,5 +379,8 @@ QUERIES: dict[str, Query] = {
     ),
     "gender_columns": on_model(gender_table),
     "billing_running_total": on_model(lambda x: reports.billing_by_month(x["DimBilling"])),
+    "billing_running_total_conflicts": on_tables(
+        lambda x: reports.billing_by_month(m.dim_billing(roles.line_billing(x)))
+    ),
     "provider_activity": on_model(reports.visits_by_doctor),
 }

@@ -9,32 +9,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from dimloom.functions.cells import MICROSECOND_PATTERN
-from dimloom.operators.spread import spread_if_few
-
-
-_schemas: dict[str, StructType] = {}
+from dimloom.sources.flat import FLAT_COLUMNS
 
 
 class Tables(dict):
     """The test tables of one folder, each opened on first use.
 
-    Finding a file's schema takes a job, so it is kept for the next query on that file.
+    The caller knows whether tables come in too few pieces for its cores, and then says into
+    how many partitions the large ones are to be dealt.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, partitions: int | None = None) -> None:
         super().__init__()
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.partitions = spark, sf_dir, partitions
 
     def __missing__(self, name: str) -> DataFrame:
-        path = f"{self.sf_dir}/{name}.parquet"
-        if path not in _schemas:
-            _schemas[path] = self.spark.read.parquet(path).schema
-        self[name] = self.spark.read.schema(_schemas[path]).parquet(path)
+        self[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self[name]
 
+    def dealt(self, name: str) -> DataFrame:
+        return self[name].repartition(self.partitions) if self.partitions else self[name]
+
 
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
@@ -153,7 +150,7 @@ def _with_clinic_nation(suppliers: DataFrame, tables: Tables) -> DataFrame:
 def orders(tables: Tables) -> DataFrame:
     """Insurance and billing records, dated by their order."""
     dated = _moment("o_orderdate").alias("visit_datetime")
-    return spread_if_few(tables["orders"]).select(dated, *_order_cells())
+    return tables.dealt("orders").select(dated, *_order_cells())
 
 
 def customers(tables: Tables) -> DataFrame:
@@ -171,7 +168,7 @@ def suppliers(tables: Tables) -> DataFrame:
 
 
 def events(tables: Tables) -> DataFrame:
-    return spread_if_few(tables["events"]).select(*_event_cells())
+    return tables.dealt("events").select(*_event_cells())
 
 
 def lines(tables: Tables) -> DataFrame:
@@ -180,7 +177,7 @@ def lines(tables: Tables) -> DataFrame:
 
 def line_billing(tables: Tables) -> DataFrame:
     """Lines as billing records: several, in different states, under one billing id."""
-    return spread_if_few(tables["lineitem"]).select(
+    return tables.dealt("lineitem").select(
         _text("l_orderkey").alias("billing_id"),
         F.col("l_returnflag").alias("insurance_id"),
         _money("l_extendedprice").alias("billing_total_charge"),
@@ -195,7 +192,7 @@ def messy(tables: Tables) -> DataFrame:
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     when = _moment("o_orderdate")
     charge, days = _money("o_totalprice"), _text("o_custkey")
-    return spread_if_few(tables["orders"]).select(
+    return tables.dealt("orders").select(
         _text("o_orderkey").alias("visit_id"),
         F.when(priority == "1-URGENT", when)
         .when(priority == "2-HIGH", F.substring(when, 1, 19))
@@ -226,7 +223,7 @@ def _star(tables: Tables) -> DataFrame:
     """Lines with the tables they refer to, one plain table per join so that Spark knows the
     size of every side it may broadcast."""
     joined = (
-        spread_if_few(tables["lineitem"])
+        tables.dealt("lineitem")
         .join(tables["orders"], F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(tables["customer"], F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(tables["part"], F.col("l_partkey") == F.col("p_partkey"), "left")
@@ -259,6 +256,69 @@ def flat(tables: Tables) -> DataFrame:
     return with_events.select(*_visit_cells(), *_event_cells())
 
 
+def mixed_times(tables: Tables) -> DataFrame:
+    """The flat input with times of microseconds, seconds and days."""
+
+    def cut(cell: str, by: str) -> Column:
+        last = F.right(F.col(by), F.lit(1)).cast("int") % 3
+        return (
+            F.when(last == 1, F.substring(cell, 1, 19))
+            .when(last == 2, F.substring(cell, 1, 10))
+            .otherwise(F.col(cell))
+        )
+
+    return flat(tables).withColumns(
+        {
+            "visit_datetime": cut("visit_datetime", "visit_id"),
+            "billing_date": cut("billing_date", "billing_id"),
+        }
+    )
+
+
+def blank_keys(tables: Tables) -> DataFrame:
+    """The flat input with some keys missing, empty, or of blanks, a tab or a line break."""
+    order = F.substring_index("visit_id", "-", 1).cast("long") % 50
+
+    def blanked(key: str, first: int) -> Column:
+        cell = F.when(order == first, F.lit(None).cast("string"))
+        for i, blank in enumerate(("", "  ", "\t", " \n"), 1):
+            cell = cell.when(order == first + i, blank)
+        return cell.otherwise(F.col(key))
+
+    keys = ("patient_id", "insurance_id", "billing_id", "visit_id")
+    return flat(tables).withColumns({k: blanked(k, 10 * i) for i, k in enumerate(keys)})
+
+
+def torn_lines(tables: Tables) -> DataFrame:
+    """Orders as lines of text (columns file, is_header, value): whole ones, ones with few
+    fields, with one field too many, and ones with a line break in the third field."""
+    files, fields = 4, len(FLAT_COLUMNS)
+    visit_at = FLAT_COLUMNS.index("visit_id")
+    start = [_text("o_custkey"), F.concat(F.lit("n"), _text("o_orderkey"))]
+    middle = F.lit("," * (visit_at - 3))
+    rest = F.lit("," * (fields - visit_at - 1))
+    whole = F.concat_ws(",", *start, "o_orderstatus", F.concat(middle, _text("o_orderkey"), rest))
+    kind = F.col("o_orderkey") % 4
+    broken = F.concat_ws(",", *start, F.concat("o_orderstatus", F.lit("\nrest-"), _text("o_orderkey")))
+    value = (
+        F.when(kind == 1, F.concat_ws(",", *start))
+        .when(kind == 2, F.concat(whole, F.lit(",one more")))
+        .when(kind == 3, broken)
+        .otherwise(whole)
+    )
+    lines_of = tables["orders"].select(
+        F.pmod(F.xxhash64("o_orderkey"), F.lit(files)).cast("int").alias("file"),
+        F.lit(False).alias("is_header"),
+        value.alias("value"),
+    )
+    headers = tables.spark.range(files).select(
+        F.col("id").cast("int").alias("file"),
+        F.lit(True).alias("is_header"),
+        F.lit(",".join(FLAT_COLUMNS)).alias("value"),
+    )
+    return lines_of.unionByName(headers)
+
+
 # The frame each table of the model is built from.
 SOURCES = {
     "DimPatient": customers,
