@@ -10,6 +10,7 @@ from dimloom.scratch import scratch_path
 # Rows and bytes handed to Python at once. Texts of a batch are in memory together.
 BATCH_ROWS = 400
 BATCH_BYTES = 16 << 20
+BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_enough(df: DataFrame, bytes_a_row: int) -> bool:
+    """Whether a stored frame may be broadcast, by its rows and their size in memory."""
+    return df.count() * bytes_a_row <= BROADCAST_BYTES
+
+
 def whole(text: str) -> Column:
     """The text column, null taken as empty."""
     return F.coalesce(F.col(text), F.lit(""))

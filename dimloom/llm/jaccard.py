@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import stored, whole
+from dimloom.llm.common import small_enough, stored, whole
 from dimloom.llm.graph import components
 from dimloom.llm.words import class_table, mixed, word_hashes
 
@@ -52,7 +52,6 @@ REGION = 2_000_000  # shingles of one part, 16 MB
 PIVOTS = 12  # of a large family
 NEAR_PIVOTS = 8  # inside a region
 MEMORY = 500_000  # sets a task remembers to pass over copies
-BROADCAST_BYTES = 32 << 20
 
 CLASSES = class_table(bytes([9, 10, 11, 12, 13, 32]))
 _FACTORS = np.array(
@@ -185,10 +184,6 @@ def narrowed(rows: DataFrame, least: Column) -> DataFrame:
     return rows
 
 
-def small_enough(df: DataFrame, bytes_a_row: int) -> bool:
-    return df.count() * bytes_a_row <= BROADCAST_BYTES
-
-
 def families(sets: DataFrame) -> DataFrame:
     """node and component of the sets that may be linked to another (step 2)."""
     exploded = sets.select("node", "n", F.explode("keys").alias("key"))
@@ -429,7 +424,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         "chosen",
     )
     texts = hashed.join(
-        F.broadcast(chosen) if small_enough(chosen, 16) else chosen, "text_hash", "left_semi"
+        F.broadcast(chosen) if small_enough(chosen, 64) else chosen, "text_hash", "left_semi"
     )
     sets = stored(
         texts.select("text").mapInArrow(scan_whole, "node long, n long, keys array<long>"), "sets"
@@ -507,7 +502,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     )
 
     def found(some: DataFrame) -> DataFrame:
-        some = F.broadcast(some) if small_enough(some, 32) else some
+        some = F.broadcast(some) if small_enough(some, 128) else some
         return whole_rows.join(
             some, named & (F.col("text_hash") == F.col("kept_hash")), "left_semi"
         )

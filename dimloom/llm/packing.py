@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimloom.llm.bpe import printable_bytes
-from dimloom.llm.common import stored, whole
+from dimloom.llm.common import small_enough, stored, whole
 from dimloom.llm.pieces import SEPARATORS, Memory
 
 # Fixed value: the words of the lower-casing vocabulary, for text without the characters on
@@ -141,15 +141,18 @@ def pack(
     before = (
         Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
+    offsets = stored(
         pieces.groupBy("length", "_task")
         .agg(F.max("_place").alias("_last"))
         .select(
             "length",
             "_task",
             F.coalesce(F.sum(F.col("_last") + 1).over(before), F.lit(0)).alias("_before"),
-        )
+        ),
+        "offsets",
     )
+    # Known to be small, it saves a shuffle of all pieces.
+    offsets = F.broadcast(offsets) if small_enough(offsets, 128) else offsets
     buckets = longest.bit_length()
     bucket = F.log2("length").cast("long")
     number = (F.col("_before") + F.col("_place")) * buckets + bucket

@@ -8,7 +8,7 @@ from collections import defaultdict
 
 import pytest
 
-from dimloom.llm import graph, jaccard
+from dimloom.llm import common, graph, jaccard
 from tests.llm.helpers import documents, edited, odd_documents, words
 
 
@@ -78,8 +78,8 @@ def test_a_dense_group_of_near_copies_with_and_without_broadcast(spark, monkeypa
     texts = [" ".join(base)] * 40 + [" ".join(edited(rng, base, rng.randint(0, 2))) for _ in range(160)]
     texts += [" ".join(words(rng, 50)) for _ in range(50)]
     want = by_pairs(texts)
-    for size in (jaccard.BROADCAST_BYTES, 0):
-        monkeypatch.setattr(jaccard, "BROADCAST_BYTES", size)
+    for size in (common.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", size)
         rows = jaccard.jaccard_components(documents(spark, texts)).collect()
         assert {r["doc_id"]: tuple(r)[1:] for r in rows} == want
 
