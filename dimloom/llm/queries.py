@@ -20,6 +20,7 @@ from dimloom.llm import (
     unigram,
 )
 from dimloom.llm.common import table
+from dimloom.llm.oracles import ORACLES
 
 
 def vocabulary(name: str) -> str:
@@ -96,4 +97,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

@@ -22,6 +22,7 @@ from dimloom.operators.keys import number_rows
 
 PRIME = (1 << 31) - 1  # a square of a number below twice this still fits into 63 bits
 ROUNDS = 6
+SEED = 20_240_601
 
 
 def round_keys(seed: int) -> list[tuple[int, int, int]]:
@@ -91,7 +92,7 @@ def shuffled_positions(numbered: DataFrame, number: str, rows: int, seed: int) -
 
 
 def assign_shards(
-    docs: DataFrame, shards: int, seed: int = 20240601, id_col: str = "doc_id", text: str = "text"
+    docs: DataFrame, shards: int, seed: int = SEED, id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row.
 
