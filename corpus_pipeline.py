@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dimloom.llm import jaccard, packing, personal, toxicity
-from dimloom.llm.common import stored, table
+from dimloom.llm.common import prepare, stored, table
 from dimloom.llm.queries import may_learn, vocabulary
 
 # SQL cannot express the learnt model, the graph of the join, or the tokens.
@@ -25,16 +25,19 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of 0.8 of its shingles."""
+    prepare(spark)
     return jaccard.one_of_each_group(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their identifiers replaced by marks."""
+    prepare(spark)
     return personal.masked(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of up to 2048 tokens, with their ids."""
+    prepare(spark)
     return packing.pack(docs, vocabulary("word_bpe_49k.json"), with_ids=True)
 
 

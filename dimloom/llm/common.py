@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import dimloom
 from dimloom.scratch import scratch_path
 
 # Rows and bytes handed to Python at once. Texts of a batch are in memory together.
@@ -13,10 +18,25 @@ BATCH_BYTES = 16 << 20
 BROADCAST_BYTES = 32 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; Arrow batches are kept small enough for very long texts."""
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which may run anywhere, once per application;
+    keep Arrow batches small enough for very long texts."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(dimloom.__file__).parent
+        archive = f"{tempfile.mkdtemp(prefix='dimloom-package-')}/dimloom"
+        context.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables, in a session prepared for this package."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
