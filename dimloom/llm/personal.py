@@ -54,7 +54,7 @@ LEAST_KNOWN = 5  # distinct known identifiers a pattern precedes
 LEAST_CONFIDENCE = 0.8
 LEAST_SHARE = 0.5  # of all places of its words, those before an identifier or candidate
 ROUNDS = 3
-BLOCK = 4_000_000  # patterns counted in one scan
+BLOCK = 500_000  # patterns broadcast for one scan
 
 
 def passes_luhn(digits: str) -> bool:
@@ -191,14 +191,19 @@ def token_hash(value: bytes) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
+def in_blocks(patterns: DataFrame) -> Iterator[DataFrame]:
+    """The patterns by a hash of their context, about ``BLOCK`` at a time."""
+    blocks = -(-patterns.count() // BLOCK)
+    for block in range(blocks):
+        yield patterns.where(F.pmod(F.xxhash64("context"), F.lit(blocks)) == block)
+
+
 def context_counts(docs: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
     """How often the words of each pattern (column context) occur in all documents."""
     spark = docs.sparkSession
     texts = docs.select(whole(text).alias("text"))
-    blocks = -(-patterns.count() // BLOCK)
     counts = None
-    for block in range(blocks):
-        some = patterns.where(F.pmod(F.xxhash64("context"), F.lit(blocks)) == block)
+    for some in in_blocks(patterns):
         wanted = np.array(sorted(r["context"] for r in some.toLocalIterator()), dtype=np.int64)
         shared = spark.sparkContext.broadcast(wanted)
 
@@ -331,17 +336,14 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     """
     _, tokens = identifiers(docs, id_col, text)
     trusted = trusted_patterns(docs, text, tokens)
-    kinds: list[dict[int, int]] = [{}]
-    if trusted is not None:
-        for row in kind_by_context(trusted).orderBy("context").toLocalIterator():
-            if len(kinds[-1]) >= BLOCK:
-                kinds.append({})
-            kinds[-1][row["context"]] = row["found_kind"]
+    blocks = [None] if trusted is None else in_blocks(stored(kind_by_context(trusted), "kinds"))
     place = docs.columns.index(text)
     counted = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     rows = docs.select(F.struct("*").alias("row"))
-    for block in kinds:
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+    for block in blocks:
+        found_rows = () if block is None else block.toLocalIterator()
+        known_kinds = {row["context"]: row["found_kind"] for row in found_rows}
+        shared = docs.sparkSession.sparkContext.broadcast(known_kinds)
 
         def mask(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known = shared.value
