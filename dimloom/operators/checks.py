@@ -95,7 +95,8 @@ def unused_keys(
 
 def null_links(fact: DataFrame, row_id: str, columns: Sequence[str]) -> DataFrame:
     """(row id, fk_column) for every empty foreign key, from one scan of the fact."""
-    empty = F.array_compact(F.array(*(F.when(key_part(fact, c).isNull(), F.lit(c)) for c in columns)))
+    found = (F.when(key_part(fact, c).isNull(), F.lit(c)) for c in columns)
+    empty = F.array_compact(F.array(*found))
     return fact.select(row_id, F.explode(empty).alias("fk_column"))
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimloom.functions import cells
@@ -143,17 +143,13 @@ def torn_rows(tables: roles.Tables) -> DataFrame:
         .write.partitionBy("file")
         .text(path)
     )
-    rows, broken = land_flat(read_flat(tables.spark, f"{path}/file=*").withColumn("torn", torn_flag()))
+    read = read_flat(tables.spark, f"{path}/file=*")
+    rows, _ = land_flat(read.withColumn("is_torn", F.col(BROKEN).isNotNull()))
     return rows.select(
-        "patient_id", "patient_first_name", "patient_last_name", "visit_id",
-        F.col("torn").alias("is_torn"),
+        "patient_id", "patient_first_name", "patient_last_name", "visit_id", "is_torn"
     )
 
 
-def torn_flag() -> Column:
-    return F.col(BROKEN).isNotNull()
-
-
 def mixed_rejects(tables: roles.Tables) -> DataFrame:
     """Times of every precision can be read."""
     rejected = cell_rejects(roles.mixed_times(tables))

@@ -299,7 +299,8 @@ def torn_lines(tables: Tables) -> DataFrame:
     rest = F.lit("," * (fields - visit_at - 1))
     whole = F.concat_ws(",", *start, "o_orderstatus", F.concat(middle, _text("o_orderkey"), rest))
     kind = F.col("o_orderkey") % 4
-    broken = F.concat_ws(",", *start, F.concat("o_orderstatus", F.lit("\nrest-"), _text("o_orderkey")))
+    torn = F.concat("o_orderstatus", F.lit("\nrest-"), _text("o_orderkey"))
+    broken = F.concat_ws(",", *start, torn)
     value = (
         F.when(kind == 1, F.concat_ws(",", *start))
         .when(kind == 2, F.concat(whole, F.lit(",one more")))
