@@ -38,7 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         edges = stored(_towards_least(_towards_least(edges, larger=True), larger=False), "stars")
         state = edges.agg(
-            F.count("*").alias("edges"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("sum")
+            F.count("*").alias("edges"),
+            F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("sum"),
         ).first()
         if state == known:
             break

@@ -55,7 +55,13 @@ MEMORY = 500_000  # sets a task remembers to pass over copies
 
 CLASSES = class_table(bytes([9, 10, 11, 12, 13, 32]))
 _FACTORS = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
+    [
+        0x9E3779B97F4A7C15,
+        0xC2B2AE3D27D4EB4F,
+        0x165667B19E3779F9,
+        0x27D4EB2F165667C5,
+        0x85EBCA77C2B2AE63,
+    ],
     dtype=np.uint64,
 )
 
@@ -145,7 +151,8 @@ def scan_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The whole sets of the texts, each once."""
     seen = Seen()
     for batch in batches:
-        found = [(set_id(s), s) for s in shingle_sets(batch.column(0).cast(pa.binary()).to_pylist())]
+        texts = batch.column(0).cast(pa.binary()).to_pylist()
+        found = [(set_id(s), s) for s in shingle_sets(texts)]
         found = [(node, shingles) for node, shingles in found if seen.new(node)]
         yield pa.RecordBatch.from_arrays(
             [
@@ -342,7 +349,9 @@ def parts_of_large(members: DataFrame) -> DataFrame:
     cell = ["family", "cell", "band"]
     sizes = placed.groupBy(cell).agg(F.ceil(F.sum("n") / REGION).alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts"))
-    parted = placed.join(sizes, cell).withColumn("part", F.struct("cell", "band", part.alias("nth")))
+    parted = placed.join(sizes, cell).withColumn(
+        "part", F.struct("cell", "band", part.alias("nth"))
+    )
     windows = (
         parted.select("family", "part", F.posexplode("far").alias("pivot", "far"))
         .groupBy("family", "part", "pivot")
@@ -352,10 +361,11 @@ def parts_of_large(members: DataFrame) -> DataFrame:
     )
     one = windows.select("family", F.col("part").alias("part_a"), F.col("windows").alias("wa"))
     two = windows.select("family", F.col("part").alias("part_b"), F.col("windows").alias("wb"))
-    near = F.forall(
-        F.zip_with("wa", "wb", lambda a, b: F.greatest(a["low"], b["low"]) - F.least(a["high"], b["high"])),
-        lambda gap: gap <= DISTANCE + 1e-9,
-    )
+
+    def gap(a: Column, b: Column) -> Column:
+        return F.greatest(a["low"], b["low"]) - F.least(a["high"], b["high"])
+
+    near = F.forall(F.zip_with("wa", "wb", gap), lambda apart: apart <= DISTANCE + 1e-9)
     pairs = one.join(two, "family").where((F.col("part_a") <= F.col("part_b")) & near)
     pairs = pairs.select(
         "family", F.xxhash64("family", "part_a", "part_b").alias("region"), "part_a", "part_b"
@@ -391,7 +401,8 @@ def linked_sets(sets: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFram
         .mapInArrow(join_stream, "node long, least long, links long"),
         "links",
     )
-    edges = joined.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    apart = joined.where("node <> least")
+    edges = apart.select(F.col("node").alias("a"), F.col("least").alias("b"))
     return components(edges), joined.groupBy("node").agg(F.sum("links").alias("links"))
 
 

@@ -110,7 +110,8 @@ def fingerprints(texts: list[str], kept: list[int], replaced: list[str]) -> Prin
     # A phrase starts where the one before ends; the first of a string where the string does.
     running = np.cumsum(size) - size
     first = np.cumsum(counts) - counts
-    shift = np.cumsum(string_sizes) - string_sizes - np.r_[running, 0][np.minimum(first, len(running))]
+    before = np.r_[running, 0][np.minimum(first, len(running))]
+    shift = np.cumsum(string_sizes) - string_sizes - before
     starts = running + np.repeat(shift, counts)
     hashes = span_hashes(codes, starts, starts + size)
     smallest = np.full(3 * len(texts) * BINS, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -208,7 +209,8 @@ def document_fingerprints(
 
     # One row a range: the range before it, to which its first document goes as well.
     in_turn = Window.orderBy("bucket")
-    last = F.max("bucket").over(in_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    all_ranges = in_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = F.max("bucket").over(all_ranges)
     heads = (
         picked.select(key.alias("key"))
         .groupBy(range_of("key").alias("bucket"))

@@ -146,7 +146,8 @@ def fitted(sample: np.ndarray, nearest: int) -> MultiIndex:
             scores[at] = -np.inf
             top = np.argsort(-scores, kind="stable")[: min(nearest, len(sample) - 1)]
             needed.append(until[cells[top]] / len(sample))
-        share = float(np.quantile(np.concatenate(needed), CALIBRATED_RECALL)) if len(sample) > 1 else 1.0
+        reached = np.concatenate(needed)
+        share = float(np.quantile(reached, CALIBRATED_RECALL)) if len(reached) else 1.0
         if best is None or share < best.share:
             best = MultiIndex(first, second, norms, share)
     return best
@@ -289,7 +290,9 @@ def nearest_neighbours(
     asked = queries.mapInArrow(
         wants, "vec_id long, vector array<double>, block int, marks binary"
     ).select(
-        F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(query_blocks)).cast("int").alias("query_block"),
+        F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(query_blocks))
+        .cast("int")
+        .alias("query_block"),
         "block",
         F.lit(0).alias("role"),
         "vec_id",

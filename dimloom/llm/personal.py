@@ -145,7 +145,7 @@ SCANNED = (
 
 
 def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Base spans of each text; its seeds and candidates with their contexts (kind -1: candidate)."""
+    """Base spans of each text; its seeds and candidates, of kind -1, with their contexts."""
     span_type = pa.list_(pa.struct([(n, pa.int32()) for n in ("start", "kind", "end")]))
     token_type = pa.list_(
         pa.struct(
@@ -170,9 +170,8 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens: list[list[dict]] = [[] for _ in texts]
         for (t, start, kind, end), value, context in zip(found, values, before, strict=True):
             if context is not None:
-                tokens[t].append(
-                    {"start": start, "kind": kind, "end": end, "token": token_hash(value), "context": context}
-                )
+                place = {"start": start, "kind": kind, "end": end}
+                tokens[t].append({**place, "token": token_hash(value), "context": context})
         spans = [[{"start": a, "kind": k, "end": b} for a, k, b in some] for some in all_spans]
         yield pa.RecordBatch.from_arrays(
             [
@@ -248,7 +247,9 @@ def trusted_patterns(docs: DataFrame, text: str, tokens: DataFrame) -> DataFrame
         )
         for settled in (trusted, refused):
             if settled is not None:
-                patterns = patterns.join(settled.select("context", "kind"), ["context", "kind"], "left_anti")
+                patterns = patterns.join(
+                    settled.select("context", "kind"), ["context", "kind"], "left_anti"
+                )
         patterns = stored(patterns, "patterns")
         if patterns.isEmpty():
             break

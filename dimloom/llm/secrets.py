@@ -183,7 +183,10 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     )
     base = F.filter("spans", lambda s: s["kind"] != "entropy")
     results = by_document.select(
-        "row", "n_assign", "n_access", "n_hex", told(base).alias("base"), told(F.col("spans")).alias("spans")
+        "row",
+        *(f"n_{k}" for k in KINDS[:3]),
+        told(base).alias("base"),
+        told(F.col("spans")).alias("spans"),
     )
     no_spans = F.lit("")
     return scanned.select("row", "doc_id").join(results, "row", "left").select(

@@ -58,7 +58,8 @@ def permuted(number: Column, side: int, seed: int) -> Column:
         )
 
     halves = F.struct(
-        ((number - number % side) / side).cast("long").alias("left"), (number % F.lit(side)).alias("right")
+        ((number - number % side) / side).cast("long").alias("left"),
+        (number % F.lit(side)).alias("right"),
     )
     return F.aggregate(keys, halves, one_round, lambda h: h["left"] * side + h["right"])
 

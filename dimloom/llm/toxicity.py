@@ -166,7 +166,8 @@ def learned_toxicity(
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
-            for _, toxic, features, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            columns = (c.to_pylist() for c in batch.columns)
+            for _, toxic, features, counts in zip(*columns, strict=True):
                 rows.append((np.frombuffer(features, "<i4"), np.frombuffer(counts, "<u2"), toxic))
         learner = Ftrl()
         if len({toxic for _, _, toxic in rows}) < 2:
@@ -215,7 +216,11 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def toxicity_scores(
-    docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    may_learn: Column,
+    id_col: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """doc_id, held_out, score and predicted of every row. Rows of ids for which ``may_learn``
     does not hold are held out."""
