@@ -79,7 +79,7 @@ class BacktrackingBpe:
             if self.special
             else None
         )
-        self.pieces = Memory(self._piece, 200_000)
+        self.pieces = Memory(self._piece, 60_000)
         self.chunks = Memory(self._chunk)
 
     def _index(self, ids: dict[bytes, int]) -> None:
@@ -201,11 +201,9 @@ def round_trip_digests(
             rows = []
             for value in batch.column(1):
                 ids = coder.encode(value.as_py())
-                told = coder.decimals.joined(ids)[:-1]
-                decoded = coder.decode(ids).encode("utf-8")
-                rows.append(
-                    (len(ids), hashlib.sha256(told).hexdigest(), hashlib.sha256(decoded).hexdigest())
-                )
+                told = hashlib.sha256(coder.decimals.joined(ids)[:-1]).hexdigest()
+                decoded = hashlib.sha256(coder.decode(ids).encode("utf-8")).hexdigest()
+                rows.append((len(ids), told, decoded))
             counts, told, decoded = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [

@@ -32,6 +32,8 @@ from dimloom.llm.pieces import SEPARATORS, Memory
 # Fixed value: the words of the lower-casing vocabulary, for text without the characters on
 # which this module's shortcut might differ from the library.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^\s0-9a-zà-öø-ÿß]+")
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_MARKS = frozenset(".,;:!?")
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 
 
@@ -50,7 +52,7 @@ class WordTokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         self.chunks = Memory(self._chunk)
-        self.words = Memory(self._word, 200_000)
+        self.words = Memory(self._word, 100_000)
         self.model = self.library.model
         self.printable = {byte: char for char, byte in printable_bytes().items()}
 
@@ -63,9 +65,19 @@ class WordTokenizer:
             word = word.encode("utf-8").decode("latin-1").translate(self.printable)
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
+    def _known(self, word: str) -> bytes:
+        """A word's ids, from the memory if it was a chunk of its own lately."""
+        value = self.chunks.get(word)
+        return self._word(word) if value is None else value
+
     def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk.isalpha():
-            return self._word(chunk.lower())
+        letters = _LETTERS.match(chunk)
+        if letters:
+            word, rest = letters.group().lower(), chunk[letters.end() :]
+            if not rest:
+                return self._word(word) if word == chunk else self._known(word)
+            if rest in _MARKS:
+                return self._known(word) + self.words[rest]
         if "<|" in chunk or not _PLAIN.fullmatch(chunk):
             return self._by_library(chunk)
         return b"".join(map(self.words.__getitem__, _WORDS.findall(chunk.lower())))

@@ -83,7 +83,7 @@ class UnigramCounter:
     def count_texts(self, texts: list[str]) -> list[int]:
         """Tokens of each text; the counts of chunks are kept for the next call."""
         known = self.counts
-        if len(known) >= MEMORY_ENTRIES:
+        if len(known) >= 2 * MEMORY_ENTRIES:
             known.clear()
         chunks = [spaced_chunks(text) for text in texts]
         new = {c for some in chunks for c in some if c not in known}
