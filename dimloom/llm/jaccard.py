@@ -48,6 +48,7 @@ from dimloom.llm.words import class_table, mixed, word_hashes
 
 WORDS = 5
 DISTANCE = 0.2
+LINKABLE = 4  # shingles; a smaller set is linked to equal ones only
 REGION = 2_000_000  # shingles of one part, 16 MB
 PIVOTS = 12  # of a large family
 NEAR_PIVOTS = 8  # inside a region
@@ -133,7 +134,7 @@ def scan_lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lowest = []
         for node, shingles in zip(nodes, sets, strict=True):
             n = len(shingles)
-            wanted = n - at_least(n) + slack(n) if n >= WORDS and seen.new(node) else 0
+            wanted = n - at_least(n) + slack(n) if n >= LINKABLE and seen.new(node) else 0
             lowest.append(shingles[:wanted])
         yield pa.RecordBatch.from_arrays(
             [

@@ -71,6 +71,22 @@ def test_equals_all_pairs(spark, monkeypatch, region):
     assert len(rows) == len(texts) and got == by_pairs(texts)
 
 
+def test_sets_of_four_shingles_equal_all_pairs(spark):
+    rng = random.Random(4)
+    texts: list[str | None] = []
+    for _ in range(6):
+        base = words(rng, 8)
+        texts += [" ".join(base), " ".join([*base, "last"]), " ".join(["first", *base])]
+    for length in (8, 9, 30, 400):  # words that repeat with period 4, and one more
+        cycle = [f"w{length}x{i}" for i in range(4)] * 100
+        texts += [" ".join(cycle[:length]), " ".join([*cycle[:length], "more"])]
+    texts += ["p q r p q r p q r p", "p q r p q r p q r p more", "a b c d e f g", "a b c d e f g h"]
+    want = by_pairs(texts)
+    assert sum(links > 0 for n, _, links in want.values() if n == 4) >= 10
+    rows = jaccard.jaccard_components(documents(spark, texts)).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in rows} == want
+
+
 def test_a_dense_group_of_near_copies_with_and_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "REGION", 3000)
     rng = random.Random(3)
