@@ -38,7 +38,8 @@ THRESHOLDS = {"hex": 3.1, "mixed": 3.6}
 # Strings that are long and varied but no secrets.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
-    r"^([A-Za-z]+|[0-9]{1,8})([-_/+=]+([A-Za-z]+|[0-9]{1,8}))+$",  # words and numbers, joined
+    # Words and numbers, joined; possessive, as Java's engine recurses once per part otherwise.
+    r"^(?:[A-Za-z]++|[0-9]{1,8}+)(?:[-_/+=]++(?:[A-Za-z]++|[0-9]{1,8}+))++$",
     r"(.)\1{5}",  # runs of one character
     r"(?i)example|sample|dummy|placeholder|changeme|redacted",
     r"(?i)0123456789|123456789|abcdefghij|qwertyuiop",

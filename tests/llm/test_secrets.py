@@ -97,6 +97,20 @@ def test_allow_list_and_overlaps(spark):
     assert [rows[i] for i in range(2, 6)] == [""] * 4
 
 
+def test_joined_runs_of_any_length(spark):
+    key = "Zx81kQp0Rt7vLm2Bn4Ys"
+    texts = [
+        "ab" + "-12" * 100_000,
+        "a-1_" * 250_000 + "end",
+        "word/12345678=" * 50_000 + "end",
+        "ab" + "-12" * 100_000 + "-" + key,
+        f"bare {key} here",
+    ]
+    rows = {r["doc_id"]: r["spans"] for r in secrets.secret_spans(documents(spark, texts)).collect()}
+    want = ["", "", "", f"entropy:0:{len(texts[3])}", "entropy:5:25"]
+    assert [rows[i] for i in range(len(texts))] == want
+
+
 def test_odd_rows_empty_tables_and_no_python_worker(spark):
     odd = odd_documents(spark)
     found = secrets.secret_spans(odd)
