@@ -5,8 +5,8 @@ the matches give every match its place. Candidate strings (long runs of key char
 letters and digits) are opened into characters. A window of ``WINDOW`` characters slides over
 each: the character that enters and the one that leaves change the sum of c * log2(c) over the
 counts c, and the entropy is log2(WINDOW) - sum / WINDOW. A string is reported if some window
-reaches the threshold of its character class, unless it is on the allow list or overlaps a match
-of the fixed patterns.
+without an allowed part (a run, an example word, a sequence) reaches the threshold of its character
+class, unless the whole string is on the allow list or overlaps a match of the fixed patterns.
 
 Only hits are shuffled, by document and string, so the work after the scan grows with the hits.
 Defined results: a null or empty text has no spans; rows with null or repeated ids are scanned
@@ -35,15 +35,20 @@ PATTERNS = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, CANDIDATE), strict=True))
 # Bits a window needs, by the class of the string. Random strings of the class reach about 3.4
 # and 3.9 bits in 20 characters, prose about 3.
 THRESHOLDS = {"hex": 3.1, "mixed": 3.6}
-# Strings that are long and varied but no secrets.
+# Whole strings that are long and varied but no secrets.
+_TIME = r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}T[0-9]{2}[0-9_+-]*Z?"
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     # Words and numbers, joined; possessive, as Java's engine recurses once per part otherwise.
     r"^(?:[A-Za-z]++|[0-9]{1,8}+)(?:[-_/+=]++(?:[A-Za-z]++|[0-9]{1,8}+))++$",
+    rf"^{_TIME}(?:/{_TIME})?$",  # a time, or two
+)
+# A window with one of these does not count; the other windows of its string do. None is longer
+# than a window.
+ALLOWED_INSIDE = (
     r"(.)\1{5}",  # runs of one character
     r"(?i)example|sample|dummy|placeholder|changeme|redacted",
     r"(?i)0123456789|123456789|abcdefghij|qwertyuiop",
-    r"^[0-9]{4}-?[0-9]{2}-?[0-9]{2}T[0-9]{2}",  # times
 )
 
 
@@ -89,17 +94,38 @@ def entropy_sums(count: Column) -> Column:
     return F.when(count > 0, count * F.log2(F.greatest(count, F.lit(1)))).otherwise(0.0)
 
 
+def matches_any(value: Column, patterns: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for pattern in patterns:
+        found = found | value.rlike(pattern)
+    return found
+
+
+def windows_that_count(value: Column) -> Column:
+    """For each character, if the window it ends has no allowed part; empty if all count."""
+    windows = F.regexp_extract_all(value, F.lit("(?=(.{%d}))" % WINDOW), F.lit(1))
+    counts = F.transform(windows, lambda w: ~matches_any(w, ALLOWED_INSIDE))
+    return F.when(
+        matches_any(value, ALLOWED_INSIDE),
+        F.concat(F.array_repeat(F.lit(False), WINDOW - 1), counts),
+    ).otherwise(F.array().cast("array<boolean>"))
+
+
 def high_entropy(candidates: DataFrame) -> DataFrame:
-    """Candidates (row, start, end, value) with a window of enough entropy."""
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | F.col("value").rlike(pattern)
+    """Candidates (row, start, end, value) with a window of enough entropy and no allowed part."""
+    allowed = matches_any(F.col("value"), ALLOWED)
     varied = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
     chosen = candidates.where(varied & ~allowed).withColumn(
         "class", F.when(F.col("value").rlike("^[0-9a-fA-F]+$"), "hex").otherwise("mixed")
     )
+    each = F.arrays_zip(
+        F.split("value", "(?!^|$)").alias("char"), windows_that_count(F.col("value")).alias("counts")
+    )
     characters = chosen.select(
-        "row", "start", "end", "class", F.posexplode(F.split("value", "(?!^)")).alias("at", "char")
+        "row", "start", "end", "class", F.posexplode(each).alias("at", "each")
+    ).select(
+        *("row", "start", "end", "class", "at", "each.char"),
+        F.coalesce("each.counts", F.lit(True)).alias("counts"),
     )
     same = Window.partitionBy("row", "start", "char").orderBy("at")
     entering = F.count("*").over(same.rangeBetween(1 - WINDOW, 0))
@@ -110,6 +136,7 @@ def high_entropy(candidates: DataFrame) -> DataFrame:
         "end",
         "class",
         "at",
+        "counts",
         (entropy_sums(entering) - entropy_sums(entering - 1)).alias("gain"),
         (entropy_sums(leaving) - entropy_sums(leaving - 1)).alias("loss"),
     )
@@ -122,7 +149,7 @@ def high_entropy(candidates: DataFrame) -> DataFrame:
     )
     needed = F.when(F.col("class") == "hex", THRESHOLDS["hex"]).otherwise(THRESHOLDS["mixed"])
     return (
-        windows.where(F.col("at") >= WINDOW - 1)
+        windows.where((F.col("at") >= WINDOW - 1) & F.col("counts"))
         .groupBy("row", "start", "end", "class")
         .agg(F.max("entropy").alias("entropy"))
         .where(F.col("entropy") >= needed)

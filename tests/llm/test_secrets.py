@@ -111,6 +111,21 @@ def test_joined_runs_of_any_length(spark):
     assert [rows[i] for i in range(len(texts))] == want
 
 
+def test_allowed_parts_hide_only_their_windows(spark):
+    key = "Zx81kQp0Rt7vLm2Bn4Ys"
+    openssh = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZWQyNTUxOQ"
+    parts = ["AAAAAAAAA", "sample", "Dummy", "123456789", "qwertyuiop"]
+    texts = [key + p for p in parts] + [p + key for p in parts] + [openssh, f"20240101T000000Z{key}"]
+    hidden = ["Zx81kQsampleRt7vLm2B", "Zx81k123456789QLm2Bn", "20240101T000000-0500"]
+    hidden += ["20231115T134527Z/20231116T091234Z", "A" * 5000 + "1" * 20, "sample1" * 20]
+    rows = {
+        r["doc_id"]: r["spans"]
+        for r in secrets.secret_spans(documents(spark, texts + hidden)).collect()
+    }
+    assert [rows[i] for i in range(len(texts))] == [f"entropy:0:{len(t)}" for t in texts]
+    assert [rows[len(texts) + i] for i in range(len(hidden))] == [""] * len(hidden)
+
+
 def test_odd_rows_empty_tables_and_no_python_worker(spark):
     odd = odd_documents(spark)
     found = secrets.secret_spans(odd)
