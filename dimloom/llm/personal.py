@@ -1,8 +1,9 @@
 """Personal data: fixed patterns, and contextual patterns bootstrapped from what they find.
 
 The identifiers that the fixed patterns find are the seeds. A contextual pattern is the two words
-before an identifier. Patterns and the tokens they precede form a graph: seeds have score 1, other
-tokens with digits start at 0; a pattern's confidence for a kind is the mean score of its distinct
+or the one before an identifier, or the one after it. Patterns and the tokens beside them form a
+graph: seeds have score 1, and what else has the shape of one (tokens with digits, groups of digits,
+addresses in words) starts at 0; a pattern's confidence for a kind is the mean score of its distinct
 tokens, and a token takes the best confidence of its patterns. A pattern counts if it precedes
 enough distinct known identifiers of one kind, if its confidence is high, and if the words precede
 little else: for that, all documents are scanned for them. Tokens found so are known in the next
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,15 +42,23 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-# Unknown identifiers are looked for among the tokens with so many digits in a row.
+# Unknown identifiers are looked for in three shapes: tokens with so many digits in a row, which may
+# be of any kind, groups of digits, which may be phones or cards, and addresses in words.
 _DIGITS = re.compile(r"[0-9]{4,}")
 _TOKEN_END = re.compile(r"[\s,;:()\"'<>]")
-LONGEST_TOKEN = 64
+_GROUPS = re.compile(r"(?<![0-9A-Za-z])[(+]{0,2}[0-9]+(?:[ ()./-]{1,3}[0-9]+)*")
+_GROUP = re.compile(r"[0-9]+")
+GROUP_DIGITS = (5, 19)
+_AT = re.compile(r"\s?(?:[\[(]\s?at\s?[\])]|(?<=\s)at(?=\s)|@)\s?", re.I)
+_SPELT = re.compile(
+    r"[A-Za-z0-9-]+(?:(?:\.|\s?[\[(]\s?dot\s?[\])]\s?|\sdot\s)[A-Za-z0-9-]+)+", re.I
+)
+TOKEN, GROUPED, SPELT = -1, -2, -3
+FITS = {TOKEN: (0, 1, 2, 3), GROUPED: (2, 3), SPELT: (0,)}
 
-CONTEXT = 2  # words
-CONTEXT_CHARS = 120
 CLASSES = class_table(bytes(b for b in range(128) if not chr(b).isalnum()))
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
+_LEFT, _RIGHT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 LEAST_KNOWN = 5  # distinct known identifiers a pattern precedes
 LEAST_CONFIDENCE = 0.8
@@ -95,62 +105,130 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def candidate_tokens(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Start and end of tokens with digits that no base span touches."""
-    found, reached = [], 0
-    taken = iter(sorted((s, e) for s, _, e in spans))
-    span = next(taken, None)
+def candidate_tokens(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Start, shape and end of what may be an identifier and no base span touches."""
+    found, reached = set(), 0
     for match in _DIGITS.finditer(text):
         if match.start() < reached:
             continue
         start, end = match.span()
         while start > reached and not _TOKEN_END.match(text, start - 1):
             start -= 1
-            if end - start > LONGEST_TOKEN:
-                break
-        following = _TOKEN_END.search(text, end, end + LONGEST_TOKEN)
-        end = following.start() if following else min(len(text), end + LONGEST_TOKEN)
+        following = _TOKEN_END.search(text, end)
+        end = following.start() if following else len(text)
+        reached = end
         while end > match.end() and text[end - 1] in ".?!-":
             end -= 1
-        reached = end
-        while span and span[1] <= start:
-            span = next(taken, None)
-        if end - start <= LONGEST_TOKEN and not (span and span[0] < end):
-            found.append((start, end))
-    return found
+        found.add((start, TOKEN, end))
+    gap = 0
+    for before, _, after in [*spans, (len(text), 0, len(text))]:
+        if gap < before:
+            found.update(digit_groups(text, gap, before))
+        gap = max(gap, after)
+    found.update(spelt_addresses(text))
+    tokens = {(start, end) for start, shape, end in found if shape == TOKEN}
+    merged: list[list[int]] = []
+    for start, _, end in spans:
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    ends = [end for _, end in merged]
+    result = []
+    for start, shape, end in sorted(found):
+        at = bisect_right(ends, start)
+        touched = at < len(merged) and merged[at][0] < end
+        if not touched and (shape == TOKEN or (start, end) not in tokens):
+            result.append((start, shape, end))
+    return result
 
 
-def pair_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and hash of every two neighbouring words."""
-    hashes, first = word_hashes(texts, CLASSES)
-    owner = np.repeat(np.arange(len(texts)), np.diff(first))
-    same = owner[:-1] == owner[1:]
-    return owner[:-1][same], mixed(hashes[:-1] * _PAIR + hashes[1:])[same].view(np.int64)
+def digit_groups(text: str, begin: int, stop: int) -> Iterator[tuple[int, int, int]]:
+    """Neighbouring groups of digits between two places, as many as an identifier may have."""
+    for match in _GROUPS.finditer(text, begin, stop):
+        start, end, digits = match.start(), match.start(), 0
+        for group in _GROUP.finditer(text, match.start(), match.end()):
+            size = group.end() - group.start()
+            if digits and digits + size > GROUP_DIGITS[1]:
+                if digits >= GROUP_DIGITS[0]:
+                    yield start, GROUPED, end
+                start, digits = group.start(), 0
+            end, digits = group.end(), digits + size
+        if GROUP_DIGITS[0] <= digits <= GROUP_DIGITS[1]:
+            yield start, GROUPED, end
+
+
+def spelt_addresses(text: str) -> Iterator[tuple[int, int, int]]:
+    """Addresses with the sign or the dots in words."""
+    reached = 0
+    for sign in _AT.finditer(text):
+        domain = _SPELT.match(text, sign.end())
+        start = sign.start()
+        while domain and start > reached:
+            if text[start - 1] in _LOCAL:
+                start -= 1
+            elif start < sign.start() and text[max(reached, start - 5) : start].lower() == " dot ":
+                start -= 5
+            else:
+                break
+        if domain and start < sign.start() and text[start] in _LOCAL:
+            yield start, SPELT, domain.end()
+            reached = domain.end()
 
 
-def contexts(texts: list[str], places: list[tuple[int, int]]) -> list[int | None]:
-    """Hash of the two words before each (text, start); None with fewer words before."""
-    before = [texts[t][max(0, start - CONTEXT_CHARS) : start].encode() for t, start in places]
-    owners, pairs = pair_hashes(before)
-    result: list[int | None] = [None] * len(places)
-    for owner, pair in zip(owners.tolist(), pairs.tolist(), strict=True):
-        result[owner] = pair  # the last pair stays
+def all_contexts(texts: list[bytes]) -> np.ndarray:
+    """Hashes of the contexts that the words of the texts are: every two neighbouring words and
+    every word before a place, and every word after one."""
+    hashes, first = word_hashes(texts, CLASSES)
+    owner = np.repeat(np.arange(len(texts)), np.diff(first))
+    pairs = mixed(hashes[:-1] * _PAIR + hashes[1:])[owner[:-1] == owner[1:]]
+    return np.concatenate([pairs, mixed(hashes * _LEFT), mixed(hashes * _RIGHT)]).view(np.int64)
+
+
+def contexts(texts: list[str], places: list[tuple[int, int, int]]) -> list[list[int]]:
+    """Hashes of the two words and the one before each (text, start, end), and of the one after."""
+    result: list[list[int]] = [[] for _ in places]
+    by_text: dict[int, list[int]] = {}
+    for i, (t, _, _) in enumerate(places):
+        by_text.setdefault(t, []).append(i)
+    encoded = [texts[t].encode() for t in by_text]
+    hashes, first = word_hashes(encoded, CLASSES)
+    with np.errstate(over="ignore"):
+        pairs = mixed(hashes[:-1] * _PAIR + hashes[1:]).view(np.int64)
+        left, right = (mixed(hashes * f).view(np.int64) for f in (_LEFT, _RIGHT))
+    for nth, (t, some) in enumerate(by_text.items()):
+        text, blob = texts[t], np.frombuffer(encoded[nth], dtype=np.uint8)
+        edges = np.flatnonzero(np.diff(np.r_[False, CLASSES[blob] != 0, False].view(np.int8)))
+        places_in = np.array([places[i][1:] for i in some])
+        if len(blob) > len(text):  # places in bytes
+            begins = np.flatnonzero((blob & 0xC0) != 0x80)
+            places_in = np.r_[begins, len(blob)][places_in]
+        before = np.searchsorted(edges[1::2], places_in[:, 0], side="right")
+        after = np.searchsorted(edges[::2], places_in[:, 1])
+        base, total = int(first[nth]), len(edges) // 2
+        for i, b, a in zip(some, before.tolist(), after.tolist(), strict=True):
+            if b > 1:
+                result[i].append(int(pairs[base + b - 2]))
+            if b:
+                result[i].append(int(left[base + b - 1]))
+            if a < total:
+                result[i].append(int(right[base + a]))
     return result
 
 
 SCANNED = (
     "row long, doc_id long, spans array<struct<start:int,kind:int,end:int>>, "
-    "tokens array<struct<start:int,kind:int,end:int,token:long,context:long>>"
+    "tokens array<struct<start:int,kind:int,end:int,token:long,contexts:array<long>>>"
 )
 
 
 def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Base spans of each text; its seeds and candidates, of kind -1, with their contexts."""
+    """Base spans of each text; its seeds and candidates, of kind below 0, with their contexts."""
     span_type = pa.list_(pa.struct([(n, pa.int32()) for n in ("start", "kind", "end")]))
     token_type = pa.list_(
         pa.struct(
             [(n, pa.int32()) for n in ("start", "kind", "end")]
-            + [(n, pa.int64()) for n in ("token", "context")]
+            + [("token", pa.int64()), ("contexts", pa.list_(pa.int64()))]
         )
     )
     row = TaskContext.get().partitionId() << 33
@@ -160,18 +238,15 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [
             (t, start, kind, end)
             for t, (text, spans) in enumerate(zip(texts, all_spans, strict=True))
-            for start, kind, end in [
-                *spans,
-                *((a, -1, b) for a, b in (candidate_tokens(text, spans) if text else ())),
-            ]
+            for start, kind, end in [*spans, *(candidate_tokens(text, spans) if text else ())]
         ]
-        before = contexts(texts, [(t, start) for t, start, _, _ in found])
+        before = contexts(texts, [(t, start, end) for t, start, _, end in found])
         values = [texts[t][start:end].encode() for t, start, _, end in found]
         tokens: list[list[dict]] = [[] for _ in texts]
-        for (t, start, kind, end), value, context in zip(found, values, before, strict=True):
-            if context is not None:
+        for (t, start, kind, end), value, some in zip(found, values, before, strict=True):
+            if some:
                 place = {"start": start, "kind": kind, "end": end}
-                tokens[t].append({**place, "token": token_hash(value), "context": context})
+                tokens[t].append({**place, "token": token_hash(value), "contexts": some})
         spans = [[{"start": a, "kind": k, "end": b} for a, k, b in some] for some in all_spans]
         yield pa.RecordBatch.from_arrays(
             [
@@ -210,7 +285,7 @@ def context_counts(docs: DataFrame, text: str, patterns: DataFrame) -> DataFrame
             known = shared.value
             total = np.zeros(len(known), dtype=np.int64)
             for batch in batches:
-                _, pairs = pair_hashes(batch.column(0).cast(pa.binary()).to_pylist())
+                pairs = all_contexts(batch.column(0).cast(pa.binary()).to_pylist())
                 at = np.minimum(np.searchsorted(known, pairs), max(len(known) - 1, 0))
                 if len(known):
                     total += np.bincount(at[known[at] == pairs], minlength=len(known))
@@ -263,8 +338,9 @@ def trusted_patterns(docs: DataFrame, text: str, tokens: DataFrame) -> DataFrame
         )
         learnt = (
             graph.where("kind < 0")
-            .select("context", "token")
+            .select("context", "token", F.col("kind").alias("shape"))
             .join(trusted.select("context", "kind", "confidence"), "context")
+            .where(fits("shape", "kind"))
             .groupBy("token", "kind")
             .agg(F.max("confidence").alias("score"))
         )
@@ -272,6 +348,14 @@ def trusted_patterns(docs: DataFrame, text: str, tokens: DataFrame) -> DataFrame
     return trusted
 
 
+def fits(shape: str, kind: str) -> Column:
+    """If an unknown identifier of the shape may be of the kind."""
+    found = F.lit(False)
+    for one, kinds in FITS.items():
+        found = found | ((F.col(shape) == one) & F.col(kind).isin(*kinds))
+    return found
+
+
 def told(spans: Column) -> Column:
     names = F.array(*(F.lit(k) for k in KINDS))
     one = F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"]))
@@ -283,13 +367,8 @@ def identifiers(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, Dat
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
     scanned = stored(picked.mapInArrow(scan, SCANNED), "identifiers")
     tokens = scanned.where(F.size("tokens") > 0).select("row", F.explode("tokens").alias("t"))
-    return scanned, tokens.select("row", "t.*")
-
-
-def kind_by_context(trusted: DataFrame) -> DataFrame:
-    """One kind for each context that is a trusted pattern."""
-    best = F.max_by("kind", F.struct("confidence", "kind"))
-    return trusted.groupBy("context").agg(best.alias("found_kind"))
+    named = tokens.select("row", "t.*").withColumn("context", F.explode("contexts"))
+    return scanned, named.drop("contexts")
 
 
 def found_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -303,7 +382,11 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         return scanned.select("doc_id", F.col("spans").alias("base"), "spans")
     extra = (
         tokens.where("kind < 0")
-        .join(kind_by_context(trusted), "context")
+        .withColumnRenamed("kind", "shape")
+        .join(trusted.select("context", "kind", "confidence"), "context")
+        .where(fits("shape", "kind"))
+        .groupBy("row", "start", "end")
+        .agg(F.max_by("kind", F.struct("confidence", "kind")).alias("found_kind"))
         .groupBy("row")
         .agg(
             F.collect_list(F.struct("start", F.col("found_kind").alias("kind"), "end")).alias(
@@ -333,36 +416,66 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     """All rows and columns of docs with the personal data in ``text`` replaced by marks.
 
     A column n_chars follows the new text. Patterns are learnt in a first scan and broadcast for
-    the second; beyond ``BLOCK`` patterns, further scans mask what those of the next block find.
+    the second; beyond ``BLOCK`` patterns, further scans add what those of the next block find in
+    the same text, which is masked once, by the last.
     """
     _, tokens = identifiers(docs, id_col, text)
     trusted = trusted_patterns(docs, text, tokens)
-    blocks = [None] if trusted is None else in_blocks(stored(kind_by_context(trusted), "kinds"))
+    blocks = [None] if trusted is None else list(in_blocks(stored(trusted, "kinds"))) or [None]
     place = docs.columns.index(text)
     counted = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
-    rows = docs.select(F.struct("*").alias("row"))
-    for block in blocks:
-        found_rows = () if block is None else block.toLocalIterator()
-        known_kinds = {row["context"]: row["found_kind"] for row in found_rows}
+    best_type = pa.list_(
+        pa.struct([(n, pa.int32()) for n in ("start", "end", "kind")] + [("score", pa.float64())])
+    )
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.array().cast("array<struct<start:int,end:int,kind:int,score:double>>").alias("best"),
+    )
+    for nth, block in enumerate(blocks):
+        known_kinds: dict[int, list[tuple[float, int]]] = {}
+        for found in () if block is None else block.toLocalIterator():
+            known_kinds.setdefault(found["context"], []).append((found["confidence"], found["kind"]))
         shared = docs.sparkSession.sparkContext.broadcast(known_kinds)
+        last = nth == len(blocks) - 1
 
-        def mask(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def mask(
+            batches: Iterator[pa.RecordBatch], shared=shared, last=last
+        ) -> Iterator[pa.RecordBatch]:
             known = shared.value
             for batch in batches:
                 struct = batch.column(0)
                 fields = [struct.field(i) for i in range(struct.type.num_fields)]
-                texts = fields[place].to_pylist()
+                texts, so_far = fields[place].to_pylist(), batch.column(1).to_pylist()
                 changed = [False] * len(texts)
                 for i, value in enumerate(texts):
-                    spans = base_spans(value) if value else []
-                    if known and value:
+                    if not value:
+                        continue
+                    spans = base_spans(value)
+                    best = {(b["start"], b["end"]): (b["score"], b["kind"]) for b in so_far[i]}
+                    if known:
                         found = candidate_tokens(value, spans)
-                        before = contexts([value], [(0, start) for start, _ in found])
-                        for (start, end), context in zip(found, before, strict=True):
-                            if context in known:
-                                spans.append((start, known[context], end))
+                        places = [(0, start, end) for start, _, end in found]
+                        for (start, shape, end), some in zip(
+                            found, contexts([value], places), strict=True
+                        ):
+                            fit = [k for c in some for k in known.get(c, ()) if k[1] in FITS[shape]]
+                            if fit:
+                                old = best.get((start, end), fit[0])
+                                best[start, end] = max(old, *fit)
+                    if not last:
+                        so_far[i] = [
+                            {"start": a, "end": e, "kind": kind, "score": score}
+                            for (a, e), (score, kind) in best.items()
+                        ]
+                        continue
+                    spans = spans + [(start, kind, end) for (start, end), (_, kind) in best.items()]
                     if spans:
                         texts[i], changed[i] = masked_text(value, spans), True
+                if not last:
+                    yield pa.RecordBatch.from_arrays(
+                        [struct, pa.array(so_far, best_type)], names=["row", "best"]
+                    )
+                    continue
                 fields[place] = pa.array(texts, fields[place].type)
                 if counted is not None:
                     old, kind = fields[counted].to_pylist(), fields[counted].type
@@ -371,7 +484,7 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
                 whole_rows = pa.StructArray.from_arrays(fields, fields=list(struct.type))
                 yield pa.RecordBatch.from_arrays([whole_rows], names=["row"])
 
-        rows = rows.mapInArrow(mask, rows.schema)
+        rows = rows.mapInArrow(mask, rows.select("row").schema if last else rows.schema)
     return rows.select("row.*")
 
 

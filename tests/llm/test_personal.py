@@ -73,6 +73,33 @@ def test_patterns_find_unseen_identifiers(spark):
             assert rows[i]["spans"] == told
 
 
+def test_unseen_identifiers_in_the_shape_of_their_kind(spark):
+    texts = [f"please{i} call me at +1 (212) 555-{1000 + i} today{i}" for i in range(30)]
+    texts += [f"note{i} Phone: +1 (212) 555-{4000 + i} n{i}" for i in range(30)]
+    texts += [f"k{i} write her under bob{i}@example.org now{i}" for i in range(30)]
+    texts += [f"s{i} t{i} bob{i}@example.com wrote u{i}" for i in range(30)]
+    unseen = [
+        ("call me at ", "(212) 555-2000", "phone"),
+        ("call me at ", "212 555 2000", "phone"),
+        ("call me at ", "555 12 34 56", "phone"),
+        ("call me at ", "123-456-789", "phone"),
+        ("changing Phone: ", "212 555 2001", "phone"),
+        ("write her under ", "jane at example dot org", "email"),
+        ("", "jane (at) example.net", "email"),
+        ("w\u00e9 call me at ", "9" * 70, "phone"),
+    ]
+    first = len(texts)
+    after = ["" if before else " wrote" for before, _, _ in unseen]
+    texts += [f"x{i} {before}{value}{after[i]}" for i, (before, value, _) in enumerate(unseen)]
+    docs = documents(spark, texts)
+    rows = {r["doc_id"]: r["spans"] for r in personal.personal_data(docs).collect()}
+    masked = {r["doc_id"]: r["text"] for r in personal.masked(docs).collect()}
+    for i, (before, value, kind) in enumerate(unseen):
+        start = texts[first + i].index(value)
+        assert f"{kind}:{start}:{start + len(value)}" in rows[first + i].split(","), value
+        assert masked[first + i] == f"x{i} {before}<{kind.upper()}>{after[i]}"
+
+
 def test_too_few_seeds_teach_nothing(spark):
     texts = calls(personal.LEAST_KNOWN - 1, 4)
     rows = personal.personal_data(documents(spark, texts)).collect()
