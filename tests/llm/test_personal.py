@@ -100,6 +100,17 @@ def test_unseen_identifiers_in_the_shape_of_their_kind(spark):
         assert masked[first + i] == f"x{i} {before}<{kind.upper()}>{after[i]}"
 
 
+def test_blocks_mask_the_spans_of_the_original_text(spark, monkeypatch):
+    texts = [f"a{i} joe{i}@example.com phone +1 (212) 555-{1000 + i} b{i}" for i in range(20)]
+    texts += [f"c{i} kim{i}@example.com phone 212.555.{2000 + i} d{i}" for i in range(4)]
+    texts += [f"e{i} one phone of {i}" for i in range(40)]
+    docs = documents(spark, texts)
+    for block in (personal.BLOCK, 1):
+        monkeypatch.setattr(personal, "BLOCK", block)
+        rows = {r["doc_id"]: r["text"] for r in personal.masked(docs).collect()}
+        assert [rows[20 + i] for i in range(4)] == [f"c{i} <EMAIL> phone <PHONE> d{i}" for i in range(4)]
+
+
 def test_too_few_seeds_teach_nothing(spark):
     texts = calls(personal.LEAST_KNOWN - 1, 4)
     rows = personal.personal_data(documents(spark, texts)).collect()
