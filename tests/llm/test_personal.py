@@ -111,6 +111,16 @@ def test_blocks_mask_the_spans_of_the_original_text(spark, monkeypatch):
         assert [rows[20 + i] for i in range(4)] == [f"c{i} <EMAIL> phone <PHONE> d{i}" for i in range(4)]
 
 
+def test_contexts_are_those_of_the_whole_text():
+    for word in ("w" * 300, "\u6f22\u5b57" * 100, "short"):
+        text = f"\u00e9 {word} number 212.555.2000 x"
+        start = text.index("212")
+        found = personal.contexts([text], [(0, start, start + 12)])[0]
+        assert len(found) == 3 and set(found) <= set(personal.all_contexts([text.encode()]).tolist())
+        other = text.replace(word, word + "y")
+        assert personal.contexts([other], [(0, start + 1, start + 13)])[0][0] != found[0]
+
+
 def test_too_few_seeds_teach_nothing(spark):
     texts = calls(personal.LEAST_KNOWN - 1, 4)
     rows = personal.personal_data(documents(spark, texts)).collect()
