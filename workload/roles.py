@@ -292,7 +292,8 @@ def blank_keys(tables: Tables) -> DataFrame:
 def torn_lines(tables: Tables) -> DataFrame:
     """Orders as lines of text (columns file, is_header, value): whole ones, ones with few
     fields, with one field too many, and ones with a line break in the third field."""
-    files, fields = 4, len(FLAT_COLUMNS)
+    # As many files as the table has partitions, so no task writes more as the table grows.
+    files, fields = max(1, tables["orders"].rdd.getNumPartitions()), len(FLAT_COLUMNS)
     visit_at = FLAT_COLUMNS.index("visit_id")
     start = [_text("o_custkey"), F.concat(F.lit("n"), _text("o_orderkey"))]
     middle = F.lit("," * (visit_at - 3))
