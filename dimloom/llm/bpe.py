@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import whole
+from dimloom.llm.common import in_small_batches, prepare, whole
 from dimloom.llm.pieces import Memory, OffsetTable, spaced_chunks
 
 NEVER = 1 << 60
@@ -215,7 +215,9 @@ def round_trip_digests(
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
+    prepare(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
     return picked.mapInArrow(
-        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        in_small_batches(digest),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
     )

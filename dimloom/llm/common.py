@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,21 +24,41 @@ _shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> None:
-    """Send this package to the Python workers, which may run anywhere, once per application;
-    keep Arrow batches small enough for very long texts."""
+    """Send this package to the Python workers, which may run anywhere, once per application."""
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(dimloom.__file__).parent
         archive = f"{tempfile.mkdtemp(prefix='dimloom-package-')}/dimloom"
         context.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
         _shipped.add(context.applicationId)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def in_small_batches(step: Callable) -> Callable:
+    """The step over Arrow batches, given a bounded number of rows and bytes at once.
+
+    Spark's own batches are as large as the session says; the operators leave that setting alone.
+    """
+
+    def over_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return step(slices(batches))
+
+    return over_slices
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = batch.num_rows
+        parts = max(-(-rows // BATCH_ROWS), min(rows, -(-batch.nbytes // BATCH_BYTES)), 1)
+        size = max(1, -(-rows // parts))
+        for at in range(0, max(rows, 1), size):
+            yield batch.slice(at, size)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, in a session prepared for this package."""
-    prepare(spark)
+    """One of the given tables, for a registered query: it has the session to itself, so Spark's
+    own batches for Python are kept small enough for very long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import small_enough, stored, whole
+from dimloom.llm.common import in_small_batches, prepare, small_enough, stored, whole
 from dimloom.llm.graph import components
 from dimloom.llm.words import class_table, mixed, word_hashes
 
@@ -339,7 +339,7 @@ def parts_of_large(members: DataFrame) -> DataFrame:
     )
     placed = stored(
         wide.mapInArrow(
-            measure,
+            in_small_batches(measure),
             "family long, node long, n long, copies long, role int, keys array<long>, "
             "far array<double>",
         )
@@ -399,7 +399,7 @@ def linked_sets(sets: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFram
     joined = stored(
         regions.repartition("region")
         .sortWithinPartitions("region", "role")
-        .mapInArrow(join_stream, "node long, least long, links long"),
+        .mapInArrow(in_small_batches(join_stream), "node long, least long, links long"),
         "links",
     )
     apart = joined.where("node <> least")
@@ -412,6 +412,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
     ``component`` is null for texts without words. ``text_hash`` is Spark's xxhash64 of the text.
     """
+    prepare(docs.sparkSession)
     hashed = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(whole(text)).alias("text_hash"),
@@ -419,7 +420,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     )
     documents = stored(
         hashed.mapInArrow(
-            scan_lowest, "doc_id long, text_hash long, n long, node long, keys array<long>"
+            in_small_batches(scan_lowest), "doc_id long, text_hash long, n long, node long, keys array<long>"
         ),
         "documents",
     )
@@ -439,7 +440,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         F.broadcast(chosen) if small_enough(chosen, 64) else chosen, "text_hash", "left_semi"
     )
     sets = stored(
-        texts.select("text").mapInArrow(scan_whole, "node long, n long, keys array<long>"), "sets"
+        texts.select("text").mapInArrow(
+            in_small_batches(scan_whole), "node long, n long, keys array<long>"
+        ),
+        "sets",
     )
     counted = (
         documents.where("n > 0")

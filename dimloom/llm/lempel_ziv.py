@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import whole
+from dimloom.llm.common import in_small_batches, prepare, whole
 from dimloom.llm.words import SEGMENT, mixed, powers
 
 BINS = 128
@@ -193,6 +193,7 @@ def document_fingerprints(
     the next document by descending id, or all of it; after the last comes the first.
     """
     spark = docs.sparkSession
+    prepare(spark)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
     key = F.coalesce("doc_id", F.lit(_LOWEST))
     # Ranges are many more than partitions, so that hashing deals them evenly.
@@ -238,4 +239,4 @@ def document_fingerprints(
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double"
     )
-    return sorted_rows.mapInArrow(in_order, schema)
+    return sorted_rows.mapInArrow(in_small_batches(in_order), schema)

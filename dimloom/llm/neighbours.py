@@ -249,7 +249,7 @@ def nearest_neighbours(
                 [*batch.columns, pa.array(found, pa.int32())], names=["vec_id", "vector", "cell"]
             )
 
-    entries = rows.mapInArrow(cells, "vec_id long, vector array<double>, cell int")
+    entries = rows.mapInArrow(in_small_batches(cells), "vec_id long, vector array<double>, cell int")
     sizes = np.zeros(index.cells, dtype=np.int64)
     for row in entries.groupBy("cell").count().toLocalIterator():
         sizes[row["cell"]] = row["count"]
@@ -288,7 +288,7 @@ def nearest_neighbours(
             )
 
     asked = queries.mapInArrow(
-        wants, "vec_id long, vector array<double>, block int, marks binary"
+        in_small_batches(wants), "vec_id long, vector array<double>, block int, marks binary"
     ).select(
         F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(query_blocks))
         .cast("int")
@@ -352,7 +352,7 @@ def nearest_neighbours(
     pairs = asked.unionByName(offered).repartition(
         max(1, min(blocks * query_blocks, 100_000)), "query_block", "block"
     )
-    found = pairs.sortWithinPartitions("query_block", "block", "role").mapInArrow(search, schema)
+    found = pairs.sortWithinPartitions("query_block", "block", "role").mapInArrow(in_small_batches(search), schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
     return ranked.select("query_id", "rank", "vec_id", "score")

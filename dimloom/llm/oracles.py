@@ -1,8 +1,8 @@
-"""SQL for DuckDB that the queries of two operators must equal."""
+"""SQL for DuckDB that the queries of some operators must equal."""
 
 from __future__ import annotations
 
-from dimloom.llm import shards
+from dimloom.llm import centroids, shards
 
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -94,7 +94,53 @@ select doc_id, size, text_crc32, 'rows' as law, cast(place % {count} as integer)
 from numbered join ended using (id)"""
 
 
+def clustering(clusters: int, rounds: int, seed: int) -> str:
+    """Each round is a distance to every centroid, the nearest one, and the floors of the means."""
+
+    def nearest(nth: int) -> str:
+        return f"""
+far{nth} as materialized (
+    select id, k, sum((v - c) * (v - c)) as far
+    from cells join c{nth} using (at) group by id, k),
+near{nth} as materialized (
+    select id, k, far from far{nth}
+    qualify row_number() over (partition by id order by far, k) = 1)"""
+
+    steps = "".join(
+        f"""{nearest(nth)},
+sums{nth} as (
+    select k, at, sum(v) as total, count(*) as n
+    from near{nth} join cells using (id) group by k, at),
+c{nth + 1} as materialized (
+    select k, at, coalesce((total - ((total % n) + n) % n) // n, c) as c
+    from c{nth} left join sums{nth} using (k, at)),"""
+        for nth in range(rounds)
+    )
+    return f"""
+with
+kept as (
+    select row_number() over (order by vec_id) as id, vec_id,
+        list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as whole
+    from embeddings
+    where len(embedding) = 64
+        and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+cells as materialized (
+    select id, vec_id, unnest(whole) as v, generate_subscripts(whole, 1) as at from kept),
+chosen as (
+    select row_number() over (order by sha256('{seed}:' || vec_id)) - 1 as k, whole
+    from kept qualify k < {clusters}),
+c0 as materialized (
+    select k, unnest(whole) as c, generate_subscripts(whole, 1) as at from chosen),{steps}{nearest(rounds)},
+digests as (
+    select k, sha256(string_agg(c::varchar, ',' order by at)) as digest from c{rounds} group by k)
+select vec_id, cast(k as integer) as cluster, cast(far as bigint) as distance,
+    cast(sum(far) over (partition by k) as bigint) as cluster_inertia,
+    cast(sum(far) over () as bigint) as inertia, digest as centroid_sha256
+from near{rounds} join kept using (id) join digests using (k)"""
+
+
 ORACLES = {
+    "op13_centroid_clusters": clustering(centroids.CLUSTERS, centroids.ROUNDS, 3),
     "op7_jaccard_join": JACCARD_JOIN,
     "op8_sharding": sharding(8, shards.SEED),
 }

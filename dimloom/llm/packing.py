@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimloom.llm.bpe import printable_bytes
-from dimloom.llm.common import small_enough, stored, whole
+from dimloom.llm.common import in_small_batches, prepare, small_enough, stored, whole
 from dimloom.llm.pieces import SEPARATORS, Memory
 
 # Fixed value: the words of the lower-casing vocabulary, for text without the characters on
@@ -147,8 +147,9 @@ def pack(
     schema = ", ".join(f"{n} long" for n in names)
     if with_ids:
         names, schema = [*names, "ids"], f"{schema}, ids array<int>"
+    prepare(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
-    pieces = stored(picked.mapInArrow(cut, schema), "pieces")
+    pieces = stored(picked.mapInArrow(in_small_batches(cut), schema), "pieces")
 
     before = (
         Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)

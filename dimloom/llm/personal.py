@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import stored, whole
+from dimloom.llm.common import in_small_batches, prepare, stored, whole
 from dimloom.llm.words import class_table, mixed, word_hashes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -294,7 +294,7 @@ def context_counts(docs: DataFrame, text: str, patterns: DataFrame) -> DataFrame
                 [pa.array(known[there]), pa.array(total[there])], names=["context", "places"]
             )
 
-        one = texts.mapInArrow(count, "context long, places long")
+        one = texts.mapInArrow(in_small_batches(count), "context long, places long")
         one = one.groupBy("context").agg(F.sum("places").alias("places"))
         counts = one if counts is None else counts.unionByName(one)
     return counts
@@ -364,8 +364,9 @@ def told(spans: Column) -> Column:
 
 def identifiers(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
     """The scanned rows, and one row for each identifier and candidate with a context."""
+    prepare(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
-    scanned = stored(picked.mapInArrow(scan, SCANNED), "identifiers")
+    scanned = stored(picked.mapInArrow(in_small_batches(scan), SCANNED), "identifiers")
     tokens = scanned.where(F.size("tokens") > 0).select("row", F.explode("tokens").alias("t"))
     named = tokens.select("row", "t.*").withColumn("context", F.explode("contexts"))
     return scanned, named.drop("contexts")
@@ -484,7 +485,8 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
                 whole_rows = pa.StructArray.from_arrays(fields, fields=list(struct.type))
                 yield pa.RecordBatch.from_arrays([whole_rows], names=["row"])
 
-        rows = rows.mapInArrow(mask, rows.select("row").schema if last else rows.schema)
+        schema = rows.select("row").schema if last else rows.schema
+        rows = rows.mapInArrow(in_small_batches(mask), schema)
     return rows.select("row.*")
 
 

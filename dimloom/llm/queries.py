@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dimloom.llm import (
     bpe,
+    centroids,
     jaccard,
     lempel_ziv,
     neighbours,
@@ -84,6 +85,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_personal_data": op9_personal_data,
     "op10_secrets": op10_secrets,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

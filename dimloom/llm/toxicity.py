@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import whole
+from dimloom.llm.common import in_small_batches, prepare, whole
 from dimloom.llm.words import class_table, mixed, word_hashes
 
 BITS = 20
@@ -118,7 +118,7 @@ def sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         owners, features, counts = counted(*all_features(texts))
         cuts = np.searchsorted(owners, np.arange(len(texts) + 1))
-        features, counts = features.astype("<i4"), np.minimum(counts, 65535).astype("<u2")
+        features, counts = features.astype("<i4"), counts.astype("<u4")
         spans = list(zip(cuts[:-1], cuts[1:], strict=True))
         yield pa.RecordBatch.from_arrays(
             [
@@ -144,6 +144,7 @@ def learned_toxicity(
 
     ``may_learn`` is a condition on the column doc_id.
     """
+    prepare(docs.sparkSession)
     marked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & may_learn)
@@ -160,7 +161,10 @@ def learned_toxicity(
         .groupBy("doc_id", "turn", "toxic")
         .agg(F.min("text").alias("text"))
         .select("turn", "toxic", "text")
-        .mapInArrow(sample_features, "turn long, toxic int, features binary, counts binary")
+        .mapInArrow(
+            in_small_batches(sample_features),
+            "turn long, toxic int, features binary, counts binary",
+        )
     )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +172,7 @@ def learned_toxicity(
         for batch in batches:
             columns = (c.to_pylist() for c in batch.columns)
             for _, toxic, features, counts in zip(*columns, strict=True):
-                rows.append((np.frombuffer(features, "<i4"), np.frombuffer(counts, "<u2"), toxic))
+                rows.append((np.frombuffer(features, "<i4"), np.frombuffer(counts, "<u4"), toxic))
         learner = Ftrl()
         if len({toxic for _, _, toxic in rows}) < 2:
             return
@@ -199,6 +203,7 @@ def learned_toxicity(
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``row``, a struct of all columns of docs, and ``score``, from 0 to 1, of every row."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
     rows = docs.select(F.struct("*").alias("row"))
@@ -212,7 +217,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 [batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"]
             )
 
-    return rows.mapInArrow(score, rows.withColumn("score", F.lit(0.0)).schema)
+    return rows.mapInArrow(in_small_batches(score), rows.withColumn("score", F.lit(0.0)).schema)
 
 
 def toxicity_scores(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimloom.llm.bpe import PRE_TOKENS
-from dimloom.llm.common import whole
+from dimloom.llm.common import in_small_batches, prepare, whole
 from dimloom.llm.pieces import LONGEST_KEPT, MEMORY_ENTRIES, spaced_chunks
 
 ONE_TOKEN = 1  # what a token adds below the cost's own unit
@@ -117,5 +117,6 @@ def token_counts(
                 [batch.column(0), pa.array(totals, pa.int64())], names=["doc_id", "n_tokens"]
             )
 
+    prepare(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
-    return picked.mapInArrow(count, "doc_id long, n_tokens long")
+    return picked.mapInArrow(in_small_batches(count), "doc_id long, n_tokens long")
