@@ -101,7 +101,7 @@ def clustering(clusters: int, rounds: int, seed: int) -> str:
         return f"""
 far{nth} as materialized (
     select id, k, sum((v - c) * (v - c)) as far
-    from cells join c{nth} using (at) group by id, k),
+    from cells join c{nth} using (dim) group by id, k),
 near{nth} as materialized (
     select id, k, far from far{nth}
     qualify row_number() over (partition by id order by far, k) = 1)"""
@@ -109,11 +109,11 @@ near{nth} as materialized (
     steps = "".join(
         f"""{nearest(nth)},
 sums{nth} as (
-    select k, at, sum(v) as total, count(*) as n
-    from near{nth} join cells using (id) group by k, at),
+    select k, dim, sum(v) as total, count(*) as n
+    from near{nth} join cells using (id) group by k, dim),
 c{nth + 1} as materialized (
-    select k, at, coalesce((total - ((total % n) + n) % n) // n, c) as c
-    from c{nth} left join sums{nth} using (k, at)),"""
+    select k, dim, coalesce((total - ((total % n) + n) % n) // n, c) as c
+    from c{nth} left join sums{nth} using (k, dim)),"""
         for nth in range(rounds)
     )
     return f"""
@@ -125,14 +125,14 @@ kept as (
     where len(embedding) = 64
         and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
 cells as materialized (
-    select id, vec_id, unnest(whole) as v, generate_subscripts(whole, 1) as at from kept),
+    select id, vec_id, unnest(whole) as v, generate_subscripts(whole, 1) as dim from kept),
 chosen as (
     select row_number() over (order by sha256('{seed}:' || vec_id)) - 1 as k, whole
     from kept qualify k < {clusters}),
 c0 as materialized (
-    select k, unnest(whole) as c, generate_subscripts(whole, 1) as at from chosen),{steps}{nearest(rounds)},
+    select k, unnest(whole) as c, generate_subscripts(whole, 1) as dim from chosen),{steps}{nearest(rounds)},
 digests as (
-    select k, sha256(string_agg(c::varchar, ',' order by at)) as digest from c{rounds} group by k)
+    select k, sha256(string_agg(c::varchar, ',' order by dim)) as digest from c{rounds} group by k)
 select vec_id, cast(k as integer) as cluster, cast(far as bigint) as distance,
     cast(sum(far) over (partition by k) as bigint) as cluster_inertia,
     cast(sum(far) over () as bigint) as inertia, digest as centroid_sha256
