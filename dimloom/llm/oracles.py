@@ -139,7 +139,53 @@ select vec_id, cast(k as integer) as cluster, cast(far as bigint) as distance,
 from near{rounds} join kept using (id) join digests using (k)"""
 
 
+SPELLING_FORMS = f"""
+with recursive
+runs as (
+    select doc_id, run, count(*) as times from (
+        select doc_id, unnest(regexp_extract_all(
+            translate(text, '{CAPITALS}', '{CAPITALS.lower()}'), '[a-zÀ-ÿ]+')) as run
+        from documents where text is not null)
+    where length(run) >= 5 group by doc_id, run),
+hashed as (
+    select run, times, {crc32("encode(doc_id || ':' || run)")} as h from runs),
+cut as (
+    select times, case when h % 97 = 0
+        then run[: h % length(run)] || run[h % length(run) + 2 :] else run end as word
+    from hashed),
+words as materialized (
+    select word, cast(sum(times) as bigint) as n from cut
+    where length(word) >= 5 group by word having sum(times) >= 3),
+less as materialized (
+    select word, n, i, word[: i - 1] || word[i + 1 :] as rest
+    from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+pairs as materialized (
+    select a.word as word, b.word as other, b.n as n
+    from less a join less b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+    union
+    select a.word, b.word, b.n from less a join words b on a.rest = b.word
+    union
+    select b.word, a.word, a.n from less a join words b on a.rest = b.word),
+best as (
+    select word, count(*) as n_near, arg_min(other, (-n, other)) as other, max(n) as other_n
+    from pairs group by word),
+forms as materialized (
+    select word, w.n, coalesce(n_near, 0) as n_near,
+        case when other_n >= 2 * w.n then other end as form,
+        case when other_n >= 2 * w.n then other_n end as form_n
+    from words w left join best using (word)),
+walk(word, root) as (
+    select word, coalesce(form, word) from forms
+    union
+    select walk.word, forms.form from walk join forms on walk.root = forms.word
+    where forms.form is not null)
+select word, form, root, n, n_near, form_n
+from forms join walk using (word) join (
+    select word as root from forms where form is null) using (root)"""
+
+
 ORACLES = {
+    "op12_spelling_forms": SPELLING_FORMS,
     "op13_centroid_clusters": clustering(centroids.CLUSTERS, centroids.ROUNDS, 3),
     "op7_jaccard_join": JACCARD_JOIN,
     "op8_sharding": sharding(8, shards.SEED),

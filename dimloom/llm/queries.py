@@ -17,6 +17,7 @@ from dimloom.llm import (
     personal,
     secrets,
     shards,
+    spelling,
     toxicity,
     unigram,
 )
@@ -85,6 +86,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_personal_data": op9_personal_data,
     "op10_secrets": op10_secrets,
+    "op12_spelling_forms": op12_spelling_forms,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
 
