@@ -103,7 +103,9 @@ class Tables:
         return best, distances
 
 
-def blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+def blocks(
+    batches: Iterator[pa.RecordBatch], length: int, at_once: int
+) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """Ids and whole numbers of up to so many rows at a time."""
 
     def done() -> tuple[pa.Array, np.ndarray]:
@@ -117,7 +119,7 @@ def blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.
             continue
         held.append(batch)
         rows += batch.num_rows
-        if rows >= BLOCK_ROWS:
+        if rows >= at_once:
             yield done()
             held, rows = [], 0
     if held:
@@ -134,14 +136,14 @@ def limbs(total: int) -> list[int]:
     return digits
 
 
-def moved(rows: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
+def moved(rows: DataFrame, centroids: list[list[int]], at_once: int) -> list[list[int]]:
     """The next centroids: floors of the means; those of empty clusters stay."""
     length = len(centroids[0])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = [0] * len(centroids)
         totals = [[0] * length for _ in centroids]
-        for _, block in blocks(batches, length):
+        for _, block in blocks(batches, length, at_once):
             best, _ = Tables(block, centroids).nearest()
             for number in np.unique(best).tolist():
                 members = block[best == number]
@@ -189,12 +191,12 @@ def first_centroids(rows: DataFrame, clusters: int, seed: int) -> list[list[int]
     return [[int(np.floor(x)) for x in row["vector"]] for row in chosen]
 
 
-def assigned(rows: DataFrame, centroids: list[list[int]]) -> DataFrame:
+def assigned(rows: DataFrame, centroids: list[list[int]], at_once: int) -> DataFrame:
     """vec_id, cluster and distance of every row."""
     length = len(centroids[0])
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, block in blocks(batches, length):
+        for ids, block in blocks(batches, length, at_once):
             best, far = Tables(block, centroids).nearest()
             if far.dtype == object:
                 far = [x if x <= LARGEST else None for x in far]
@@ -221,6 +223,7 @@ def centroid_clusters(
     seed: int = 3,
     id_col: str = "vec_id",
     vector: str = "embedding",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """vec_id, cluster, distance, cluster_inertia, inertia and centroid_sha256 of every row that
     takes part."""
@@ -235,8 +238,8 @@ def centroid_clusters(
         )
         return spark.createDataFrame([], schema)
     for _ in range(rounds):
-        centroids = moved(rows, centroids)
-    result = stored(assigned(rows, centroids), "assigned")
+        centroids = moved(rows, centroids, block_rows)
+    result = stored(assigned(rows, centroids, block_rows), "assigned")
     # One row for each centroid.
     inertia = {
         row["cluster"]: row["inertia"]

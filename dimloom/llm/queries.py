@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dimloom.llm import (
     bpe,
     centroids,
+    forest,
     jaccard,
     lempel_ziv,
     neighbours,
@@ -86,6 +87,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op11_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_forms(table(spark, sf_dir, "documents"))
 
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_personal_data": op9_personal_data,
     "op10_secrets": op10_secrets,
+    "op11_embedding_duplicates": op11_embedding_duplicates,
     "op12_spelling_forms": op12_spelling_forms,
     "op13_centroid_clusters": op13_centroid_clusters,
 }

@@ -58,7 +58,7 @@ _DIMENSION[ord("a") : ord("z") + 1] = np.arange(26)
 _DIMENSION[0xC0:] = 26 + np.arange(64) % 6
 
 
-def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def tally(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Words of rows (doc_id, text) with their counts, each maybe more than once."""
 
     def done() -> pa.RecordBatch:
@@ -86,18 +86,19 @@ def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(run) < SHORTEST:
                         continue
                 counts[run] += times
-            if len(counts) >= TALLY:
+            if len(counts) >= most:
                 yield done()
                 counts.clear()
     yield done()
 
 
-def vocabulary(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+def vocabulary(docs: DataFrame, id_col: str, text: str, most: int = TALLY) -> DataFrame:
     """word and n of the words that occur often enough."""
     picked = docs.where(F.col(text).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")
     )
-    words = picked.mapInArrow(in_small_batches(tally), "word string, n long")
+    counts = in_small_batches(lambda batches: tally(batches, most))
+    words = picked.mapInArrow(counts, "word string, n long")
     counted = words.groupBy("word").agg(F.sum("n").alias("n"))
     return stored(counted.where(F.col("n") >= LEAST_TIMES), "vocabulary")
 

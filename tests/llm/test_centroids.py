@@ -55,13 +55,12 @@ def as_sorted(rows):
 
 
 @pytest.mark.parametrize("block", [centroids.BLOCK_ROWS, 7])
-def test_equals_plain_python(spark, monkeypatch, block):
-    monkeypatch.setattr(centroids, "BLOCK_ROWS", block)
+def test_equals_plain_python(spark, block):
     rng = random.Random(5)
     rows = [(i, [rng.gauss(0, 0.2) for _ in range(6)]) for i in range(150)]
     rows += [(200 + i, [0.25, -0.5, 0, 0, 1, 1]) for i in range(70)]  # one hot vector
     rows += [(7, [9.0] * 6), (7, [-9.0] * 6), (None, [0.1] * 6), (None, [0.1] * 6)]
-    got = centroids.centroid_clusters(frame(spark, rows), 4, 5, 1024, 6).collect()
+    got = centroids.centroid_clusters(frame(spark, rows), 4, 5, 1024, 6, block_rows=block).collect()
     assert as_sorted(got) == as_sorted(plain(rows, 4, 5, 1024))
 
 
@@ -101,7 +100,7 @@ def test_a_round_sends_the_driver_sums_only(spark, monkeypatch):
     """As many rows as clusters, dimensions and limbs, whatever the table holds."""
     taken = []
     moved = centroids.moved
-    monkeypatch.setattr(centroids, "moved", lambda rows, m: taken.append(moved(rows, m)) or taken[-1])
+    monkeypatch.setattr(centroids, "moved", lambda *a: taken.append(moved(*a)) or taken[-1])
     rows = [(i, [i / 7, -i / 5, 0.5]) for i in range(3000)]
     centroids.centroid_clusters(frame(spark, rows), 4, 3, 1024, 3).collect()
     assert [(len(m), len(m[0])) for m in taken] == [(4, 3)] * 3

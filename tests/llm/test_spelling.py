@@ -83,7 +83,6 @@ def corpus(rng: random.Random) -> list[str | None]:
 def test_equals_all_pairs(spark, monkeypatch, cell):
     """Small cells have many words go to several cells, and anagrams dealt by halves."""
     monkeypatch.setattr(spelling, "CELL", cell)
-    monkeypatch.setattr(spelling, "LEAF", 3)
     texts = corpus(random.Random(11))
     want = by_pairs(counted(enumerate(texts)))
     assert sum(form is not None for form, *_ in want.values()) > 50
@@ -127,11 +126,10 @@ def test_chains_of_forms_end_at_the_root(spark):
     assert len({root for _, root, *_ in got.values()}) == 1
 
 
-def test_tables_of_a_task_are_handed_on_when_full(spark, monkeypatch):
-    monkeypatch.setattr(spelling, "TALLY", 3)
+def test_tables_of_a_task_are_handed_on_when_full(spark):
     texts = ["berlin london madrid lisbon vienna prague"] * 4 + ["londen lundon"] * 3
-    want = by_pairs(counted(enumerate(texts)))
-    assert as_dict(spelling.spelling_forms(documents(spark, texts))) == want
+    rows = spelling.vocabulary(documents(spark, texts), "doc_id", "text", most=3).collect()
+    assert {r["word"]: r["n"] for r in rows} == counted(enumerate(texts))
 
 
 def test_odd_rows_and_empty_tables(spark):
