@@ -18,6 +18,7 @@ from dimloom.scratch import scratch_path
 BATCH_ROWS = 400
 BATCH_BYTES = 16 << 20
 BROADCAST_BYTES = 32 << 20
+HOT_SHARE = 1000
 
 
 _shipped: set[str] = set()
@@ -78,6 +79,27 @@ def small_enough(df: DataFrame, bytes_a_row: int) -> bool:
     return df.count() * bytes_a_row <= BROADCAST_BYTES
 
 
+def join_hot(
+    rows: DataFrame, table: DataFrame, keys: list[str], held: Column, total: int, how: str
+) -> DataFrame:
+    """Joins rows to a stored table with one row a key, by broadcast if that is small.
+
+    Otherwise keys that hold more than a thousandth of the ``total`` rows, by the column ``held`` of
+    the table, are fewer than a thousand; they are joined by broadcast, so their rows stay where
+    they are, and only the others are shuffled.
+    """
+    if small_enough(table, 64 + 32 * len(table.columns)):
+        return rows.join(F.broadcast(table), keys, how)
+    hot = held * HOT_SHARE > total
+    marks = F.broadcast(table.where(hot).select(*keys, F.lit(True).alias("_hot")))
+    marked = rows.join(marks, keys, "left")
+    often = marked.where("_hot").drop("_hot")
+    seldom = marked.where("_hot is null").drop("_hot")
+    return often.join(F.broadcast(table.where(hot)), keys, how).unionByName(
+        seldom.join(table.where(~hot), keys, how)
+    )
+
+
 def whole(text: str) -> Column:
     """The text column, null taken as empty."""
     return F.coalesce(F.col(text), F.lit(""))

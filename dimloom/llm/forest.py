@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import in_small_batches, prepare, small_enough, stored
+from dimloom.llm.common import in_small_batches, join_hot, prepare, stored
 from dimloom.llm.graph import components
 
 COSINE = 0.9
@@ -53,7 +53,6 @@ LEAST_SAMPLED = 8  # rows of the sample in a cell
 DENSE = 16  # rows of a sample of BALL_SAMPLE in a ball
 BALL_SAMPLE = 4096
 BLOCK = 2048  # rows of a ball, or of its shell, compared at once
-HOT_SHARE = 1000  # a vector with more than one in so many rows is joined by broadcast
 SEED = 41
 _SLACK = 1e-9
 _STEPS = 1 << 40
@@ -594,7 +593,7 @@ def near_duplicates(
     told = stored(known.join(ids, "component").drop("component", "least_id"), "told")
     keys = keyed.select("vec_id", "k1", "k2")
     return (
-        with_hot_keys(keys, told, total["rows"])
+        join_hot(keys, told, ["k1", "k2"], F.col("copies"), total["rows"], "left")
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).alias("n_links"),
@@ -606,22 +605,3 @@ def near_duplicates(
         .unionByName(alone(rows.where(~takes_part)))
     )
 
-
-def with_hot_keys(rows: DataFrame, told: DataFrame, total: int) -> DataFrame:
-    """Left join on both hashes. Keys that hold a thousandth of all rows are fewer than a thousand,
-    and joined by broadcast, so that their rows stay where they are."""
-    keys = ["k1", "k2"]
-    told_of = told.drop("copies")
-    if small_enough(told, 64):
-        return rows.join(F.broadcast(told_of), keys, "left")
-    hot = F.col("copies") * HOT_SHARE > total
-    marked = rows.join(
-        F.broadcast(told.where(hot).select(*keys, F.lit(True).alias("hot"))), keys, "left"
-    )
-    often = marked.where("hot").drop("hot").join(
-        F.broadcast(told.where(hot).drop("copies")), keys, "left"
-    )
-    seldom = marked.where("hot is null").drop("hot").join(
-        told.where(~hot).drop("copies"), keys, "left"
-    )
-    return often.unionByName(seldom)

@@ -11,17 +11,25 @@ regions a set has to go so that no linked pair is missed. The join goes down in
    l a tenth of n. Linked sets meet in l of them, counted on the smaller; sets that meet others in
    too few regions are dropped, twice over.
 2. *Rarest first.* The whole sets of what is left go to the regions of all their shingles. Sets
-   that share fewer than ceil(0.8 n) of them with others are dropped, twice over. Of the rest,
-   the rarest shingles suffice, as many as may miss one shared by a linked pair, plus one. Sets
-   that meet in a region are of one family.
+   that share fewer than ceil(0.8 n) of them with others are dropped, twice over. Shingles that
+   only one of the rest holds are in no intersection: without them, sets of one size that are
+   equal form a class, whose sets have the same links outside it, and inside it all or none. One
+   set stands for a class from here on. The rarest shingles suffice, as many as may miss one shared
+   by a linked pair, plus one. Sets that meet in a region are of one family.
 3. *Documents as pivots.* Inside a family distances vary. A large family is cut into Voronoi cells
    around pivots, bands of distance and hash parts; two parts are joined if their windows of
    distance to all pivots come within t of each other. Parts and small families are joined in
-   one task each, again by size and by windows around pivots, and exactly.
+   one task each, exactly: by a matrix product where sets share much, or by their rarest shingles
+   and by windows of size where they share little, whichever is expected to cost less.
 
-Equal sets are one node throughout, so copies cost nothing after the first scan. A task never
-holds more than two parts of ``REGION`` shingles, and links are counted, not written as pairs:
-what leaves a region is an edge to its component and the number of links of each set.
+Equal sets are one node throughout, so copies cost nothing after the first scan, and classes make
+a template with one changed word per document a single row. A task never holds more than two
+parts, each of ``REGION`` shingles and ``PART_SETS`` sets, and links are counted, not written as
+pairs: what leaves a region is an edge to its component and the number of links of each set.
+
+A shingle that very many sets hold is no region of one task. A bounded sample tells which those
+are; they are held by two sets for certain, so their rows are dealt by set as well, and their
+counts and least sets are put together from the parts.
 
 Sets are identified by 64-bit hashes, as are shingles; a false match of sets is expected once in
 about 10^19 / (number of sets)^2 / 2 corpora.
@@ -42,17 +50,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import in_small_batches, prepare, small_enough, stored, whole
+from dimloom.llm.common import (
+    in_small_batches,
+    join_hot,
+    prepare,
+    small_enough,
+    stored,
+    whole,
+)
 from dimloom.llm.graph import components
 from dimloom.llm.words import class_table, mixed, word_hashes
 
+_STEPS = 1 << 40
 WORDS = 5
 DISTANCE = 0.2
 LINKABLE = 4  # shingles; a smaller set is linked to equal ones only
 REGION = 2_000_000  # shingles of one part, 16 MB
+PART_SETS = 16_384  # sets of one part
 PIVOTS = 12  # of a large family
-NEAR_PIVOTS = 8  # inside a region
 MEMORY = 500_000  # sets a task remembers to pass over copies
+SAMPLE = 1 << 20  # shingles sampled to find the frequent ones
+FREQUENT = 32  # sets of the sample that hold one
+ROWS_AT_ONCE = 512  # of a matrix product
+CELLS = 1 << 25  # of a matrix
 
 CLASSES = class_table(bytes([9, 10, 11, 12, 13, 32]))
 _FACTORS = np.array(
@@ -170,11 +190,41 @@ def needed(n: Column) -> Column:
     return F.floor((4 * n + 4) / 5)
 
 
+def frequent(sets: DataFrame) -> DataFrame:
+    """key, often and parts of the shingles that very many of the sets (node, keys) hold.
+
+    There are at most SAMPLE / FREQUENT of them. A part has about FREQUENT rows of the sample.
+    """
+    total = sets.agg(F.sum(F.size("keys"))).first()[0] or 0
+    share = SAMPLE * _STEPS // max(total, SAMPLE)
+    picked = sets.where(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(_STEPS)) < share)
+    counts = (
+        picked.where(F.size("keys") > 0)
+        .dropDuplicates(["node"])
+        .select(F.explode("keys").alias("key"))
+        .groupBy("key")
+        .agg(F.count("*").alias("often"))
+        .where(F.col("often") >= FREQUENT)
+    )
+    return stored(counts.withColumn("parts", F.ceil(F.col("often") / FREQUENT)), "frequent")
+
+
+def shingle_rows(sets: DataFrame, often: DataFrame) -> DataFrame:
+    """Rows (key, part, node, n, often); ``often`` is null for shingles that are not frequent, and
+    part 0."""
+    rows = sets.select("node", "n", F.explode("keys").alias("key"))
+    part = F.pmod(F.xxhash64("node", F.lit(4)), F.col("parts"))
+    return rows.join(F.broadcast(often), "key", "left").select(
+        "key", F.coalesce(part, F.lit(0)).cast("int").alias("part"), "node", "n", "often"
+    )
+
+
 def met(rows: DataFrame) -> DataFrame:
-    """Rows (key, node, n) whose key occurs with another node too, each once."""
-    same = Window.partitionBy("key")
+    """Rows whose key occurs with another node too, each once."""
+    same = Window.partitionBy("key", "part")
     spread = rows.withColumns({"_a": F.min("node").over(same), "_b": F.max("node").over(same)})
-    return spread.where("_a <> _b").drop("_a", "_b").dropDuplicates(["key", "node"])
+    shared = (F.col("_a") != F.col("_b")) | F.col("often").isNotNull()
+    return spread.where(shared).drop("_a", "_b").dropDuplicates(["key", "part", "node"])
 
 
 def met_often(rows: DataFrame, least: Column) -> DataFrame:
@@ -192,121 +242,187 @@ def narrowed(rows: DataFrame, least: Column) -> DataFrame:
     return rows
 
 
+def shared_parts(sets: DataFrame) -> DataFrame:
+    """node, n and keys of the sets that may be linked: the shingles that others hold too."""
+    left = met(narrowed(shingle_rows(sets, frequent(sets)), needed(F.col("n"))))
+    return left.groupBy("node").agg(
+        F.first("n").alias("n"), F.sort_array(F.collect_list("key")).alias("keys")
+    )
+
+
 def families(sets: DataFrame) -> DataFrame:
-    """node and component of the sets that may be linked to another (step 2)."""
-    exploded = sets.select("node", "n", F.explode("keys").alias("key"))
-    left = met(narrowed(exploded, needed(F.col("n"))))
-    by_node = Window.partitionBy("node")
-    ranked = left.withColumn("df", F.count("*").over(Window.partitionBy("key"))).withColumns(
+    """node and component of the sets (node, n, keys) that may be linked to another (step 2)."""
+    left = shingle_rows(sets, frequent(sets))
+    same, by_node = Window.partitionBy("key", "part"), Window.partitionBy("node")
+    # The order has to be one for all sets, so a frequent shingle counts as in the sample.
+    held = F.coalesce(F.col("often") + (1 << 40), F.count("*").over(same))
+    ranked = left.withColumn("held", held).withColumns(
         {
             "shared": F.count("*").over(by_node),
-            "rank": F.row_number().over(by_node.orderBy("df", "key")),
+            "rank": F.row_number().over(by_node.orderBy("held", "key")),
         }
     )
     rarest = ranked.where(F.col("rank") <= F.col("shared") - needed(F.col("n")) + 1)
-    edges = rarest.select(
-        F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b")
-    )
-    return components(edges)
-
-
-def distances(sets: list[np.ndarray], pivots: list[np.ndarray]) -> np.ndarray:
-    """Jaccard distance of every set (rows) to every pivot."""
-    values = np.concatenate(sets)
-    starts = np.cumsum([0, *(len(s) for s in sets)])[:-1]
-    sizes = np.array([len(s) for s in sets])
-    columns = []
-    for pivot in pivots:
-        at = np.minimum(np.searchsorted(pivot, values), len(pivot) - 1)
-        both = np.add.reduceat((pivot[at] == values).astype(np.int64), starts)
-        columns.append(1 - both / (sizes + len(pivot) - both))
-    return np.stack(columns, axis=1)
-
-
-def join_region(
-    nodes: np.ndarray, sets: list[np.ndarray], copies: np.ndarray, roles: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes, the least node each is connected to, and its number of linked copies.
-
-    With two roles only pairs of different roles are compared. Sets go by size, so partners of
-    one are in a window of sizes after it; windows of distance to a few pivots narrow them.
+    met_in = rarest.withColumn("least", F.min("node").over(same))
+    edges = met_in.select(F.col("node").alias("a"), F.col("least").alias("b"))
+    # The least sets of the parts of a frequent shingle meet in it as well.
+    parts = met_in.where("often is not null").groupBy("key", "part").agg(F.min("least").alias("a"))
+    parts = stored(parts, "parts")
+    whole_keys = parts.groupBy("key").agg(F.min("a").alias("b"))
+    return components(edges.unionByName(parts.join(whole_keys, "key").select("a", "b")))
+
+
+def distances(own: np.ndarray, size: int, pivots: list[tuple[np.ndarray, int]]) -> list[float]:
+    """Jaccard distance of a set to every pivot, each with the size of the whole set."""
+    far = []
+    for pivot, other in pivots:
+        at = np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)
+        both = int((pivot[at] == own).sum())
+        far.append(1 - both / (size + other - both))
+    return far
+
+
+class Region:
+    """Sets of one or two parts, joined exactly.
+
+    ``sizes`` are those of the whole sets; ``sets`` has at least the shingles that occur in others
+    as well. Of a region of two parts (roles), only pairs of different parts are compared.
     """
-    sizes = np.array([len(s) for s in sets])
-    order = np.lexsort((nodes, sizes))
-    nodes, copies, roles, sizes = nodes[order], copies[order], roles[order], sizes[order]
-    sets = [sets[i] for i in order]
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.cumsum(sizes) - sizes
-    chosen = np.unique(np.linspace(0, len(sets) - 1, min(NEAR_PIVOTS, len(sets))).astype(int))
-    far = distances(sets, [sets[i] for i in chosen])
-    marks = np.zeros(int(codes.max()) + 1, dtype=bool)
-    parent = np.arange(len(sets))
-    links = np.zeros(len(sets), dtype=np.int64)
-    two_roles = roles.min() != roles.max()
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for i, size in enumerate(sizes.tolist()):
-        last = int(np.searchsorted(sizes, size * 5 // 4, side="right"))
-        others = np.arange(i + 1, last)
-        if two_roles:
-            others = others[roles[others] != roles[i]]
-        if len(others):
-            others = others[(np.abs(far[others] - far[i]) <= DISTANCE + 1e-9).all(axis=1)]
-        if not len(others):
-            continue
-        own = codes[starts[i] : starts[i] + size]
-        marks[own] = True
-        lengths = sizes[others]
-        ends = np.cumsum(lengths)
-        at = np.repeat(starts[others] - (ends - lengths), lengths) + np.arange(ends[-1])
-        both = np.add.reduceat(marks[codes[at]].astype(np.int64), ends - lengths)
-        marks[own] = False
-        linked = others[100 * both >= 80 * (size + lengths - both)]
-        links[i] += copies[linked].sum()
-        links[linked] += copies[i]
-        for j in linked.tolist():
-            a, b = root(i), root(j)
-            if nodes[a] > nodes[b]:
-                a, b = b, a
-            parent[b] = a
-    least = np.array([nodes[root(i)] for i in range(len(sets))], dtype=np.int64)
-    return nodes, least, links
+
+    def __init__(self, nodes, sets, sizes, copies, roles):
+        order = np.lexsort((nodes, sizes, roles))
+        self.nodes, self.sizes, self.copies = nodes[order], sizes[order], copies[order]
+        self.sets = [sets[i] for i in order]
+        self.second = int(np.searchsorted(roles[order], roles.max()))  # 0 if there is one part
+        lengths = np.array([len(s) for s in self.sets])
+        _, codes, often = np.unique(
+            np.concatenate(self.sets), return_inverse=True, return_counts=True
+        )
+        owners = np.repeat(np.arange(len(self.sets)), lengths)
+        kept = often[codes] > 1
+        _, self.codes = np.unique(codes[kept], return_inverse=True)
+        self.owners = owners[kept]
+        self.label = np.arange(len(self.sets))
+        self.links = np.zeros(len(self.sets), dtype=np.int64)
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes, the least node each is connected to, and its number of linked copies."""
+        if len(self.codes):
+            columns, weights = self.columns()
+            count = len(self.sets)
+            dense = count * count * (len(weights) / 2e10 + 4e-9)
+            postings = np.bincount(self.codes).astype(float)
+            pairs = min((postings**2).sum(), float(count) ** 2)
+            sparse = 1e-4 * count + pairs * (len(self.codes) / count * 4e-9 + 1e-8)
+            if count * len(weights) <= CELLS and dense <= sparse:
+                self.by_matrix(columns, weights)
+            else:
+                self.by_rarest()
+        least = np.full(len(self.sets), np.iinfo(np.int64).max)
+        np.minimum.at(least, self.label, self.nodes)
+        return self.nodes, least[self.label], self.links
+
+    def columns(self) -> tuple[np.ndarray, np.ndarray]:
+        """A column for each shingle, the same for those that the same sets hold, and how many
+        shingles a column stands for."""
+        marks = mixed(np.arange(1, len(self.sets) + 1, dtype=np.uint64))
+        order = np.argsort(self.codes, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(self.codes[order]) != 0])
+        held_by = np.add.reduceat(marks[self.owners[order]], starts)
+        _, columns, weights = np.unique(held_by, return_inverse=True, return_counts=True)
+        return columns, weights
+
+    def unite(self, one: int, others: np.ndarray) -> None:
+        labels = self.label[others]
+        if (labels != self.label[one]).any():
+            joined = np.unique(np.r_[labels, self.label[one]])
+            self.label[np.isin(self.label, joined)] = joined[0]
+
+    def by_matrix(self, columns: np.ndarray, weights: np.ndarray) -> None:
+        """Intersections as products of membership matrices."""
+        count = len(self.sets)
+        held = np.zeros((count, len(weights)), dtype=np.float32)
+        held[self.owners, columns[self.codes]] = 1
+        # 9 |a and b| >= 4 (|a| + |b|) is a similarity of 0.8.
+        sizes = self.sizes.astype(np.int64)
+        for at in range(0, self.second or count, ROWS_AT_ONCE):
+            rows = np.arange(at, min(at + ROWS_AT_ONCE, self.second or count))
+            first = self.second or at
+            both = (held[rows] * weights.astype(np.float32)) @ held[first:].T
+            wanted = -(-4 * (sizes[rows, None] + sizes[None, first:]) // 9)
+            linked = both >= wanted
+            if not self.second:  # each pair once
+                linked &= np.arange(first, count) > rows[:, None]
+            self.links[rows] += linked @ self.copies[first:]
+            self.links[first:] += linked.T @ self.copies[rows]
+            for row in np.flatnonzero(linked.any(axis=1)).tolist():
+                self.unite(int(rows[row]), first + np.flatnonzero(linked[row]))
+
+    def by_rarest(self) -> None:
+        """Candidates share one of their rarest shingles and are close in size."""
+        count = len(self.sets)
+        often = np.bincount(self.codes)
+        order = np.lexsort((self.codes, often[self.codes], self.owners))
+        owners, codes = self.owners[order], self.codes[order]
+        starts = np.searchsorted(owners, np.arange(count + 1))
+        shared = np.diff(starts)
+        prefix = np.maximum(shared - at_least(self.sizes) + 1, 0)
+        rare = np.arange(len(codes)) - starts[owners] < prefix[owners]
+        by_code = np.argsort(codes[rare], kind="stable")
+        holders = owners[rare][by_code]
+        posting = np.searchsorted(codes[rare][by_code], np.arange(len(often) + 1))
+        marks = np.zeros(len(often), dtype=bool)
+        for one in range(self.second or count):
+            own = codes[starts[one] : starts[one + 1]]
+            found = [holders[posting[c] : posting[c + 1]] for c in own[: prefix[one]].tolist()]
+            if not found:
+                continue
+            others = np.unique(np.concatenate(found))
+            others = others[others >= self.second] if self.second else others[others > one]
+            size, sizes = self.sizes[one], self.sizes[others]
+            others = others[(4 * size <= 5 * sizes) & (4 * sizes <= 5 * size)]
+            if not len(others):
+                continue
+            marks[own] = True
+            lengths = shared[others]
+            ends = np.cumsum(lengths)
+            at = np.repeat(starts[others] - (ends - lengths), lengths) + np.arange(ends[-1])
+            both = np.add.reduceat(marks[codes[at]].astype(np.int64), ends - lengths)
+            marks[own] = False
+            linked = others[9 * both >= 4 * (size + self.sizes[others])]
+            if len(linked):
+                self.links[one] += self.copies[linked].sum()
+                self.links[linked] += self.copies[one]
+                self.unite(one, linked)
 
 
 def join_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (region, role, node, copies, keys) in the order of regions; joins each region."""
+    """Rows (region, role, node, n, copies, keys) in the order of regions; joins each region."""
 
     def done() -> pa.RecordBatch:
-        both = join_region(
-            np.array([m[1] for m in members], dtype=np.int64),
-            [m[3] for m in members],
-            np.array([m[2] for m in members], dtype=np.int64),
-            np.array([m[0] for m in members]),
+        roles, nodes, sizes, copies = (
+            np.array([m[i] for m in members], dtype=np.int64) for i in range(4)
         )
+        joined = Region(nodes, [m[4] for m in members], sizes, copies, roles).joined()
         return pa.RecordBatch.from_arrays(
-            [pa.array(column, pa.int64()) for column in both], names=["node", "least", "links"]
+            [pa.array(column, pa.int64()) for column in joined], names=["node", "least", "links"]
         )
 
     region, members, known = None, [], set()
     for batch in batches:
-        keys = batch.column(4)
+        keys = batch.column(5)
         values, offsets = keys.values.to_numpy().view(np.uint64), keys.offsets.to_numpy()
-        for i, (at, role, node, copies) in enumerate(
-            zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)
+        for i, (at, *row) in enumerate(
+            zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True)
         ):
             if at != region:
-                if members:
+                if len(members) > 1:
                     yield done()
                 region, members, known = at, [], set()
-            if node not in known:
-                known.add(node)
-                members.append((role, node, copies, values[offsets[i] : offsets[i + 1]].copy()))
-    if members:
+            if row[1] not in known:
+                known.add(row[1])
+                members.append((*row, values[offsets[i] : offsets[i + 1]].copy()))
+    if len(members) > 1:
         yield done()
 
 
@@ -318,24 +434,26 @@ def parts_of_large(members: DataFrame) -> DataFrame:
         members.withColumn("_turn", F.row_number().over(by_hash))
         .where(F.col("_turn") <= PIVOTS)
         .groupBy("family")
-        .agg(F.collect_list(F.struct("node", "keys")).alias("pivots"))
-        .select("family", F.transform(F.sort_array("pivots"), lambda p: p["keys"]).alias("pivots"))
+        .agg(F.sort_array(F.collect_list(F.struct("node", "n", "keys"))).alias("pivots"))
+        .select("family", "pivots.keys", "pivots.n")
+        .toDF("family", "pivots", "pivot_sizes")
     )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for keys, some in zip(batch.column(5), batch.column(6), strict=True):
-                own = keys.values.to_numpy().view(np.uint64)
+            sizes = batch.column(2).to_pylist(), batch.column(7).to_pylist()
+            for keys, some, n, others in zip(batch.column(5), batch.column(6), *sizes, strict=True):
                 each = [p.values.to_numpy().view(np.uint64) for p in some]
-                found.append(distances([own], each)[0].tolist())
+                own = keys.values.to_numpy().view(np.uint64)
+                found.append(distances(own, n, list(zip(each, others, strict=True))))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:6], pa.array(found, pa.list_(pa.float64()))],
                 names=[*batch.schema.names[:6], "far"],
             )
 
     wide = members.join(pivots, "family").select(
-        "family", "node", "n", "copies", F.lit(0).alias("role"), "keys", "pivots"
+        "family", "node", "n", "copies", F.lit(0).alias("role"), "keys", "pivots", "pivot_sizes"
     )
     placed = stored(
         wide.mapInArrow(
@@ -348,7 +466,7 @@ def parts_of_large(members: DataFrame) -> DataFrame:
         "cells",
     )
     cell = ["family", "cell", "band"]
-    sizes = placed.groupBy(cell).agg(F.ceil(F.sum("n") / REGION).alias("parts"))
+    sizes = placed.groupBy(cell).agg(F.ceil(F.sum(weight()) / REGION).alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts"))
     parted = placed.join(sizes, cell).withColumn(
         "part", F.struct("cell", "band", part.alias("nth"))
@@ -380,18 +498,24 @@ def parts_of_large(members: DataFrame) -> DataFrame:
         )
     )
     return parted.drop("role").join(sides, ["family", "part"]).select(
-        "region", "role", "node", "copies", "keys"
+        "region", "role", "node", "n", "copies", "keys"
     )
 
 
-def linked_sets(sets: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, component) of the linked sets, and (node, links) of all that were compared."""
-    family = families(sets).withColumnRenamed("component", "family")
-    members = stored(sets.join(family, "node").join(copies, "node"), "members")
-    weights = members.groupBy("family").agg(F.sum("n").alias("weight"))
+def weight() -> Column:
+    """What a set takes of a region's room."""
+    return F.greatest(F.size("keys"), F.lit(REGION / PART_SETS))
+
+
+def linked_classes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of sets (node, n, keys, copies), one for each class: edges (a, b) between linked ones, and
+    node with its number of linked copies."""
+    family = families(classes).withColumnRenamed("component", "family")
+    members = stored(classes.join(family, "node"), "members")
+    weights = members.groupBy("family").agg(F.sum(weight()).alias("weight"))
     large = stored(weights.where(F.col("weight") > REGION).select("family"), "large")
     small = members.join(large, "family", "left_anti").select(
-        F.col("family").alias("region"), F.lit(0).alias("role"), "node", "copies", "keys"
+        F.col("family").alias("region"), F.lit(0).alias("role"), "node", "n", "copies", "keys"
     )
     regions = small
     if not large.isEmpty():
@@ -400,11 +524,58 @@ def linked_sets(sets: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFram
         regions.repartition("region")
         .sortWithinPartitions("region", "role")
         .mapInArrow(in_small_batches(join_stream), "node long, least long, links long"),
-        "links",
+        "joined",
     )
     apart = joined.where("node <> least")
     edges = apart.select(F.col("node").alias("a"), F.col("least").alias("b"))
-    return components(edges), joined.groupBy("node").agg(F.sum("links").alias("links"))
+    links = joined.groupBy("node").agg(F.sum("links").alias("links")).where("links > 0")
+    return edges, links
+
+
+def linked_sets(sets: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of the linked sets, and (node, links) of those with links."""
+    reduced = stored(
+        shared_parts(sets)
+        .join(copies, "node")
+        .withColumn("class", F.xxhash64("n", "keys")),
+        "reduced",
+    )
+    # Two sets of a class share its shingles and nothing else.
+    inside = (9 * F.size("keys") >= 8 * F.col("n")) & (F.col("sets") > 1)
+    classes = stored(
+        reduced.groupBy("class")
+        .agg(
+            F.min("node").alias("node"),
+            F.first("n").alias("n"),
+            F.first("keys").alias("keys"),
+            F.sum("copies").alias("copies"),
+            F.count("*").alias("sets"),
+        )
+        .withColumn("inside", inside),
+        "classes",
+    )
+    edges, outside = linked_classes(classes.select("node", "n", "keys", "copies"))
+    told = stored(
+        classes.select("class", F.col("node").alias("first"), "copies", "sets", "inside")
+        .join(outside.withColumnRenamed("node", "first"), "first", "left")
+        .where("inside or links is not null")
+        .withColumnRenamed("copies", "class_copies"),
+        "told",
+    )
+    members = reduced.select("node", "class", "copies")
+    linked = stored(
+        join_hot(members, told, ["class"], F.col("sets"), members.count(), "inner").select(
+            "node",
+            "first",
+            (
+                F.coalesce("links", F.lit(0))
+                + F.when(F.col("inside"), F.col("class_copies") - F.col("copies")).otherwise(0)
+            ).alias("links"),
+        ),
+        "linked",
+    )
+    to_first = linked.select(F.col("node").alias("a"), F.col("first").alias("b"))
+    return components(edges.unionByName(to_first)), linked.select("node", "links")
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -424,8 +595,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         ),
         "documents",
     )
-    lowest = documents.select("node", "n", F.explode("keys").alias("key"))
     fewest = F.greatest(F.lit(1), F.floor(needed(F.col("n")) / 10))
+    lowest = shingle_rows(documents, frequent(documents))
     left = narrowed(lowest, fewest).select("node").distinct()
     # One text stands for all with the same set.
     chosen = stored(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from dimloom.llm import common, graph, jaccard
@@ -100,6 +102,87 @@ def test_a_dense_group_of_near_copies_with_and_without_broadcast(spark, monkeypa
         assert {r["doc_id"]: tuple(r)[1:] for r in rows} == want
 
 
+@pytest.mark.parametrize("matrix", [True, False])
+def test_a_region_of_one_or_two_parts_equals_all_pairs(monkeypatch, matrix):
+    monkeypatch.setattr(jaccard, "CELLS", 1 << 25 if matrix else 0)
+    monkeypatch.setattr(jaccard, "ROWS_AT_ONCE", 7)
+    rng = random.Random(9)
+    for roles in (1, 2):
+        sets = []
+        for base in (range(40), range(20, 70), range(100, 112)):
+            for _ in range(25):
+                gone = set(rng.sample(list(base), rng.randint(0, 4)))
+                more = {rng.randrange(1000, 1100) for _ in range(rng.randint(0, 3))}
+                sets.append(np.array(sorted((set(base) - gone) | more), dtype=np.uint64))
+        role = np.array([rng.randrange(roles) for _ in sets])
+        copies = np.array([rng.randint(1, 3) for _ in sets])
+        sizes = np.array([len(s) + rng.randint(0, 1) for s in sets])  # one that no other holds
+        nodes = np.array(rng.sample(range(-500, 500), len(sets)))
+        region = jaccard.Region(nodes, sets, sizes, copies, role)
+        links = dict.fromkeys(nodes.tolist(), 0)
+        least = {int(n): int(n) for n in nodes}
+        for i, a in enumerate(sets):
+            for j in range(i):
+                both = len(np.intersect1d(a, sets[j]))
+                near = 100 * both >= 80 * (sizes[i] + sizes[j] - both)
+                if near and (roles == 1 or role[i] != role[j]):
+                    links[nodes[i]] += copies[j]
+                    links[nodes[j]] += copies[i]
+                    one, other = least[nodes[i]], least[nodes[j]]
+                    least = {n: min(one, other) if x in (one, other) else x for n, x in least.items()}
+        got = list(zip(*(x.tolist() for x in region.joined()), strict=True))
+        assert sorted(got) == sorted((n, least[n], links[n]) for n in least)
+        assert max(links.values()) > 10
+
+
+def near_copies(count: int, own_words: int) -> list[str]:
+    """Texts of the same words but for the last ones."""
+    base = " ".join(f"w{i}" for i in range(60))
+    return [" ".join([base, *(f"own{k}x{i}" for k in range(own_words))]) for i in range(count)]
+
+
+def test_very_many_near_copies_are_few_classes(spark):
+    """Classes are counted by their size, whatever their number of sets."""
+    texts = near_copies(2000, 1) + near_copies(2000, 2) + near_copies(1000, 40)
+    rows = jaccard.jaccard_components(documents(spark, texts)).collect()
+    got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in rows}
+    # 56 shingles are shared: of 57 and 58 enough, of 96 too few.
+    assert got == {i: (0, 3999) if i < 4000 else (i, 0) for i in range(5000)}
+
+
+def test_a_task_of_very_many_near_copies_is_quick():
+    """Sets of eleven shingles that differ in the last, and ones that differ in two places."""
+    count = 8000
+    sets = [np.array([*range(10), 100 + i], dtype=np.uint64) for i in range(count)]
+    rng = np.random.default_rng(1)
+    places = rng.integers(0, 300, size=(count, 2))
+    sets += [np.setdiff1d(np.arange(1000, 1300), 1000 + p).astype(np.uint64) for p in places]
+    ones = np.ones(len(sets), dtype=np.int64)
+    began = time.perf_counter()
+    sizes = np.array([11] * count + [300] * count)
+    _, least, links = jaccard.Region(np.arange(2 * count), sets, sizes, ones, 0 * ones).joined()
+    assert time.perf_counter() - began < 20
+    assert (links == count - 1).all() and set(least.tolist()) == {0, count}
+
+
+@pytest.mark.parametrize("frequent", [2, 5, 10**9])
+def test_frequent_shingles_change_nothing(spark, monkeypatch, frequent):
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    texts = corpus(random.Random(8))
+    rows = jaccard.jaccard_components(documents(spark, texts)).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in rows} == by_pairs(texts)
+
+
+def test_a_shingle_that_all_sets_hold_is_dealt_to_many_tasks(spark):
+    rows = [(i, 60, [7, 8, 10 + i]) for i in range(4000)]
+    sets = spark.createDataFrame(rows, "node long, n long, keys array<long>")
+    often = jaccard.frequent(sets)
+    assert {r["key"]: r["parts"] for r in often.collect()} == {7: 125, 8: 125}
+    dealt = jaccard.shingle_rows(sets, often).groupBy("key", "part").count()
+    assert dealt.agg({"count": "max"}).first()[0] < 100
+    assert {(r["key"]) for r in jaccard.met(jaccard.shingle_rows(sets, often)).collect()} == {7, 8}
+
+
 def test_components_of_paths_stars_and_rings(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(100)] + [(200, i) for i in range(201, 260)]
