@@ -1,21 +1,27 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
-Both halves of a vector are quantised on their own, each to one of at most ``CENTROIDS``
-centroids, so a pair of centroids names a cell. For a query, a heap yields the cells by the sum of
-the two half distances until the cells reached hold a share of all rows; the entries of those
-cells are scored exactly. That share, and whether the distance counts the centroids' norms, are
-calibrated: on a bounded sample the share has to reach ``CALIBRATED_RECALL`` of the true nearest.
-Centroids come from the same sample, of ``SAMPLE_ROWS`` rows on average; every row is indexed.
-
-Cells are put together into blocks of about ``BLOCK_ROWS`` rows; larger cells are dealt to several
-blocks by a hash of the id, so a vector that very many rows share is no hot spot. Queries form
-blocks too. A task meets one block of queries, with a bit map of the cells each wants, and streams
-one block of entries past them; only the best of each query leave it.
+Both halves of a vector are quantised on their own, each to one of so many centroids that a pair of
+them, a cell, holds about ``CELL_ROWS`` rows. For a query, a heap yields the cells by the sum of the
+two half distances until the cells reached hold a share of all rows; the entries of those cells are
+scored exactly. Centroids come from a sample of ``SAMPLE_ROWS`` at most; every row is indexed. The
+share, and whether the distance counts the centroids' norms, are calibrated on
+``CALIBRATION_QUERIES`` rows, whose true neighbours among all rows are found by comparing them with
+every row: the share has to reach ``CALIBRATED_RECALL`` of them.
+
+Cells are put together into blocks of at most ``BLOCK_ROWS`` rows; a larger cell is dealt to several
+blocks by a random number of the row, so neither a vector nor an id that very many rows share is a
+hot spot. A query goes to the blocks that hold a cell it wants, with the distance up to which it
+wants cells. Queries are dealt to parts by their own cell, so that those of a part want similar
+blocks, and an entry goes only to the parts that want its block. A task holds one block of entries
+and streams the queries of one part past it; only the best of each query leave it.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part, nor do rows without an id; rows that repeat an id are
 candidates each, but no row is a candidate for a query of its own id, and a repeated query id is
-answered once, by its smallest vector; without candidates there are no rows.
+answered once, by its smallest vector; such rows do not count among those a query has reached.
+Ties go to the smaller id, and rows equal in id and score are ranked one after the other; fewer
+candidates than wanted are all returned, and without any there are no rows, nor for an empty
+table. Other columns of the input, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -25,16 +31,22 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CENTROIDS = 64
+from dimloom.llm.common import in_small_batches, prepare, small_enough, stored
+
+CELL_ROWS = 64
+CENTROIDS = 16, 1024  # of a half, at least and at most
 SAMPLE_ROWS = 16_384
 CALIBRATION_QUERIES = 256
 CALIBRATED_RECALL = 0.96
-BLOCK_ROWS = 4096
-QUERY_BLOCK = 2048
+# A sixteenth of all rows, but at least and at most so many.
+BLOCK_ROWS = 4096, 131_072
+QUERY_ROWS = 32_768  # queries of a part
+SCORES_AT_ONCE = 1 << 22
 ROUNDS = 12
 _STEPS = 1 << 30
 
@@ -71,6 +83,12 @@ def closest(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.argmin((centroids**2).sum(axis=1) - 2 * rows @ centroids.T, axis=1)
 
 
+def centroid_count(rows: int, sampled: int) -> int:
+    """Of each half, for cells of about ``CELL_ROWS`` rows."""
+    least, most = CENTROIDS
+    return int(np.clip(np.sqrt(rows / CELL_ROWS), least, min(most, max(least, sampled // 16))))
+
+
 @dataclass(frozen=True)
 class MultiIndex:
     """Centroids of both halves, the weight of their norms in a distance, the share to visit."""
@@ -111,112 +129,226 @@ class MultiIndex:
             if j == 0 and i + 1 < len(a):
                 heapq.heappush(heap, (a[i + 1] + b[0], i + 1, 0))
 
-    def wanted(self, query: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
-        """Which cells the query visits: as many as hold the share of all rows, and ``least``."""
-        goal = max(self.share * sizes.sum(), least)
-        marks = np.zeros(self.cells, dtype=bool)
+    def limit(self, query: np.ndarray, sizes: np.ndarray, least: int) -> float:
+        """The distance of the last cell a query visits: those up to it hold the share of all
+        rows, and ``least`` more."""
+        goal = self.share * sizes.sum() + least
         reached = 0
         for cell in self.traverse(query):
-            marks[cell] = True
             reached += sizes[cell]
             if reached >= goal:
-                break
-        return marks
-
-
-def fitted(sample: np.ndarray, nearest: int) -> MultiIndex:
-    """Centroids and calibration from a sample of the rows."""
-    half = sample.shape[1] // 2
-    first, second = k_means(sample[:, :half], CENTROIDS), k_means(sample[:, half:], CENTROIDS)
-    plain = MultiIndex(first, second)
-    cells = plain.cell_of(sample)
-    sizes = np.bincount(cells, minlength=plain.cells)
-    step = max(1, len(sample) // CALIBRATION_QUERIES)
-    queries = np.arange(0, len(sample), step)
-    best = None
-    for norms in (0.0, 1.0):
-        index = MultiIndex(first, second, norms)
-        needed = []
-        for at in queries:
-            one, other = index.half_distances(sample[at])
-            order = np.argsort((one[:, None] + other).ravel(), kind="stable")
-            until = np.empty(index.cells)
-            until[order] = np.cumsum(sizes[order])
-            scores = sample @ sample[at]
-            scores[at] = -np.inf
-            top = np.argsort(-scores, kind="stable")[: min(nearest, len(sample) - 1)]
-            needed.append(until[cells[top]] / len(sample))
-        reached = np.concatenate(needed)
-        share = float(np.quantile(reached, CALIBRATED_RECALL)) if len(reached) else 1.0
-        if best is None or share < best.share:
-            best = MultiIndex(first, second, norms, share)
-    return best
+                return float(self.cell_distances(query, np.array([cell]))[0])
+        return np.inf
+
+    def cell_distances(self, query: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """The sums of the half distances of some cells."""
+        one, other = self.half_distances(query)
+        first, second = np.divmod(cells, len(self.second))
+        return one[first] + other[second]
+
+    def calibrated(
+        self, sizes: np.ndarray, queries: np.ndarray, neighbours: list[np.ndarray]
+    ) -> MultiIndex:
+        """The same centroids with the smaller share that reaches the recall, from the cells of
+        the true neighbours of some queries."""
+        trials = []
+        for norms in (0.0, 1.0):
+            trial = MultiIndex(self.first, self.second, norms)
+            reached = [np.zeros(1)]
+            for query, cells in zip(queries, neighbours, strict=True):
+                far = trial.cell_distances(query, np.arange(self.cells))
+                order = np.argsort(far, kind="stable")
+                until = np.empty(self.cells)
+                until[order] = np.cumsum(sizes[order])
+                reached.append(until[cells] / sizes.sum())
+            share = float(np.quantile(np.concatenate(reached), CALIBRATED_RECALL))
+            trials.append(MultiIndex(self.first, self.second, norms, share))
+        return min(trials, key=lambda trial: trial.share)
 
 
 def vectors_of(column: pa.Array, length: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, length)
 
 
-def block_table(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def block_table(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """For each cell, its first block and over how many blocks its rows are dealt."""
     first, parts = np.zeros(len(sizes), dtype=np.int32), np.ones(len(sizes), dtype=np.int32)
     block = filled = 0
     for cell, size in enumerate(sizes.tolist()):
-        if size > BLOCK_ROWS:
+        if size > most:
             block += filled > 0
-            parts[cell] = -(-size // BLOCK_ROWS)
+            parts[cell] = -(-size // most)
             first[cell] = block
             block += int(parts[cell])
             filled = 0
             continue
-        if filled + size > BLOCK_ROWS:
+        if filled + size > most:
             block, filled = block + 1, 0
         first[cell] = block
         filled += size
     return first, parts
 
 
-class Best:
-    """The nearest entries met so far, for each query of a block."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, marks: np.ndarray, nearest: int):
-        self.ids, self.vectors, self.marks, self.nearest = ids, vectors, marks, nearest
-        self.norms = np.sqrt((vectors**2).sum(axis=1))
-        self.found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        self.limits = np.full(len(ids), -np.inf)
-
-    def meet(self, ids: np.ndarray, cells: np.ndarray, vectors: np.ndarray) -> None:
-        rough = self.vectors @ vectors.T
-        rough[~self.marks[:, cells] | (self.ids[:, None] == ids)] = -np.inf
-        limits = self.limits
-        if len(ids) > self.nearest:
-            of_batch = -np.partition(-rough, self.nearest - 1, axis=1)[:, self.nearest - 1]
-            limits = np.maximum(limits, of_batch)
+class Block:
+    """Entries that a task holds."""
+
+    def __init__(self, index: MultiIndex, ids: np.ndarray, cells: np.ndarray, vectors: np.ndarray):
+        self.index, self.ids, self.vectors = index, ids, vectors
+        self.cells, self.places = np.unique(cells, return_inverse=True)
+        self.longest = np.sqrt((vectors**2).sum(axis=1).max(initial=0))
+
+    def best(
+        self, ids: np.ndarray, vectors: np.ndarray, limits: np.ndarray, nearest: int
+    ) -> pa.RecordBatch:
+        """Rows (query_id, vec_id, score) of the nearest entries in the cells each query wants."""
+        far = np.array([self.index.cell_distances(query, self.cells) for query in vectors])
+        wanted = far <= limits[:, None]
+        scores = vectors @ self.vectors.T
+        scores[~wanted[:, self.places] | (ids[:, None] == self.ids)] = -np.inf
+        least = np.full(len(ids), -np.inf)
+        if len(self.ids) > nearest:
+            least = -np.partition(-scores, nearest - 1, axis=1)[:, nearest - 1]
         # The product may round differently from the exact sum, so near ties stay in.
-        slack = 1e-12 * self.norms * np.sqrt((vectors**2).sum(axis=1).max(initial=0))
-        queries, entries = np.nonzero((rough >= (limits - slack)[:, None]) & (rough > -np.inf))
+        slack = 1e-12 * np.sqrt((vectors**2).sum(axis=1)) * self.longest
+        queries, entries = np.nonzero((scores >= (least - slack)[:, None]) & (scores > -np.inf))
         exact = np.empty(len(queries))
         for at in range(0, len(queries), 1 << 15):
             some = slice(at, at + (1 << 15))
-            exact[some] = (self.vectors[queries[some]] * vectors[entries[some]]).sum(axis=1)
-        queries = np.r_[self.found[0], queries]
-        ids, exact = np.r_[self.found[1], ids[entries]], np.r_[self.found[2], exact]
-        order = np.lexsort((ids, -exact, queries))
-        queries, ids, exact = queries[order], ids[order], exact[order]
-        place = np.arange(len(queries)) - np.searchsorted(queries, queries)
-        kept = place < self.nearest
-        self.found = (queries[kept], ids[kept], exact[kept])
-        last = place == self.nearest - 1
-        self.limits[queries[last]] = exact[last]
-
-    def rows(self) -> pa.RecordBatch:
-        queries, ids, scores = self.found
+            exact[some] = (vectors[queries[some]] * self.vectors[entries[some]]).sum(axis=1)
+        order = np.lexsort((self.ids[entries], -exact, queries))
+        queries, entries, exact = queries[order], entries[order], exact[order]
+        kept = np.arange(len(queries)) - np.searchsorted(queries, queries) < nearest
+        queries, entries, exact = queries[kept], entries[kept], exact[kept]
         return pa.RecordBatch.from_arrays(
-            [pa.array(self.ids[queries]), pa.array(ids), pa.array(scores)],
+            [pa.array(ids[queries]), pa.array(self.ids[entries]), pa.array(exact)],
             names=["query_id", "vec_id", "score"],
         )
 
 
+def true_neighbours(
+    placed: DataFrame, ids: np.ndarray, vectors: np.ndarray, nearest: int
+) -> list[np.ndarray]:
+    """The cells of the nearest rows to each of a few queries, among all rows."""
+    length = vectors.shape[1]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.zeros((0, 3))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            scores = vectors @ vectors_of(batch.column(1), length).T
+            scores[ids[:, None] == batch.column(0).to_numpy()] = -np.inf
+            at = np.argpartition(-scores, min(nearest, scores.shape[1]) - 1, axis=1)[:, :nearest]
+            rows, at = np.repeat(np.arange(len(ids)), at.shape[1]), at.ravel()
+            cells = batch.column(2).to_numpy()[at]
+            found = np.stack([rows, -scores[rows, at], cells], axis=1)
+            best = np.concatenate([best, found[found[:, 1] < np.inf]])
+            best = best[np.lexsort((best[:, 1], best[:, 0]))]
+            best = best[np.arange(len(best)) - np.searchsorted(best[:, 0], best[:, 0]) < nearest]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(best[:, 0].astype(np.int64)),
+                pa.array(-best[:, 1]),
+                pa.array(best[:, 2].astype(np.int32)),
+            ],
+            names=["nth", "score", "cell"],
+        )
+
+    found = placed.select("vec_id", "vector", "cell").mapInArrow(
+        in_small_batches(search), "nth long, score double, cell int"
+    )
+    order = Window.partitionBy("nth").orderBy(F.desc("score"), "cell")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
+    cells: list[list[int]] = [[] for _ in ids]
+    for row in ranked.select("nth", "cell").collect():  # nearest rows for each of the queries
+        cells[row["nth"]].append(row["cell"])
+    return [np.array(c, dtype=np.int64) for c in cells]
+
+
+def sampled(rows: DataFrame, there: int, most: int) -> pa.Table:
+    """At most so many of the stored rows, by their random number, which no id or vector sways."""
+    steps = min(_STEPS, (most + most // 8 + 64) * _STEPS // max(there, 1))
+    some = rows.where(F.col("deal") < steps).orderBy("deal", "vec_id", "vector").limit(most)
+    return some.select("vec_id", "vector").toArrow()
+
+
+def fitted(
+    rows: DataFrame, there: int, length: int, nearest: int
+) -> tuple[MultiIndex, DataFrame, np.ndarray]:
+    """The calibrated index, the stored rows with their cells, and how many a cell holds."""
+    picked = sampled(rows, there, SAMPLE_ROWS)
+    sample = vectors_of(picked.column("vector").combine_chunks(), length)
+    count, half = centroid_count(there, len(sample)), length // 2
+    index = MultiIndex(k_means(sample[:, :half], count), k_means(sample[:, half:], count))
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = index.cell_of(vectors_of(batch.column(1), length))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found, pa.int32())],
+                names=["vec_id", "vector", "deal", "cell"],
+            )
+
+    schema = "vec_id long, vector array<double>, deal long, cell int"
+    placed = stored(rows.mapInArrow(in_small_batches(cells), schema), "cells")
+    sizes = np.zeros(index.cells, dtype=np.int64)
+    for row in placed.groupBy("cell").count().toLocalIterator():  # at most all pairs of centroids
+        sizes[row["cell"]] = row["count"]
+    few = slice(0, CALIBRATION_QUERIES)
+    ids, queries = picked.column("vec_id").to_numpy()[few], sample[few]
+    known = true_neighbours(placed, ids, queries, nearest)
+    return index.calibrated(sizes, queries, known), placed, sizes
+
+
+def asked_blocks(
+    queries: DataFrame,
+    index: MultiIndex,
+    sizes: np.ndarray,
+    blocks: tuple[np.ndarray, np.ndarray],
+    length: int,
+    nearest: int,
+) -> DataFrame:
+    """Queries (part, vec_id, vector, times), once for each block that has a cell they want, with
+    the distance up to which they want cells."""
+    first, parts = blocks
+
+    def wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled = np.flatnonzero(sizes)
+        for batch in batches:
+            found = vectors_of(batch.column(2), length)
+            at, blocks, limits = [], [], []
+            for row, (query, times) in enumerate(zip(found, batch.column(3).to_pylist(), strict=True)):
+                limit = index.limit(query, sizes, nearest + times)
+                cells = filled[index.cell_distances(query, filled) <= limit]
+                spans = set(zip(first[cells].tolist(), parts[cells].tolist(), strict=True))
+                own = sorted({b for start, n in spans for b in range(start, start + n)})
+                at += [row] * len(own)
+                blocks += own
+                limits += [limit] * len(own)
+            picked = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks, pa.int32()), *picked.columns[:3], pa.array(limits, pa.float64())],
+                names=["block", "part", "vec_id", "vector", "reach"],
+            )
+
+    return queries.select("part", "vec_id", "vector", "times").mapInArrow(
+        in_small_batches(wants),
+        "block int, part int, vec_id long, vector array<double>, reach double",
+    )
+
+
+def dealt(rows: DataFrame, sizes: np.ndarray, most: int, name: str) -> tuple[DataFrame, tuple]:
+    """Rows (cell, deal) with a block each, as a column of the given name, and the blocks."""
+    first, parts = block_table(sizes, most)
+    cells = np.arange(len(sizes), dtype=np.int32)
+    table = pd.DataFrame({"cell": cells, "_first": first, "_of": parts})
+    # One row a cell; there are at most CENTROIDS[1] ** 2 of them.
+    known = rows.sparkSession.createDataFrame(table[sizes > 0], "cell int, _first int, _of int")
+    block = (F.col("_first") + F.col("deal") % F.col("_of")).cast("int").alias(name)
+    joined = rows.join(F.broadcast(known), "cell")
+    return joined.select(block, *rows.columns), (first, parts)
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     is_query: Column,
@@ -228,6 +360,7 @@ def nearest_neighbours(
 
     ``is_query`` is a condition on the column vec_id.
     """
+    prepare(vectors.sparkSession)
     schema = "query_id long, vec_id long, score double"
     rows = usable(vectors, id_col, vector)
     lengths = rows.groupBy(F.size("vector").alias("length")).count()
@@ -236,123 +369,81 @@ def nearest_neighbours(
         empty = vectors.sparkSession.createDataFrame([], schema)
         return empty.select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
     length, there = most["length"], most["count"]
-    rows = rows.where(F.size("vector") == length)
-    steps = _STEPS if there <= SAMPLE_ROWS else SAMPLE_ROWS * _STEPS // there
-    sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(_STEPS)) < steps)
-    picked = sample.orderBy("vec_id", "vector").select("vector").toArrow()
-    index = fitted(vectors_of(picked.column(0).combine_chunks(), length), nearest)
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = index.cell_of(vectors_of(batch.column(1), length))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.int32())], names=["vec_id", "vector", "cell"]
-            )
-
-    entries = rows.mapInArrow(in_small_batches(cells), "vec_id long, vector array<double>, cell int")
-    sizes = np.zeros(index.cells, dtype=np.int64)
-    for row in entries.groupBy("cell").count().toLocalIterator():
-        sizes[row["cell"]] = row["count"]
-    first, parts = block_table(sizes)
-    blocks = int((first + parts).max())
-
-    queries = (
-        rows.where(is_query)
-        .groupBy("vec_id")
-        .agg(F.min("vector").alias("vector"))
-        .select("vec_id", "vector")
+    # Written once, so that all passes see the same random numbers.
+    rows = stored(
+        rows.where(F.size("vector") == length).withColumn(
+            "deal", F.floor(F.rand(17) * _STEPS).cast("long")
+        ),
+        "rows",
     )
-    query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-
-    def wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row for each block that has a cell the query wants."""
-        for batch in batches:
-            columns: list[list] = [[], [], [], []]
-            found = vectors_of(batch.column(1), length)
-            for query_id, query in zip(batch.column(0).to_pylist(), found, strict=True):
-                marks = index.wanted(query, sizes, nearest + 1)
-                visited = np.flatnonzero(marks & (sizes > 0))
-                spans = zip(first[visited].tolist(), parts[visited].tolist(), strict=True)
-                packed = np.packbits(marks).tobytes()
-                for block in sorted({b for start, n in spans for b in range(start, start + n)}):
-                    for column, cell in zip(columns, (query_id, query, block, packed), strict=True):
-                        column.append(cell)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(columns[0], pa.int64()),
-                    pa.array(columns[1], pa.list_(pa.float64())),
-                    pa.array(columns[2], pa.int32()),
-                    pa.array(columns[3], pa.binary()),
-                ],
-                names=["vec_id", "vector", "block", "marks"],
-            )
+    index, placed, sizes = fitted(rows, there, length, nearest)
+    block_rows = int(np.clip(there // 16, *BLOCK_ROWS))
+    entries, blocks = dealt(placed, sizes, block_rows, "block")
 
-    asked = queries.mapInArrow(
-        in_small_batches(wants), "vec_id long, vector array<double>, block int, marks binary"
-    ).select(
-        F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(query_blocks))
-        .cast("int")
-        .alias("query_block"),
-        "block",
-        F.lit(0).alias("role"),
-        "vec_id",
-        "vector",
-        F.lit(0).alias("cell"),
-        "marks",
+    chosen = stored(
+        placed.where(is_query)
+        .groupBy("vec_id")
+        .agg(
+            F.min(F.struct("vector", "cell", "deal")).alias("least"), F.count("*").alias("times")
+        )
+        .select("vec_id", "least.*", "times"),
+        "queries",
     )
-
-    @F.pandas_udf("int")
-    def block_of(cell, deal):
-        return (first[cell] + deal % parts[cell]).astype("int32")
-
-    deal = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30))
-    offered = entries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
-        block_of("cell", deal).alias("block"),
-        F.lit(1).alias("role"),
-        "vec_id",
-        "vector",
-        "cell",
-        F.lit(None).cast("binary").alias("marks"),
+    asking = np.zeros(index.cells, dtype=np.int64)
+    for row in chosen.groupBy("cell").count().toLocalIterator():
+        asking[row["cell"]] = row["count"]
+    queries, _ = dealt(chosen, asking, QUERY_ROWS, "part")
+    asked = stored(asked_blocks(queries, index, sizes, blocks, length, nearest), "asked")
+    # Which parts want a block; an entry goes to those only.
+    pairs = stored(asked.select("block", "part").distinct(), "pairs")
+    offered = entries.join(F.broadcast(pairs) if small_enough(pairs, 32) else pairs, "block")
+    both = asked.select(
+        "block", "part", F.lit(1).alias("role"), "vec_id", "vector", F.lit(0).alias("cell"), "reach"
+    ).unionByName(
+        offered.select(
+            "block",
+            "part",
+            F.lit(0).alias("role"),
+            "vec_id",
+            "vector",
+            "cell",
+            F.lit(None).cast("double").alias("reach"),
+        )
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by pair of blocks, its queries before its entries."""
-        pair, best, asking = None, None, []
+        """Rows come by block and part, entries before queries."""
+        pair, block, held = None, None, []
         for batch in batches:
             keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
             cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1
             for begin, end in zip([0, *cuts], [*cuts, len(keys)], strict=True):
                 if begin == end:
                     continue
-                part = batch.slice(begin, end - begin)
+                some = batch.slice(begin, end - begin)
                 if pair != (keys[begin, 0], keys[begin, 1]):
-                    if best is not None:
-                        yield best.rows()
-                    pair, best, asking = (keys[begin, 0], keys[begin, 1]), None, []
-                ids, found = part.column(3).to_numpy(), vectors_of(part.column(4), length)
+                    pair, block, held = (keys[begin, 0], keys[begin, 1]), None, []
+                ids, found = some.column(3).to_numpy(), vectors_of(some.column(4), length)
                 if keys[begin, 2] == 0:
-                    bits = [np.frombuffer(m, np.uint8) for m in part.column(6).to_pylist()]
-                    asking.append((ids, found, np.stack(bits)))
+                    held.append((ids, some.column(5).to_numpy(), found))
                     continue
-                if best is None:
-                    if not asking:
+                if block is None:
+                    if not held:
                         continue
-                    marks = np.unpackbits(np.concatenate([a[2] for a in asking]), axis=1)
-                    best = Best(
-                        np.concatenate([a[0] for a in asking]),
-                        np.concatenate([a[1] for a in asking]),
-                        marks[:, : index.cells].astype(bool),
-                        nearest,
-                    )
-                best.meet(ids, part.column(5).to_numpy(), found)
-        if best is not None:
-            yield best.rows()
-
-    pairs = asked.unionByName(offered).repartition(
-        max(1, min(blocks * query_blocks, 100_000)), "query_block", "block"
+                    block = Block(index, *(np.concatenate(x) for x in zip(*held, strict=True)))
+                    held = []
+                limits = some.column(6).to_numpy()
+                step = max(1, SCORES_AT_ONCE // len(block.ids))
+                for at in range(0, len(ids), step):
+                    part = slice(at, at + step)
+                    yield block.best(ids[part], found[part], limits[part], nearest)
+
+    tasks = pairs.count()
+    found = (
+        both.repartition(max(1, min(tasks, 100_000)), "block", "part")
+        .sortWithinPartitions("block", "part", "role")
+        .mapInArrow(in_small_batches(search), schema)
     )
-    found = pairs.sortWithinPartitions("query_block", "block", "role").mapInArrow(in_small_batches(search), schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +12,8 @@ from pyspark.sql import functions as F
 from dimloom.llm import neighbours
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
 def is_query():
     return F.col("vec_id") % 20 == 0
 
@@ -66,12 +71,87 @@ def test_cells_come_by_rising_distance():
 
 
 def test_blocks_cover_all_cells():
-    sizes = np.array([10, 0, neighbours.BLOCK_ROWS * 3 + 1, 5, neighbours.BLOCK_ROWS, 7])
-    first, parts = neighbours.block_table(sizes)
+    sizes = np.array([10, 0, 301, 5, 100, 7])
+    first, parts = neighbours.block_table(sizes, 100)
     assert parts.tolist() == [1, 1, 4, 1, 1, 1]
     assert first[3] == first[2] + 4 and first[4] != first[3]
 
 
+def small_blocks(monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", (100, 100))
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 40)
+
+
+def test_many_blocks_and_parts_find_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    middles = rng.normal(size=(30, 16))
+    vectors = (middles[rng.integers(0, 30, 2000)] + 0.3 * rng.normal(size=(2000, 16))).astype("f4")
+    rows = frame(spark, vectors)
+    one = neighbours.nearest_neighbours(rows, is_query()).collect()
+    small_blocks(monkeypatch)
+    assert sorted(neighbours.nearest_neighbours(rows, is_query()).collect()) == sorted(one)
+    exact = vectors.astype("f8")
+    hits = sum(
+        len({r["vec_id"] for r in one if r["query_id"] == q} & {i for i, _ in truth(exact, q, 20)})
+        for q in range(0, 2000, 20)
+    )
+    assert hits >= 0.9 * 2000
+
+
+def test_an_id_on_very_many_rows(spark, monkeypatch):
+    """It fills neither the sample nor a block, and its rows do not count as reached."""
+    monkeypatch.setattr(neighbours, "SAMPLE_ROWS", 500)
+    small_blocks(monkeypatch)
+    rng = np.random.default_rng(9)
+    corner = np.r_[8.0, np.zeros(7)] + 0.05 * rng.normal(size=(3000, 8))
+    others = 0.3 * rng.normal(size=(1000, 8))
+    ids = [40] * 3000 + list(range(1000, 2000))
+    vectors = np.concatenate([corner, others]).astype("f4")
+    rows = [(i, [float(x) for x in v], 0) for i, v in zip(ids, vectors, strict=True)]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    taken = []
+    sampled = neighbours.sampled
+    monkeypatch.setattr(neighbours, "sampled", lambda *a: taken.append(sampled(*a)) or taken[-1])
+    got = neighbours.nearest_neighbours(table, F.col("vec_id") == 40).orderBy("rank").collect()
+    assert [t.num_rows for t in taken] == [500]
+    assert [r["rank"] for r in got] == list(range(1, 21))
+    exact = vectors.astype("f8")
+    query = min(exact[:3000].tolist())
+    scores = sorted(((float(v @ query), -i) for i, v in zip(ids[3000:], exact[3000:], strict=True)), reverse=True)
+    best = {-i for _, i in scores[:20]}
+    assert len(best & {r["vec_id"] for r in got}) >= 18
+    blocks = neighbours.block_table(np.array([3000, 50, 950]), 100)
+    assert blocks[1].tolist() == [30, 1, 10]
+
+
+def test_entries_go_only_to_parts_that_want_their_block(spark, monkeypatch):
+    """Separate clusters: a part wants few blocks, and nothing is dealt to all of them."""
+    small_blocks(monkeypatch)
+    monkeypatch.setattr(neighbours, "SAMPLE_ROWS", 1000)
+    shuffled = {}
+    for count in (2000, 8000):
+        rng = np.random.default_rng(3)
+        middles = 5 * rng.normal(size=(count // 100, 16))
+        vectors = middles[rng.integers(0, len(middles), count)] + 0.2 * rng.normal(size=(count, 16))
+        taken = []
+        stored = neighbours.stored
+        monkeypatch.setattr(
+            neighbours, "stored", lambda df, label: taken.append((label, stored(df, label))) or taken[-1][1]
+        )
+        found = neighbours.nearest_neighbours(frame(spark, vectors.astype("f4")), is_query())
+        told = io.StringIO()
+        with contextlib.redirect_stdout(told):
+            found.explain("extended")
+        plan = told.getvalue()
+        assert "sequence(0" not in plan and "CartesianProduct" not in plan
+        assert "BroadcastNestedLoopJoin" not in plan
+        monkeypatch.setattr(neighbours, "stored", stored)
+        tables = dict(taken)
+        sent = tables["cells"].count() // 100 * tables["pairs"].count() / (count // 100)
+        shuffled[count] = sent * 100 + tables["asked"].count()
+    assert shuffled[8000] < 10 * shuffled[2000]
+
+
 def test_unusable_rows_few_rows_and_empty_tables(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [[1, 0, 0], None, [0, 0, 0], [nan, 1, 1], [inf, 1, 1], [1, 1], [0, 1, 0], [1, 1, 0]]
