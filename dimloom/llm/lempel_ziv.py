@@ -7,32 +7,38 @@ fingerprints is the share of equal bins among those that are filled in either, a
 Jaccard similarity of the phrase sets. Equal texts have equal fingerprints.
 
 The query compares every text to an edited form, made with the start of the next document. Cut
-points over the ids deal the documents into ranges, and the first document of a range is also sent
-to the one before; so texts are shuffled once, and each task streams through its ranges in order.
-The parse of an unchanged beginning is shared by both forms of a text.
+points over ids and hashes of texts deal the documents into ranges, and the first text of a range
+is also sent to the one before; so texts are shuffled once, and each task streams through its
+ranges in order. The parse of an unchanged beginning is shared by both forms of a text.
 
 Defined results: null texts count as empty; empty texts have no phrases, and two empty sets are
-alike to 1.0; documents without an id come last, those of one id in the order of their texts; a
-single document is its own successor; an empty table gives no rows.
+alike to 1.0; documents without an id come last; those of one id, or without one, come in the order
+of a hash of their texts, and are dealt to ranges by it as well; rows equal in id and text follow
+each other, in one task. A single document is its own successor; an empty table gives no rows.
+Texts of any length are parsed whole. Further columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import in_small_batches, prepare, whole
+from dimloom.llm.common import in_small_batches, prepare, stored, whole
 from dimloom.llm.words import SEGMENT, mixed, powers
 
 BINS = 128
 EMPTY = 0xFFFF
+SAMPLED = 50  # rows of the sample in a range
+_STEPS = 1 << 40
+_PARTITIONS = "spark.sql.shuffle.partitions"
 _LOWEST = -(1 << 63)
 
 
@@ -184,6 +190,24 @@ def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = rows[-1:]
 
 
+def order_of(id_col: str, text: str) -> tuple[Column, Column]:
+    """Two numbers that rise with the order of documents: by descending id, those without one
+    last, then by a hash of the text."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST))
+    return F.bitwise_not(key), F.xxhash64(whole(text))
+
+
+def cut_points(placed: DataFrame, ranges: int) -> list[tuple[int, int]]:
+    """Cuts between about even ranges of the order, from a sample of about ``SAMPLED`` rows a
+    range. Rows equal in both numbers count once, so none can flood it."""
+    there = placed.count()
+    share = min(_STEPS, SAMPLED * ranges * _STEPS // max(there, 1))
+    turn = F.pmod(F.xxhash64("o1", "o2", F.lit(6)), F.lit(_STEPS))
+    rows = placed.where(turn < share).distinct().toLocalIterator()
+    found = sorted((row["o1"], row["o2"]) for row in rows)
+    return sorted({found[len(found) * i // ranges] for i in range(1, ranges)}) if found else []
+
+
 def document_fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -194,45 +218,58 @@ def document_fingerprints(
     """
     spark = docs.sparkSession
     prepare(spark)
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
-    key = F.coalesce("doc_id", F.lit(_LOWEST))
-    # Ranges are many more than partitions, so that hashing deals them evenly.
-    ranges = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    quantiles = F.percentile_approx(
-        key, F.array(*(F.lit(i / ranges) for i in range(1, ranges))), F.lit(20 * ranges)
+    o1, o2 = order_of(id_col, text)
+    picked = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        whole(text).alias("text"),
+        o1.alias("o1"),
+        o2.alias("o2"),
     )
-    cuts = np.unique(np.array(picked.select(quantiles).first()[0] or [], dtype=np.int64))
+    # Ranges are many more than partitions, so that hashing deals them evenly.
+    cuts = cut_points(picked.select("o1", "o2"), 3 * int(spark.conf.get(_PARTITIONS)))
 
     @F.pandas_udf("long")
-    def range_of(keys: pd.Series) -> pd.Series:
-        """0 holds the largest ids."""
-        return pd.Series(len(cuts) - np.searchsorted(cuts, keys.to_numpy(), side="left"))
+    def range_of(o1: pd.Series, o2: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(cuts, pair) for pair in zip(o1, o2, strict=True)])
 
-    # One row a range: the range before it, to which its first document goes as well.
+    # One row a range: its first document, and the range before it, which needs that as well.
     in_turn = Window.orderBy("bucket")
     all_ranges = in_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     last = F.max("bucket").over(all_ranges)
-    heads = (
-        picked.select(key.alias("key"))
-        .groupBy(range_of("key").alias("bucket"))
-        .agg(F.max("key").alias("key"))
-        .select("key", F.coalesce(F.lag("bucket").over(in_turn), last).alias("before"))
-    )
-    placed = picked.withColumns({"key": key, "bucket": range_of(key)}).join(
-        F.broadcast(heads), "key", "left"
+    firsts = (
+        picked.select("o1", "o2")
+        .withColumn("bucket", range_of("o1", "o2"))
+        .groupBy("bucket")
+        .agg(F.min(F.struct("o1", "o2")).alias("first"))
+        .select(
+            "first.o1", "first.o2", F.coalesce(F.lag("bucket").over(in_turn), last).alias("before")
+        )
     )
-    targets = F.array(
-        F.struct("bucket", F.lit(False).alias("follows")),
-        F.when(
-            F.col("before").isNotNull(),
-            F.struct(F.col("before").alias("bucket"), F.lit(True).alias("follows")),
-        ),
+    # Its text is taken once, however many rows hold it.
+    following = (
+        picked.join(F.broadcast(stored(firsts, "firsts")), ["o1", "o2"])
+        .groupBy("before", "o1", "o2")
+        .agg(F.min("text").alias("text"))
+        .select(
+            F.col("before").alias("bucket"),
+            F.lit(True).alias("follows"),
+            F.lit(None).cast("long").alias("doc_id"),
+            "text",
+            "o1",
+            "o2",
+        )
     )
-    dealt = placed.select("doc_id", "key", "text", F.explode(F.array_compact(targets)).alias("to"))
+    dealt = picked.select(
+        range_of("o1", "o2").alias("bucket"),
+        F.lit(False).alias("follows"),
+        "doc_id",
+        "text",
+        "o1",
+        "o2",
+    ).unionByName(following)
     sorted_rows = (
-        dealt.select("doc_id", "key", "text", "to.*")
-        .repartition("bucket")
-        .sortWithinPartitions("bucket", "follows", F.desc("key"), "text")
+        dealt.repartition("bucket")
+        .sortWithinPartitions("bucket", "follows", "o1", "o2", "text")
         .select("bucket", "follows", "doc_id", "text")
     )
     schema = (

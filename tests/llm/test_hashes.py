@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from dimloom.llm import jaccard, lempel_ziv, words
 from tests.llm.helpers import documents, odd_documents
@@ -92,3 +95,29 @@ def test_odd_rows_and_empty_tables(spark):
     assert all(0 <= r["near_next"] <= 1 and 0 <= r["near_edited"] <= 1 for r in rows)
     one = lempel_ziv.document_fingerprints(documents(spark, ["just one"])).first()
     assert one["near_next"] == 1.0
+
+
+def in_turn(rows: list[tuple]) -> list[tuple]:
+    """Rows (doc_id, text) by descending id, without one last, then by the hash."""
+    return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
+
+
+def test_missing_and_repeated_ids_are_dealt_by_their_texts(spark, monkeypatch):
+    """Nine of ten ids are missing or the same; results are those of the whole order."""
+    texts = [f"text number {i} of {i % 13} " * (1 + i % 4) for i in range(1500)]
+    ids = [i if i % 10 == 0 else None if i % 2 else 7 for i in range(1500)]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    docs = docs.unionByName(docs.limit(40)).repartition(5)
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    ordered = in_turn([tuple(r) for r in hashed])
+    want = sorted(
+        str((one[0], len(one[1]), hashlib.sha256((one[1][: len(one[1]) - len(one[1]) // 3] + after[1][: len(one[1]) // 3]).encode()).hexdigest()))
+        for one, after in zip(ordered, ordered[1:] + ordered[:1], strict=True)
+    )
+    got = lempel_ziv.document_fingerprints(docs).select("doc_id", "n_chars", "edited_sha256")
+    assert sorted(str(tuple(r)) for r in got.collect()) == want
+    o1, o2 = lempel_ziv.order_of("doc_id", "text")
+    placed = docs.select(o1.alias("o1"), o2.alias("o2"))
+    cuts = lempel_ziv.cut_points(placed, 24)
+    sizes = Counter(bisect_right(cuts, tuple(r)) for r in placed.collect())
+    assert len(sizes) == 24 and max(sizes.values()) < 3 * 1540 / 24
