@@ -8,8 +8,14 @@ is, the position is a dead end and the token before is shortened. A prefix of th
 one exact encoding, so a dead end stays one and the work is linear.
 
 Texts are split beforehand as the pre-tokenizer does, and the special token stands for itself
-where its string occurs, as in the library. Defined results: null texts count as empty, empty
-texts have no tokens; null ids, repeated rows and further columns do no harm.
+where its string occurs, as in the library. Characters that the library classes differently from
+the pattern used here are noticed, and chunks that hold one are split by the library's own
+pre-tokenizer.
+
+Defined results: null texts count as empty, empty texts have no tokens; null ids and repeated rows
+are encoded each; an empty table gives no rows; texts of any length are encoded whole; further
+columns, whatever their names, are not looked at. There are no ties: every merge has its rank, and
+of equal pairs the leftmost merges first.
 """
 
 from __future__ import annotations
@@ -25,6 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from dimloom.llm.common import in_small_batches, prepare, whole
 from dimloom.llm.pieces import Memory, OffsetTable, spaced_chunks
@@ -36,6 +43,43 @@ PRE_TOKENS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
+_LIBRARY = ByteLevel(add_prefix_space=False)
+
+
+class AlikeCharacters(dict):
+    """If the library classes a character as the pattern here does, asked once for each.
+
+    Both know letters by the Unicode version they were built with, so characters that are new to
+    one of them differ.
+    """
+
+    def __missing__(self, char: str) -> bool:
+        classes = [
+            kind
+            for kind, probe in (("letter", "a"), ("number", "1"), ("other", "!"))
+            if len(_LIBRARY.pre_tokenize_str(probe + char)) == 1
+        ]
+        ours = [
+            kind
+            for kind, probe in (("letter", "a"), ("number", "1"), ("other", "!"))
+            if len(PRE_TOKENS.findall(probe + char)) == 1
+        ]
+        self[char] = classes == ours and char.isalpha() == (ours == ["letter"])
+        return self[char]
+
+
+ALIKE = AlikeCharacters()
+
+
+def is_alike(chunk: str) -> bool:
+    return chunk.isascii() or all(map(ALIKE.__getitem__, chunk))
+
+
+def pre_tokens(chunk: str) -> list[str]:
+    """The chunk split as the library does."""
+    if is_alike(chunk):
+        return PRE_TOKENS.findall(chunk)
+    return [chunk[start:end] for _, (start, end) in _LIBRARY.pre_tokenize_str(chunk)]
 
 
 def printable_bytes() -> dict[str, int]:
@@ -162,9 +206,9 @@ class BacktrackingBpe:
         return np.array(self.encode_piece(piece), dtype="<u2").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
+        if (chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha())) and is_alike(chunk):
             return self._piece(chunk)
-        return b"".join(map(self.pieces.__getitem__, PRE_TOKENS.findall(chunk)))
+        return b"".join(map(self.pieces.__getitem__, pre_tokens(chunk)))
 
     def _ordinary(self, text: str) -> bytes:
         return b"".join(map(self.chunks.__getitem__, spaced_chunks(text)))

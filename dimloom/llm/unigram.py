@@ -9,8 +9,10 @@ The cost of a token follows Zipf's law by its rank in the vocabulary, which the
 ordered by; nothing is trained on tokens. Costs are integers, so results do not depend on the
 order of additions.
 
-Defined results: null and empty texts have no tokens; null ids, repeated rows and further columns
-do no harm.
+Defined results: null and empty texts have no tokens; null ids and repeated rows are counted each;
+an empty table gives no rows; texts of any length are counted whole, and words of more than
+``LONG`` bytes by a window over the last scores alone; further columns, whatever their names, are
+not looked at. Cuts that tie in cost and tokens have the same count.
 """
 
 from __future__ import annotations
@@ -23,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.llm.bpe import PRE_TOKENS
+from dimloom.llm.bpe import pre_tokens
 from dimloom.llm.common import in_small_batches, prepare, whole
 from dimloom.llm.pieces import LONGEST_KEPT, MEMORY_ENTRIES, spaced_chunks
 
 ONE_TOKEN = 1  # what a token adds below the cost's own unit
-UNIT = 1 << 24  # so the low bits count tokens, for pre-tokens below 16 MB
+UNIT = 1 << 24  # so the low bits count tokens, for words up to LONG bytes
+LONG = 1 << 16
 
 
 def zipf_cost(rank: int) -> int:
@@ -53,13 +56,37 @@ class UnigramCounter:
             lengths.setdefault(token[-1], set()).add(len(token))
         # How long tokens can be that end with a byte.
         self.lengths = {last: sorted(some) for last, some in lengths.items()}
+        self.longest = max(map(len, self.cost))
         self.counts: dict[str, int] = {}
 
+    def long_count(self, word: bytes) -> int:
+        """Tokens of a very long word. Only the last forward scores are kept, no longer token
+        reaches further back, and costs and counts are kept apart, so none is too large."""
+        size = self.longest + 1
+        forward: list[tuple[int, int]] = [(0, 0)] * size
+        cost, lengths = self.cost, self.lengths
+        for end in range(1, len(word) + 1):
+            best = None
+            for length in lengths[word[end - 1]]:
+                if length > end:
+                    break
+                one = cost.get(word[end - length : end])
+                if one is not None:
+                    bits, tokens = forward[(end - length) % size]
+                    total = bits + one // UNIT, tokens + 1
+                    if best is None or total < best:
+                        best = total
+            forward[end % size] = best
+        return forward[len(word) % size][1]
+
     def trie_counts(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, int]]:
         """Each distinct word with its count; a sorted list is a trie in depth-first order."""
         forward, before = [0], b""
         cost, lengths = self.cost, self.lengths
         for word in sorted(set(words)):
+            if len(word) > LONG:
+                yield word, self.long_count(word)
+                continue
             shared = 0
             for a, b in zip(before, word, strict=False):
                 if a != b:
@@ -87,7 +114,7 @@ class UnigramCounter:
             known.clear()
         chunks = [spaced_chunks(text) for text in texts]
         new = {c for some in chunks for c in some if c not in known}
-        cut = {c: [p.encode("utf-8") for p in PRE_TOKENS.findall(c)] for c in new}
+        cut = {c: [p.encode("utf-8") for p in pre_tokens(c)] for c in new}
         counts = dict(self.trie_counts(p for pieces in cut.values() for p in pieces))
         told = {c: sum(map(counts.__getitem__, pieces)) for c, pieces in cut.items()}
         long_ones = {c: n for c, n in told.items() if len(c) > LONGEST_KEPT}

@@ -125,3 +125,31 @@ def test_odd_rows_and_empty_tables(spark):
     assert unigram.token_counts(odd, RANKS).where("n_tokens = 0").count() == 3
     pieces = packing.pack(odd, WORD)
     assert pieces.where("start = 0").count() == odd.count()
+
+
+def test_ids_of_characters_new_to_one_of_the_libraries(spark, byte_library):
+    texts = ["[\U0003240a't", "x౜'s", "!\U000187f8't", "ꟍa1 ꟎b", "\U000323b1 \U000323b1x", "a\U0001e5d0 1\U0001e5f1"]
+    assert not any(map(bpe.is_alike, texts[:3]))
+    coder = bpe.bpe(BYTE)
+    for text in texts:
+        assert coder.encode(text).tolist() == byte_library.encode(text, add_special_tokens=False).ids
+
+
+def test_every_code_point_is_split_as_the_library_does():
+    """Before and after a letter, a number, a sign and a blank."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 20_000):
+        text = "".join(f"a{c}b 1{c}2 !{c}? {c}'s\n" for c in points[at : at + 20_000])
+        want = [text[a:b] for _, (a, b) in bpe._LIBRARY.pre_tokenize_str(text)]
+        chunks = bpe.spaced_chunks(text) if at else [text]
+        assert [p for chunk in chunks for p in bpe.pre_tokens(chunk)] == want
+
+
+def test_counts_of_very_long_words(monkeypatch):
+    counter = unigram.UnigramCounter(RANKS)
+    rng = random.Random(3)
+    word = "".join(rng.choice("abcdeinst") for _ in range(3000))
+    (_, count), = counter.trie_counts([word.encode()])
+    assert counter.long_count(word.encode()) == count
+    monkeypatch.setattr(unigram, "LONG", 100)
+    assert unigram.UnigramCounter(RANKS).count_texts([word, "a " + word]) == [count, 1 + counter.long_count(b" " + word.encode())]
