@@ -6,14 +6,17 @@ graph: seeds have score 1, and what else has the shape of one (tokens with digit
 addresses in words) starts at 0; a pattern's confidence for a kind is the mean score of its distinct
 tokens, and a token takes the best confidence of its patterns. A pattern counts if it precedes
 enough distinct known identifiers of one kind, if its confidence is high, and if the words precede
-little else: for that, all documents are scanned for them. Tokens found so are known in the next
-round. Tokens that a counted pattern precedes are reported as spans of its kind.
+little else: for that, all documents are scanned once for the words of every pattern that could
+come to count. Tokens found so are known in the next round; rounds go on until none finds a new
+pattern. Tokens that a counted pattern precedes are reported as spans of its kind.
 
 Every statistic is over all documents and aggregated by Spark; patterns that may count are
 broadcast in blocks of bounded size, one scan a block.
 
 Defined results: a null or empty text has no spans; rows with null or repeated ids are scanned
-each; an empty table gives no rows. Places count code points.
+each; an empty table gives no rows; texts of any length are scanned whole; further columns,
+whatever their names, are kept by ``masked`` and otherwise not looked at. Of patterns that tie in
+confidence the kind listed last names a token. Places count code points.
 """
 
 from __future__ import annotations
@@ -63,7 +66,6 @@ _LEFT, _RIGHT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 LEAST_KNOWN = 5  # distinct known identifiers a pattern precedes
 LEAST_CONFIDENCE = 0.8
 LEAST_SHARE = 0.5  # of all places of its words, those before an identifier or candidate
-ROUNDS = 3
 BLOCK = 500_000  # patterns broadcast for one scan
 
 
@@ -301,58 +303,70 @@ def context_counts(docs: DataFrame, text: str, patterns: DataFrame) -> DataFrame
 
 
 def trusted_patterns(docs: DataFrame, text: str, tokens: DataFrame) -> DataFrame | None:
-    """Patterns (context, kind) that count, from the graph of contexts and tokens."""
+    """Patterns (context, kind, confidence) that count, from the graph of contexts and tokens."""
     graph = stored(
         tokens.groupBy("context", "token", "kind").agg(F.count("*").alias("places")), "graph"
     )
-    kinds = graph.where("kind >= 0").select("token", "kind").distinct()
-    known = kinds.withColumn("score", F.lit(1.0))
-    distinct_tokens = graph.groupBy("context").agg(
+    edges = graph.select("context", "token").distinct()
+    seeds = graph.where("kind >= 0").select("token", "kind").distinct()
+    candidates = graph.where("kind < 0").select(
+        "context",
+        "token",
+        F.explode(
+            F.filter(
+                F.array(*(F.lit(k) for k in range(len(KINDS)))), lambda k: fits(F.col("kind"), k)
+            )
+        ).alias("kind"),
+    )
+    per_context = graph.groupBy("context").agg(
         F.countDistinct("token").alias("tokens"), F.sum("places").alias("places_known")
     )
-    trusted = refused = None
-    for _ in range(ROUNDS):
-        edges = graph.select("context", "token").distinct().join(known, "token")
-        patterns = (
-            edges.groupBy("context", "kind")
+
+    def supported(known: DataFrame) -> DataFrame:
+        """Patterns whose tokens are known (token, kind, score) often enough."""
+        return (
+            edges.join(known, "token")
+            .groupBy("context", "kind")
             .agg(F.sum("score").alias("score"), F.count("*").alias("support"))
-            .join(distinct_tokens, "context")
+            .join(per_context, "context")
             .withColumn("confidence", F.col("score") / F.col("tokens"))
             .where((F.col("support") >= LEAST_KNOWN) & (F.col("confidence") >= LEAST_CONFIDENCE))
         )
-        for settled in (trusted, refused):
-            if settled is not None:
-                patterns = patterns.join(
-                    settled.select("context", "kind"), ["context", "kind"], "left_anti"
-                )
-        patterns = stored(patterns, "patterns")
-        if patterns.isEmpty():
-            break
-        counts = context_counts(docs, text, patterns.select("context").distinct())
-        judged = stored(patterns.join(counts, "context"), "judged")
-        often = F.col("places_known") >= LEAST_SHARE * F.col("places")
-        new = judged.where(often)
+
+    # Were all candidates known, these could count; their words are looked for once, in all texts.
+    at_best = seeds.unionByName(candidates.select("token", "kind")).distinct()
+    possible = stored(supported(at_best.withColumn("score", F.lit(1.0))), "possible")
+    if possible.isEmpty():
+        return None
+    counts = context_counts(docs, text, possible.select("context").distinct())
+    able = stored(
+        possible.join(counts, "context")
+        .where(F.col("places_known") >= LEAST_SHARE * F.col("places"))
+        .select("context", "kind"),
+        "able",
+    )
+    known, trusted = seeds.withColumn("score", F.lit(1.0)), None
+    while True:
+        new = supported(known).join(able, ["context", "kind"], "left_semi")
+        if trusted is not None:
+            new = new.join(trusted, ["context", "kind"], "left_anti")
+        new = stored(new.select("context", "kind", "confidence"), "patterns")
+        if new.isEmpty():
+            return trusted
         trusted = new if trusted is None else trusted.unionByName(new)
-        refused = (
-            judged.where(~often) if refused is None else refused.unionByName(judged.where(~often))
-        )
         learnt = (
-            graph.where("kind < 0")
-            .select("context", "token", F.col("kind").alias("shape"))
-            .join(trusted.select("context", "kind", "confidence"), "context")
-            .where(fits("shape", "kind"))
+            candidates.join(trusted, ["context", "kind"])
             .groupBy("token", "kind")
             .agg(F.max("confidence").alias("score"))
         )
-        known = kinds.withColumn("score", F.lit(1.0)).unionByName(learnt)
-    return trusted
+        known = seeds.withColumn("score", F.lit(1.0)).unionByName(learnt)
 
 
-def fits(shape: str, kind: str) -> Column:
+def fits(shape: Column, kind: Column) -> Column:
     """If an unknown identifier of the shape may be of the kind."""
     found = F.lit(False)
     for one, kinds in FITS.items():
-        found = found | ((F.col(shape) == one) & F.col(kind).isin(*kinds))
+        found = found | ((shape == one) & kind.isin(*kinds))
     return found
 
 
@@ -385,7 +399,7 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         tokens.where("kind < 0")
         .withColumnRenamed("kind", "shape")
         .join(trusted.select("context", "kind", "confidence"), "context")
-        .where(fits("shape", "kind"))
+        .where(fits(F.col("shape"), F.col("kind")))
         .groupBy("row", "start", "end")
         .agg(F.max_by("kind", F.struct("confidence", "kind")).alias("found_kind"))
         .groupBy("row")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -162,3 +163,91 @@ def test_odd_rows_and_empty_tables(spark):
     assert personal.personal_data(odd.limit(0)).collect() == []
     masked = personal.masked(odd)
     assert masked.schema == odd.schema and masked.exceptAll(odd).isEmpty()
+
+
+def bootstrapped(texts: list[str]) -> list[set[tuple[int, int, int]]]:
+    """Spans that patterns add to each text, by plain loops over the graph."""
+    graph: dict[int, dict[int, set[int]]] = {}  # context -> token -> kinds and shapes
+    places: Counter[int] = Counter()
+    spans = []
+    for text in texts:
+        own = personal.base_spans(text)
+        some = [*own, *personal.candidate_tokens(text, own)]
+        near = personal.contexts([text], [(0, a, e) for a, _, e in some])
+        spans.append(list(zip(some, near, strict=True)))
+        for (start, kind, end), contexts in spans[-1]:
+            token = personal.token_hash(text[start:end].encode())
+            for context in contexts:
+                graph.setdefault(context, {}).setdefault(token, set()).add(kind)
+                places[context] += 1
+    everywhere = Counter(personal.all_contexts([t.encode() for t in texts]).tolist())
+    seeds = {(t, k): 1.0 for some in graph.values() for t, ks in some.items() for k in ks if k >= 0}
+    known, trusted = dict(seeds), {}
+    while True:
+        new = {}
+        for context, tokens in graph.items():
+            for kind in range(4):
+                scores = [known[t, kind] for t in tokens if (t, kind) in known]
+                sure = sum(scores) / len(tokens)
+                often = places[context] >= personal.LEAST_SHARE * everywhere[context]
+                enough = len(scores) >= personal.LEAST_KNOWN and sure >= personal.LEAST_CONFIDENCE
+                if enough and often and (context, kind) not in trusted:
+                    new[context, kind] = sure
+        if not new:
+            break
+        trusted |= new
+        known = dict(seeds)
+        for (context, kind), sure in trusted.items():
+            for token, kinds in graph[context].items():
+                if any(kind in personal.FITS[k] for k in kinds if k < 0):
+                    known[token, kind] = max(known.get((token, kind), 0.0), sure)
+    found: list[set[tuple[int, int, int]]] = []
+    for some in spans:
+        found.append(set())
+        for (start, shape, end), contexts in some:
+            fit = [
+                (sure, kind)
+                for context in contexts
+                for kind in range(4)
+                if shape < 0 and kind in personal.FITS[shape]
+                if (sure := trusted.get((context, kind))) is not None
+            ]
+            if fit:
+                found[-1].add((start, max(fit)[1], end))
+    return found
+
+
+def chained(rounds: int) -> list[str]:
+    """Texts whose patterns are each learnt from the identifiers that the one before found."""
+    rng = random.Random(4)
+    texts, number = [], 2000
+
+    def phone(known: bool) -> str:
+        nonlocal number
+        number += 1
+        return f"+1 (212) 555-{number}" if known else f"212.555.{number}"
+
+    before = [phone(True) for _ in range(8)]
+    for step in range(rounds):
+        fresh = [phone(False) for _ in range(8)]
+        # The step's words precede eight known ones, and one in ten that are new.
+        texts += [f"x{rng.random()} word{chr(97 + step)} {p} y{rng.random()}" for p in before * 4]
+        texts += [f"x{rng.random()} word{chr(97 + step)} {p} y{rng.random()}" for p in fresh[:1]]
+        before = [*before[1:], fresh[0]]
+    texts += [f"word{chr(97 + i % rounds)} and more {i}" for i in range(20)]
+    texts += [f"total 4.{i}77.1234 due by {i}" for i in range(30)] + ["", "no digits at all"]
+    rng.shuffle(texts)
+    return texts
+
+
+def test_patterns_equal_plain_loops_over_the_graph(spark):
+    for texts, least in ((calls(30, 4), 4), (chained(7), 6)):
+        want = bootstrapped(texts)
+        rows = personal.found_spans(documents(spark, texts)).collect()
+        added = 0
+        for row in rows:
+            base_ones = {tuple(s) for s in row["base"]}
+            got = {tuple(s) for s in row["spans"]} - base_ones
+            assert got == want[row["doc_id"]], texts[row["doc_id"]]
+            added += len(got)
+        assert added >= least
