@@ -2,9 +2,9 @@
 
 Only DataFrame functions are used. A text is split by each pattern; the lengths of the gaps and of
 the matches give every match its place. Candidate strings (long runs of key characters with
-letters and digits) are opened into characters. A window of ``WINDOW`` characters slides over
-each: the character that enters and the one that leaves change the sum of c * log2(c) over the
-counts c, and the entropy is log2(WINDOW) - sum / WINDOW. A string is reported if some window
+letters and digits) become arrays of characters. A window of ``WINDOW`` characters slides over
+each, inside its row: the character that enters and the one that leaves change the sum of
+c * log2(c) over the counts c, and the entropy is log2(WINDOW) - sum / WINDOW. A string is reported if some window
 without an allowed part (a run, an example word, a sequence) reaches the threshold of its character
 class, unless the whole string is on the allow list or overlaps a match of the fixed patterns.
 
@@ -15,6 +15,9 @@ each; an empty table gives no rows. Places count code points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from math import log2
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,9 +49,9 @@ ALLOWED = (
 # A window with one of these does not count; the other windows of its string do. None is longer
 # than a window.
 ALLOWED_INSIDE = (
-    r"(.)\1{5}",  # runs of one character
-    r"(?i)example|sample|dummy|placeholder|changeme|redacted",
-    r"(?i)0123456789|123456789|abcdefghij|qwertyuiop",
+    r"(?<run>.)\k<run>{5}",  # runs of one character
+    r"(?i:example|sample|dummy|placeholder|changeme|redacted)",
+    r"(?i:0123456789|123456789|abcdefghij|qwertyuiop)",
 )
 
 
@@ -89,11 +92,6 @@ def base_hits(hits: DataFrame) -> DataFrame:
     )
 
 
-def entropy_sums(count: Column) -> Column:
-    """c * log2(c)."""
-    return F.when(count > 0, count * F.log2(F.greatest(count, F.lit(1)))).otherwise(0.0)
-
-
 def matches_any(value: Column, patterns: tuple[str, ...]) -> Column:
     found = F.lit(False)
     for pattern in patterns:
@@ -101,59 +99,103 @@ def matches_any(value: Column, patterns: tuple[str, ...]) -> Column:
     return found
 
 
-def windows_that_count(value: Column) -> Column:
-    """For each character, if the window it ends has no allowed part; empty if all count."""
-    windows = F.regexp_extract_all(value, F.lit("(?=(.{%d}))" % WINDOW), F.lit(1))
-    counts = F.transform(windows, lambda w: ~matches_any(w, ALLOWED_INSIDE))
-    return F.when(
-        matches_any(value, ALLOWED_INSIDE),
-        F.concat(F.array_repeat(F.lit(False), WINDOW - 1), counts),
-    ).otherwise(F.array().cast("array<boolean>"))
+def allowed_lengths(value: Column) -> Column:
+    """For each character, the length of the allowed part that starts there, or 0.
+
+    The string is cut before every allowed part, also where parts overlap.
+    """
+    ahead = "|".join(ALLOWED_INSIDE)
+    parts = F.transform(F.regexp_extract_all(value, F.lit(f"(?=({ahead}))"), F.lit(1)), F.length)
+    pieces = F.transform(F.split(value, f"(?={ahead})", -1), F.length)
+    # A part at the very start has no piece before it.
+    starts = F.concat(F.array_repeat(F.lit(0), F.size(pieces) - F.size(parts)), parts)
+
+    def spread(piece: Column, part: Column) -> Column:
+        return F.concat(F.array(part), F.array_repeat(F.lit(0), piece - 1))
+
+    return F.flatten(F.zip_with(pieces, starts, spread))
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def changes_of_sum(chars: Column, window: Callable[[Column], Column]) -> Column:
+    """What each character adds to the sum of c * log2(c), by its own count in a window."""
+
+    def change(count: int) -> float:
+        return count * log2(count) - (count > 1 and (count - 1) * log2(count - 1))
+
+    changes = F.array(*(F.lit(float(change(count))) for count in range(1, WINDOW + 1)))
+
+    def changed(char: Column, at: Column) -> Column:
+        return F.element_at(changes, F.size(F.filter(window(at), lambda other: other == char)))
+
+    return F.transform(chars, changed)
+
+
+def most_in_windows(gains: Column, losses: Column, lengths: Column) -> Column:
+    """Slides the window: a character enters with its gain, another leaves with its loss."""
+
+    def counts(nth: Column) -> Column:
+        """If no allowed part lies in the window that starts there."""
+        inside = F.filter(
+            F.slice(lengths, nth + 1, WINDOW), lambda part, i: (part > 0) & (i + part <= WINDOW)
+        )
+        return F.coalesce(F.size(inside) == 0, F.lit(True))
+
+    def state(total: Column, best: Column, nth: Column) -> Column:
+        entropy = F.lit(log2(WINDOW)) - total / WINDOW
+        better = F.when(counts(nth), F.greatest(best, entropy)).otherwise(best)
+        return F.struct(total.alias("total"), better.alias("best"), (nth + 1).alias("nth"))
+
+    first = F.aggregate(F.slice(gains, 1, WINDOW), F.lit(0.0), lambda total, gain: total + gain)
+    steps = F.zip_with(
+        F.slice(gains, WINDOW + 1, F.size(gains)),
+        F.slice(losses, 1, F.size(losses) - WINDOW),
+        lambda gain, loss: gain - loss,
+    )
+    return F.aggregate(
+        steps,
+        state(first, F.lit(None).cast("double"), F.lit(0)),
+        lambda at, step: state(at["total"] + step, at["best"], at["nth"]),
+    )["best"]
+
+
+def most_entropy(value: Column) -> Column:
+    """The largest entropy of a window without an allowed part; null if there is none."""
+    lengths = F.when(matches_any(value, ALLOWED_INSIDE), allowed_lengths(value))
+
+    def of_characters(chars: Column) -> Column:
+        def until(at: Column) -> Column:
+            start = F.greatest(at + (2 - WINDOW), F.lit(1))
+            return F.slice(chars, start, F.least(at + 1, F.lit(WINDOW)))
+
+        def ahead(at: Column) -> Column:
+            return F.slice(chars, at + 1, F.lit(WINDOW))
+
+        return let(
+            F.struct(
+                changes_of_sum(chars, until).alias("gains"),
+                changes_of_sum(chars, ahead).alias("losses"),
+                lengths.alias("lengths"),
+            ),
+            lambda each: most_in_windows(each["gains"], each["losses"], each["lengths"]),
+        )
+
+    return let(F.split(value, "(?!^|$)"), of_characters)
 
 
 def high_entropy(candidates: DataFrame) -> DataFrame:
     """Candidates (row, start, end, value) with a window of enough entropy and no allowed part."""
     allowed = matches_any(F.col("value"), ALLOWED)
     varied = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
-    chosen = candidates.where(varied & ~allowed).withColumn(
-        "class", F.when(F.col("value").rlike("^[0-9a-fA-F]+$"), "hex").otherwise("mixed")
-    )
-    each = F.arrays_zip(
-        F.split("value", "(?!^|$)").alias("char"), windows_that_count(F.col("value")).alias("counts")
-    )
-    characters = chosen.select(
-        "row", "start", "end", "class", F.posexplode(each).alias("at", "each")
-    ).select(
-        *("row", "start", "end", "class", "at", "each.char"),
-        F.coalesce("each.counts", F.lit(True)).alias("counts"),
-    )
-    same = Window.partitionBy("row", "start", "char").orderBy("at")
-    entering = F.count("*").over(same.rangeBetween(1 - WINDOW, 0))
-    leaving = F.count("*").over(same.rangeBetween(0, WINDOW - 1))
-    changes = characters.select(
-        "row",
-        "start",
-        "end",
-        "class",
-        "at",
-        "counts",
-        (entropy_sums(entering) - entropy_sums(entering - 1)).alias("gain"),
-        (entropy_sums(leaving) - entropy_sums(leaving - 1)).alias("loss"),
-    )
-    slide = Window.partitionBy("row", "start").orderBy("at")
-    total = F.sum("gain").over(slide.rowsBetween(Window.unboundedPreceding, 0)) - F.coalesce(
-        F.sum("loss").over(slide.rowsBetween(Window.unboundedPreceding, -WINDOW)), F.lit(0.0)
-    )
-    windows = changes.withColumn("entropy", F.lit(WINDOW).cast("double")).withColumn(
-        "entropy", F.log2("entropy") - total / WINDOW
-    )
-    needed = F.when(F.col("class") == "hex", THRESHOLDS["hex"]).otherwise(THRESHOLDS["mixed"])
-    return (
-        windows.where((F.col("at") >= WINDOW - 1) & F.col("counts"))
-        .groupBy("row", "start", "end", "class")
-        .agg(F.max("entropy").alias("entropy"))
-        .where(F.col("entropy") >= needed)
-        .select("row", F.lit("entropy").alias("kind"), "start", "end")
+    chosen = candidates.where(varied & ~allowed)
+    is_hex = F.col("value").rlike("^[0-9a-fA-F]+$")
+    needed = F.when(is_hex, THRESHOLDS["hex"]).otherwise(THRESHOLDS["mixed"])
+    return chosen.where(most_entropy(F.col("value")) >= needed).select(
+        "row", F.lit("entropy").alias("kind"), "start", "end"
     )
 
 

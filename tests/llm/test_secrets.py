@@ -7,6 +7,8 @@ import math
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from dimloom.llm import secrets
 from tests.invented import plan
 from tests.llm.helpers import documents, odd_documents
@@ -53,23 +55,42 @@ def test_base_spans_equal_the_patterns(spark):
 
 
 def most_entropy(value: str) -> float:
+    """Of the windows without an allowed part."""
+
     def entropy(window: str) -> float:
         shares = [window.count(c) / len(window) for c in set(window)]
         return -sum(p * math.log2(p) for p in shares)
 
+    inside = [re.compile(p.replace("?<run>", "?P<run>").replace("\\k<run>", "(?P=run)")) for p in secrets.ALLOWED_INSIDE]
     size = secrets.WINDOW
-    return max(entropy(value[i : i + size]) for i in range(len(value) - size + 1))
+    windows = [value[i : i + size] for i in range(len(value) - size + 1)]
+    return max((entropy(w) for w in windows if not any(p.search(w) for p in inside)), default=-1.0)
 
 
 def test_windows_of_high_entropy(spark):
     rng = random.Random(9)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-    values = ["".join(rng.choice(alphabet[: rng.randint(2, 64)]) for _ in range(rng.randint(20, 70))) for _ in range(200)]
+    parts = ["AAAAAA", "aaaaaaa", "EXAMPLE", "sample", "dummy", "0123456789", "123456789", "qwertyuiop"]
+
+    def one(with_parts: bool) -> str:
+        letters = alphabet[rng.choice((2, 16, 52)) : rng.randint(54, 64)]
+        some = [rng.choice(letters) for _ in range(rng.randint(20, 70))]
+        for _ in range(rng.randint(0, 3) if with_parts else 0):
+            some.insert(rng.randrange(len(some) + 1), rng.choice(parts))
+        return "".join(some)
+
+    values = [one(i % 2 == 0) for i in range(600)]
+    values += [p + "Zx81kQp0Rt7vL" + p for p in parts] + ["Zx81kQp0Rt7vLm2Bn4Ys", "0" * 15 + "Zx81k", "é" + "1" * 30]
     frame = spark.createDataFrame(
         [(i, 0, len(v), v) for i, v in enumerate(values)],
         "row long, start int, end int, value string",
     )
+    told = frame.select("row", secrets.most_entropy(F.col("value")).alias("most")).collect()
+    for row in told:
+        want = most_entropy(values[row["row"]])
+        assert abs((row["most"] if row["most"] is not None else -1.0) - want) < 1e-9, values[row["row"]]
     found = {r["row"] for r in secrets.high_entropy(frame).collect()}
+    assert 50 < len(found) < 550
     for i, value in enumerate(values):
         varied = re.search("[0-9]", value) and re.search("[A-Za-z]", value)
         allowed = any(re.search(p.replace("(?i)", ""), value, re.I if "(?i)" in p else 0) for p in secrets.ALLOWED)
@@ -81,6 +102,16 @@ def test_windows_of_high_entropy(spark):
             ), value
 
 
+def test_characters_are_not_shuffled(spark):
+    """Encoded blobs are judged inside their row."""
+    frame = spark.createDataFrame([(1, 0, 5, "x")], "row long, start int, end int, value string")
+    assert "Exchange" not in plan(secrets.high_entropy(frame))
+    rng = random.Random(1)
+    blob = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=200_000))
+    rows = {r["doc_id"]: r["spans"] for r in secrets.secret_spans(documents(spark, [blob, "a " + blob])).collect()}
+    assert rows == {0: "entropy:0:200000", 1: "entropy:2:200002"}
+
+
 def test_allow_list_and_overlaps(spark):
     key = "Zx81kQp0Rt7vLm2Bn4Ys"
     texts = [
