@@ -209,13 +209,17 @@ def frequent(sets: DataFrame) -> DataFrame:
     return stored(counts.withColumn("parts", F.ceil(F.col("often") / FREQUENT)), "frequent")
 
 
-def shingle_rows(sets: DataFrame, often: DataFrame) -> DataFrame:
-    """Rows (key, part, node, n, often); ``often`` is null for shingles that are not frequent, and
-    part 0."""
+def shingle_rows(sets: DataFrame, often: DataFrame, with_often: bool = False) -> DataFrame:
+    """Rows (key, part, node, n); the part is 0 for shingles that are not frequent. ``with_often``
+    adds how many sets of the sample hold a frequent one."""
     rows = sets.select("node", "n", F.explode("keys").alias("key"))
-    part = F.pmod(F.xxhash64("node", F.lit(4)), F.col("parts"))
+    part = 1 + F.pmod(F.xxhash64("node", F.lit(4)), F.col("parts"))
     return rows.join(F.broadcast(often), "key", "left").select(
-        "key", F.coalesce(part, F.lit(0)).cast("int").alias("part"), "node", "n", "often"
+        "key",
+        F.coalesce(part, F.lit(0)).cast("int").alias("part"),
+        "node",
+        "n",
+        *(["often"] if with_often else []),
     )
 
 
@@ -223,7 +227,7 @@ def met(rows: DataFrame) -> DataFrame:
     """Rows whose key occurs with another node too, each once."""
     same = Window.partitionBy("key", "part")
     spread = rows.withColumns({"_a": F.min("node").over(same), "_b": F.max("node").over(same)})
-    shared = (F.col("_a") != F.col("_b")) | F.col("often").isNotNull()
+    shared = (F.col("_a") != F.col("_b")) | (F.col("part") > 0)
     return spread.where(shared).drop("_a", "_b").dropDuplicates(["key", "part", "node"])
 
 
@@ -244,15 +248,18 @@ def narrowed(rows: DataFrame, least: Column) -> DataFrame:
 
 def shared_parts(sets: DataFrame) -> DataFrame:
     """node, n and keys of the sets that may be linked: the shingles that others hold too."""
-    left = met(narrowed(shingle_rows(sets, frequent(sets)), needed(F.col("n"))))
-    return left.groupBy("node").agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_list("key")).alias("keys")
+    enough = needed(F.col("n"))
+    left = met(met_often(met(shingle_rows(sets, frequent(sets))), enough))
+    return (
+        left.groupBy("node")
+        .agg(F.first("n").alias("n"), F.sort_array(F.collect_list("key")).alias("keys"))
+        .where(F.size("keys") >= enough)
     )
 
 
 def families(sets: DataFrame) -> DataFrame:
     """node and component of the sets (node, n, keys) that may be linked to another (step 2)."""
-    left = shingle_rows(sets, frequent(sets))
+    left = shingle_rows(sets, frequent(sets), with_often=True)
     same, by_node = Window.partitionBy("key", "part"), Window.partitionBy("node")
     # The order has to be one for all sets, so a frequent shingle counts as in the sample.
     held = F.coalesce(F.col("often") + (1 << 40), F.count("*").over(same))

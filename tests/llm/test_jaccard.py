@@ -180,7 +180,7 @@ def test_a_shingle_that_all_sets_hold_is_dealt_to_many_tasks(spark):
     assert {r["key"]: r["parts"] for r in often.collect()} == {7: 125, 8: 125}
     dealt = jaccard.shingle_rows(sets, often).groupBy("key", "part").count()
     assert dealt.agg({"count": "max"}).first()[0] < 100
-    assert {(r["key"]) for r in jaccard.met(jaccard.shingle_rows(sets, often)).collect()} == {7, 8}
+    assert {r["key"] for r in jaccard.met(jaccard.shingle_rows(sets, often)).collect()} == {7, 8}
 
 
 def test_components_of_paths_stars_and_rings(spark):
