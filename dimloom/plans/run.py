@@ -47,15 +47,24 @@ def export_model(
     """Write the published text layout, one directory of part files per table."""
 
     def export(name: str) -> None:
-        table, partition_by = model[name], ()
         if name == FACT and fact_by_month:
-            month = F.date_format("visit_datetime", "yyyy-MM")
-            table, partition_by = table.withColumn("visit_month", month), ("visit_month",)
-        write_csv(published(name, table), f"{folder}/{name}", partition_by)
+            export_fact_by_month(model[name], f"{folder}/{name}")
+        else:
+            write_csv(published(name, model[name]), f"{folder}/{name}")
 
     _side_by_side(model[FACT].sparkSession, *(partial(export, name) for name in model))
 
 
+def export_fact_by_month(fact: DataFrame, folder: str, keep_other_months: bool = False) -> None:
+    """Write the fact as text, a directory for each month it has.
+
+    With ``keep_other_months``, what the folder has of other months stays, so a later run over
+    some months replaces just those.
+    """
+    by_month = fact.withColumn("visit_month", F.date_format("visit_datetime", "yyyy-MM"))
+    write_csv(published(FACT, by_month), folder, ["visit_month"], not keep_other_months)
+
+
 def normalize(
     spark: SparkSession,
     flat_path: str,

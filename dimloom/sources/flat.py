@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from dimloom.functions import cells
 from dimloom.plans import tables as t
 from dimloom.scratch import scratch_path
+from dimloom.sources.records import read_records
 
 FLAT_COLUMNS = (
     *t.PATIENT,
@@ -40,8 +43,8 @@ def read_flat(
     """All columns as text under their header names, plus the raw line of rows that do not fit.
 
     Columns may come in any order and any case; files whose headers disagree fail instead of
-    being read shifted. A line break inside a field needs ``multiline``, which reads each file
-    in one task, so the default keeps files splittable and shows such rows as broken.
+    being read shifted. Line breaks inside fields need ``multiline``: the lines are then dealt by
+    their split once, to be cut into records. The default saves that, and shows such rows as broken.
     """
     options = {**CSV_OPTIONS, "sep": separator, "multiLine": multiline}
     header = spark.read.options(**options).csv(path).columns
@@ -50,15 +53,36 @@ def read_flat(
     missing = [c for c in FLAT_COLUMNS if c not in by_name]
     if missing:
         raise ValueError(f"flat input lacks columns {missing}")
-    text = [T.StructField(c, T.StringType()) for c in (*header, BROKEN)]
+    text = read_text(spark, path, header, separator, multiline)
+    return text.select(*(F.col(f"`{by_name[c]}`").alias(c) for c in FLAT_COLUMNS), BROKEN)
+
+
+def read_text(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str],
+    separator: str = ",",
+    multiline: bool = False,
+) -> DataFrame:
+    """Delimited text with these columns in its header, all as text, and the raw text of rows with
+    too few or too many fields. Another header in any file is an error."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, BROKEN)])
+    options = {**CSV_OPTIONS, "sep": separator, "multiLine": multiline}
     # Fields of a row are only counted if all columns are parsed, wanted or not.
-    counting = {"columnNameOfCorruptRecord": BROKEN, "columnPruning": False}
-    return (
-        spark.read.options(**options, **counting, mode="PERMISSIVE", enforceSchema=False)
-        .schema(T.StructType(text))
-        .csv(path)
-        .select(*(F.col(f"`{by_name[c]}`").alias(c) for c in FLAT_COLUMNS), BROKEN)
-    )
+    options |= {"columnNameOfCorruptRecord": BROKEN, "columnPruning": False, "mode": "PERMISSIVE"}
+    if not multiline:
+        return spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+    told = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()}
+    fields = ", ".join(f"`{name.replace('`', '``')}` string" for name in schema.names)
+    row = F.from_csv("record", fields, told | {"header": "false"})
+    parsed = read_records(spark, path, separator).select("is_first", row.alias("row"))
+    names = F.array(*(F.lower(F.col("row")[c]) for c in columns))
+    wanted = F.array(*(F.lit(c.lower()) for c in columns))
+    is_header = F.col(f"row.{BROKEN}").isNull() & names.eqNullSafe(wanted)
+    wrong = F.raise_error(F.concat(F.lit("unexpected header: "), F.array_join(names, separator)))
+    is_row = F.when(~F.col("is_first"), True).when(is_header, False)
+    is_row = is_row.otherwise(wrong.cast("boolean"))
+    return parsed.where(is_row).select("row.*")
 
 
 def land_flat(

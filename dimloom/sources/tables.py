@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from dimloom.plans.tables import PRIMARY_KEYS
-from dimloom.sources.flat import BROKEN, CSV_OPTIONS
+from dimloom.sources.flat import CSV_OPTIONS, read_text
 
 
 def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -20,11 +19,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     _spread(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Text with a header in every part file, written by all tasks in parallel."""
+def write_csv(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), replace_all: bool = True
+) -> None:
+    """Text with a header in every part file, written by all tasks in parallel.
+
+    Without ``replace_all``, partitions that the frame has no rows of stay as they are.
+    """
     (
         _spread(df, partition_by)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(*partition_by)
         .options(**CSV_OPTIONS)
         .csv(path)
@@ -38,10 +43,7 @@ def read_csv_table(
 
     Its header must carry exactly these columns.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, BROKEN)])
-    options = {**CSV_OPTIONS, "multiLine": multiline, "enforceSchema": False}
-    counting = {"columnNameOfCorruptRecord": BROKEN, "columnPruning": False}
-    return spark.read.options(**options, **counting, mode="PERMISSIVE").schema(schema).csv(path)
+    return read_text(spark, path, columns, multiline=multiline)
 
 
 def read_model(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:

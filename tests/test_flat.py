@@ -150,3 +150,29 @@ def test_unreadable_cells_are_listed_and_missing_ones_are_not(spark):
         ("v4", "billing_total_charge", "12345678901", "not an amount"),
         ("v4", "billing_date", "soon", "not a timestamp"),
     }
+
+
+def test_line_breaks_are_read_by_several_tasks_with_every_header_checked(spark, tmp_path):
+    many = [{"visit_id": f"v{i}", "patient_address_line1": f"{i}\n, \"q\"\n"} for i in range(400)]
+    write_csv(flat_rows(spark, *many).repartition(3), str(tmp_path / "csv"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        read = read_flat(spark, str(tmp_path / "csv"), multiline=True)
+        want = {(c["visit_id"], c["patient_address_line1"]) for c in many}
+        assert read.count() == 400 and rows(read, "visit_id", "patient_address_line1") == want
+        good, broken = land_flat(read, str(tmp_path / "landed"), keep_broken=False)
+        assert (good.count(), broken.count()) == (400, 0)
+        (tmp_path / "csv" / "other.csv").write_text(",".join(reversed(FLAT_COLUMNS)) + "\n" + line())
+        with pytest.raises(Exception, match="(?i)header"):
+            read_flat(spark, str(tmp_path / "csv"), multiline=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_torn_records_of_several_lines_are_reported_whole(spark, tmp_path):
+    text = [",".join(FLAT_COLUMNS).upper(), line(), 'x,"two\nlines"', line(room_number='"1\n2"') + ",more"]
+    read = read_flat(spark, write_text(tmp_path / "in", text), multiline=True)
+    good, broken = land_flat(read, str(tmp_path / "landed"), keep_broken=False)
+    assert good.count() == 1
+    assert rows(broken) == {('x,"two\nlines"',), (line(room_number='"1\n2"') + ",more",)}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dimloom.plans import tables as t
 
 ACTIVE_AFTER = "2001-06-30"
+RERUN_FROM = "1996-01-01"
 MICROSECONDS = "%Y-%m-%d %H:%M:%S.%f"
 SECONDS = "%Y-%m-%d %H:%M:%S"
 DAYS_ONLY = "%Y-%m-%d"
@@ -453,6 +454,31 @@ def torn_lines(torn: dict[str, int]) -> str:
     )
 
 
+def quoted_text(separator: str, *more: str) -> str:
+    """What the text with quoted fields holds, by the remainder of the order's key."""
+    key = text("o_orderkey")
+    name = f"""case o_orderkey % 4 when 0 then o_orderstatus
+        when 2 then o_orderstatus || '{separator}' || chr(10) || chr(10) || '"' || {key}
+            || '"{separator}'
+        else o_orderstatus || chr(10) || 'rest-' || {key} end"""
+    cells = [
+        f"{text('o_custkey')} as patient_id",
+        f"'n' || {key} as patient_first_name",
+        f"{name} as patient_last_name",
+        f"{key} as visit_id",
+        *more,
+    ]
+    return f"select {', '.join(cells)} from orders"
+
+
+def months_of(visit_type: str) -> str:
+    moment_text = seconds("visit_datetime")
+    return f"""select strftime(visit_datetime, '%Y-%m') as visit_month,
+        {visit_type} as visit_type, count(*) as visits,
+        min({moment_text}) as first_visit, max({moment_text}) as last_visit
+        from FactVisit group by 1, 2"""
+
+
 def running_total(latest: str) -> str:
     return f"""select billing_month, month_total,
         cast(sum(month_total) over (order by billing_month nulls first
@@ -554,6 +580,10 @@ ORACLES: dict[str, str] = {
     },
     "parse_rejects_mixed_times": on_cells("select 0 as rejects"),
     "torn_rows": on_cells(TORN_TEXT),
+    "line_breaks": on_cells(quoted_text(",", "o_orderkey % 4 = 3 as is_torn")),
+    "line_breaks_left_out": on_cells(f"""{quoted_text(";")} where o_orderkey % 4 <> 3
+        union all select null, null, null,
+        {text("coalesce(sum(case when o_orderkey % 4 = 3 then 3 end), 0)")} from orders"""),
     "blank_keys_profile": on_cells(input_profile("blank_keys")),
     "blank_keys_pk_nulls": on_model(null_counts(), flat="blank_keys"),
     "blank_keys_fk_nulls": on_model(null_links(), flat="blank_keys"),
@@ -633,6 +663,9 @@ ORACLES: dict[str, str] = {
             (select count(*) from FactVisit f left join DimInsurance d
                 on f.insurance_id = d.insurance_id and f.patient_id = d.patient_id)"""),
     "quality_report": on_model(report()),
+    "fact_by_month": on_model(months_of("visit_type")),
+    "fact_months_rerun": on_model(months_of(f"""case when visit_datetime >= timestamp
+        '{RERUN_FROM}' then visit_type else 'first run' end""")),
     "exported_quality": on_model(report() + " union all " + torn_lines({})),
     "exported_quality_torn": on_model(
         report() + " union all " + torn_lines({"DimLocation": 2}),

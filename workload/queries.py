@@ -18,13 +18,14 @@ from dimloom.plans import quality, reports, run
 from dimloom.plans import tables as t
 from dimloom.scratch import scratch_path
 from dimloom.sources.flat import BROKEN, cell_rejects, land_flat, read_flat
-from dimloom.sources.tables import write_csv
+from dimloom.sources.tables import read_csv_table, write_csv
 from workload import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The test orders end in August 2001.
 ACTIVE_AFTER = dt.date(2001, 6, 30)
+RERUN_FROM = dt.datetime(1996, 1, 1)
 
 # Set by a caller whose tables come in fewer pieces than its cores can use.
 PARTITIONS_SETTING = "spark.dimloom.input.partitions"
@@ -134,20 +135,43 @@ def blank_keys_model(tables: roles.Tables) -> dict[str, DataFrame]:
 
 def torn_rows(tables: roles.Tables) -> DataFrame:
     """What is read of text with torn rows; all of them stay among the rows."""
-    path = scratch_path(tables.spark, "torn-text")
+    read = read_flat(tables.spark, text_files(roles.torn_lines(tables)))
+    rows, _ = land_flat(read.withColumn("is_torn", F.col(BROKEN).isNotNull()))
+    return rows.select(*TORN_COLUMNS, "is_torn")
+
+
+TORN_COLUMNS = ("patient_id", "patient_first_name", "patient_last_name", "visit_id")
+
+
+def text_files(lines: DataFrame) -> str:
+    """Lines (file, is_header, value) as text files; their paths as a pattern."""
+    path = scratch_path(lines.sparkSession, "text")
     (
-        roles.torn_lines(tables)
-        .repartition("file")
+        lines.repartition("file")
         .sortWithinPartitions("file", F.desc("is_header"))
         .select("file", "value")
         .write.partitionBy("file")
         .text(path)
     )
-    read = read_flat(tables.spark, f"{path}/file=*")
+    return f"{path}/file=*"
+
+
+def line_breaks(tables: roles.Tables) -> DataFrame:
+    """What is read of text with line breaks in quoted fields; rows with a field too many stay."""
+    path = text_files(roles.quoted_lines(tables, ","))
+    read = read_flat(tables.spark, path, multiline=True)
     rows, _ = land_flat(read.withColumn("is_torn", F.col(BROKEN).isNotNull()))
-    return rows.select(
-        "patient_id", "patient_first_name", "patient_last_name", "visit_id", "is_torn"
-    )
+    return rows.select(*TORN_COLUMNS, "is_torn")
+
+
+def line_breaks_left_out(tables: roles.Tables) -> DataFrame:
+    """The same with another separator, torn rows left out, and how many lines those have."""
+    path = text_files(roles.quoted_lines(tables, ";"))
+    rows, broken = land_flat(read_flat(tables.spark, path, ";", multiline=True), keep_broken=False)
+    lines_of = F.size(F.split(BROKEN, "\n"))
+    left_out = broken.agg(F.coalesce(F.sum(lines_of), F.lit(0)).cast("string").alias("visit_id"))
+    absent = [F.lit(None).cast("string").alias(c) for c in TORN_COLUMNS[:-1]]
+    return rows.select(*TORN_COLUMNS).unionByName(left_out.select(*absent, "visit_id"))
 
 
 def mixed_rejects(tables: roles.Tables) -> DataFrame:
@@ -180,6 +204,32 @@ def exported_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.validate_export(spark, folder)
 
 
+def fact_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact written as text by month, and read back month by month."""
+    folder = scratch_path(spark, "csv")
+    run.export_model(written_model(spark, sf_dir), folder, fact_by_month=True)
+    return months_of(read_csv_table(spark, f"{folder}/{t.FACT}", t.COLUMNS[t.FACT]))
+
+
+def months_of(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("visit_month", "visit_type").agg(
+        F.count("*").alias("visits"),
+        F.min("visit_datetime").alias("first_visit"),
+        F.max("visit_datetime").alias("last_visit"),
+    )
+
+
+def fact_months_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run over the later visits replaces their months and leaves the others."""
+    folder = scratch_path(spark, "csv")
+    fact = written_model(spark, sf_dir)[t.FACT]
+    first = fact.withColumn("visit_type", F.lit("first run"))
+    run.export_fact_by_month(first, folder, keep_other_months=True)
+    later = fact.where(F.col("visit_datetime") >= RERUN_FROM)
+    run.export_fact_by_month(later, folder, keep_other_months=True)
+    return months_of(read_csv_table(spark, folder, t.COLUMNS[t.FACT]))
+
+
 def exported_quality_torn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a file of torn rows beside a dimension's own."""
     folder = scratch_path(spark, "csv")
@@ -338,6 +388,8 @@ QUERIES: dict[str, Query] = {
     "cell_rejects": on_tables(lambda x: cell_rejects(roles.messy(x))),
     "csv_round_trip": on_tables(csv_round_trip),
     "torn_rows": on_tables(torn_rows),
+    "line_breaks": on_tables(line_breaks),
+    "line_breaks_left_out": on_tables(line_breaks_left_out),
     "normalized_counts": on_tables(normalized_counts),
     # quality checks
     "input_key_profile": on_tables(lambda x: quality.input_profile(landed(roles.flat(x)))),
@@ -356,6 +408,8 @@ QUERIES: dict[str, Query] = {
     "fanout_check": on_usage(fan_out),
     "insurance_fan_out": on_model(insurance_fan_out),
     "quality_report": on_usage(quality.report),
+    "fact_by_month": fact_by_month,
+    "fact_months_rerun": fact_months_rerun,
     "exported_quality": exported_quality,
     "exported_quality_torn": exported_quality_torn,
     "blank_keys_profile": on_tables(

@@ -292,13 +292,8 @@ def blank_keys(tables: Tables) -> DataFrame:
 def torn_lines(tables: Tables) -> DataFrame:
     """Orders as lines of text (columns file, is_header, value): whole ones, ones with few
     fields, with one field too many, and ones with a line break in the third field."""
-    # As many files as the table has partitions, so no task writes more as the table grows.
-    files, fields = max(1, tables["orders"].rdd.getNumPartitions()), len(FLAT_COLUMNS)
-    visit_at = FLAT_COLUMNS.index("visit_id")
     start = [_text("o_custkey"), F.concat(F.lit("n"), _text("o_orderkey"))]
-    middle = F.lit("," * (visit_at - 3))
-    rest = F.lit("," * (fields - visit_at - 1))
-    whole = F.concat_ws(",", *start, "o_orderstatus", F.concat(middle, _text("o_orderkey"), rest))
+    whole = _order_line(F.col("o_orderstatus"), ",")
     kind = F.col("o_orderkey") % 4
     torn = F.concat("o_orderstatus", F.lit("\nrest-"), _text("o_orderkey"))
     broken = F.concat_ws(",", *start, torn)
@@ -308,6 +303,35 @@ def torn_lines(tables: Tables) -> DataFrame:
         .when(kind == 3, broken)
         .otherwise(whole)
     )
+    return _in_files(tables, value, ",")
+
+
+def quoted_lines(tables: Tables, separator: str) -> DataFrame:
+    """Orders as text (columns file, is_header, value): plain rows, ones with line breaks in a
+    quoted field, ones with separators, quotes and empty lines in it, and ones of several lines
+    with one field too many."""
+    kind, key = F.col("o_orderkey") % 4, _text("o_orderkey")
+    several = F.concat(F.lit('"'), "o_orderstatus", F.lit("\nrest-"), key, F.lit('"'))
+    parts = [F.lit('"'), "o_orderstatus", F.lit(f'{separator}\n\n""'), key, F.lit(f'""{separator}"')]
+    name = F.when(kind == 0, F.col("o_orderstatus")).when(kind == 2, F.concat(*parts))
+    line = _order_line(name.otherwise(several), separator)
+    value = F.when(kind == 3, F.concat(line, F.lit(f'{separator}"one\nmore"'))).otherwise(line)
+    return _in_files(tables, value, separator)
+
+
+def _order_line(last_name: Column, separator: str) -> Column:
+    """An order as a whole row of text, with this cell as the patient's last name."""
+    visit_at = FLAT_COLUMNS.index("visit_id")
+    middle = F.lit(separator * (visit_at - 3))
+    rest = F.lit(separator * (len(FLAT_COLUMNS) - visit_at - 1))
+    first = [_text("o_custkey"), F.concat(F.lit("n"), _text("o_orderkey"))]
+    return F.concat_ws(separator, *first, last_name, F.concat(middle, _text("o_orderkey"), rest))
+
+
+def _in_files(tables: Tables, value: Column, separator: str) -> DataFrame:
+    """Orders as lines dealt to files, each with a header."""
+    # As many files as the table has partitions, so no task writes more as the table grows.
+    files = max(1, tables["orders"].rdd.getNumPartitions())
     lines_of = tables["orders"].select(
         F.pmod(F.xxhash64("o_orderkey"), F.lit(files)).cast("int").alias("file"),
         F.lit(False).alias("is_header"),
@@ -316,7 +340,7 @@ def torn_lines(tables: Tables) -> DataFrame:
     headers = tables.spark.range(files).select(
         F.col("id").cast("int").alias("file"),
         F.lit(True).alias("is_header"),
-        F.lit(",".join(FLAT_COLUMNS)).alias("value"),
+        F.lit(separator.join(FLAT_COLUMNS)).alias("value"),
     )
     return lines_of.unionByName(headers)
 
