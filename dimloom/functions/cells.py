@@ -19,8 +19,10 @@ AMOUNT_TYPE = "decimal(10,2)"
 ACTIVE_AFTER = dt.date(2021, 12, 31)
 ACTIVE, INACTIVE = "Active", "Inactive"
 
-# Tried in turn on every time of a visit or billing.
+# What a time of a visit or billing may look like.
 MOMENT_PATTERNS = (MICROSECOND_PATTERN, SECOND_PATTERN, DAY_PATTERN)
+# The bytes of a text without a sign that each pattern reads: one to six digits of a fraction.
+LENGTHS = {MICROSECOND_PATTERN: (21, 26), SECOND_PATTERN: (19, 19), DAY_PATTERN: (10, 10)}
 WHITE_SPACE = " \t\n\r\f\v"
 
 
@@ -35,11 +37,28 @@ def filled(cell: Column) -> Column:
 
 
 def parse_timestamp(cell: Column, *patterns: str) -> Column:
-    """Text to a zone-free timestamp, trying ``patterns`` in turn, or Spark's own rules if none."""
-    if patterns:
-        parsed = F.coalesce(*(F.try_to_timestamp(cell, F.lit(p)) for p in patterns))
+    """Text to a zone-free timestamp by the first of ``patterns`` that reads it, or by Spark's own
+    rules if there are none.
+
+    A pattern that fails costs many times one that works, so a text goes to the one pattern its
+    length allows, and to none if no pattern reads that length. Only years with a sign may be
+    longer; for them, and for patterns of unknown length, all are tried in turn. Years of more
+    than five digits are not read, as the largest of them raise an error in Spark.
+    """
+    signed = cell.startswith("+") | cell.startswith("-")
+    usual = ~signed | cell.rlike(r"^[+-]\d{1,5}-")
+
+    def tried(*some: str) -> Column:
+        return F.coalesce(*(F.try_to_timestamp(cell, F.lit(p)) for p in some))
+
+    if not patterns:
+        parsed = F.when(usual, F.try_to_timestamp(cell))
+    elif len(patterns) == 1 or not set(patterns) <= set(LENGTHS):
+        parsed = F.when(usual, tried(*patterns))
     else:
-        parsed = F.try_to_timestamp(cell)
+        parsed = F.when(signed, F.when(usual, tried(*patterns)))
+        for pattern in patterns:
+            parsed = parsed.when(F.octet_length(cell).between(*LENGTHS[pattern]), tried(pattern))
     return parsed.cast("timestamp_ntz")
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 from invented import text_frame
@@ -81,3 +82,37 @@ def test_status_needs_a_visit_strictly_after_the_cut_off(spark):
 def test_unreadable_means_text_that_gave_nothing(spark):
     bad = lambda c: cells.unreadable(c, cells.parse_days(c))
     assert values(spark, bad, "7", "x", "", "  ", None) == [False, True, False, False, False]
+
+
+def test_times_are_read_alike_by_their_length_and_by_trying_in_turn(spark):
+    rng = random.Random(3)
+    texts = ["2023-05-06", "2023-05-06 07:08:09", "2023-05-06 07:08:09.123456", "+12023-05-06"]
+    texts += ["+12023-05-06 07:08:09", "-2023-05-06", "2023-5-6", "2023-05-06T07:08:09", "", "  "]
+    texts += ["2023-02-30", "2023-05-06 25:08:09", "٢٠٢٣-٠٥-٠٦", "é023-05-06", "2023-05-06 07:08:09."]
+    texts += [f"2023-05-06 07:08:09.{'123456789'[:n]}" for n in range(10)]
+    for _ in range(1500):
+        cell = list(rng.choice(texts[:5]))
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(len(cell))
+            cell[at : at + rng.randint(0, 2)] = rng.choice(["", " ", "0", "9", "-", "+", "x", "1"])
+            cell = cell or ["0"]
+        texts.append("".join(cell))
+    frame = spark.createDataFrame([(c,) for c in [*texts, None]], "cell string")
+    patterns = cells.MOMENT_PATTERNS
+    in_turn = F.when(
+        ~F.col("cell").rlike("^[+-][0-9]{6}"),
+        F.coalesce(*(F.try_to_timestamp("cell", F.lit(p)) for p in patterns)),
+    )
+    row = frame.select(
+        "cell",
+        cells.parse_timestamp(F.col("cell"), *patterns).alias("by_length"),
+        in_turn.cast("timestamp_ntz").alias("in_turn"),
+    )
+    differ = row.where("not (by_length <=> in_turn)").collect()
+    assert not differ and row.where("by_length is not null").count() > 300
+
+
+def test_years_that_no_timestamp_holds_are_unreadable(spark):
+    texts = ["+294248-01-01", "+999999-01-01 00:00:00", "-999999-01-01", "+99999999999-01-01"]
+    for patterns in ((), (cells.DAY_PATTERN,), cells.MOMENT_PATTERNS):
+        assert values(spark, lambda c, p=patterns: cells.parse_timestamp(c, *p), *texts) == [None] * 4
