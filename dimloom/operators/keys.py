@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -31,20 +31,30 @@ def number_rows(
     sorted_rows = df.orderBy(*order).withColumn("_position", F.monotonically_increasing_id())
     sorted_rows.write.mode("errorifexists").parquet(path)
 
-    written = spark.read.schema(sorted_rows.schema).parquet(path).withColumns(
+    written = _with_ranges(spark.read.schema(sorted_rows.schema).parquet(path))
+    return written.join(F.broadcast(_offsets(written)), "_range").select(
+        (F.col("_offset") + F.col("_row")).alias(number), *df.columns
+    )
+
+
+def _with_ranges(written: DataFrame) -> DataFrame:
+    return written.withColumns(
         {
             "_range": F.shiftright("_position", _ROW_BITS),
             "_row": F.col("_position").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
         }
     )
+
+
+def _offsets(written: DataFrame) -> DataFrame:
+    """One row a range: its first row, and how many rows the ranges before it have."""
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    return (
         written.groupBy("_range")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    return written.join(F.broadcast(offsets), "_range").select(
-        (F.col("_offset") + F.col("_row")).alias(number), *df.columns
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first"))
+        .select(
+            "_range", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+        )
     )
 
 
@@ -62,6 +72,51 @@ def dense_ids(
     return numbered.select((F.col(id_name) + 1).alias(id_name), *keys)
 
 
+def dense_ids_together(
+    sources: Mapping[str, tuple[DataFrame, Sequence[str], str]], path: str | None = None
+) -> dict[str, DataFrame]:
+    """``dense_ids`` of several frames of text keys, given as (frame, keys, id name), in one job.
+
+    The tuples of all frames are sorted together, by frame first, and written once, a directory
+    for each frame. Its positions then start in the ranges it begins in, so one count and one
+    first row per range and frame make the ids; the fixed cost of a sort is paid once.
+    """
+    spark = next(iter(sources.values()))[0].sparkSession
+    path = path or scratch_path(spark, "numbered")
+    width = max(len(keys) for _, keys, _ in sources.values())
+    parts = [f"_part{i}" for i in range(width)]
+    tuples = [
+        df.select(
+            F.lit(nth).alias("_frame"),
+            *(F.col(k).alias(part) for k, part in zip(keys, parts, strict=False)),
+            *(F.lit(None).cast("string").alias(part) for part in parts[len(keys) :]),
+        )
+        for nth, (df, keys, _) in enumerate(sources.values())
+    ]
+    order = ["_frame", *(F.col(part).asc_nulls_first() for part in parts)]
+    sorted_rows = (
+        reduce(DataFrame.unionByName, tuples)
+        .distinct()
+        .orderBy(*order)
+        .withColumn("_position", F.monotonically_increasing_id())
+    )
+    sorted_rows.write.mode("errorifexists").partitionBy("_frame").parquet(path)
+    written = _with_ranges(spark.read.schema(sorted_rows.schema).parquet(path))
+
+    def numbered(nth: int, keys: Sequence[str], id_name: str) -> DataFrame:
+        rows = written.where(F.col("_frame") == nth)
+        # Its rows of a range are in one run, after those of the frames before it.
+        number = F.col("_offset") + F.col("_row") - F.col("_first") + 1
+        return rows.join(F.broadcast(_offsets(rows)), "_range").select(
+            number.alias(id_name), *(F.col(p).alias(k) for p, k in zip(parts, keys, strict=False))
+        )
+
+    return {
+        name: numbered(nth, keys, id_name)
+        for nth, (name, (_, keys, id_name)) in enumerate(sources.items())
+    }
+
+
 def lookup_id(
     df: DataFrame,
     dimension: DataFrame,

@@ -9,17 +9,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimloom.functions import cells
 from dimloom.operators.dedup import one_per_key
-from dimloom.operators.keys import dense_ids, lookup_id
+from dimloom.operators.keys import dense_ids, dense_ids_together, lookup_id
 from dimloom.plans import tables as t
 from dimloom.plans.tables import (
     FACT,
@@ -111,11 +109,21 @@ def billing_one_per_id(source: DataFrame) -> DataFrame:
     return one_per_key(_billing(source), ["billing_id"], newest_by=["billing_date"])
 
 
-def dim_numbered(source: DataFrame, spec: Numbered, path: str | None = None) -> DataFrame:
+def _tuples(source: DataFrame, spec: Numbered) -> DataFrame:
+    """The rows whose tuples a numbered dimension has."""
     source = _with_keys(source, spec.keys)
-    if spec.drop_blank:
-        source = source.dropna(subset=list(spec.keys))
-    return dense_ids(source, spec.keys, spec.id_name, path)
+    return source.dropna(subset=list(spec.keys)) if spec.drop_blank else source
+
+
+def dim_numbered(source: DataFrame, spec: Numbered, path: str | None = None) -> DataFrame:
+    return dense_ids(_tuples(source, spec), spec.keys, spec.id_name, path)
+
+
+def dims_numbered(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All numbered dimensions, from a frame for each, written by one job."""
+    return dense_ids_together(
+        {s.name: (_tuples(sources[s.name], s), s.keys, s.id_name) for s in NUMBERED}
+    )
 
 
 def dim_prescription(source: DataFrame) -> DataFrame:
@@ -181,20 +189,14 @@ def build_model(
 ) -> dict[str, DataFrame]:
     """All eleven tables, from one flat table or from a frame per table.
 
-    The numbered dimensions are written while this runs, side by side since their jobs are
-    independent; everything else is lazy. The fact uses those same dimensions.
+    The numbered dimensions are written while this runs, by one job; everything else is lazy.
+    The fact uses those same dimensions.
     """
     per_table = (
         source if isinstance(source, Mapping) else dict.fromkeys(PRIMARY_KEYS, source)
     )
 
-    def write(spec: Numbered) -> DataFrame:
-        return dim_numbered(per_table[spec.name], spec)
-
-    names = (spec.name for spec in NUMBERED)
-    in_thread = inheritable_thread_target(per_table[FACT].sparkSession)  # keeps job group, tags
-    with ThreadPoolExecutor(len(NUMBERED)) as pool:
-        numbered = dict(zip(names, pool.map(in_thread(write), NUMBERED), strict=True))
+    numbered = dims_numbered(per_table)
     built = {
         "DimPatient": dim_patient(per_table["DimPatient"], visits, active_after),
         "DimInsurance": dim_insurance(per_table["DimInsurance"]),

@@ -1,7 +1,7 @@
 """Reporting queries over the model.
 
 Visits are counted per id before a dimension's attributes are joined, so the joins see one row
-per id, whatever share of the visits an id has.
+per id, whatever share of the visits an id has; of two dimensions the small one is joined first.
 """
 
 from __future__ import annotations
@@ -43,10 +43,13 @@ def visits_by_clinic_and_type(model: Mapping[str, DataFrame]) -> DataFrame:
 def visits_by_provider_and_gender(
     model: Mapping[str, DataFrame], attribute: str = "doctor_department"
 ) -> DataFrame:
-    """Visits are counted by both ids first, then each id is swapped in turn."""
-    counted = model[FACT].groupBy("provider_id", "patient_id").agg(F.count("*").alias("visits"))
-    per_patient = visits_by(counted, model["DimProvider"], "provider_id", [attribute])
-    return visits_by(per_patient, model["DimPatient"], "patient_id", ["patient_gender"])
+    """The provider's attribute is swapped in before anything is counted: there are few of its
+    values, so counts by it and the patient reduce the visits, while almost every visit has a
+    provider and patient of its own. The patients, who may be many, are joined to those counts."""
+    provider = model["DimProvider"].select("provider_id", attribute)
+    described = model[FACT].select("provider_id", "patient_id").join(provider, "provider_id", "left")
+    counted = described.groupBy(attribute, "patient_id").agg(F.count("*").alias("visits"))
+    return visits_by(counted, model["DimPatient"], "patient_id", ["patient_gender"])
 
 
 def gender_columns(visits: DataFrame, genders: Sequence[str]) -> DataFrame:

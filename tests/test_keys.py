@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dimloom.operators import dense_ids, lookup_id
+from dimloom.operators.keys import dense_ids_together
 from dimloom.scratch import scratch_path
 
 KEYS = ["a", "b", "c"]
@@ -115,3 +116,31 @@ def test_large_dimension_is_merged_and_hot_keys_are_split(spark):
         collected = found.collect()
         assert len(collected) == size and all(r["id"] is not None for r in collected)
         assert "SortMergeJoin(skew=true)" in plan(found)
+
+
+def test_frames_numbered_together_are_numbered_as_each_alone(spark):
+    frame = tuples(spark, 8).withColumn("c", F.col("c").cast("string"))
+    sources = {
+        "three": (frame, KEYS, "id3"),
+        "none": (frame.limit(0), ["a", "b"], "id0"),
+        "two": (frame, ["b", "c"], "id2"),
+        "one": (spark.range(5000).select(F.col("id").cast("string").alias("k")), ["k"], "id1"),
+    }
+    for partitions in ("1", "3", "64"):
+        with configured(spark, shuffle_partitions=partitions):
+            together = dense_ids_together(sources)
+            for name, (df, keys, id_name) in sources.items():
+                alone = dense_ids(df, keys, id_name)
+                assert together[name].columns == alone.columns == [id_name, *keys]
+                assert together[name].orderBy(id_name).collect() == alone.orderBy(id_name).collect()
+
+
+def test_frames_numbered_together_are_sorted_and_written_once(spark):
+    path = scratch_path(spark, "together")
+    keys = spark.range(4000).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("l"))
+    with configured(spark, adaptive_coalescePartitions_enabled="false"):
+        dense_ids_together({"a": (keys, ["k"], "a_id"), "b": (keys, ["l", "k"], "b_id")}, path)
+    written = spark.read.parquet(path)
+    assert written.groupBy("_frame").count().orderBy("_frame").collect() == [(0, 4000), (1, 4000)]
+    ranges = written.select(F.shiftright("_position", 33).alias("r"), "_frame").distinct()
+    assert ranges.select("r").distinct().count() > 2
