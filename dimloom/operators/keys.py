@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -117,20 +117,45 @@ def dense_ids_together(
     }
 
 
+def extended_ids(
+    kept: DataFrame, df: DataFrame, keys: Sequence[str], id_name: str, path: str | None = None
+) -> DataFrame:
+    """The ids of a kept key map (id, keys) as they are, and ids for the tuples it lacks.
+
+    New tuples are numbered after the greatest kept id, in the order of the keys, nulls first.
+    The map is as long as the dimension, so a run over more rows changes no id given before.
+    """
+    known = kept.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    new = df.select(*keys).distinct().join(known, same, "left_anti")
+    after = kept.agg(F.max(id_name)).first()[0] or 0
+    added = dense_ids(new, keys, id_name, path)
+    return kept.select(id_name, *keys).unionByName(
+        added.select((F.col(id_name) + after).alias(id_name), *keys)
+    )
+
+
 def lookup_id(
     df: DataFrame,
     dimension: DataFrame,
     keys: Sequence[str],
     id_name: str,
     match_nulls: bool = True,
+    hashed: Callable[..., Column] = F.xxhash64,
 ) -> DataFrame:
     """Replace the natural key columns by the dimension's id; null where there is none.
 
     No broadcast is forced. The dimension is a written table of known size, so Spark broadcasts
     it below ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges above, where adaptive
     execution splits the partitions of hot keys. ``match_nulls`` also matches tuples with nulls.
+
+    Rows meet by one hash of the tuple, which is shorter to sort and to hold than its texts and
+    needs no care for nulls; the parts are compared as well, so equal hashes do no harm.
     """
-    right = dimension.select(id_name, *(F.col(k).alias(f"_{k}") for k in keys))
+    right = dimension.select(
+        id_name, *(F.col(k).alias(f"_{k}") for k in keys), hashed(*keys).alias("_hash")
+    )
     pairs = ((F.col(k), F.col(f"_{k}")) for k in keys)
     same = reduce(and_, (a.eqNullSafe(b) if match_nulls else a == b for a, b in pairs))
-    return df.join(right, same, "left").drop(*keys, *(f"_{k}" for k in keys))
+    meet = hashed(*(df[k] for k in keys)) == F.col("_hash")
+    return df.join(right, meet & same, "left").drop(*keys, "_hash", *(f"_{k}" for k in keys))

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimloom.operators import checks
@@ -74,6 +74,43 @@ def write_usage(model: Mapping[str, DataFrame], folder: str) -> dict[str, DataFr
     return {n: spark.read.schema(k.schema).parquet(f"{folder}/{n}") for n, k in usage.items()}
 
 
+STATUSES = "patient_status"
+
+
+def add_usage(batch: Mapping[str, DataFrame], folder: str, name: str) -> None:
+    """Count the keys of a batch of new rows, and keep the counts below the folder.
+
+    A batch has the new rows of the fact and of any dimensions, and a name; counting a batch
+    again replaces its counts. Only the batch is read.
+    """
+    if FACT not in batch:
+        raise ValueError(f"a batch needs its rows of {FACT}, if only an empty frame")
+    linked = {link.dimension: link.columns for link in LINKS}
+    for table, keys in PRIMARY_KEYS.items():
+        fact = batch[FACT] if table in linked else None
+        if table in batch:
+            usage = checks.key_usage(batch[table], keys, fact, linked.get(table, ()))
+        else:
+            none = batch[FACT].select(*keys).limit(0)
+            usage = checks.key_usage(none, keys, fact, keys)
+        usage.write.mode("overwrite").parquet(f"{folder}/{table}/batch={name}")
+    if "DimPatient" in batch:
+        counts = status_counts(batch["DimPatient"])
+        counts.write.mode("overwrite").parquet(f"{folder}/{STATUSES}/batch={name}")
+
+
+def kept_usage(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The usage of all batches added up per key, and the patients per status."""
+
+    def added_up(table: str, counts: Sequence[str]) -> DataFrame:
+        kept = spark.read.parquet(f"{folder}/{table}").drop("batch")
+        keys = [c for c in kept.columns if c not in counts]
+        return kept.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in counts))
+
+    usage = {table: added_up(table, ("held", "used")) for table in PRIMARY_KEYS}
+    return usage, added_up(STATUSES, ("patients",))
+
+
 def _links_of(usage: Usage) -> dict[str, DataFrame]:
     return {name: keys for name, keys in usage.items() if name != FACT}
 
@@ -139,7 +176,13 @@ def report(model: Mapping[str, DataFrame], usage: Usage | None = None) -> DataFr
 
     ``usage`` is that of the model, if it has been counted already.
     """
-    profile = checks.usage_profile(model_usage(model) if usage is None else usage)
+    usage = model_usage(model) if usage is None else usage
+    return report_of_usage(usage, status_counts(model["DimPatient"]))
+
+
+def report_of_usage(usage: Usage, statuses: DataFrame) -> DataFrame:
+    """The same from counts alone: the usage of keys, and the patients per status."""
+    profile = checks.usage_profile(usage)
     key_of = F.create_map(
         *(F.lit(v) for name, keys in PRIMARY_KEYS.items() for v in (name, ",".join(keys)))
     )
@@ -151,7 +194,7 @@ def report(model: Mapping[str, DataFrame], usage: Usage | None = None) -> DataFr
         key_of[F.col("label")].alias("column_name"),
         "value",
     )
-    statuses = status_counts(model["DimPatient"]).select(
+    statuses = statuses.select(
         F.concat(F.lit("status_"), F.lower("patient_status")).alias("check_name"),
         F.lit("DimPatient").alias("table_name"),
         F.lit("patient_status").alias("column_name"),

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dimloom.operators import dense_ids, lookup_id
-from dimloom.operators.keys import dense_ids_together
+from dimloom.operators.keys import dense_ids_together, extended_ids
 from dimloom.scratch import scratch_path
 
 KEYS = ["a", "b", "c"]
@@ -144,3 +144,31 @@ def test_frames_numbered_together_are_sorted_and_written_once(spark):
     assert written.groupBy("_frame").count().orderBy("_frame").collect() == [(0, 4000), (1, 4000)]
     ranges = written.select(F.shiftright("_position", 33).alias("r"), "_frame").distinct()
     assert ranges.select("r").distinct().count() > 2
+
+
+def test_kept_ids_stay_and_new_tuples_follow(spark):
+    first, more = tuples(spark, 4, 60), tuples(spark, 9, 400)
+    kept = dense_ids(first, KEYS, "id")
+    grown = extended_ids(kept, first.unionByName(more), KEYS, "id")
+    assert rows(kept, "id", *KEYS) <= rows(grown, "id", *KEYS)
+    ids = sorted(r["id"] for r in grown.collect())
+    assert ids == list(range(1, len(ids) + 1)) and len(ids) > kept.count()
+    assert rows(grown, *KEYS) == rows(first.unionByName(more).distinct(), *KEYS)
+    again = extended_ids(grown, first, KEYS, "id")
+    assert rows(again) == rows(grown)
+    assert rows(extended_ids(kept.limit(0), first, KEYS, "id")) == rows(kept)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+@pytest.mark.parametrize("match_nulls", [True, False])
+def test_lookups_whose_hashes_are_all_the_same(spark, threshold, match_nulls):
+    frame = tuples(spark, 6, 300)
+    dimension = dense_ids(frame, KEYS, "id")
+    with configured(spark, autoBroadcastJoinThreshold=threshold):
+        found = lookup_id(frame.withColumn("v", F.monotonically_increasing_id()), dimension, KEYS, "id", match_nulls)
+        by_one_hash = lookup_id(
+            frame.withColumn("v", F.monotonically_increasing_id()), dimension, KEYS, "id", match_nulls,
+            hashed=lambda *_: F.lit(7).cast("long"),
+        )
+        assert found.count() == 300 and rows(found) == rows(by_one_hash)
+        assert (found.where("id is null").count() == 0) == match_nulls

@@ -21,7 +21,7 @@ ONE_ROW_PER_TABLE = {
     "normalized_counts", "model_row_counts", "pk_null_counts", "parse_rejects_mixed_times",
     "input_key_profile", "blank_keys_profile", "blank_keys_pk_nulls", "blank_keys_report",
     "fk_summary", "fanout_check", "insurance_fan_out", "quality_report", "exported_quality",
-    "exported_quality_torn", "line_breaks_left_out",
+    "exported_quality_torn", "line_breaks_left_out", "quality_in_batches",
 }
 ONE_ROW_PER_MONTH = {"billing_running_total", "billing_running_total_conflicts"}
 # Ids are counted on from range to range.
@@ -30,6 +30,7 @@ ONE_ROW_PER_RANGE = {
     for name in (*NUMBERED_QUERIES, "fact_visit")
     for source in ("", "_from_flat")
 } | {"fact_visit_mixed_times", "blank_keys_fact", "blank_keys_fk_nulls", "part_supplier_ids"}
+ONE_ROW_PER_RANGE |= {"pair_ids_after_append"}
 ONE_ROW_EACH = ONE_ROW_PER_TABLE | ONE_ROW_PER_MONTH | ONE_ROW_PER_RANGE
 
 

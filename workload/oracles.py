@@ -611,6 +611,11 @@ ORACLES: dict[str, str] = {
     "visit_survivor": "select * from lineitem "
     + survivor(("l_orderkey", "l_linenumber"), ("l_shipdate",), LINE_REST),
     "distinct_pairs": "select distinct l_partkey, l_suppkey from lineitem",
+    "pair_ids_after_append": """with pairs as (
+            select l_partkey, l_suppkey, bool_or(l_orderkey % 2 = 0) as was_there
+            from lineitem group by l_partkey, l_suppkey)
+        select row_number() over (order by was_there desc, l_partkey, l_suppkey) as pair_id,
+            l_partkey, l_suppkey from pairs""",
     "part_supplier_ids": """select row_number() over (order by l_partkey, l_suppkey) as pair_id,
         l_partkey, l_suppkey from (select distinct l_partkey, l_suppkey from lineitem)""",
     "last_visits": on_model("select * from last_visits"),
@@ -663,6 +668,7 @@ ORACLES: dict[str, str] = {
             (select count(*) from FactVisit f left join DimInsurance d
                 on f.insurance_id = d.insurance_id and f.patient_id = d.patient_id)"""),
     "quality_report": on_model(report()),
+    "quality_in_batches": on_model(report()),
     "fact_by_month": on_model(months_of("visit_type")),
     "fact_months_rerun": on_model(months_of(f"""case when visit_datetime >= timestamp
         '{RERUN_FROM}' then visit_type else 'first run' end""")),

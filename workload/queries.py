@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dimloom.functions import cells
 from dimloom.operators import checks
 from dimloom.operators.dedup import distinct_rows, one_per_key
-from dimloom.operators.keys import dense_ids
+from dimloom.operators.keys import dense_ids, extended_ids
 from dimloom.plans import model as m
 from dimloom.plans import quality, reports, run
 from dimloom.plans import tables as t
@@ -119,6 +119,13 @@ def part_supplier_ids(tables: roles.Tables) -> DataFrame:
     return dense_ids(tables["lineitem"], ["l_partkey", "l_suppkey"], "pair_id")
 
 
+def pair_ids_after_append(tables: roles.Tables) -> DataFrame:
+    """Ids given to the pairs of some lines stay when all lines are there."""
+    keys, lines = ["l_partkey", "l_suppkey"], tables["lineitem"]
+    first = dense_ids(lines.where("l_orderkey % 2 = 0"), keys, "pair_id")
+    return extended_ids(first, lines, keys, "pair_id")
+
+
 def distinct_pairs(tables: roles.Tables) -> DataFrame:
     return distinct_rows(tables["lineitem"], ["l_partkey", "l_suppkey"])
 
@@ -197,6 +204,18 @@ def normalized_counts(tables: roles.Tables) -> DataFrame:
     return checks.row_counts(model)
 
 
+def quality_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from counts kept per batch: the model in two halves, one counted twice."""
+    folder = scratch_path(spark, "kept")
+    for half in (0, 1, 1):
+        batch = {
+            name: table.where(F.pmod(F.xxhash64(*t.PRIMARY_KEYS[name]), F.lit(2)) == half)
+            for name, table in written_model(spark, sf_dir).items()
+        }
+        quality.add_usage(batch, folder, str(half))
+    return quality.report_of_usage(*quality.kept_usage(spark, folder))
+
+
 def exported_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report on the model's tables written as text and read back."""
     folder = scratch_path(spark, "csv")
@@ -382,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "visit_survivor": on_tables(visit_survivor),
     "distinct_pairs": on_tables(distinct_pairs),
     "part_supplier_ids": on_tables(part_supplier_ids),
+    "pair_ids_after_append": on_tables(pair_ids_after_append),
     "last_visits": on_tables(lambda x: m.last_visits(roles.orders(x))),
     "parsed_cells": on_tables(parsed_cells),
     "parse_rejects": on_tables(reject_counts),
@@ -408,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "fanout_check": on_usage(fan_out),
     "insurance_fan_out": on_model(insurance_fan_out),
     "quality_report": on_usage(quality.report),
+    "quality_in_batches": quality_in_batches,
     "fact_by_month": fact_by_month,
     "fact_months_rerun": fact_months_rerun,
     "exported_quality": exported_quality,
