@@ -37,7 +37,10 @@ about 10^19 / (number of sets)^2 / 2 corpora.
 Defined results: words are runs of bytes other than the blank and the control characters 9 to 13,
 with A-Z lowered; a text of one to four words has its whole sequence as one shingle; texts without
 words have empty sets, linked with nothing, and are components of their own. A component's id is
-its smallest doc_id that is not null. Repeated rows are copies of each other.
+its smallest doc_id that is not null. Repeated rows are copies of each other, and of one component
+``one_of_each_group`` keeps the row with the smallest id, of equal ids the one with the smallest
+hash of its text. An empty table gives no rows; texts of any length are read whole. Further
+columns, whatever their names, are kept by ``one_of_each_group`` and otherwise not looked at.
 """
 
 from __future__ import annotations

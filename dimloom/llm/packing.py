@@ -7,7 +7,9 @@ which a trainer draws batches of one shape. Inside a bucket they are numbered wi
 ``sequence_id % buckets`` is the bucket.
 
 Defined results: a null or empty text is the end token alone; rows with a null or repeated id are
-documents like others; an empty table has no pieces.
+documents like others, and equal rows have a sequence each; an empty table has no pieces; texts of
+any length are cut whole. Sequences of one length that tie in everything else are numbered in the
+order in which their task met them. Further columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

@@ -4,13 +4,16 @@ Only DataFrame functions are used. A text is split by each pattern; the lengths
 the matches give every match its place. Candidate strings (long runs of key characters with
 letters and digits) become arrays of characters. A window of ``WINDOW`` characters slides over
 each, inside its row: the character that enters and the one that leaves change the sum of
-c * log2(c) over the counts c, and the entropy is log2(WINDOW) - sum / WINDOW. A string is reported if some window
-without an allowed part (a run, an example word, a sequence) reaches the threshold of its character
-class, unless the whole string is on the allow list or overlaps a match of the fixed patterns.
-
-Only hits are shuffled, by document and string, so the work after the scan grows with the hits.
-Defined results: a null or empty text has no spans; rows with null or repeated ids are scanned
-each; an empty table gives no rows. Places count code points.
+c * log2(c) over the counts c, and the entropy is log2(WINDOW) - sum / WINDOW. A string is
+reported if some window without an allowed part (a run, an example word, a sequence) reaches the
+threshold of its character class, unless the whole string is on the allow list or overlaps a match
+of the fixed patterns.
+
+Only hits are shuffled, by document, so the work after the scan grows with the hits. Defined
+results: a null or empty text has no spans; rows with null or repeated ids are scanned each; an
+empty table gives no rows; texts of any length are scanned whole. Spans that tie in their start
+come in the order of the kinds. Further columns, whatever their names, are not looked at. Places
+count code points.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ along their cycle until they fall inside. Position p then belongs to shard ``p %
 and the seed can compute the place of row number r without looking at other rows.
 
 Only DataFrame functions are used. Defined results: a null text has size 1 and the check sum of
-no bytes; null and repeated ids are rows like others; an empty table gives an empty result.
+no bytes; null and repeated ids are rows like others; rows that tie in id, size and check sum are
+numbered one after the other; an empty table gives an empty result; texts of any length are read
+whole. Further columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

@@ -13,7 +13,10 @@ Labels, language, source and id are never inputs of a score. Defined results: nu
 get the score of the bias alone; label rows without id or mark are not used, and several labels of
 one id count as one, toxic if any is; without labels of both kinds nothing is learnt and every
 score is 0. Repeated rows of documents are scored each; if they are in the sample, the id
-is learnt once, from its smallest text.
+is learnt once, from its smallest text. An empty table of documents gives no rows, one of labels
+teaches nothing. Texts of any length are read whole. Samples are learnt in the order of a hash of
+their id, ties in that of the ids. Further columns, whatever their names, are kept by ``scored``
+and otherwise not looked at.
 """
 
 from __future__ import annotations

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from dimloom.llm import toxicity
 from tests.llm.helpers import COLUMNS, odd_documents, words
 
+
 def may_learn():
     return F.col("doc_id") % 5 != 0
 
@@ -55,6 +60,46 @@ def test_a_bounded_sample_is_enough_and_partitions_do_not_matter(spark):
     assert 0 < len(one.features) < 3000  # L1 leaves few of the features
 
 
+def plain_features(text: str) -> Counter:
+    """Words, pairs and pairs over one word, each looked up in a text of its own."""
+    lowered = "".join(c.lower() if c.isascii() else c for c in text)
+    found = [w for w in re.findall("[a-z0-9\u0080-\U0010ffff]+", lowered)]
+    one = [toxicity.all_features([w.encode()])[1][0] for w in found]
+    pairs = [toxicity.all_features([f"{a} {b}".encode()])[1][2] for a, b in zip(found, found[1:], strict=False)]
+    skips = [
+        toxicity.all_features([f"{a} x {b}".encode()])[1][5]
+        for a, b in zip(found, found[2:], strict=False)
+    ]
+    return Counter(map(int, [*one, *pairs, *skips]))
+
+
+def test_features_counts_and_scores_by_definition(spark):
+    rng = random.Random(7)
+    docs, labels = labelled(spark, 300)
+    model = toxicity.learned_toxicity(docs, labels, may_learn())
+    weights = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
+    texts = [" ".join(words(rng, n, 30)) for n in (0, 1, 2, 3, 50, 400)]
+    texts += ["vile vile, VILE awful-nasty", "\u00e9t\u00e9 \u00c9 vile_thing 12a", "awful " * 70_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(frame, model).select("row.doc_id", "score").collect()}
+    for i, text in enumerate(texts):
+        counts = plain_features(text if i < len(texts) - 1 else "awful " * 5)
+        if i == len(texts) - 1:  # a very long text of one word
+            counts = Counter(dict(zip(counts, (70_000, 69_999, 69_998), strict=True)))
+        else:
+            owners, features = toxicity.all_features([text.encode()])
+            assert Counter(features.tolist()) == counts and set(owners.tolist()) <= {0}
+        total = sum(weights.get(f, 0.0) * (1 + math.log(c)) for f, c in counts.items()) + model.bias
+        assert abs(got[i] - 1 / (1 + math.exp(-total))) < 1e-9
+
+
+def test_counts_beyond_sixteen_bits_are_learnt_as_they_are_scored(spark):
+    batch = pa.RecordBatch.from_pydict({"turn": [1], "toxic": [1], "text": ["word " * 70_000]})
+    (learnt,) = toxicity.sample_features(iter([batch]))
+    counts = np.frombuffer(learnt.column("counts")[0].as_py(), "<u4")
+    assert sorted(counts.tolist()) == [69_998, 69_999, 70_000]
+
+
 def test_equal_texts_score_alike_in_any_company(spark):
     docs, labels = labelled(spark, 300)
     model = toxicity.learned_toxicity(docs, labels, may_learn())
