@@ -2,7 +2,14 @@
 
 Toxic documents go, one document of each group of near copies stays, personal data is masked, and
 what is left becomes token sequences without padding. Every stage but the last returns the columns
-of the documents it was given.
+of the documents it was given, whatever their names.
+
+Defined results on odd rows: a null or empty text is kept by every stage; it has the score of the
+model's bias, no near copies and nothing to mask, and is packed as the end token alone. A null id
+is kept like others, and named by no label. Rows equal in id and text are near copies, of which one
+stays, whatever their other columns; of others that tie, the smallest id stays. Without documents
+there are no sequences, and without labels of both kinds no document is toxic. Texts of any length
+are read whole by every stage.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dimloom.llm import jaccard, packing, personal, toxicity
-from dimloom.llm.common import prepare, stored, table
+from dimloom.llm.common import stored, table
 from dimloom.llm.queries import may_learn, vocabulary
 
 # SQL cannot express the learnt model, the graph of the join, or the tokens.
@@ -25,19 +32,16 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of 0.8 of its shingles."""
-    prepare(spark)
     return jaccard.one_of_each_group(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their identifiers replaced by marks."""
-    prepare(spark)
     return personal.masked(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of up to 2048 tokens, with their ids."""
-    prepare(spark)
     return packing.pack(docs, vocabulary("word_bpe_49k.json"), with_ids=True)
 
 
