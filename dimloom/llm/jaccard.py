@@ -75,7 +75,7 @@ MEMORY = 500_000  # sets a task remembers to pass over copies
 SAMPLE = 1 << 20  # shingles sampled to find the frequent ones
 FREQUENT = 32  # sets of the sample that hold one
 ROWS_AT_ONCE = 512  # of a matrix product
-CELLS = 1 << 25  # of a matrix
+CELLS = 1 << 24  # of a matrix
 
 CLASSES = class_table(bytes([9, 10, 11, 12, 13, 32]))
 _FACTORS = np.array(

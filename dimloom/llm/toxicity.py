@@ -116,19 +116,28 @@ class Model:
         return sigmoid(np.bincount(owners, parts, minlength=len(texts)) + self.bias)
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """In 16 bits each, or in 32 if one needs them."""
+    return counts.astype("<u2" if counts.max(initial=0) < 1 << 16 else "<u4").tobytes()
+
+
+def unpacked_counts(packed: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(packed, "<u2" if len(packed) == 2 * size else "<u4")
+
+
 def sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         owners, features, counts = counted(*all_features(texts))
         cuts = np.searchsorted(owners, np.arange(len(texts) + 1))
-        features, counts = features.astype("<i4"), counts.astype("<u4")
+        features = features.astype("<i4")
         spans = list(zip(cuts[:-1], cuts[1:], strict=True))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("turn"),
                 batch.column("toxic"),
                 pa.array([features[a:b].tobytes() for a, b in spans], pa.binary()),
-                pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([packed_counts(counts[a:b]) for a, b in spans], pa.binary()),
             ],
             names=["turn", "toxic", "features", "counts"],
         )
@@ -175,7 +184,8 @@ def learned_toxicity(
         for batch in batches:
             columns = (c.to_pylist() for c in batch.columns)
             for _, toxic, features, counts in zip(*columns, strict=True):
-                rows.append((np.frombuffer(features, "<i4"), np.frombuffer(counts, "<u4"), toxic))
+                index = np.frombuffer(features, "<i4")
+                rows.append((index, unpacked_counts(counts, len(index)), toxic))
         learner = Ftrl()
         if len({toxic for _, _, toxic in rows}) < 2:
             return

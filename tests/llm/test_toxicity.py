@@ -94,10 +94,12 @@ def test_features_counts_and_scores_by_definition(spark):
 
 
 def test_counts_beyond_sixteen_bits_are_learnt_as_they_are_scored(spark):
-    batch = pa.RecordBatch.from_pydict({"turn": [1], "toxic": [1], "text": ["word " * 70_000]})
+    texts = ["word " * 70_000, "one two one", ""]
+    batch = pa.RecordBatch.from_pydict({"turn": [1, 2, 3], "toxic": [1, 0, 0], "text": texts})
     (learnt,) = toxicity.sample_features(iter([batch]))
-    counts = np.frombuffer(learnt.column("counts")[0].as_py(), "<u4")
-    assert sorted(counts.tolist()) == [69_998, 69_999, 70_000]
+    packed = zip(learnt.column("counts").to_pylist(), learnt.column("features").to_pylist(), strict=True)
+    counts = [sorted(toxicity.unpacked_counts(c, len(f) // 4).tolist()) for c, f in packed]
+    assert counts == [[69_998, 69_999, 70_000], [1, 1, 1, 2], []]
 
 
 def test_equal_texts_score_alike_in_any_company(spark):
