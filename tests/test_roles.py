@@ -1,0 +1,110 @@
+"""How the flat input is joined from the test tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from workload import roles
+
+DAY = dt.datetime(1996, 1, 2, 3, 4, 5)
+TABLES = {
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp",
+        [
+            (1, 1, 1, 1, "N", "O", DAY),
+            (1, 2, None, 2, "A", "F", DAY),
+            (2, None, 1, 1, "R", "F", DAY),
+            (None, 1, 9, 1, "N", "O", DAY),
+            (7, 7, 7, 1, "N", "O", DAY),
+        ],
+    ),
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp, o_orderpriority string",
+        [
+            (1, 1, "F", 10.0, DAY, "1-URGENT"),
+            (1, 2, "O", 11.0, DAY, "2-HIGH"),
+            (2, None, "P", 12.0, DAY, "5-LOW"),
+            (None, 1, "F", 13.0, DAY, "5-LOW"),
+        ],
+    ),
+    "customer": (
+        "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+        [(1, "Customer#1", 1, "BUILDING"), (1, "Customer#1b", None, None), (2, "C#2", 2, "X")],
+    ),
+    "part": (
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size int",
+        [(1, "a part", "B1", "ECONOMY", 1), (1, "twin", "B2", "PROMO", 2), (None, "n", "B", "T", 3)],
+    ),
+    "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(1, "S1", 1), (1, "S1b", 9)]),
+    "nation": (
+        "n_nationkey int, n_name string, n_regionkey int",
+        [(1, "PERU", 1), (2, "CHINA", 2), (None, "NONE", 1)],
+    ),
+    "region": ("r_regionkey int, r_name string", [(1, "AMERICA"), (1, "SECOND")]),
+    "events": (
+        "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+        [(1, DAY, 5, "click", 1.0, "{}"), (1, DAY, 6, "error", 2.0, "{}"), (None, DAY, 7, "x", 0.0, "")],
+    ),
+}
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    for name, (schema, rows) in TABLES.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return roles.Tables(spark, str(tmp_path))
+
+
+def test_lines_are_shuffled_by_order_once_and_before_that_hold_no_order(spark, tables):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for key, value in zip(kept, ("-1", "false"), strict=True):
+            spark.conf.set(key, value)
+        plan = roles.flat(tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert plan.count("Exchange hashpartitioning(o_custkey") == 1
+    by_customer = plan[plan.index("Exchange hashpartitioning(o_custkey") :]
+    assert "l_orderkey" not in by_customer.split("Exchange hashpartitioning(c_custkey")[0]
+
+
+def test_joins_keep_rows_of_null_missing_and_repeated_keys(spark, tables):
+    for name in TABLES:
+        tables[name].createOrReplaceTempView(f"roles_{name}")
+    expected = spark.sql(
+        """
+        select concat_ws('-', l_orderkey, l_linenumber), o_totalprice, c_name, c.n_name, r_name,
+            p_name, s_name, s.n_name, user_id
+        from roles_lineitem
+        left join roles_orders on l_orderkey = o_orderkey
+        left join roles_customer on o_custkey = c_custkey
+        left join roles_part on l_partkey = p_partkey
+        left join roles_supplier on l_suppkey = s_suppkey
+        left join roles_nation c on c_nationkey = c.n_nationkey
+        left join roles_region on c.n_regionkey = r_regionkey
+        left join roles_nation s on s_nationkey = s.n_nationkey
+        left join roles_events on l_orderkey = event_id
+        """
+    ).collect()
+    found = (
+        roles.flat(tables)
+        .selectExpr(
+            "visit_id", "billing_total_charge", "patient_address_line1", "patient_city",
+            "patient_state", "prescription_drug_name", "room_number", "clinic_name", "lab_name",
+        )
+        .collect()
+    )
+
+    def texts(rows):
+        return sorted(
+            str(tuple(None if v is None else f"{v:.2f}" if isinstance(v, float) else str(v) for v in r))
+            for r in rows
+        )
+
+    assert texts(found) == texts(expected)

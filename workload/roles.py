@@ -221,15 +221,23 @@ def messy(tables: Tables) -> DataFrame:
 
 def _star(tables: Tables) -> DataFrame:
     """Lines with the tables they refer to, one plain table per join so that Spark knows the
-    size of every side it may broadcast."""
-    joined = (
+    size of every side it may broadcast.
+
+    Lines are by far the most rows, so they meet parts and suppliers while they are narrow, and
+    orders bring their customers along. What follows joins by the order as well, and so needs no
+    other shuffle of the wide rows, whichever tables are too large to broadcast.
+    """
+    lines = (
         tables.dealt("lineitem")
-        .join(tables["orders"], F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .join(tables["customer"], F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(tables["part"], F.col("l_partkey") == F.col("p_partkey"), "left")
         .join(tables["supplier"], F.col("l_suppkey") == F.col("s_suppkey"), "left")
     )
-    return _with_clinic_nation(_with_nation(joined, tables), tables)
+    dated = tables["orders"].join(
+        tables["customer"], F.col("o_custkey") == F.col("c_custkey"), "left"
+    )
+    return _with_clinic_nation(lines, tables).join(
+        _with_nation(dated, tables), F.col("l_orderkey") == F.col("o_orderkey"), "left"
+    )
 
 
 def _visit_cells() -> list[Column]:
