@@ -5,8 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from invented import plan
+from pyspark.sql import functions as F
 
-from workload import roles
+from dimloom.plans import tables as t
+from workload import queries, roles
 
 DAY = dt.datetime(1996, 1, 2, 3, 4, 5)
 TABLES = {
@@ -108,3 +111,59 @@ def test_joins_keep_rows_of_null_missing_and_repeated_keys(spark, tables):
         )
 
     assert texts(found) == texts(expected)
+
+
+def test_key_profiles_store_the_keys_alone(spark, tables, monkeypatch):
+    stored = []
+
+    def stand_in(frame):
+        stored.append(frame)
+        return frame
+
+    monkeypatch.setattr(queries, "landed", stand_in)
+    found = queries.QUERIES["input_key_profile"](spark, tables.sf_dir).collect()
+    keys = {c for columns in t.NATURAL_KEYS.values() for c in columns}
+    assert set(stored[0].columns) == keys
+    rows = roles.flat(tables).count()
+    assert {r["row_count"] for r in found} == {rows}
+
+
+def test_facts_of_the_flat_frame_store_it_once(spark, tables, monkeypatch):
+    stored = []
+    land = queries.landed
+    monkeypatch.setattr(queries, "landed", lambda frame: stored.append(frame) or land(frame))
+    found = queries.QUERIES["fact_visit_from_flat"](spark, tables.sf_dir)
+    assert len(stored) == 1
+    built = queries.m.build_model(roles.flat(tables), queries.ACTIVE_AFTER)[t.FACT]
+    expected = queries.m.published(t.FACT, built)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_the_report_on_blank_keys_reads_a_stored_model(spark, tables):
+    report = queries.QUERIES["blank_keys_report"](spark, tables.sf_dir)
+    tree = plan(report)
+    assert "Window" not in tree[: tree.index("\n\n")]
+    found = {(r.check_name, r.table_name): r.value for r in report.collect()}
+    model = queries.blank_keys_model(tables)
+    expected = queries.quality.report(model).collect()
+    assert found == {(r.check_name, r.table_name): r.value for r in expected}
+
+
+def test_queries_on_the_model_count_no_usage(spark, tables, monkeypatch):
+    def none(*_):
+        raise AssertionError("usage is counted")
+
+    monkeypatch.setattr(queries.quality, "write_usage", none)
+    for name in ("insurance_fan_out", "billing_running_total"):
+        assert queries.QUERIES[name](spark, tables.sf_dir).columns
+
+
+def test_flat_text_is_written_packed_and_read_back_whole(spark, tables):
+    read = queries.csv_round_trip(tables)
+    assert all(name.endswith(".csv.gz") for name in read.inputFiles())
+    columns = read.columns
+    as_text = [F.coalesce(F.col(c), F.lit("")) for c in columns]
+    flat = roles.flat(tables).select(*columns)
+    assert sorted(map(str, read.select(*as_text).collect())) == sorted(
+        map(str, flat.select(*as_text).collect())
+    )
