@@ -80,7 +80,8 @@ def _lines(spark: SparkSession, path: str, separator: str) -> DataFrame:
     from_outside, from_inside = ends_inside(F.col("line"), separator)
     placed = text.select(
         F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("file"),
+        # A path is longer than most lines, and is held with each of them.
+        F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("at"),  # rises along a split
     ).withColumns({"if_outside": from_outside, "if_inside": from_inside})
