@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimloom.operators import checks
+from dimloom.plans.jobs import side_by_side
 from dimloom.plans.tables import FACT, LINKS, NATURAL_KEYS, PRIMARY_KEYS
 
 TABLE_CHECKS = ("row_count", "null_rows", "duplicate_keys")
@@ -68,9 +69,8 @@ def model_usage(model: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def write_usage(model: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """The usage counted once and stored, for all the checks that read it."""
     usage = model_usage(model)
-    for name, keys in usage.items():
-        keys.write.parquet(f"{folder}/{name}")
     spark = model[FACT].sparkSession
+    side_by_side(spark, *(partial(usage[n].write.parquet, f"{folder}/{n}") for n in usage))
     return {n: spark.read.schema(k.schema).parquet(f"{folder}/{n}") for n, k in usage.items()}
 
 
@@ -86,17 +86,23 @@ def add_usage(batch: Mapping[str, DataFrame], folder: str, name: str) -> None:
     if FACT not in batch:
         raise ValueError(f"a batch needs its rows of {FACT}, if only an empty frame")
     linked = {link.dimension: link.columns for link in LINKS}
+    counted = {}
     for table, keys in PRIMARY_KEYS.items():
         fact = batch[FACT] if table in linked else None
         if table in batch:
-            usage = checks.key_usage(batch[table], keys, fact, linked.get(table, ()))
+            counted[table] = checks.key_usage(batch[table], keys, fact, linked.get(table, ()))
         else:
             none = batch[FACT].select(*keys).limit(0)
-            usage = checks.key_usage(none, keys, fact, keys)
-        usage.write.mode("overwrite").parquet(f"{folder}/{table}/batch={name}")
+            counted[table] = checks.key_usage(none, keys, fact, keys)
     if "DimPatient" in batch:
-        counts = status_counts(batch["DimPatient"])
-        counts.write.mode("overwrite").parquet(f"{folder}/{STATUSES}/batch={name}")
+        counted[STATUSES] = status_counts(batch["DimPatient"])
+    side_by_side(
+        batch[FACT].sparkSession,
+        *(
+            partial(counts.write.mode("overwrite").parquet, f"{folder}/{table}/batch={name}")
+            for table, counts in counted.items()
+        ),
+    )
 
 
 def kept_usage(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:

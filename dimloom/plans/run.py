@@ -3,40 +3,32 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Mapping
 from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimloom.functions.cells import ACTIVE_AFTER
 from dimloom.plans import quality
+from dimloom.plans.jobs import side_by_side
 from dimloom.plans.model import build_model, published
-from dimloom.plans.tables import COLUMNS, FACT
+from dimloom.plans.tables import COLUMNS, FACT, LINKS, PRIMARY_KEYS
 from dimloom.scratch import scratch_path
 from dimloom.sources.flat import BROKEN, cell_rejects, land_flat, read_flat
 from dimloom.sources.tables import read_csv_table, read_model, write_csv, write_parquet
 
-# Writes that start together; each already spreads over the cluster, this only keeps it busy
-# through their last tasks.
-SIDE_BY_SIDE = 4
 
-
-def _side_by_side(spark: SparkSession, *writes: Callable[[], None]) -> None:
-    """The jobs keep the caller's job group, scheduler pool and tags."""
-    in_thread = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        list(pool.map(in_thread(lambda write: write()), writes))
+def _fact_first(names: Iterable[str]) -> list[str]:
+    return sorted(names, key=lambda name: name != FACT)  # it takes longest
 
 
 def write_model(model: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Write every table as Parquet below ``folder`` and read it back, sizes now known."""
-    fact_first = sorted(model, key=lambda name: name != FACT)  # it takes longest
     spark = model[FACT].sparkSession
-    _side_by_side(
-        spark, *(partial(write_parquet, model[name], f"{folder}/{name}") for name in fact_first)
+    side_by_side(
+        spark,
+        *(partial(write_parquet, model[n], f"{folder}/{n}") for n in _fact_first(model)),
     )
     return dict(read_model(spark, folder))
 
@@ -56,7 +48,7 @@ def export_model(
             table = published(name, model[name])
             write_csv(table, f"{folder}/{name}", compression=compression)
 
-    _side_by_side(model[FACT].sparkSession, *(partial(export, name) for name in model))
+    side_by_side(model[FACT].sparkSession, *(partial(export, n) for n in _fact_first(model)))
 
 
 def export_fact_by_month(
@@ -101,7 +93,7 @@ def normalize(
             quality.torn_rows({"landed": broken}, left_out=not keep_broken)
         ),
     }
-    _side_by_side(
+    side_by_side(
         spark,
         lambda: export_model(model, f"{folder}/csv", compression=compression),
         *(partial(write_parquet, report, f"{folder}/{name}") for name, report in reports.items()),
@@ -109,6 +101,12 @@ def normalize(
     return model
 
 
+def _checked(name: str) -> set[str]:
+    """The columns of a table that the quality report reads."""
+    links = {c for link in LINKS for c in link.columns} if name == FACT else set()
+    return {*PRIMARY_KEYS[name], *links, quality.STATUSES}
+
+
 def validate_export(
     spark: SparkSession, folder: str, suffix: str = "", multiline: bool = False
 ) -> DataFrame:
@@ -116,14 +114,20 @@ def validate_export(
 
     A table is the directory or file ``<folder>/<table><suffix>``. Rows with a wrong number of
     fields are counted per table; the cells that were read of them are checked as well. Each
-    text is parsed once, into Parquet that all checks read.
+    text is parsed once, whole, into Parquet of the columns that the checks read.
     """
     landed = scratch_path(spark, "validated")
-    tables = {}
+    texts = {}
     for name, columns in COLUMNS.items():
         text = read_csv_table(spark, f"{folder}/{name}{suffix}", columns, multiline)
-        text.write.parquet(f"{landed}/{name}")
-        tables[name] = spark.read.schema(text.schema).parquet(f"{landed}/{name}")
+        texts[name] = text.select(*(c for c in columns if c in _checked(name)), BROKEN)
+    side_by_side(
+        spark, *(partial(texts[n].write.parquet, f"{landed}/{n}") for n in _fact_first(texts))
+    )
+    tables = {
+        name: spark.read.schema(text.schema).parquet(f"{landed}/{name}")
+        for name, text in texts.items()
+    }
     torn = {
         name: table.where(F.col(BROKEN).isNotNull()).select(BROKEN)
         for name, table in tables.items()

@@ -16,6 +16,44 @@ from workload import queries, roles
 SF_DIR = "/root/testdata/sf0.001"
 
 
+@pytest.fixture
+def model(spark, tmp_path):
+    flat = flat_rows(spark, {}, {"visit_id": "v2", "patient_id": "p2"})
+    return run.write_model(m.build_model(flat), str(tmp_path / "model"))
+
+
+def test_usage_is_counted_side_by_side(spark, tmp_path, monkeypatch, model):
+    started, start = [], quality.side_by_side
+
+    def side_by_side(session, *writes):
+        started.append(len(writes))
+        start(session, *writes)
+
+    monkeypatch.setattr(quality, "side_by_side", side_by_side)
+    quality.write_usage(model, str(tmp_path / "usage"))
+    quality.add_usage(model, str(tmp_path / "kept"), "all")
+    assert started == [len(t.PRIMARY_KEYS), len(t.PRIMARY_KEYS) + 1]
+
+
+def test_export_starts_with_the_fact_and_its_check_stores_what_it_reads(
+    spark, tmp_path, monkeypatch, model
+):
+    firsts, start = [], run.side_by_side
+
+    def side_by_side(session, *writes):
+        firsts.append(writes[0].args[0])
+        start(session, *writes)
+
+    monkeypatch.setattr(run, "side_by_side", side_by_side)
+    monkeypatch.setattr(run, "scratch_path", lambda _, label: str(tmp_path / label))
+    run.export_model(model, str(tmp_path / "csv"))
+    report = {tuple(r) for r in run.validate_export(spark, str(tmp_path / "csv")).collect()}
+    assert firsts[0] == t.FACT and firsts[1].endswith(t.FACT)
+    stored = spark.read.parquet(str(tmp_path / "validated" / "DimPatient"))
+    assert stored.columns == ["patient_id", "patient_status", BROKEN]
+    assert {tuple(r) for r in quality.report(model).collect()} <= report
+
+
 def test_lines_are_placed_by_a_short_name_of_their_file(spark, tmp_path):
     (tmp_path / "a.csv").write_text('h\n"x\ny"\n')
     lines = records._lines(spark, str(tmp_path), ",")
