@@ -22,6 +22,16 @@ def model(spark, tmp_path):
     return run.write_model(m.build_model(flat), str(tmp_path / "model"))
 
 
+def test_larger_tables_are_shuffled_in_more_partitions(spark, monkeypatch):
+    size = queries.input_bytes(spark, SF_DIR)
+    with configured(spark, shuffle_partitions="8"):
+        queries.open_tables(spark, SF_DIR)
+        assert spark.conf.get(queries.SHUFFLE_PARTITIONS) == "8"  # small tables change nothing
+        monkeypatch.setattr(queries, "INPUT_PER_SHUFFLE_PARTITION", size // 20)
+        queries.open_tables(spark, SF_DIR)
+        assert int(spark.conf.get(queries.SHUFFLE_PARTITIONS)) >= 20
+
+
 @pytest.mark.parametrize("name", ["blank_keys_fact", "blank_keys_fk_nulls"])
 def test_the_fact_alone_stores_the_columns_it_reads(spark, monkeypatch, name):
     stored, store = [], queries.landed
