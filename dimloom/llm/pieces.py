@@ -22,7 +22,10 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 class Memory(dict):
-    """value = memory[chunk], made by the given function where it is not known yet."""
+    """value = memory[chunk], made by the given function where it is not known yet.
+
+    Of a chunk for which the function has None, nothing is kept.
+    """
 
     def __init__(self, make: Callable[[str], object], entries: int = MEMORY_ENTRIES):
         super().__init__()
@@ -33,12 +36,16 @@ class Memory(dict):
         value = self.older.pop(chunk, None)
         if value is None:
             value = self.make(chunk)
+        if value is not None:
+            self.keep(chunk, value)
+        return value
+
+    def keep(self, chunk: str, value: object) -> None:
         if len(chunk) <= LONGEST_KEPT:
             if len(self) >= self.entries:
                 self.older = dict(self)
                 self.clear()
             self[chunk] = value
-        return value
 
 
 def spaced_chunks(text: str) -> list[str]:
@@ -49,12 +56,16 @@ def spaced_chunks(text: str) -> list[str]:
 
 
 class OffsetTable:
-    """Byte strings by number, laid end to end, and copied out for whole id arrays at once."""
+    """Byte strings by number, laid end to end, and copied out for whole id arrays at once.
+
+    ``dtype`` is what the strings consist of; lengths are counted in it.
+    """
 
-    def __init__(self, strings: list[bytes]):
+    def __init__(self, strings: list[bytes], dtype: str = "u1"):
         self.lengths = np.array([len(s) for s in strings], dtype=np.int64)
+        self.lengths //= np.dtype(dtype).itemsize
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-        self.data = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.data = np.frombuffer(b"".join(strings), dtype=dtype)
 
     def joined(self, ids: np.ndarray, at_once: int = 1 << 18) -> bytes:
         parts = []

@@ -48,6 +48,50 @@ def test_ids_equal_the_library(text):
     assert coder.decode(coder.encode(text)) == text
 
 
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(
+        st.text(
+            alphabet="aZéÉßÿÀ×÷ªµ²½1٣'<|>,.!_ \n\t\x0b\x0c\x00\x1c\x1f\x7f\x85\xa0\u2028\u0301\u3000ΣİſŒ日\U0001f600",
+            max_size=60,
+        ),
+        max_size=6,
+    ),
+    st.sampled_from([1, 7, 1000]),
+)
+def test_ids_of_texts_looked_up_together_equal_the_library(texts, at_once):
+    words = packing.word_tokenizer(WORD)
+    kept = packing.BYTES_AT_ONCE, packing.WORDS_AT_ONCE
+    packing.BYTES_AT_ONCE = packing.WORDS_AT_ONCE = at_once
+    try:
+        got = [ids.tolist() for ids in words.encode_all([*texts, *TEXTS])]
+    finally:
+        packing.BYTES_AT_ONCE, packing.WORDS_AT_ONCE = kept
+    library = words.library.encode
+    assert got == [library(t, add_special_tokens=False).ids for t in [*texts, *TEXTS]]
+
+
+def test_the_model_is_asked_for_many_new_words_at_once():
+    rng = random.Random(5)
+    new = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzéà", k=12)) for _ in range(3000)]
+    words = packing.WordTokenizer(WORD)
+    words.known.entries = 1000  # fewer than there are
+    model, asked = words.model, []
+
+    class Counted:
+        def encode(self, text):
+            asked.append(text)
+            return model.encode(text)
+
+    words.model = Counted()
+    texts = [f"{w}, {w.upper()}. {w} the" for w in new]
+    got = list(words.encode_all(texts))
+    assert sum(len(text.split()) for text in asked) == len(new) + 3 and len(asked) < 10
+    for text, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == words.library.encode(text, add_special_tokens=False).ids
+    assert len(words.known) <= 1000 and len(words.known.older) <= 1000
+
+
 def test_bpe_round_trip_equals_the_library(spark, byte_library):
     docs = documents(spark, [*TEXTS, None])
     got = {r["doc_id"]: r for r in bpe.round_trip_digests(docs, BYTE).collect()}
