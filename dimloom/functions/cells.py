@@ -32,8 +32,12 @@ def is_blank(cell: Column) -> Column:
 
 
 def filled(cell: Column) -> Column:
-    """The cell, or null if it is blank: the one rule for every key."""
-    return F.when(~is_blank(cell), cell)
+    """The cell, or null if it is blank: the one rule for every key.
+
+    As ``is_blank`` has it, without a test for null, which no comparison is true for: a row has so
+    many keys that Java would not compile the code for all of them.
+    """
+    return F.when(F.btrim(cell, F.lit(WHITE_SPACE)) != "", cell)
 
 
 def parse_timestamp(cell: Column, *patterns: str) -> Column:

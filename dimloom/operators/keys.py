@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimloom.scratch import scratch_path
+from dimloom.scratch import make_folder, scratch_path, store
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
@@ -29,7 +29,7 @@ def number_rows(
     spark = df.sparkSession
     path = path or scratch_path(spark, number)
     sorted_rows = df.orderBy(*order).withColumn("_position", F.monotonically_increasing_id())
-    sorted_rows.write.mode("errorifexists").parquet(path)
+    store(path, sorted_rows)
 
     written = _with_ranges(spark.read.schema(sorted_rows.schema).parquet(path))
     return written.join(F.broadcast(_offsets(written)), "_range").select(
@@ -100,11 +100,14 @@ def dense_ids_together(
         .orderBy(*order)
         .withColumn("_position", F.monotonically_increasing_id())
     )
-    sorted_rows.write.mode("errorifexists").partitionBy("_frame").parquet(path)
-    written = _with_ranges(spark.read.schema(sorted_rows.schema).parquet(path))
+    store(path, sorted_rows, by=["_frame"])
+    schema = sorted_rows.drop("_frame").schema
 
     def numbered(nth: int, keys: Sequence[str], id_name: str) -> DataFrame:
-        rows = written.where(F.col("_frame") == nth)
+        # Read by its own folder, so that Spark knows the size of this frame alone.
+        own = f"{path}/_frame={nth}"
+        make_folder(spark, own)  # there is none for a frame without rows
+        rows = _with_ranges(spark.read.schema(schema).parquet(own))
         # Its rows of a range are in one run, after those of the frames before it.
         number = F.col("_offset") + F.col("_row") - F.col("_first") + 1
         return rows.join(F.broadcast(_offsets(rows)), "_range").select(
@@ -135,6 +138,21 @@ def extended_ids(
     )
 
 
+def _right_side(
+    dimension: DataFrame, keys: Sequence[str], id_name: str, hashed: Callable[..., Column]
+) -> DataFrame:
+    parts = (F.col(k).alias(f"_{k}") for k in keys)
+    return dimension.select(id_name, *parts, hashed(*keys).alias("_hash"))
+
+
+def looked_up_by_broadcast(dimension: DataFrame, keys: Sequence[str], id_name: str) -> bool:
+    """If ``lookup_id`` shuffles nothing: by what Spark knows of its size, it broadcasts the dimension."""
+    right = _right_side(dimension, keys, id_name, F.xxhash64)
+    size = right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    most = dimension.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(size)) <= most
+
+
 def lookup_id(
     df: DataFrame,
     dimension: DataFrame,
@@ -152,9 +170,7 @@ def lookup_id(
     Rows meet by one hash of the tuple, which is shorter to sort and to hold than its texts and
     needs no care for nulls; the parts are compared as well, so equal hashes do no harm.
     """
-    right = dimension.select(
-        id_name, *(F.col(k).alias(f"_{k}") for k in keys), hashed(*keys).alias("_hash")
-    )
+    right = _right_side(dimension, keys, id_name, hashed)
     pairs = ((F.col(k), F.col(f"_{k}")) for k in keys)
     same = reduce(and_, (a.eqNullSafe(b) if match_nulls else a == b for a, b in pairs))
     meet = hashed(*(df[k] for k in keys)) == F.col("_hash")

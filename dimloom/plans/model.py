@@ -17,13 +17,17 @@ from pyspark.sql import functions as F
 
 from dimloom.functions import cells
 from dimloom.operators.dedup import one_per_key
-from dimloom.operators.keys import dense_ids, dense_ids_together, lookup_id
+from dimloom.operators.keys import (
+    dense_ids,
+    dense_ids_together,
+    looked_up_by_broadcast,
+    lookup_id,
+)
 from dimloom.plans import tables as t
 from dimloom.plans.tables import (
     FACT,
     FACT_VISIT,
     MOMENTS,
-    NATURAL_KEYS,
     NUMBERED,
     PRIMARY_KEYS,
     Numbered,
@@ -156,30 +160,45 @@ def visit_survivors(visits: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     ).drop(_OWN)
 
 
-def fact_visit(visits: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+def fact_visit(
+    visits: DataFrame, dimensions: Mapping[str, DataFrame], in_order: bool = False
+) -> DataFrame:
     """One row per visit with the ids of the very dimensions given.
 
     Duplicates go first, so that ids are looked up for one record per visit. Ties between
-    records of a visit fall by the texts, which dense ids are ordered by as well.
+    records of a visit fall by the texts. ``in_order`` says that ids rise with the texts and that
+    the dimensions have all the visits' tuples, as dense ids of the same rows do. Ties then fall
+    alike by ids, and those that are found without a shuffle are looked up before duplicates go,
+    as they are much shorter to shuffle than their texts.
     """
-    text_of = {spec.id_name: spec.keys for spec in NUMBERED}
+
+    def keyed(visits: DataFrame, spec: Numbered) -> DataFrame:
+        visits = _with_keys(visits, spec.keys)
+        if not spec.drop_blank:
+            return visits
+        complete = reduce(and_, (F.col(k).isNotNull() for k in spec.keys))  # half a tuple is none
+        return visits.withColumns({k: F.when(complete, F.col(k)) for k in spec.keys})
+
+    def with_id(visits: DataFrame, spec: Numbered) -> DataFrame:
+        match_nulls = not spec.drop_blank
+        return lookup_id(visits, dimensions[spec.name], spec.keys, spec.id_name, match_nulls)
+
+    first = [
+        spec
+        for spec in NUMBERED
+        if in_order and looked_up_by_broadcast(dimensions[spec.name], spec.keys, spec.id_name)
+    ]
+    text_of = {spec.id_name: spec.keys for spec in NUMBERED if spec not in first}
     columns = tuple(c for name in FACT_VISIT for c in text_of.get(name, (name,)))
-    keys = [*NATURAL_KEYS[FACT], *(c for link in t.LINKS for c in NATURAL_KEYS[link.dimension])]
-    visits = _with_keys(visits, dict.fromkeys(keys))
-    for spec in NUMBERED:
-        if spec.drop_blank:  # half a tuple is none
-            complete = reduce(and_, (F.col(k).isNotNull() for k in spec.keys))
-            visits = visits.withColumns({k: F.when(complete, F.col(k)) for k in spec.keys})
-    visits = visit_survivors(visits, columns)
-    for spec in NUMBERED:
-        visits = lookup_id(
-            visits,
-            dimensions[spec.name],
-            spec.keys,
-            spec.id_name,
-            match_nulls=not spec.drop_blank,
-        )
-    return visits.select(*FACT_VISIT)
+    # A tuple is made ready just before its lookup, as code for many cells at once is too long
+    # for Java to compile.
+    for spec in first:  # half a tuple has no id
+        visits = with_id(_with_keys(visits, spec.keys), spec)
+    later = [spec for spec in NUMBERED if spec not in first]
+    numbered = {spec.name for spec in NUMBERED}
+    keys = [c for name, key in PRIMARY_KEYS.items() if name not in numbered for c in key]
+    visits = _with_keys(reduce(keyed, later, visits), dict.fromkeys(keys))
+    return reduce(with_id, later, visit_survivors(visits, columns)).select(*FACT_VISIT)
 
 
 def build_model(
@@ -203,7 +222,7 @@ def build_model(
         "DimBilling": dim_billing(per_table["DimBilling"]),
         "DimPrescription": dim_prescription(per_table["DimPrescription"]),
         "DimLabOrder": dim_lab_order(per_table["DimLabOrder"]),
-        FACT: fact_visit(per_table[FACT], numbered),
+        FACT: fact_visit(per_table[FACT], numbered, in_order=True),
         **numbered,
     }
     return {name: built[name] for name in PRIMARY_KEYS}

@@ -137,7 +137,8 @@ def fact_from_flat(flat: DataFrame) -> DataFrame:
     numbered = {c for spec in t.NUMBERED for c in spec.keys}
     used = [c for c in flat.columns if c in numbered or c in t.FACT_VISIT]
     flat = landed(flat.select(*used))
-    return m.fact_visit(flat, m.dims_numbered(dict.fromkeys(t.PRIMARY_KEYS, flat)))
+    dimensions = m.dims_numbered(dict.fromkeys(t.PRIMARY_KEYS, flat))
+    return m.fact_visit(flat, dimensions, in_order=True)
 
 
 def numbered(spec: t.Numbered, tables: roles.Tables) -> DataFrame:
