@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import os
 import re
+import time
 
+import pytest
 from invented import configured, flat_rows, plan
 from pyspark.sql import functions as F
 
+from dimloom import scratch
 from dimloom.functions import cells
 from dimloom.operators.keys import dense_ids_together, looked_up_by_broadcast
 from dimloom.plans import model as m
+from dimloom.plans import run
 from dimloom.plans import tables as t
+from dimloom.sources.tables import write_csv
 from workload import queries
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -79,3 +85,45 @@ def test_a_filled_cell_is_one_that_is_not_blank(spark):
     found = frame.select("c", blank.alias("blank"), cells.filled(F.col("c")).alias("filled"))
     for r in found.collect():
         assert r.filled == (None if r.blank else r.c)
+
+
+def shuffle_files(spark) -> int:
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = [d.getPath() for d in env.blockManager().diskBlockManager().localDirs()]
+    return sum(
+        name.startswith("shuffle_") for f in folders for _, _, names in os.walk(f) for name in names
+    )
+
+
+@pytest.mark.parametrize("kind", ["store", "csv"])
+def test_what_a_write_shuffles_goes_with_it(spark, tmp_path, kind):
+    before = spark.conf.get(scratch._FREED, None)
+    frame = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with configured(spark, adaptive_enabled="true"):
+        files = shuffle_files(spark)
+        path = str(tmp_path / "t")
+        scratch.store(path, frame) if kind == "store" else write_csv(frame, path)
+        for _ in range(50):
+            if shuffle_files(spark) <= files:
+                break
+            time.sleep(0.2)
+        assert shuffle_files(spark) <= files
+        assert frame.count() == 7  # and can be used again
+    assert spark.conf.get(scratch._FREED, None) == before
+
+
+def test_writes_side_by_side_leave_the_setting_as_it_was(spark):
+    before = spark.conf.get(scratch._FREED, None)
+    first, second = scratch.shuffles_freed(spark), scratch.shuffles_freed(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(scratch._FREED) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(scratch._FREED, None) == before
+
+
+def test_stored_tables_are_packed_tightly(spark, tmp_path):
+    model = run.write_model(m.build_model(flat_rows(spark, {})), str(tmp_path / "model"))
+    for table in model.values():
+        assert all(name.endswith(".zstd.parquet") for name in table.inputFiles())
