@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import time
+from pathlib import Path
 
 import pytest
 from invented import configured, flat_rows, plan
@@ -123,6 +124,15 @@ def test_writes_side_by_side_leave_the_setting_as_it_was(spark):
     assert spark.conf.get(scratch._FREED, None) == before
 
 
+@pytest.mark.parametrize("name", ["exported_quality", "exported_quality_torn"])
+def test_exports_are_packed(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(queries, "scratch_path", lambda _, label: str(tmp_path / label))
+    queries.QUERIES[name](spark, SF_DIR).count()
+    texts = [p.name for p in Path(tmp_path, "csv").rglob("part-*")]
+    assert any(name.endswith(".csv.gz") for name in texts)
+    assert not any(name.endswith(".csv") for name in texts)
+
+
 def test_stored_tables_are_packed_tightly(spark, tmp_path):
     model = run.write_model(m.build_model(flat_rows(spark, {})), str(tmp_path / "model"))
     for table in model.values():
