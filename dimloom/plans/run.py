@@ -16,7 +16,7 @@ from dimloom.plans.model import build_model, published
 from dimloom.plans.tables import COLUMNS, FACT, LINKS, PRIMARY_KEYS
 from dimloom.scratch import scratch_path, store
 from dimloom.sources.flat import BROKEN, cell_rejects, land_flat, read_flat
-from dimloom.sources.tables import read_csv_table, read_model, write_csv, write_parquet
+from dimloom.sources.tables import read_csv_table, read_model, spread, write_csv, write_parquet
 
 
 def _fact_first(names: Iterable[str]) -> list[str]:
@@ -59,9 +59,12 @@ def export_fact_by_month(
     With ``keep_other_months``, what the folder has of other months stays, so a later run over
     some months replaces just those.
     """
-    by_month = fact.withColumn("visit_month", F.date_format("visit_datetime", "yyyy-MM"))
+    # Gathered by a number and as moments, which are shorter to shuffle than their texts.
+    number = F.year("visit_datetime") * 12 + F.month("visit_datetime")
+    gathered = spread(fact.withColumn("_month", number), ["_month"]).drop("_month")
+    by_month = gathered.withColumn("visit_month", F.date_format("visit_datetime", "yyyy-MM"))
     table = published(FACT, by_month)
-    write_csv(table, folder, ["visit_month"], not keep_other_months, compression)
+    write_csv(table, folder, ["visit_month"], not keep_other_months, compression, gathered=True)
 
 
 def normalize(

@@ -11,13 +11,13 @@ from dimloom.scratch import shuffles_freed, store
 from dimloom.sources.flat import CSV_OPTIONS, read_text
 
 
-def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Gather each partition value's rows in few files; a large value keeps several tasks."""
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    store(path, _spread(df, partition_by), "overwrite", partition_by)
+    store(path, spread(df, partition_by), "overwrite", partition_by)
 
 
 # A packed file is read by one task from its start, so it is kept this short.
@@ -30,17 +30,18 @@ def write_csv(
     partition_by: Sequence[str] = (),
     replace_all: bool = True,
     compression: str = "none",
+    gathered: bool = False,
 ) -> None:
     """Text with a header in every part file, written by all tasks in parallel.
 
-    Without ``replace_all``, partitions that the frame has no rows of stay as they are. With a
+    ``gathered`` says that each partition value's rows are in few tasks already. Without ``replace_all``, partitions that the frame has no rows of stay as they are. With a
     ``compression`` Spark knows, such as gzip, the files are packed, and read like any others.
     """
     rows_per_file = 0 if compression == "none" else ROWS_PER_PACKED_FILE
+    rows = df if gathered else spread(df, partition_by)
     with shuffles_freed(df.sparkSession):
         (
-            _spread(df, partition_by)
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
             .partitionBy(*partition_by)
             .options(**CSV_OPTIONS, compression=compression, maxRecordsPerFile=rows_per_file)

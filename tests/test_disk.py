@@ -8,7 +8,7 @@ import time
 from pathlib import Path
 
 import pytest
-from invented import configured, flat_rows, plan
+from invented import configured, flat_rows, plan, rows
 from pyspark.sql import functions as F
 
 from dimloom import scratch
@@ -124,7 +124,7 @@ def test_writes_side_by_side_leave_the_setting_as_it_was(spark):
     assert spark.conf.get(scratch._FREED, None) == before
 
 
-@pytest.mark.parametrize("name", ["exported_quality", "exported_quality_torn"])
+@pytest.mark.parametrize("name", ["exported_quality", "exported_quality_torn", "fact_by_month"])
 def test_exports_are_packed(spark, tmp_path, monkeypatch, name):
     monkeypatch.setattr(queries, "scratch_path", lambda _, label: str(tmp_path / label))
     queries.QUERIES[name](spark, SF_DIR).count()
@@ -137,3 +137,21 @@ def test_stored_tables_are_packed_tightly(spark, tmp_path):
     model = run.write_model(m.build_model(flat_rows(spark, {})), str(tmp_path / "model"))
     for table in model.values():
         assert all(name.endswith(".zstd.parquet") for name in table.inputFiles())
+
+
+def test_months_are_gathered_by_a_number(spark, tmp_path, monkeypatch):
+    written = []
+
+    def write(df, path, *rest, **options):
+        written.append(plan(df))
+        write_csv(df, path, *rest, **options)
+
+    monkeypatch.setattr(run, "write_csv", write)
+    model = m.build_model(flat_rows(spark, {}, {"visit_id": "v2", "visit_datetime": None}))
+    run.export_fact_by_month(model[t.FACT], str(tmp_path / "fact"))
+    text = written[0]
+    assert re.search(r"Arguments: hashpartitioning\(_month#\d+, \d+\), REBALANCE", text)
+    months = {p.name for p in Path(tmp_path, "fact").glob("visit_month=*")}
+    assert months == {"visit_month=2023-05", "visit_month=__HIVE_DEFAULT_PARTITION__"}
+    found = spark.read.csv(str(tmp_path / "fact"), header=True)
+    assert rows(found, "visit_id", "visit_datetime") == {("v1", "2023-05-06 07:08:09"), ("v2", None)}

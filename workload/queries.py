@@ -281,7 +281,7 @@ def exported_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact written as text by month, and read back month by month."""
     folder = scratch_path(spark, "csv")
-    run.export_model(written_model(spark, sf_dir), folder, fact_by_month=True)
+    run.export_model(written_model(spark, sf_dir), folder, fact_by_month=True, compression=TEXT_CODEC)
     return months_of(read_csv_table(spark, f"{folder}/{t.FACT}", t.COLUMNS[t.FACT]))
 
 
